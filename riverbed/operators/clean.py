@@ -141,8 +141,8 @@ def clean_orders(df: DataFrame, image: str = "after", keep: list[str] | None = N
 def profile_columns(fv, d: Column) -> tuple[dict, Column]:
     prefs = fv("preferences")
     loyalty = fv("loyalty")
-    prefs = F.when(V.vtype(prefs).startswith("OBJECT"), prefs)   # F17
-    loyalty = F.when(V.vtype(loyalty).startswith("OBJECT"), loyalty)
+    prefs = F.when(prefs.t.startswith("OBJECT"), prefs.v)   # F17: non-object -> {}
+    loyalty = F.when(loyalty.t.startswith("OBJECT"), loyalty.v)
     cust = V.unwrap_ejson(fv("customer_id"))
     cols = {
         "_id": V.doc_id_text(fv("_id")),
@@ -184,7 +184,7 @@ def review_columns(fv, d: Column) -> tuple[dict, Column]:
 
 def click_columns(fv, d: Column) -> tuple[dict, Column]:
     meta = fv("metadata")
-    meta = F.when(V.vtype(meta).startswith("OBJECT"), meta)
+    meta = F.when(meta.t.startswith("OBJECT"), meta.v)
     cols = {
         "_id": V.doc_id_text(fv("_id")),
         "event_id": V.text(V.unwrap_ejson(fv("event_id"))),

@@ -85,3 +85,265 @@ def q_mart_daily_revenue(spark, sf):
 @register("mart_customer_summary", O.with_ctes(CUSTOMER_SUMMARY_SQL))
 def q_mart_customer_summary(spark, sf):
     return ntz(M.customer_summary(clean_customers(spark, sf), clean_orders(spark, sf)))
+
+
+# ------------------------------------------------------------ document layers
+def clean_reviews(spark, sf):
+    from ..sources import documents as D
+    return SN.clean_documents_snapshot(D.review_docs(FX.src_reviews(spark, sf)), "product_reviews")
+
+
+def clean_clicks(spark, sf):
+    from ..sources import documents as D
+    return SN.clean_documents_snapshot(D.click_docs(FX.src_clicks(spark, sf)), "click_events")
+
+
+def clean_profiles(spark, sf):
+    from ..sources import documents as D
+    return SN.clean_documents_snapshot(D.profile_docs(FX.src_profiles(spark, sf)), "customer_profiles")
+
+
+@register("clean_reviews", O.with_ctes(
+    "select _id, review_id, cast(customer_id as bigint) as customer_id, cast(product_id as bigint) as product_id, "
+    "cast(rating as bigint) as rating, status, title, 'fast,cheap' as tags, updated_at from c_reviews"))
+def q_clean_reviews(spark, sf):
+    return ntz(clean_reviews(spark, sf).select(
+        "_id", "review_id", "customer_id", "product_id", "rating", "status", "title",
+        F.array_join("tags", ",").alias("tags"), "updated_at"))
+
+
+@register("clean_clicks", O.with_ctes(
+    "select _id, event_id, cast(customer_id as bigint) as customer_id, cast(product_id as bigint) as product_id, "
+    "event_type, session_id, user_agent, referrer, page, event_time from c_clicks"))
+def q_clean_clicks(spark, sf):
+    return ntz(clean_clicks(spark, sf).select(
+        "_id", "event_id", "customer_id", "product_id", "event_type", "session_id",
+        F.col("metadata.user_agent").alias("user_agent"), F.col("metadata.referrer").alias("referrer"),
+        F.col("metadata.page").alias("page"), "event_time"))
+
+
+@register("clean_profiles", O.with_ctes(
+    "select _id, cast(customer_id as bigint) as customer_id, full_name, country, category, newsletter, "
+    "price_sensitivity, tier, cast(points as bigint) as points, devices from c_profiles"))
+def q_clean_profiles(spark, sf):
+    return clean_profiles(spark, sf).select(
+        "_id", "customer_id", "full_name", "country",
+        F.col("preferences.category").alias("category"), F.col("preferences.newsletter").alias("newsletter"),
+        F.col("preferences.price_sensitivity").alias("price_sensitivity"),
+        F.col("loyalty.tier").alias("tier"), F.col("loyalty.points").alias("points"),
+        F.array_join("devices", ",").alias("devices"))
+
+
+@register("mart_product_review", O.with_ctes("""
+select cast(product_id as bigint) as product_id, count(*) as review_count, round_even(coalesce(avg(rating), 0), 3) as avg_rating,
+  count(*) filter (where status = 'APPROVED') as approved_count,
+  count(*) filter (where status = 'PENDING') as pending_count,
+  count(*) filter (where status = 'REJECTED') as rejected_count,
+  max(updated_at) as last_review_at
+from c_reviews group by product_id"""))
+def q_mart_product_review(spark, sf):
+    return ntz(M.product_review_summary(clean_reviews(spark, sf)))
+
+
+ENGAGEMENT_SQL = """
+, keys as (select customer_id from c_profiles where customer_id is not null
+           union select customer_id from c_clicks where customer_id is not null
+           union select customer_id from c_reviews where customer_id is not null),
+cl as (select customer_id, count(*) as total_clicks, max(event_time) as last_click_at from c_clicks group by 1),
+rv as (select customer_id, count(*) as total_reviews, avg(rating) as a, max(updated_at) as last_review_at
+       from c_reviews group by 1)
+select cast(k.customer_id as bigint) as customer_id, p.full_name,
+  case when p.customer_id is not null then p.country else 'UNKNOWN' end as country,
+  p.tier as loyalty_tier, coalesce(cl.total_clicks, 0) as total_clicks,
+  coalesce(rv.total_reviews, 0) as total_reviews, round_even(coalesce(rv.a, 0), 3) as avg_rating_given,
+  cl.last_click_at, rv.last_review_at
+from keys k left join c_profiles p on p.customer_id = k.customer_id
+  left join cl on cl.customer_id = k.customer_id left join rv on rv.customer_id = k.customer_id
+"""
+
+
+def _with_tail(tail: str) -> str:
+    """CTEs plus extra CTEs given as ', name as (...)' followed by a body."""
+    base = O.with_ctes("")
+    return base.rstrip() + "\n" + tail
+
+
+@register("mart_customer_engagement", _with_tail(ENGAGEMENT_SQL))
+def q_mart_customer_engagement(spark, sf):
+    return ntz(M.customer_engagement_summary(clean_profiles(spark, sf), clean_clicks(spark, sf),
+                                             clean_reviews(spark, sf)))
+
+
+@register("mart_country_profile", O.with_ctes("""
+select country, count(*) as profile_count, count(*) filter (where tier = 'GOLD') as gold_customers,
+  count(*) filter (where newsletter) as newsletter_opt_in
+from c_profiles group by country"""))
+def q_mart_country_profile(spark, sf):
+    return M.country_profile_summary(clean_profiles(spark, sf))
+
+
+# -------------------------------------------------------------------- objects
+BATCH_TS = "2024-06-01 00:00:00"
+
+
+def object_listing(spark, sf, previous: bool = False):
+    return (FX.src_object_listing(spark, sf, previous)
+            .withColumn("last_modified", F.timestamp_millis("last_modified_ms")).drop("last_modified_ms"))
+
+
+def object_metadata(spark, sf):
+    from ..operators import objects as OB
+    ev = OB.object_events(object_listing(spark, sf))
+    return OB.latest_per_object(SN.good(C.clean_object_events(ev, BATCH_TS)))
+
+
+def object_reconcile(spark, sf):
+    from ..operators import objects as OB
+    return OB.reconcile(object_metadata(spark, sf), FX.target_inventory(spark, sf), BATCH_TS)
+
+
+def object_metadata_reconciled(spark, sf):
+    from ..operators import objects as OB
+    return OB.apply_reconcile(object_metadata(spark, sf), object_reconcile(spark, sf))
+
+
+OBJ_MEMBERS = """
+, ev as (
+  select sha256(concat_ws('|', bucket, object_key, coalesce(etag, ''), cast(size_bytes as varchar),
+           strftime(make_timestamp(last_modified_ms * 1000), '%Y-%m-%dT%H:%M:%S+00:00'))) as event_id,
+    sha256(concat_ws('|', bucket, object_key)) as object_id, bucket as source_bucket, object_key,
+    regexp_extract(object_key, '[^/]*$') as file_name,
+    lower(regexp_extract(regexp_extract(object_key, '[^/]*$'), '^\\.*[^.].*\\.([^.]*)$', 1)) as extension,
+    coalesce(content_type, case lower(regexp_extract(regexp_extract(object_key, '[^/]*$'), '^\\.*[^.].*\\.([^.]*)$', 1))
+      when 'png' then 'image/png' when 'mp4' then 'video/mp4' when 'wav' then 'audio/x-wav'
+      when 'txt' then 'text/plain' end, 'application/octet-stream') as content_type,
+    size_bytes, etag, strftime(make_timestamp(last_modified_ms * 1000), '%Y-%m-%dT%H:%M:%S+00:00') as last_modified
+  from src_objects),
+ev2 as (
+  select *, case when lower(source_bucket) like '%images' or lower(content_type) like 'image/%' then 'image'
+    when lower(source_bucket) like '%videos' or lower(content_type) like 'video/%' then 'video'
+    when lower(source_bucket) like '%audio' or lower(content_type) like 'audio/%' then 'audio'
+    when extension in ('jpg','jpeg','png','webp','gif','bmp','tiff') then 'image'
+    when extension in ('mp4','mov','avi','mkv','webm') then 'video'
+    when extension in ('mp3','wav','ogg','flac','m4a') then 'audio' else 'document' end as media_type
+  from ev),
+meta as (
+  select object_id, event_id, source_bucket, object_key as source_object_key,
+    case media_type when 'image' then 'clean-images' when 'video' then 'clean-videos'
+      when 'audio' then 'clean-audio' else 'clean-documents' end as target_bucket,
+    object_key as target_object_key, file_name, extension, media_type, content_type, size_bytes, etag,
+    last_modified, 'manual_import' as source_type, 'ACTIVE' as status,
+    timestamp '2024-06-01 00:00:00' as ingested_at, '2024-06-01' as ingested_day
+  from ev2 where size_bytes > 0),
+recon as (
+  select coalesce(m.target_bucket, i.bucket) as bucket, coalesce(m.target_object_key, i.object_key) as object_key,
+    case when m.object_id is not null and i.bucket is not null then 'both'
+         when m.object_id is not null then 'metadata_only' else 'object_only' end as presence,
+    case when m.object_id is not null and i.bucket is not null then 'ACTIVE'
+         when m.object_id is not null then 'MISSING' end as status,
+    m.size_bytes as metadata_size, i.size_bytes as object_size,
+    (m.object_id is not null and i.bucket is not null and m.size_bytes is distinct from i.size_bytes) as size_mismatch
+  from meta m full outer join target_inventory i on m.target_bucket = i.bucket and m.target_object_key = i.object_key),
+meta_r as (
+  select m.* replace (coalesce(r.status, m.status) as status) from meta m
+  left join recon r on r.bucket = m.target_bucket and r.object_key = m.target_object_key)
+"""
+
+
+@register("obj_metadata_clean", _with_tail(OBJ_MEMBERS + """
+select object_id, event_id, source_bucket, source_object_key, target_bucket, target_object_key, file_name,
+  extension, media_type, content_type, size_bytes, etag, last_modified, source_type, status from meta"""))
+def q_obj_metadata_clean(spark, sf):
+    return object_metadata(spark, sf).select(
+        "object_id", "event_id", "source_bucket", "source_object_key", "target_bucket", "target_object_key",
+        "file_name", "extension", "media_type", "content_type", "size_bytes", "etag", "last_modified",
+        "source_type", "status")
+
+
+@register("obj_inventory_reconcile", _with_tail(OBJ_MEMBERS + """
+select bucket, object_key, presence, status, metadata_size, object_size, size_mismatch from recon"""))
+def q_obj_inventory_reconcile(spark, sf):
+    return object_reconcile(spark, sf).select(
+        "bucket", "object_key", "presence", "status", "metadata_size", "object_size", "size_mismatch")
+
+
+@register("obj_size_mismatch", _with_tail(OBJ_MEMBERS + """
+select bucket, object_key, metadata_size, object_size from recon where size_mismatch"""))
+def q_obj_size_mismatch(spark, sf):
+    return object_reconcile(spark, sf).where("size_mismatch").select(
+        "bucket", "object_key", "metadata_size", "object_size")
+
+
+@register("obj_issue_samples", _with_tail(OBJ_MEMBERS + """
+, kinds as (
+  select case when presence = 'object_only' then 'missing_metadata' when presence = 'metadata_only'
+    then 'missing_object' when size_mismatch then 'size_mismatch' end as issue,
+    concat_ws('/', bucket, object_key) as sample from recon)
+select issue, sample from (
+  select issue, sample, row_number() over (partition by issue order by sample) as rn from kinds where issue is not null)
+where rn <= 10"""))
+def q_obj_issue_samples(spark, sf):
+    from ..operators import objects as OB
+    return OB.issue_samples(object_reconcile(spark, sf))
+
+
+@register("obj_dq_score", _with_tail(OBJ_MEMBERS + """
+select count(*) filter (where presence <> 'metadata_only') as target_object_count,
+  count(*) filter (where presence <> 'object_only') as clean_object_metadata_count,
+  count(*) filter (where presence = 'object_only') as missing_metadata_count,
+  count(*) filter (where presence = 'metadata_only') as missing_object_count,
+  count(*) filter (where size_mismatch) as size_mismatch_count,
+  count(*) filter (where presence <> 'both' or size_mismatch) as dq_issue_count
+from recon"""))
+def q_obj_dq_score(spark, sf):
+    from ..operators import objects as OB
+    return OB.reconcile_metrics(object_reconcile(spark, sf))
+
+
+@register("obj_summary_by_type", _with_tail(OBJ_MEMBERS + """
+select media_type, count(*) as total_objects, cast(sum(size_bytes) as bigint) as total_size_bytes,
+  round_even(coalesce(avg(size_bytes), 0), 3) as avg_size_bytes, max(ingested_at) as latest_ingested_at
+from meta_r where status = 'ACTIVE' group by media_type"""))
+def q_obj_summary_by_type(spark, sf):
+    return ntz(M.object_summary_by_type(object_metadata_reconciled(spark, sf)))
+
+
+@register("obj_summary_by_day", _with_tail(OBJ_MEMBERS + """
+select ingested_day, count(*) as total_objects, cast(sum(size_bytes) as bigint) as total_size_bytes
+from meta_r where status = 'ACTIVE' group by ingested_day"""))
+def q_obj_summary_by_day(spark, sf):
+    return M.object_summary_by_day(object_metadata_reconciled(spark, sf))
+
+
+@register("obj_storage_summary", _with_tail(OBJ_MEMBERS + """
+select 'current' as _id, count(*) as total_objects, cast(coalesce(sum(size_bytes), 0) as bigint) as total_size_bytes
+from meta_r where status = 'ACTIVE'"""))
+def q_obj_storage_summary(spark, sf):
+    return M.object_storage_summary(object_metadata_reconciled(spark, sf))
+
+
+FINGERPRINT_SQL = """
+, prev_listing as (
+  select bucket, object_key, size_bytes, last_modified_ms,
+    case when doc_id % 11 = 0 then md5(concat(text, '#v0')) else md5(text) end as etag
+  from (select case doc_id % 4 when 0 then 'raw-images' when 1 then 'raw-videos' when 2 then 'raw-audio'
+      else 'raw-documents' end as bucket,
+    concat(lang, '/', source, '/doc_', cast(doc_id as varchar), case doc_id % 4 when 0 then '.PNG'
+      when 1 then '.mp4' when 2 then '.wav' else '.txt' end) as object_key,
+    case when doc_id % 37 = 0 then 0 else n_chars end as size_bytes, 1704067200000 + doc_id * 1000 as last_modified_ms,
+    doc_id, text from documents where doc_id % 17 <> 0)),
+fp_cur as (select bucket, object_key, sha256(concat_ws('|', bucket, object_key, coalesce(etag, ''), cast(size_bytes as varchar),
+    strftime(make_timestamp(last_modified_ms * 1000), '%Y-%m-%d %H:%M:%S+00:00'))) as fp from src_objects),
+fp_prev as (select bucket, object_key, sha256(concat_ws('|', bucket, object_key, coalesce(etag, ''), cast(size_bytes as varchar),
+    strftime(make_timestamp(last_modified_ms * 1000), '%Y-%m-%d %H:%M:%S+00:00'))) as fp from prev_listing)
+select c.bucket, c.object_key, case when p.fp is null then 'new' else 'changed' end as change_kind
+from fp_cur c left join fp_prev p on p.bucket = c.bucket and p.object_key = c.object_key
+where p.fp is null or p.fp <> c.fp
+"""
+
+
+@register("obj_change_detect", _with_tail(FINGERPRINT_SQL))
+def q_obj_change_detect(spark, sf):
+    from ..operators import objects as OB
+    return OB.changed_objects(object_listing(spark, sf), object_listing(spark, sf, previous=True)) \
+        .select("bucket", "object_key", "change_kind")

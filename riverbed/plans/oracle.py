@@ -83,7 +83,7 @@ select {oid('event_id')} as _id, cast(event_id as varchar) as event_id, cast(use
   ' Mozilla/5.0 ' as user_agent,
   case event_id % 4 when 0 then 'direct' when 1 then 'ads ' when 2 then 'email' else null end as referrer,
   case event_id % 3 when 0 then 'home' when 1 then ' search' else 'cart' end as page,
-  epoch_ms(ts) as event_time
+  (epoch_us(ts) // 1000) as event_time
 from events
 """
 

@@ -29,8 +29,9 @@ def _s(c) -> Column:
 
 
 def epoch_ms(ts_ntz: Column) -> Column:
-    """Wall-clock NTZ timestamp as UTC epoch millis (what the feed carries)."""
-    return F.unix_millis(F.to_utc_timestamp(ts_ntz.cast("timestamp"), "UTC"))
+    """Wall-clock NTZ timestamp as UTC epoch millis (what the feed carries);
+    the session time zone is UTC."""
+    return F.unix_millis(ts_ntz.cast("timestamp"))
 
 
 # ---------------------------------------------------------------- relational
@@ -147,16 +148,25 @@ def _doc_key(k: Column) -> Column:
     return F.concat(F.col("lang"), F.lit("/"), F.col("source"), F.lit("/doc_"), _s(k), ext)
 
 
-def src_object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Source-bucket listing (S8): one object per document."""
+def src_object_listing(spark: SparkSession, sf_dir: str, previous: bool = False) -> DataFrame:
+    """Source-bucket listing (S8): one object per document.
+
+    ``previous=True`` gives the listing of the scan before: objects with
+    ``doc_id % 17 == 0`` did not exist yet and ``doc_id % 11 == 0`` had
+    another etag, so the change detector (T6) has new and changed objects.
+    """
     d = read_table(spark, sf_dir, "documents")
     k = F.col("doc_id")
+    etag = F.md5(F.col("text"))
+    if previous:
+        d = d.where(k % 17 != 0)
+        etag = F.when(k % 11 == 0, F.md5(F.concat(F.col("text"), F.lit("#v0")))).otherwise(etag)
     bucket = (F.when(k % 4 == 0, "raw-images").when(k % 4 == 1, "raw-videos")
               .when(k % 4 == 2, "raw-audio").otherwise("raw-documents"))
     return d.select(
         bucket.alias("bucket"), _doc_key(k).alias("object_key"),
         F.when(k % 37 == 0, F.lit(0).cast("bigint")).otherwise(F.col("n_chars")).alias("size_bytes"),
-        F.md5(F.col("text")).alias("etag"),
+        etag.alias("etag"),
         F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(F.lit("text/plain")).alias("content_type"),
         (F.lit(EPOCH_2024_MS) + k * 1000).alias("last_modified_ms"))
 
