@@ -347,3 +347,187 @@ def q_obj_change_detect(spark, sf):
     from ..operators import objects as OB
     return OB.changed_objects(object_listing(spark, sf), object_listing(spark, sf, previous=True)) \
         .select("bucket", "object_key", "change_kind")
+
+
+# ---------------------------------------------------------------- change data
+def _orders_state(spark, sf, feed=None):
+    from ..operators import changes as CH
+    from ..sources import feeds as FD
+    return CH.relational_state(feed if feed is not None else FD.relational_feed(spark, sf), "orders")
+
+
+@register("cdc_current_orders", O.with_ctes("select * from f_orders"))
+def q_cdc_current_orders(spark, sf):
+    from ..operators import changes as CH
+    return ntz(CH.current(_orders_state(spark, sf), CH.RELATIONAL["orders"]))
+
+
+@register("cdc_current_customers", O.with_ctes("select * from f_customers"))
+def q_cdc_current_customers(spark, sf):
+    from ..operators import changes as CH
+    from ..sources import feeds as FD
+    st = CH.relational_state(FD.relational_feed(spark, sf), "customers")
+    return ntz(CH.current(st, CH.RELATIONAL["customers"]))
+
+
+@register("replay_idempotent", O.with_ctes("select * from f_orders"))
+def q_replay_idempotent(spark, sf):
+    """Every message delivered twice; de-duplicated on source position."""
+    from ..operators import changes as CH
+    from ..sources import feeds as FD
+    feed = FD.relational_feed(spark, sf)
+    twice = CH.dedupe_deliveries(feed.unionByName(feed))
+    return ntz(CH.current(_orders_state(spark, sf, twice), CH.RELATIONAL["orders"]))
+
+
+DEAD_LETTERS_SQL = """
+select 'shop.public.orders' as source_topic, cast(id % 4 as integer) as source_partition,
+  cast(id * 8 + seq as bigint) as source_offset, concat('{"id":', cast(id as varchar), '}') as message_key,
+  err as error_message, 0 as retry_count
+from (select id, 0 as seq, 'numeric field overflow' as err from c_orders_all where total_amount is null
+      union all select id, 1, 'numeric field overflow' from u_orders_all where total_amount is null
+      union all select id, 4, 'malformed JSON value' from src_orders where id % 1009 = 7)
+"""
+
+
+@register("cdc_dead_letters", O.with_ctes(DEAD_LETTERS_SQL))
+def q_cdc_dead_letters(spark, sf):
+    from ..operators import changes as CH
+    from ..sources import feeds as FD
+    feed = FD.relational_feed(spark, sf)
+    parts = [CH.dead_letters(CH.parse_relational(feed, spec)) for spec in CH.RELATIONAL.values()]
+    return parts[0].unionByName(parts[1]).select(
+        "source_topic", "source_partition", "source_offset", "message_key", "error_message", "retry_count")
+
+
+AUDIT_SQL = """
+select source_table, op, pk, ts_ms, cast(source_partition as integer) as source_partition,
+  cast(source_offset as bigint) as source_offset, has_before, has_after from (
+  select 'customers' as source_table, 'r' as op, cast(id as varchar) as pk, updated_at as ts_ms, id % 4 as source_partition,
+    id * 8 as source_offset, false as has_before, true as has_after from src_customers
+  union all select 'customers', 'u', cast(id as varchar), updated_at + 1, id % 4, id * 8 + 1, true, true
+    from src_customers where id % 5 = 0
+  union all select 'orders', 'r', cast(id as varchar), s.updated_at, id % 4, id * 8, false, true
+    from c_orders_all o join src_orders s using (id) where o.total_amount is not null
+  union all select 'orders', 'u', cast(id as varchar), s.updated_at + 1, id % 4, id * 8 + 1, true, true
+    from u_orders_all u join src_orders s using (id) where u.total_amount is not null
+  union all select 'orders', 'd', cast(id as varchar), updated_at + 2, id % 4, id * 8 + 2, true, false
+    from src_orders where id % 9 = 0)
+"""
+
+
+@register("cdc_audit_log", O.with_ctes(AUDIT_SQL))
+def q_cdc_audit_log(spark, sf):
+    from ..operators import changes as CH
+    from ..sources import feeds as FD
+    feed = FD.relational_feed(spark, sf)
+    parts = [CH.audit_log(CH.parse_relational(feed, spec)) for spec in CH.RELATIONAL.values()]
+    return parts[0].unionByName(parts[1]).select(
+        "source_table", "op", "pk", "ts_ms", "source_partition", "source_offset",
+        F.col("before_data").isNotNull().alias("has_before"), F.col("after_data").isNotNull().alias("has_after"))
+
+
+def _two_batches(feed):
+    """Split a feed into the snapshot batch (op r) and the change batch."""
+    snap = feed.where(F.col("offset") % 8 == 0)
+    rest = feed.where(F.col("offset") % 8 != 0)
+    return snap, rest
+
+
+def _incremental_relational(spark, sf):
+    from ..operators import changes as CH
+    from ..sources import feeds as FD
+    feed = FD.relational_feed(spark, sf)
+    b1, b2 = _two_batches(feed)
+    so, sc = CH.RELATIONAL["orders"], CH.RELATIONAL["customers"]
+    ch1_o = CH.keyed_changes(CH.parse_relational(b1, so), so)
+    ch1_c = CH.keyed_changes(CH.parse_relational(b1, sc), sc)
+    st1_o, st1_c = CH.fold(ch1_o), CH.fold(ch1_c)
+    ch2_o = CH.keyed_changes(CH.parse_relational(b2, so), so)
+    ch2_c = CH.keyed_changes(CH.parse_relational(b2, sc), sc)
+    st2_o, st2_c = CH.fold(ch2_o, st1_o), CH.fold(ch2_c, st1_c)
+    old_o, old_c = CH.current(st1_o, so), CH.current(st1_c, sc)
+    new_o, new_c = CH.current(st2_o, so), CH.current(st2_c, sc)
+    changed_o = ch2_o.select(F.col("pk").cast("int").alias("id"))
+    changed_c = ch2_c.select(F.col("pk").cast("int").alias("id"))
+    return old_o, old_c, new_o, new_c, changed_o, changed_c
+
+
+@register("mart_revenue_incremental", O.with_ctes(
+    DAILY_REVENUE_SQL.replace("c_orders", "f_orders").replace("c_customers", "f_customers")))
+def q_mart_revenue_incremental(spark, sf):
+    """M1-M3 + A3: snapshot batch -> full mart; change batch -> delta refresh."""
+    from ..operators import incremental as IN
+    old_o, old_c, new_o, new_c, changed_o, changed_c = _incremental_relational(spark, sf)
+    mart1 = M.daily_revenue(old_o, old_c)
+    return IN.revenue_refresh(mart1, old_o, old_c, new_o, new_c, changed_o, changed_c)
+
+
+@register("mart_customer_incremental", O.with_ctes(
+    CUSTOMER_SUMMARY_SQL.replace("c_orders", "f_orders").replace("c_customers", "f_customers")))
+def q_mart_customer_incremental(spark, sf):
+    """M3 + A4: affected customers recomputed after the change batch."""
+    from ..operators import incremental as IN
+    old_o, old_c, new_o, new_c, changed_o, changed_c = _incremental_relational(spark, sf)
+    s1 = M.customer_summary(old_c, old_o)
+    return ntz(IN.customer_summary_refresh(s1, old_o, new_o, new_c, changed_o, changed_c))
+
+
+def _reviews_state(spark, sf, feed=None):
+    from ..operators import changes as CH
+    from ..sources import feeds as FD
+    return CH.document_state(feed if feed is not None else FD.reviews_feed(spark, sf),
+                             "product_reviews", CH.REVIEW_COLUMNS)
+
+
+@register("cdc_current_reviews", O.with_ctes(
+    "select _id, review_id, cast(customer_id as bigint) as customer_id, cast(product_id as bigint) as product_id, "
+    "cast(rating as bigint) as rating, status, title, updated_at from f_reviews"))
+def q_cdc_current_reviews(spark, sf):
+    st, _ = _reviews_state(spark, sf)
+    return ntz(st.where(~F.col("_deleted")).select(
+        "_id", "review_id", "customer_id", "product_id", "rating", "status", "title", "updated_at"))
+
+
+DOC_DEAD_SQL = """
+select 'shop.reviewsdb.product_reviews' as source_topic, cast(k % 4 as integer) as source_partition,
+  cast(k * 8 + seq as bigint) as source_offset, err as error_message
+from (select k, 4 as seq, 'missing after document for upsert' as err from src_reviews where k % 211 = 9
+      union all select k, 3, 'missing document id for delete event' from src_reviews where k % 307 = 11
+      union all select k, 5, 'duplicate business key' from src_reviews where k % 101 = 3 and k % 10 <> 0)
+"""
+
+
+@register("cdc_doc_dead_letters", O.with_ctes(DOC_DEAD_SQL))
+def q_cdc_doc_dead_letters(spark, sf):
+    from ..operators import changes as CH
+    _, parsed = _reviews_state(spark, sf)
+    return CH.dead_letters(parsed.withColumn("key_text", F.col("key_text"))).select(
+        "source_topic", "source_partition", "source_offset", "error_message")
+
+
+@register("doc_marts_incremental", O.with_ctes("""
+select cast(product_id as bigint) as product_id, count(*) as review_count, round_even(coalesce(avg(rating), 0), 3) as avg_rating,
+  count(*) filter (where status = 'APPROVED') as approved_count,
+  count(*) filter (where status = 'PENDING') as pending_count,
+  count(*) filter (where status = 'REJECTED') as rejected_count,
+  max(updated_at) as last_review_at
+from f_reviews group by product_id"""))
+def q_doc_marts_incremental(spark, sf):
+    """M4 + P11: review mart after the change batch, refreshed only for the
+    products touched by old or new images of changed documents."""
+    from ..operators import changes as CH
+    from ..operators import incremental as IN
+    from ..sources import feeds as FD
+    b1, b2 = _two_batches(FD.reviews_feed(spark, sf))
+    p1 = CH.reject_duplicate_keys(CH.parse_documents(b1, "product_reviews"), "product_reviews")
+    st1 = CH.fold(CH.document_changes(p1, CH.REVIEW_COLUMNS))
+    p2 = CH.reject_duplicate_keys(CH.parse_documents(b2, "product_reviews"), "product_reviews", st1)
+    ch2 = CH.document_changes(p2, CH.REVIEW_COLUMNS)
+    st2 = CH.fold(ch2, st1)
+    live = lambda st: st.where(~F.col("_deleted"))
+    mart1 = M.product_review_summary(live(st1))
+    changed = ch2.select("pk")
+    old_changed = live(st1).join(changed, "pk", "left_semi")          # M6/J6: prior images
+    new_changed = live(st2).join(changed, "pk", "left_semi")
+    return ntz(IN.product_review_refresh(mart1, live(st2), old_changed, new_changed))

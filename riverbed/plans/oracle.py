@@ -170,6 +170,43 @@ select _id, customer_id, {clean('full_name')} as full_name, {country('country',
 from src_profiles
 """
 
+U_ORDERS_SRC = """
+select id, customer_id, product_name, quantity + 1 as quantity, unit_price, 'shipped ' as status, order_date,
+  updated_at + 3600000 as updated_at
+from src_orders where id % 3 = 0
+"""
+
+FIN_ORDERS_SRC = """
+select * from u_orders_src where id % 9 <> 0
+union all select * from src_orders where id % 3 <> 0
+"""
+
+FIN_CUSTOMERS_SRC = """
+select id, full_name, email, phone,
+  case when id % 5 = 0 then (case when id % 2 = 0 then 'Singapore ' else ' usa' end) else country end as country,
+  created_at, updated_at, c_nationkey
+from src_customers
+"""
+
+U_REVIEWS = f"""
+select _id, review_id, customer_id, product_id, least(greatest(rating + 1, 0), 5) as rating, 'APPROVED' as status,
+  {clean('title')} as title, {ts_ms('updated_at')} as updated_at, k
+from src_reviews where k % 4 = 0
+"""
+
+FIN_REVIEWS = f"""
+select _id, review_id, customer_id, product_id, rating, status, title, updated_at
+from u_reviews where k % 10 <> 0
+union all
+select _id, review_id, greatest(customer_id, 0), greatest(product_id, 0), least(greatest(rating, 0), 5),
+  {upper_default('status', 'PENDING')}, {clean('title')}, {ts_ms('updated_at')}
+from src_reviews where k % 4 <> 0 and k % 10 <> 0
+union all
+select {oid('k', 'f')}, review_id, greatest(customer_id, 0), greatest(product_id, 0), least(greatest(rating, 0), 5),
+  {upper_default('status', 'PENDING')}, {clean('title')}, {ts_ms('updated_at')}
+from src_reviews where k % 101 = 3 and k % 10 = 0
+"""
+
 BASE_CTES = {
     "src_customers": SRC_CUSTOMERS, "src_orders": SRC_ORDERS, "src_reviews": SRC_REVIEWS,
     "src_clicks": SRC_CLICKS, "src_profiles": SRC_PROFILES, "src_objects": SRC_OBJECTS,
@@ -177,6 +214,13 @@ BASE_CTES = {
     "c_customers": CLEAN_CUSTOMERS, "c_orders_all": CLEAN_ORDERS,
     "c_orders": "select * from c_orders_all where total_amount is not null",
     "c_reviews": CLEAN_REVIEWS, "c_clicks": CLEAN_CLICKS, "c_profiles": CLEAN_PROFILES,
+    "u_orders_src": U_ORDERS_SRC, "u_orders_all": CLEAN_ORDERS.replace("from src_orders", "from u_orders_src"),
+    "fin_orders_src": FIN_ORDERS_SRC,
+    "f_orders_all": CLEAN_ORDERS.replace("from src_orders", "from fin_orders_src"),
+    "f_orders": "select * from f_orders_all where total_amount is not null",
+    "fin_customers_src": FIN_CUSTOMERS_SRC,
+    "f_customers": CLEAN_CUSTOMERS.replace("from src_customers", "from fin_customers_src"),
+    "u_reviews": U_REVIEWS, "f_reviews": FIN_REVIEWS,
 }
 
 
