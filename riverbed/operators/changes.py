@@ -160,7 +160,10 @@ def reject_duplicate_keys(parsed: DataFrame, collection: str,
     claims = (acc.where(F.col("op").isin(UPSERT_OPS) & F.col(bk).isNotNull())
               .join(live, "_id", "left_semi").select(bk, "_id", pos.alias("_pos")))
     if state is not None:
+        gone = (acc.groupBy("_id").agg(F.max_by("op", pos).alias("_last_op"))
+                .where(F.col("_last_op") == "d").select(F.col("_id").alias("pk")))
         claims = claims.unionByName(state.where(~F.col("_deleted") & F.col(bk).isNotNull())
+                                    .join(gone, "pk", "left_anti")
                                     .select(bk, F.col("pk").alias("_id"), "_pos"))
     owners = claims.groupBy(bk).agg(F.min_by("_id", "_pos").alias("_owner"),
                                     F.min("_pos").alias("_owner_pos"))

@@ -16,6 +16,7 @@ from pyspark.sql.types import TimestampType
 from ..operators import clean as C
 from ..operators import marts as M
 from ..operators import snapshot as SN
+from ..session import materialize
 from ..sources import fixtures as FX
 from . import oracle as O
 
@@ -442,10 +443,11 @@ def _incremental_relational(spark, sf):
     so, sc = CH.RELATIONAL["orders"], CH.RELATIONAL["customers"]
     ch1_o = CH.keyed_changes(CH.parse_relational(b1, so), so)
     ch1_c = CH.keyed_changes(CH.parse_relational(b1, sc), sc)
-    st1_o, st1_c = CH.fold(ch1_o), CH.fold(ch1_c)
-    ch2_o = CH.keyed_changes(CH.parse_relational(b2, so), so)
-    ch2_c = CH.keyed_changes(CH.parse_relational(b2, sc), sc)
-    st2_o, st2_c = CH.fold(ch2_o, st1_o), CH.fold(ch2_c, st1_c)
+    # each batch's state is materialised, as the store would write it
+    st1_o, st1_c = materialize(CH.fold(ch1_o)), materialize(CH.fold(ch1_c))
+    ch2_o = materialize(CH.keyed_changes(CH.parse_relational(b2, so), so))
+    ch2_c = materialize(CH.keyed_changes(CH.parse_relational(b2, sc), sc))
+    st2_o, st2_c = materialize(CH.fold(ch2_o, st1_o)), materialize(CH.fold(ch2_c, st1_c))
     old_o, old_c = CH.current(st1_o, so), CH.current(st1_c, sc)
     new_o, new_c = CH.current(st2_o, so), CH.current(st2_c, sc)
     changed_o = ch2_o.select(F.col("pk").cast("int").alias("id"))
@@ -476,8 +478,10 @@ def q_mart_customer_incremental(spark, sf):
 def _reviews_state(spark, sf, feed=None):
     from ..operators import changes as CH
     from ..sources import feeds as FD
-    return CH.document_state(feed if feed is not None else FD.reviews_feed(spark, sf),
-                             "product_reviews", CH.REVIEW_COLUMNS)
+    parsed = materialize(CH.parse_documents(feed if feed is not None else FD.reviews_feed(spark, sf),
+                                            "product_reviews"))
+    parsed = CH.reject_duplicate_keys(parsed, "product_reviews")
+    return CH.fold(CH.document_changes(parsed, CH.REVIEW_COLUMNS)), parsed
 
 
 @register("cdc_current_reviews", O.with_ctes(
@@ -520,11 +524,11 @@ def q_doc_marts_incremental(spark, sf):
     from ..operators import incremental as IN
     from ..sources import feeds as FD
     b1, b2 = _two_batches(FD.reviews_feed(spark, sf))
-    p1 = CH.reject_duplicate_keys(CH.parse_documents(b1, "product_reviews"), "product_reviews")
-    st1 = CH.fold(CH.document_changes(p1, CH.REVIEW_COLUMNS))
-    p2 = CH.reject_duplicate_keys(CH.parse_documents(b2, "product_reviews"), "product_reviews", st1)
-    ch2 = CH.document_changes(p2, CH.REVIEW_COLUMNS)
-    st2 = CH.fold(ch2, st1)
+    p1 = CH.reject_duplicate_keys(materialize(CH.parse_documents(b1, "product_reviews")), "product_reviews")
+    st1 = materialize(CH.fold(CH.document_changes(p1, CH.REVIEW_COLUMNS)))
+    p2 = CH.reject_duplicate_keys(materialize(CH.parse_documents(b2, "product_reviews")), "product_reviews", st1)
+    ch2 = materialize(CH.document_changes(p2, CH.REVIEW_COLUMNS))
+    st2 = materialize(CH.fold(ch2, st1))
     live = lambda st: st.where(~F.col("_deleted"))
     mart1 = M.product_review_summary(live(st1))
     changed = ch2.select("pk")

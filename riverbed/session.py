@@ -82,3 +82,11 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def store_root(spark: SparkSession, name: str) -> str:
     """A folder for materialised tables under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
+    (never a local checkpoint: executors may be lost).  Used where one batch's
+    state feeds the next, exactly like a written table would."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
