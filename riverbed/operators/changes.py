@@ -60,14 +60,17 @@ def parse_relational(feed: DataFrame, spec: TableSpec) -> DataFrame:
     return cleaned.withColumn("_error", F.coalesce(env_err, F.when(is_upsert, F.col("_error"))))
 
 
-def dead_letters(parsed: DataFrame, dlq_topic: str = "cdc.dlq", retry_count: int = 0) -> DataFrame:
-    """The failed-event rows (source position, key, value, reason)."""
+def dead_letters(parsed: DataFrame, dlq_topic: str = "cdc.dlq", retry_count: int = 0,
+                 failed_at=None) -> DataFrame:
+    """The failed-event rows (source position, key, value, reason).
+    ``failed_at`` is the batch time, passed in (NULL when not given)."""
+    ts = F.lit(failed_at).cast("timestamp")
     return parsed.where(F.col("_error").isNotNull()).select(
         F.col("topic").alias("source_topic"), F.col("partition").alias("source_partition"),
         F.col("offset").alias("source_offset"), F.col("key_text").alias("message_key"),
         EV.lenient_json(F.col("value_text")).cast("string").alias("message_value"),
         F.col("_error").alias("error_message"), F.lit(retry_count).alias("retry_count"),
-        F.lit(dlq_topic).alias("dlq_topic"))
+        F.lit(dlq_topic).alias("dlq_topic"), ts.alias("failed_at"))
 
 
 def audit_log(parsed: DataFrame) -> DataFrame:

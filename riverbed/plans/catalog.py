@@ -535,3 +535,231 @@ def q_doc_marts_incremental(spark, sf):
     old_changed = live(st1).join(changed, "pk", "left_semi")          # M6/J6: prior images
     new_changed = live(st2).join(changed, "pk", "left_semi")
     return ntz(IN.product_review_refresh(mart1, live(st2), old_changed, new_changed))
+
+
+# ------------------------------------------------------ quality and reconcile
+def _relational_layers(spark, sf):
+    """Final clean state, audit log and rebuilt marts after the whole feed."""
+    from ..operators import changes as CH
+    from ..sources import feeds as FD
+    feed = FD.relational_feed(spark, sf)
+    parsed = {t: materialize(CH.parse_relational(feed, spec)) for t, spec in CH.RELATIONAL.items()}
+    raw = CH.audit_log(parsed["customers"]).unionByName(CH.audit_log(parsed["orders"]))
+    cur = {t: CH.current(CH.fold(CH.keyed_changes(parsed[t], spec)), spec)
+           for t, spec in CH.RELATIONAL.items()}
+    cust, orders = cur["customers"], cur["orders"]
+    return raw, cust, orders, M.daily_revenue(orders, cust), M.customer_summary(cust, orders)
+
+
+REL_METRICS_BODY = """
+, raw as (""" + AUDIT_SQL + """),
+dr as (""" + DAILY_REVENUE_SQL.replace("c_orders", "f_orders").replace("c_customers", "f_customers") + """),
+cs as (""" + CUSTOMER_SUMMARY_SQL.replace("c_orders", "f_orders").replace("c_customers", "f_customers") + """),
+metrics as (
+  select 'raw_events_count' as metric_name, count(*) as metric_value from raw
+  union all select 'clean_customers_count', count(*) from f_customers
+  union all select 'customers_unknown_country_count', count(*) filter (where country = 'UNKNOWN') from f_customers
+  union all select 'clean_orders_count', count(*) from f_orders
+  union all select 'orders_invalid_quantity_count', count(*) filter (where quantity < 0) from f_orders
+  union all select 'orders_negative_price_count', count(*) filter (where unit_price < 0) from f_orders
+  union all select 'orders_without_customer_count', count(*) from f_orders o
+    where not exists (select 1 from f_customers c where c.id = o.customer_id)
+  union all select 'mart_daily_revenue_rows', count(*) from dr
+  union all select 'mart_unknown_country_rows', count(*) filter (where country = 'UNKNOWN') from dr
+  union all select 'mart_customer_summary_rows', count(*) from cs)
+"""
+
+
+@register("rel_dq_metrics", _with_tail(REL_METRICS_BODY + "select metric_name, metric_value from metrics"))
+def q_rel_dq_metrics(spark, sf):
+    """Layer counts and DQ counts after replaying the relational feed."""
+    from ..operators import quality as Q
+    return Q.relational_metrics(*_relational_layers(spark, sf))
+
+
+@register("rel_dq_score", _with_tail(REL_METRICS_BODY + """
+select cast(coalesce(sum(metric_value), 0) as bigint) as dq_issue_count,
+  case when coalesce(sum(metric_value), 0) = 0 then 'SUCCESS' else 'SUCCESS_WITH_WARNINGS' end as status
+from metrics where metric_name in ('customers_unknown_country_count', 'orders_without_customer_count',
+  'orders_invalid_quantity_count', 'orders_negative_price_count', 'mart_unknown_country_rows')"""))
+def q_rel_dq_score(spark, sf):
+    """R8 + A13 + P13 + S9: the score is a filtered sum over the metric rows."""
+    from ..operators import quality as Q
+    return Q.relational_dq_score(Q.relational_metrics(*_relational_layers(spark, sf)))
+
+
+def _document_layers(spark, sf):
+    from ..sources import documents as D
+    srcs = {"customer_profiles": (FX.src_profiles(spark, sf), D.profile_docs),
+            "product_reviews": (FX.src_reviews(spark, sf), D.review_docs),
+            "click_events": (FX.src_clicks(spark, sf), D.click_docs)}
+    out = {}
+    for name, (src, shape) in srcs.items():
+        raw = SN.as_image(shape(src), "doc")
+        out[name] = (src, raw, SN.good(C.DOC_CLEANERS[name](raw)).drop("_doc"))
+    return out
+
+
+DOC_METRICS_BODY = """
+, rm as (select product_id from c_reviews group by product_id),
+em as (select customer_id from c_profiles union select customer_id from c_clicks union select customer_id from c_reviews),
+cm as (select country from c_profiles group by country),
+metrics as (
+  select 'source_customer_profiles_count' as metric_name, count(*) as metric_value from src_profiles
+  union all select 'target_raw_customer_profiles_count', count(*) from src_profiles
+  union all select 'target_clean_customer_profiles_count', count(*) from c_profiles
+  union all select 'unknown_country_profiles_count', count(*) filter (where country = 'UNKNOWN') from c_profiles
+  union all select 'source_product_reviews_count', count(*) from src_reviews
+  union all select 'target_raw_product_reviews_count', count(*) from src_reviews
+  union all select 'target_clean_product_reviews_count', count(*) from c_reviews
+  union all select 'invalid_review_rating_count', count(*) filter (where rating < 0 or rating > 5) from c_reviews
+  union all select 'missing_review_product_id_count', count(*) filter (where product_id = 0) from c_reviews
+  union all select 'source_click_events_count', count(*) from src_clicks
+  union all select 'target_raw_click_events_count', count(*) from src_clicks
+  union all select 'target_clean_click_events_count', count(*) from c_clicks
+  union all select 'missing_click_event_type_count', count(*) filter (where event_type = 'UNKNOWN') from c_clicks
+  union all select 'mart_product_review_summary_rows', count(*) from rm
+  union all select 'mart_customer_engagement_summary_rows', count(*) from em
+  union all select 'mart_country_profile_summary_rows', count(*) from cm)
+"""
+
+
+def _doc_metrics(spark, sf):
+    from ..operators import quality as Q
+    L = _document_layers(spark, sf)
+    (sp, rp, cp), (sr, rr, cr), (sc, rc, cc) = (L["customer_profiles"], L["product_reviews"],
+                                                 L["click_events"])
+    return Q.document_metrics(sp, sr, sc, rp, rr, rc, cp, cr, cc,
+                              M.product_review_summary(cr), M.customer_engagement_summary(cp, cc, cr),
+                              M.country_profile_summary(cp))
+
+
+@register("doc_dq_metrics", _with_tail(DOC_METRICS_BODY + "select metric_name, metric_value from metrics"))
+def q_doc_dq_metrics(spark, sf):
+    """Source / raw / clean counts, mart rows and the four DQ counts."""
+    return _doc_metrics(spark, sf)
+
+
+@register("doc_dq_score", _with_tail(DOC_METRICS_BODY + """
+, w as (select
+    sum(metric_value) filter (where metric_name in ('unknown_country_profiles_count', 'invalid_review_rating_count',
+      'missing_review_product_id_count', 'missing_click_event_type_count')) as issues,
+    (case when max(metric_value) filter (where metric_name = 'source_customer_profiles_count')
+            = max(metric_value) filter (where metric_name = 'target_clean_customer_profiles_count') then 0 else 1 end
+   + case when max(metric_value) filter (where metric_name = 'source_product_reviews_count')
+            = max(metric_value) filter (where metric_name = 'target_clean_product_reviews_count') then 0 else 1 end
+   + case when max(metric_value) filter (where metric_name = 'source_click_events_count')
+            = max(metric_value) filter (where metric_name = 'target_clean_click_events_count') then 0 else 1 end) as mism
+  from metrics)
+select cast(issues + mism as bigint) as dq_issue_count, cast(mism as bigint) as count_mismatches,
+  case when issues + mism = 0 then 'SUCCESS' else 'SUCCESS_WITH_WARNINGS' end as status from w"""))
+def q_doc_dq_score(spark, sf):
+    """R9 + R11."""
+    from ..operators import quality as Q
+    return Q.document_dq_score(_doc_metrics(spark, sf))
+
+
+@register("obj_content_type", _with_tail(OBJ_MEMBERS + """
+select source_bucket as bucket, object_key, content_type, media_type from ev2"""))
+def q_obj_content_type(spark, sf):
+    """F23 + F24: stored type, else guessed from the extension, else octet-stream."""
+    from ..operators import objects as OB
+    return OB.object_events(object_listing(spark, sf)).select(
+        F.col("source_bucket").alias("bucket"), "object_key", "content_type", "media_type")
+
+
+@register("obj_status_after_reconcile", _with_tail(OBJ_MEMBERS + """
+select m.object_id, m.target_bucket, m.target_object_key, m.status,
+  case when m.status = 'MISSING' then timestamp '2024-06-01 00:00:00' end as missing_detected_at,
+  timestamp '2024-06-01 00:00:00' as last_reconciled_at
+from meta_r m"""))
+def q_obj_status_after_reconcile(spark, sf):
+    """K11 + R4: status / missing_detected_at / last_reconciled_at on metadata."""
+    return ntz(object_metadata_reconciled(spark, sf).select(
+        "object_id", "target_bucket", "target_object_key", "status", "missing_detected_at",
+        "last_reconciled_at"))
+
+
+# -------------------------------------------------------------------- reports
+@register("report_latest_days", O.with_ctes(DAILY_REVENUE_SQL.replace("group by 1, 2", "group by 1, 2 order by order_day desc, country limit 20")))
+def q_report_latest_days(spark, sf):
+    """L1."""
+    from . import reports as R
+    return R.latest_revenue_days(q_mart_daily_revenue(spark, sf))
+
+
+@register("report_top_spenders", O.with_ctes(CUSTOMER_SUMMARY_SQL + " order by total_spent desc, customer_id limit 20"))
+def q_report_top_spenders(spark, sf):
+    """L2."""
+    from . import reports as R
+    return R.top_spenders(q_mart_customer_summary(spark, sf))
+
+
+LAYER_COUNTS_SQL = ("select 'clean.customers' as layer, cast(null as varchar) as status, count(*) as row_count "
+                    "from c_customers\nunion all select 'clean.orders', null, count(*) from c_orders\n"
+                    "union all select 'mart.daily_revenue', null, count(*) from (" + DAILY_REVENUE_SQL + ")\n"
+                    "union all select 'mart.customer_summary', null, count(*) from (" + CUSTOMER_SUMMARY_SQL + ")")
+
+
+@register("report_layer_counts", O.with_ctes(LAYER_COUNTS_SQL))
+def q_report_layer_counts(spark, sf):
+    """Labelled count report over the relational layers."""
+    from . import reports as R
+    cust, orders = clean_customers(spark, sf), clean_orders(spark, sf)
+    return R.layer_counts({"clean.customers": cust, "clean.orders": orders,
+                           "mart.daily_revenue": M.daily_revenue(orders, cust),
+                           "mart.customer_summary": M.customer_summary(cust, orders)})
+
+
+@register("report_object_layers", _with_tail(OBJ_MEMBERS + """
+select 'clean_object_metadata' as layer, status, count(*) as row_count from meta_r group by status
+union all select 'mart_object_summary_by_type', null, count(distinct media_type) from meta_r where status = 'ACTIVE'
+union all select 'mart_object_storage_summary', null, 1"""))
+def q_report_object_layers(spark, sf):
+    """Object layers with per-status counts."""
+    from . import reports as R
+    meta = object_metadata_reconciled(spark, sf)
+    return R.layer_counts({"clean_object_metadata": meta,
+                           "mart_object_summary_by_type": M.object_summary_by_type(meta),
+                           "mart_object_storage_summary": M.object_storage_summary(meta)},
+                          status_col="status")
+
+
+@register("report_latest_objects", _with_tail(OBJ_MEMBERS + """
+select object_id, target_bucket, target_object_key, ingested_at from meta_r
+order by ingested_at desc, object_id limit 5"""))
+def q_report_latest_objects(spark, sf):
+    """L6."""
+    from . import reports as R
+    return ntz(R.latest_objects(object_metadata_reconciled(spark, sf))
+               .select("object_id", "target_bucket", "target_object_key", "ingested_at"))
+
+
+@register("report_clean_samples", O.with_ctes("""
+select 'clean_customer_profiles' as collection, min(_id) as sample_id from c_profiles
+union all select 'clean_product_reviews', min(_id) from c_reviews
+union all select 'clean_click_events', min(_id) from c_clicks"""))
+def q_report_clean_samples(spark, sf):
+    """One sample row per clean collection."""
+    from . import reports as R
+    return R.clean_samples({"clean_customer_profiles": clean_profiles(spark, sf),
+                            "clean_product_reviews": clean_reviews(spark, sf),
+                            "clean_click_events": clean_clicks(spark, sf)})
+
+
+@register("report_failed_events", O.with_ctes(DEAD_LETTERS_SQL.replace(
+    "select 'shop.public.orders' as source_topic", "select * from (select 'shop.public.orders' as source_topic", 1)
+    + ") order by source_topic desc, source_partition desc, source_offset desc limit 20"))
+def q_report_failed_events(spark, sf):
+    """L4: the 20 most recent dead letters."""
+    from . import reports as R
+    return R.last_failed_events(q_cdc_dead_letters_full(spark, sf)).select(
+        "source_topic", "source_partition", "source_offset", "message_key", "error_message", "retry_count")
+
+
+def q_cdc_dead_letters_full(spark, sf):
+    from ..operators import changes as CH
+    from ..sources import feeds as FD
+    feed = FD.relational_feed(spark, sf)
+    parts = [CH.dead_letters(CH.parse_relational(feed, spec)) for spec in CH.RELATIONAL.values()]
+    return parts[0].unionByName(parts[1])
