@@ -45,10 +45,10 @@ ORDER_COLUMNS = ["id", "customer_id", "product_name", "quantity", "unit_price",
 
 
 def customer_columns(fv, a: Column) -> tuple[dict, Column]:
-    cid, cid_bad = V.int_field(fv("id"))
+    cid, cid_bad = V.int_field(fv("id", False))
     email = S.clean_email(V.as_str(fv("email")))
-    created, created_bad = V.to_timestamp(fv("created_at"))
-    updated, updated_bad = V.to_timestamp(fv("updated_at"))
+    created, created_bad = V.to_timestamp(fv("created_at", False))
+    updated, updated_bad = V.to_timestamp(fv("updated_at", False))
     cols = {
         "id": cid,
         "full_name": V.text(fv("full_name")),
@@ -63,10 +63,10 @@ def customer_columns(fv, a: Column) -> tuple[dict, Column]:
 
 
 def order_columns(fv, a: Column) -> tuple[dict, Column]:
-    oid, oid_bad = V.int_field(fv("id"))
-    cust, cust_bad = V.int_field(fv("customer_id"))
+    oid, oid_bad = V.int_field(fv("id", False))
+    cust, cust_bad = V.int_field(fv("customer_id", False))
     # quantity: ``int(q or 0)``; failures -> 0; negatives -> 0; > INT -> error
-    q_raw, q_over = V.py_int(fv("quantity"))
+    q_raw, q_over = V.py_int(fv("quantity", False))
     qty = F.greatest(F.coalesce(q_raw, F.lit(0).cast("bigint")), F.lit(0).cast("bigint"))
     q_bad = q_over | (qty > V.INT_MAX)
     qty_i = F.when(~q_bad, qty).cast("int")
@@ -74,8 +74,8 @@ def order_columns(fv, a: Column) -> tuple[dict, Column]:
     price = F.coalesce(price, F.lit(0).cast("decimal(28,10)"))
     unit_price = (F.round(price, 2)).try_cast("decimal(12,2)")
     total = (S.total_amount(price, qty_i)).try_cast("decimal(14,2)")
-    order_date, od_bad = V.to_timestamp(fv("order_date"))
-    updated, up_bad = V.to_timestamp(fv("updated_at"))
+    order_date, od_bad = V.to_timestamp(fv("order_date", False))
+    updated, up_bad = V.to_timestamp(fv("updated_at", False))
     cols = {
         "id": oid,
         "customer_id": cust,
@@ -101,18 +101,25 @@ def _apply(df: DataFrame, builder, image: str, keep: list[str] | None) -> DataFr
     type test is repeated inside CASE branches and generated methods stay small.
     """
     used: list[str] = []
+    text: set[str] = set()
 
-    def fv(n: str) -> V.Fld:
+    def fv(n: str, as_text: bool = True) -> V.Fld:
+        """Field accessor.  Text fields get their string form materialised
+        once; for numeric / date / object fields the (costly) variant-to-text
+        cast stays inside the rarely taken STRING branches."""
         if n not in used:
             used.append(n)
-        return V.Fld(F.col(f"_f_{n}"), F.col(f"_t_{n}"), F.col(f"_s_{n}"))
+        if as_text:
+            text.add(n)
+        s = F.col(f"_s_{n}") if as_text else V.as_str(F.col(f"_f_{n}"))
+        return V.Fld(F.col(f"_f_{n}"), F.col(f"_t_{n}"), s)
 
     cols, checks = builder(fv, F.col(image))
     keep = keep or []
     s1 = df.select(*keep, F.col(image),
                    *[V.field(F.col(image), n).alias(f"_f_{n}") for n in used])
     s2 = s1.select("*", *[V.vtype(F.col(f"_f_{n}")).alias(f"_t_{n}") for n in used],
-                   *[V.as_str(F.col(f"_f_{n}")).alias(f"_s_{n}") for n in used])
+                   *[V.as_str(F.col(f"_f_{n}")).alias(f"_s_{n}") for n in used if n in text])
     flags = {f"_chk{i}": chk[0] for i, chk in enumerate(checks) if chk[0] is not None}
     s3 = s2.select(*keep, *[v.alias(k) for k, v in cols.items()],
                    *[v.alias(k) for k, v in flags.items()])
@@ -139,13 +146,13 @@ def clean_orders(df: DataFrame, image: str = "after", keep: list[str] | None = N
 
 # ------------------------------------------------------------------ documents
 def profile_columns(fv, d: Column) -> tuple[dict, Column]:
-    prefs = fv("preferences")
-    loyalty = fv("loyalty")
+    prefs = fv("preferences", False)
+    loyalty = fv("loyalty", False)
     prefs = F.when(prefs.t.startswith("OBJECT"), prefs.v)   # F17: non-object -> {}
     loyalty = F.when(loyalty.t.startswith("OBJECT"), loyalty.v)
-    cust = V.unwrap_ejson(fv("customer_id"))
+    cust = V.unwrap_ejson(fv("customer_id", False))
     cols = {
-        "_id": V.doc_id_text(fv("_id")),
+        "_id": V.doc_id_text(fv("_id", False)),
         "customer_id": F.when(V.is_number(V.vtype(cust)), F.try_variant_get(cust, "$", "bigint")),
         "full_name": V.text(fv("full_name")),
         "country": S.normalize_doc_country(V.as_str(fv("country"))),
@@ -156,9 +163,9 @@ def profile_columns(fv, d: Column) -> tuple[dict, Column]:
         "loyalty": F.struct(
             S.normalize_upper(V.as_str(V.field(loyalty, "tier")), "BRONZE").alias("tier"),
             V.safe_int(V.field(loyalty, "points"), 0, 0).alias("points")),
-        "devices": S.clean_list(V.str_list(fv("devices"))),
-        "created_at": V.ejson_date(fv("created_at")),
-        "updated_at": V.ejson_date(fv("updated_at")),
+        "devices": S.clean_list(V.str_list(fv("devices", False))),
+        "created_at": V.ejson_date(fv("created_at", False)),
+        "updated_at": V.ejson_date(fv("updated_at", False)),
         "_doc": d,
     }
     return cols, []
@@ -166,37 +173,37 @@ def profile_columns(fv, d: Column) -> tuple[dict, Column]:
 
 def review_columns(fv, d: Column) -> tuple[dict, Column]:
     cols = {
-        "_id": V.doc_id_text(fv("_id")),
-        "review_id": V.text(V.unwrap_ejson(fv("review_id"))),
-        "customer_id": V.safe_int(fv("customer_id"), 0, 0),
-        "product_id": V.safe_int(fv("product_id"), 0, 0),
-        "rating": V.safe_int(fv("rating"), 0, 0, 5),
+        "_id": V.doc_id_text(fv("_id", False)),
+        "review_id": V.text(V.unwrap_ejson(fv("review_id", False))),
+        "customer_id": V.safe_int(fv("customer_id", False), 0, 0),
+        "product_id": V.safe_int(fv("product_id", False), 0, 0),
+        "rating": V.safe_int(fv("rating", False), 0, 0, 5),
         "status": S.normalize_upper(V.as_str(fv("status")), "PENDING"),
         "title": V.text(fv("title")),
         "body": V.text(fv("body")),
-        "tags": S.clean_list(V.str_list(fv("tags"))),
-        "created_at": V.ejson_date(fv("created_at")),
-        "updated_at": V.ejson_date(fv("updated_at")),
+        "tags": S.clean_list(V.str_list(fv("tags", False))),
+        "created_at": V.ejson_date(fv("created_at", False)),
+        "updated_at": V.ejson_date(fv("updated_at", False)),
         "_doc": d,
     }
     return cols, []
 
 
 def click_columns(fv, d: Column) -> tuple[dict, Column]:
-    meta = fv("metadata")
+    meta = fv("metadata", False)
     meta = F.when(meta.t.startswith("OBJECT"), meta.v)
     cols = {
-        "_id": V.doc_id_text(fv("_id")),
-        "event_id": V.text(V.unwrap_ejson(fv("event_id"))),
-        "customer_id": V.safe_int(fv("customer_id"), 0, 0),
-        "product_id": V.safe_int(fv("product_id"), 0, 0),
+        "_id": V.doc_id_text(fv("_id", False)),
+        "event_id": V.text(V.unwrap_ejson(fv("event_id", False))),
+        "customer_id": V.safe_int(fv("customer_id", False), 0, 0),
+        "product_id": V.safe_int(fv("product_id", False), 0, 0),
         "event_type": S.normalize_upper(V.as_str(fv("event_type")), "UNKNOWN"),
         "session_id": V.text(fv("session_id")),
         "metadata": F.struct(
             V.text(V.field(meta, "user_agent")).alias("user_agent"),
             S.normalize_upper(V.as_str(V.field(meta, "referrer")), "UNKNOWN").alias("referrer"),
             S.normalize_upper(V.as_str(V.field(meta, "page")), "UNKNOWN").alias("page")),
-        "event_time": V.ejson_date(fv("event_time")),
+        "event_time": V.ejson_date(fv("event_time", False)),
         "_doc": d,
     }
     return cols, []
