@@ -36,30 +36,41 @@ def table_from_topic(topic: Column) -> Column:
 def parse_envelope(feed: DataFrame) -> DataFrame:
     """P1, P2 (tombstones flagged), op/before/after/ts_ms/source extraction.
 
-    Adds: ``key_text, value_text, env (variant), malformed, tombstone, op,
-    before, after, ts_ms, source_db, source_collection, table_name``.
+    Adds: ``key_text, value_text, tombstone, malformed, op, before, after,
+    ts_ms, source_db, source_collection, table_name``.
+
+    The message is parsed once; every field is then read by path from that
+    parse (``$.payload.x`` when the envelope is wrapped, else ``$.x``), so
+    the payload is never copied into a separate variant.
     """
     df = feed.withColumns({"key_text": decode_text(feed, "key"),
                            "value_text": decode_text(feed, "value")})
-    v = F.try_parse_json(F.col("value_text"))
-    df = df.withColumn("_v", v)
-    payload = F.try_variant_get(F.col("_v"), "$.payload", "variant")
-    has_payload = payload.isNotNull()
-    p = F.when(has_payload, payload).otherwise(F.col("_v"))
-    df = df.withColumn("env", p)
-    env = F.col("env")
-    return (df.withColumns({
+    df = df.withColumn("_v", F.try_parse_json(F.col("value_text")))
+    v = F.col("_v")
+    wrapped = (F.try_variant_get(v, "$.payload.op", "string").isNotNull()
+               | F.try_variant_get(v, "$.payload.ts_ms", "bigint").isNotNull())
+    df = df.withColumn("_w", F.coalesce(wrapped, F.lit(False)))
+
+    def get(path: str, dtype: str):
+        return F.when(F.col("_w"), F.try_variant_get(v, f"$.payload.{path}", dtype)) \
+            .otherwise(F.try_variant_get(v, f"$.{path}", dtype))
+
+    df = df.withColumns({
         "tombstone": F.col("value_text").isNull(),
+        # json.loads succeeded but the value is not an object -> dead letter
         "malformed": F.col("value_text").isNotNull() & (
-            F.col("_v").isNull() | ~V.vtype(env).startswith("OBJECT")),
-        "op": F.try_variant_get(env, "$.op", "string"),
-        "before": V.null_if_json_null(V.field(env, "before")),
-        "after": V.null_if_json_null(V.field(env, "after")),
-        "ts_ms": F.try_variant_get(env, "$.ts_ms", "bigint"),
-        "source_db": F.try_variant_get(env, "$.source.db", "string"),
-        "source_collection": F.try_variant_get(env, "$.source.collection", "string"),
+            v.isNull() | ~F.ltrim(F.col("value_text")).startswith("{")),
+        "op": get("op", "string"),
+        "_before": get("before", "variant"),
+        "_after": get("after", "variant"),
+        "ts_ms": get("ts_ms", "bigint"),
+        "source_db": get("source.db", "string"),
+        "source_collection": get("source.collection", "string"),
         "table_name": table_from_topic(F.col("topic")),
-    }).drop("_v"))
+    })
+    return (df.withColumns({"before": V.null_if_json_null(F.col("_before")),
+                            "after": V.null_if_json_null(F.col("_after"))})
+            .drop("_v", "_w", "_before", "_after"))
 
 
 def document_image(after: Column) -> Column:
@@ -81,10 +92,10 @@ def document_key_id(key_text: Column) -> Column:
 
 def relational_pk(df_after: Column, df_before: Column, key_text: Column, pk: str) -> Column:
     """Pk from after, else before, else the message key JSON; as text."""
-    src = F.coalesce(df_after, df_before)
-    from_img = V.as_str(V.field(src, pk))
+    from_img = F.when(df_after.isNotNull(), F.try_variant_get(df_after, f"$.{pk}", "string")) \
+        .otherwise(F.try_variant_get(df_before, f"$.{pk}", "string"))
     from_key = F.try_variant_get(F.try_parse_json(key_text), f"$.{pk}", "string")
-    return F.when(src.isNotNull(), from_img).otherwise(from_key)
+    return F.when(df_after.isNotNull() | df_before.isNotNull(), from_img).otherwise(from_key)
 
 
 def cdc_metadata(source_type: str = "mongodb") -> Column:
