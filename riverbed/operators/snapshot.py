@@ -32,5 +32,10 @@ def clean_orders_snapshot(src: DataFrame) -> DataFrame:
     return good(C.clean_orders(as_image(src)))
 
 
-def clean_documents_snapshot(src: DataFrame, collection: str) -> DataFrame:
-    return good(C.DOC_CLEANERS[collection](as_image(src, "doc"))).drop("_doc")
+def document_image(docs: DataFrame, name: str = "doc") -> DataFrame:
+    """Document JSON text (``doc_json``) parsed once into a VARIANT image."""
+    return docs.select(F.parse_json("doc_json").alias(name))
+
+
+def clean_documents_snapshot(docs: DataFrame, collection: str) -> DataFrame:
+    return good(C.DOC_CLEANERS[collection](document_image(docs))).drop("_doc")

@@ -595,7 +595,7 @@ def _document_layers(spark, sf):
             "click_events": (FX.src_clicks(spark, sf), D.click_docs)}
     out = {}
     for name, (src, shape) in srcs.items():
-        raw = SN.as_image(shape(src), "doc")
+        raw = SN.document_image(shape(src))
         out[name] = (src, raw, SN.good(C.DOC_CLEANERS[name](raw)).drop("_doc"))
     return out
 

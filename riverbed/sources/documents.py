@@ -1,9 +1,10 @@
-"""Document-shaped images (Extended JSON) built from flat source rows.
+"""Document-shaped images (Extended JSON text) built from flat source rows.
 
 Documents in the change feed carry ``_id`` as ``{"$oid": ...}``, integers
 sometimes as ``{"$numberInt": "..."}`` and dates as ``{"$date": ...}``.
-These helpers shape flat DataFrames into that form so the document cleaners
-see what a document store would emit.
+These helpers render flat rows as that JSON text -- what a document store's
+change stream emits -- with ``to_json`` for the plain members and string
+assembly for the Extended-JSON members (no VARIANT round trips).
 """
 
 from __future__ import annotations
@@ -13,42 +14,66 @@ from pyspark.sql import functions as F
 
 
 def oid(c) -> Column:
-    return F.struct(F.col(c).alias("$oid"))
+    return F.struct((F.col(c) if isinstance(c, str) else c).alias("$oid"))
 
 
-def ejson_int(c, alt: Column) -> Column:
-    """``{"$numberInt": "n"}`` where ``alt`` holds, the plain number elsewhere
-    (as a variant so both shapes share one column)."""
-    wrapped = F.to_json(F.struct(F.col(c).cast("string").alias("$numberInt")))
-    return F.when(alt, F.parse_json(wrapped)).otherwise(F.parse_json(F.col(c).cast("string")))
+def _num_text(c: Column) -> Column:
+    return F.coalesce(c.cast("string"), F.lit("null"))
 
 
-def ejson_date(c, alt: Column) -> Column:
-    """``{"$date": {"$numberLong": "ms"}}`` or ``{"$date": ms}``."""
-    canonical = F.to_json(F.struct(F.struct(F.col(c).cast("string").alias("$numberLong")).alias("$date")))
-    relaxed = F.to_json(F.struct(F.col(c).alias("$date")))
-    return F.parse_json(F.when(alt, canonical).otherwise(relaxed))
+def ejson_int(c: Column, alt: Column) -> Column:
+    """``{"$numberInt": "n"}`` where ``alt`` holds, the plain number elsewhere."""
+    wrapped = F.concat(F.lit('{"$numberInt": "'), c.cast("string"), F.lit('"}'))
+    return F.when(alt & c.isNotNull(), wrapped).otherwise(_num_text(c))
 
 
-def review_docs(src: DataFrame) -> DataFrame:
+def ejson_date(c: Column, alt: Column) -> Column:
+    """``{"$date": {"$numberLong": "ms"}}`` (canonical) or ``{"$date": ms}``."""
+    canonical = F.concat(F.lit('{"$date": {"$numberLong": "'), c.cast("string"), F.lit('"}}'))
+    relaxed = F.concat(F.lit('{"$date": '), c.cast("string"), F.lit("}"))
+    return F.when(c.isNull(), F.lit("null")).when(alt, canonical).otherwise(relaxed)
+
+
+def with_members(base_json: Column, members: list[tuple[str, Column]]) -> Column:
+    """Append raw JSON members to the text of a non-empty JSON object."""
+    parts = [base_json.substr(F.lit(1), F.length(base_json) - 1)]
+    for name, frag in members:
+        parts += [F.lit(f', "{name}": '), frag]
+    parts.append(F.lit("}"))
+    return F.concat(*parts)
+
+
+def _plain(*cols) -> Column:
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+
+
+def review_json(df: DataFrame, _id: Column | None = None) -> Column:
     even = F.col("rating") % 2 == 0
-    return src.select(
-        oid("_id").alias("_id"), "review_id",
-        ejson_int("customer_id", even).alias("customer_id"),
-        "product_id", "rating", "status", "title", "tags",
-        ejson_date("updated_at", even).alias("updated_at"))
+    base = _plain((oid("_id") if _id is None else F.struct(_id.alias("$oid"))).alias("_id"), "review_id",
+                  "product_id", "rating", "status", "title", "tags")
+    return with_members(base, [("customer_id", ejson_int(F.col("customer_id"), even)),
+                               ("updated_at", ejson_date(F.col("updated_at"), even))])
+
+
+def click_json(df: DataFrame) -> Column:
+    base = _plain(oid("_id").alias("_id"), "event_id", "customer_id", "event_type", "product_id",
+                  "session_id", F.struct("user_agent", "referrer", "page").alias("metadata"))
+    return with_members(base, [("event_time", ejson_date(F.col("event_time"), F.col("product_id") % 2 == 0))])
+
+
+def profile_json(df: DataFrame) -> Column:
+    return _plain(oid("_id").alias("_id"), "customer_id", "full_name", "country",
+                  F.struct("category", "newsletter", "price_sensitivity").alias("preferences"),
+                  F.struct("tier", "points").alias("loyalty"), "devices")
+
+
+def review_docs(src: DataFrame) -> DataFrame:
+    return src.select(review_json(src).alias("doc_json"))
 
 
 def click_docs(src: DataFrame) -> DataFrame:
-    return src.select(
-        oid("_id").alias("_id"), "event_id", "customer_id", "event_type", "product_id", "session_id",
-        F.struct("user_agent", "referrer", "page").alias("metadata"),
-        ejson_date("event_time", F.col("product_id") % 2 == 0).alias("event_time"))
+    return src.select(click_json(src).alias("doc_json"))
 
 
 def profile_docs(src: DataFrame) -> DataFrame:
-    return src.select(
-        oid("_id").alias("_id"), "customer_id", "full_name", "country",
-        F.struct("category", "newsletter", "price_sensitivity").alias("preferences"),
-        F.struct("tier", "points").alias("loyalty"),
-        "devices")
+    return src.select(profile_json(src).alias("doc_json"))

@@ -124,14 +124,14 @@ def reviews_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     d for k % 10 == 0, plus a duplicate business key, an upsert without
     ``after`` and a delete without id."""
     src = FX.src_reviews(spark, sf_dir).withColumn("k", F.col("review_id").cast("bigint"))
-    docs = D.review_docs(src.drop("k")).withColumn("k", F.col("review_id").cast("bigint"))
     k = F.col("k")
-    r_after = _json(F.struct(*[F.col(c) for c in docs.columns if c != "k"]))
-    upd = docs.withColumn("rating", F.col("rating") + 1).withColumn("status", F.lit(" approved "))
-    u_after = _json(F.struct(*[F.col(c) for c in upd.columns if c != "k"]))
-    dup = docs.withColumn("_id", F.struct(FX._oid(k, "f").alias("$oid")))
-    dup_after = _json(F.struct(*[F.col(c) for c in dup.columns if c != "k"]))
-    oid = F.col("_id").getField("$oid")
+    upd = src.withColumn("rating", F.col("rating") + 1).withColumn("status", F.lit(" approved "))
+    docs = src.select("*", D.review_json(src).alias("r_after"),
+                      D.review_json(src, _id=FX._oid(k, "f")).alias("dup_after"))
+    upd = upd.select("*", D.review_json(upd).alias("u_after"))
+    r_after, u_after, dup_after = F.col("r_after"), F.col("u_after"), F.col("dup_after")
+    dup = docs.withColumn("_id", FX._oid(k, "f"))
+    oid = F.col("_id")
     ts = F.lit(FX.EPOCH_2024_MS) + k
 
     def ev(df, seq, value, key=None):
