@@ -74,23 +74,27 @@ def null_if_json_null(x) -> Column:
 # ------------------------------------------------------------ Extended JSON
 def unwrap_ejson(x) -> Column:
     """``{"$numberInt": "5"}`` / ``$numberLong`` / ``$numberDouble`` /
-    ``$numberDecimal`` / ``$oid`` -> the inner scalar; others unchanged."""
+    ``$numberDecimal`` / ``$oid`` -> the inner scalar; others unchanged.
+
+    Written so that every lookup sits once inside the OBJECT branch:
+    Spark's common-subexpression pass evaluates repeated subexpressions for
+    every row, which would run the wrapper lookups on plain scalars too."""
     x = _c(x)
-    inner = F.coalesce(*[F.try_variant_get(x, f"$['{k}']", "variant") for k in
-                         ("$numberInt", "$numberLong", "$numberDouble",
-                          "$numberDecimal", "$oid")])
-    return F.when(vtype(x).startswith("OBJECT") & inner.isNotNull(), inner).otherwise(x)
+    inner = [F.try_variant_get(x, f"$['{k}']", "variant") for k in
+             ("$numberInt", "$numberLong", "$numberDouble", "$numberDecimal", "$oid")]
+    return F.when(vtype(x).startswith("OBJECT"), F.coalesce(*inner, x)).otherwise(x)
 
 
 def ejson_date(x) -> Column:
     """``{"$date": millis | {"$numberLong": s} | iso}`` or plain millis/ISO -> timestamp."""
     x = _c(x)
-    d = F.try_variant_get(x, "$['$date']", "variant")
-    d = F.when(d.isNotNull(), unwrap_ejson(d)).otherwise(x)
+    d = unwrap_ejson(F.when(vtype(x).startswith("OBJECT"),
+                            F.coalesce(F.try_variant_get(x, "$['$date']", "variant"), x)).otherwise(x))
     t = vtype(d)
-    return (F.when(is_number(t) | ((t == "STRING") & as_str(d).rlike(_INT_TEXT)),
-                   F.timestamp_millis(F.try_variant_get(d, "$", "bigint")))
-            .when(t == "STRING", F.try_to_timestamp(as_str(d))))
+    txt = F.when(t == "STRING", as_str(d))
+    return (F.when(is_number(t), F.timestamp_millis(F.try_variant_get(d, "$", "bigint")))
+            .when(txt.rlike(_INT_TEXT), F.timestamp_millis(txt.cast("bigint")))
+            .when(t == "STRING", F.try_to_timestamp(txt)))
 
 
 def doc_id_text(x) -> Column:
@@ -103,15 +107,16 @@ def py_int(x) -> tuple[Column, Column]:
     """``int(value)`` -> (value or NULL when int() raises, overflow flag).
 
     Numbers truncate toward zero, booleans are 1/0, strings must be integer
-    text (surrounding whitespace allowed); anything else raises.
+    text (surrounding whitespace allowed); anything else raises.  The text
+    form is only produced for STRING values.
     """
     x, t, s = _vts(x)
-    s = F.btrim(s, F.lit(WHITESPACE))
-    num = F.try_variant_get(x, "$", "bigint")
-    val = (F.when(is_number(t), num)
+    s = F.when(t == "STRING", F.btrim(s, F.lit(WHITESPACE)))
+    int_text = F.coalesce(s.rlike(_INT_TEXT), F.lit(False))
+    val = (F.when(is_number(t), F.try_variant_get(x, "$", "bigint"))
            .when(t == "BOOLEAN", F.when(F.try_variant_get(x, "$", "boolean"), 1).otherwise(0).cast("bigint"))
-           .when((t == "STRING") & s.rlike(_INT_TEXT), (s).try_cast("bigint")))
-    overflow = val.isNull() & (is_number(t) | ((t == "STRING") & s.rlike(_INT_TEXT)))
+           .when(int_text, s.try_cast("bigint")))
+    overflow = val.isNull() & (is_number(t) | int_text)
     return val, overflow
 
 
@@ -143,21 +148,18 @@ def to_decimal(x, precision: int = 28, scale: int = 10) -> tuple[Column, Column]
     that do not fit)."""
     x, t, s = _vts(x)
     dt = f"decimal({precision},{scale})"
-    num = F.try_variant_get(x, "$", dt)
-    txt = (F.btrim(s, F.lit(WHITESPACE))).try_cast(dt)
-    val = F.when(is_number(t), num).when(t == "STRING", txt)
-    return val, is_number(t) & num.isNull()
+    val = (F.when(is_number(t), F.try_variant_get(x, "$", dt))
+           .when(t == "STRING", F.btrim(s, F.lit(WHITESPACE)).try_cast(dt)))
+    return val, is_number(t) & val.isNull()
 
 
 def to_timestamp(x) -> tuple[Column, Column]:
     """Epoch millis (UTC) or ISO text -> (timestamp, invalid flag)."""
     x, t, s = _vts(x)
-    ms = F.try_variant_get(x, "$", "bigint")
-    dbl = F.try_variant_get(x, "$", "double")
-    iso = F.try_to_timestamp(s)
-    val = (F.when(t == "BIGINT", F.timestamp_millis(ms))
-           .when(is_number(t), F.timestamp_micros(F.round(dbl * 1000).cast("bigint")))
-           .when(t == "STRING", iso))
+    iso = F.when(t == "STRING", F.try_to_timestamp(s))
+    val = (F.when(t == "BIGINT", F.timestamp_millis(F.try_variant_get(x, "$", "bigint")))
+           .when(is_number(t), F.timestamp_micros(F.round(F.try_variant_get(x, "$", "double") * 1000).cast("bigint")))
+           .otherwise(iso))
     invalid = ((t == "STRING") & iso.isNull()) | t.startswith("OBJECT") | t.startswith("ARRAY")
     return val, invalid
 

@@ -133,9 +133,19 @@ def parse_documents(feed: DataFrame, collection: str) -> DataFrame:
     p = EV.parse_envelope(feed).where(~F.col("tombstone"))
     coll = F.coalesce(F.col("source_collection"), EV.table_from_topic(F.col("topic")))
     p = p.where(coll == collection)
-    doc = EV.document_image(F.col("after"))
-    key_id = EV.document_key_id(F.col("key_text"))
-    p = p.withColumns({"doc": doc, "doc_key_id": key_id})
+    # staged so each parse happens once per row (no re-parse inside CASE branches)
+    p = p.withColumns({"_k": F.try_parse_json(F.col("key_text")),
+                       "_after_t": V.vtype(F.col("after"))})
+    p = p.withColumns({"_kid": F.when(V.vtype(F.col("_k")).startswith("OBJECT"),
+                                      V.field(F.col("_k"), "id")).otherwise(F.col("_k")),
+                       "doc": F.when(F.col("_after_t") == "STRING", F.try_parse_json(V.as_str(F.col("after"))))
+                               .when(F.col("_after_t").startswith("OBJECT"), F.col("after"))})
+    p = p.withColumn("_kid_t", V.vtype(F.col("_kid")))
+    p = p.withColumn("_kin", F.when(F.col("_kid_t") == "STRING",
+                                    F.coalesce(F.try_parse_json(V.as_str(F.col("_kid"))), F.col("_kid")))
+                     .otherwise(F.col("_kid")))
+    p = p.withColumn("doc_key_id", F.when(~V.is_missing(F.col("_kin")), V.doc_id_text(F.col("_kin"))))
+    p = p.drop("_k", "_after_t", "_kid", "_kid_t", "_kin")
     cleaned = C.DOC_CLEANERS[collection](p, image="doc", keep=DOC_META + ["doc_key_id", "malformed"])
     is_upsert = F.col("op").isin(UPSERT_OPS)
     err = C.first_error((F.col("malformed"), C.ERR_BAD_JSON),
