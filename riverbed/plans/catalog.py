@@ -33,6 +33,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def change_feed(spark, sf, kind: str) -> DataFrame:
+    """The change feed as a table, like a topic a pipeline reads: generated
+    once from the given tables and written to the shared checkpoint folder,
+    so parsing plans read one scan instead of the generator's union branches."""
+    from ..sources import feeds as FD
+    gen = FD.relational_feed if kind == "relational" else FD.reviews_feed
+    return materialize(gen(spark, sf))
+
+
 def ntz(df: DataFrame) -> DataFrame:
     """Timestamps as wall-clock UTC ``timestamp_ntz`` for engine-neutral output."""
     return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
@@ -354,7 +363,7 @@ def q_obj_change_detect(spark, sf):
 def _orders_state(spark, sf, feed=None):
     from ..operators import changes as CH
     from ..sources import feeds as FD
-    return CH.relational_state(feed if feed is not None else FD.relational_feed(spark, sf), "orders")
+    return CH.relational_state(feed if feed is not None else change_feed(spark, sf, "relational"), "orders")
 
 
 @register("cdc_current_orders", O.with_ctes("select * from f_orders"))
@@ -367,7 +376,7 @@ def q_cdc_current_orders(spark, sf):
 def q_cdc_current_customers(spark, sf):
     from ..operators import changes as CH
     from ..sources import feeds as FD
-    st = CH.relational_state(FD.relational_feed(spark, sf), "customers")
+    st = CH.relational_state(change_feed(spark, sf, "relational"), "customers")
     return ntz(CH.current(st, CH.RELATIONAL["customers"]))
 
 
@@ -376,7 +385,7 @@ def q_replay_idempotent(spark, sf):
     """Every message delivered twice; de-duplicated on source position."""
     from ..operators import changes as CH
     from ..sources import feeds as FD
-    feed = FD.relational_feed(spark, sf)
+    feed = change_feed(spark, sf, "relational")
     twice = CH.dedupe_deliveries(feed.unionByName(feed))
     return ntz(CH.current(_orders_state(spark, sf, twice), CH.RELATIONAL["orders"]))
 
@@ -395,7 +404,7 @@ from (select id, 0 as seq, 'numeric field overflow' as err from c_orders_all whe
 def q_cdc_dead_letters(spark, sf):
     from ..operators import changes as CH
     from ..sources import feeds as FD
-    feed = FD.relational_feed(spark, sf)
+    feed = change_feed(spark, sf, "relational")
     parts = [CH.dead_letters(CH.parse_relational(feed, spec)) for spec in CH.RELATIONAL.values()]
     return parts[0].unionByName(parts[1]).select(
         "source_topic", "source_partition", "source_offset", "message_key", "error_message", "retry_count")
@@ -421,7 +430,7 @@ select source_table, op, pk, ts_ms, cast(source_partition as integer) as source_
 def q_cdc_audit_log(spark, sf):
     from ..operators import changes as CH
     from ..sources import feeds as FD
-    feed = FD.relational_feed(spark, sf)
+    feed = change_feed(spark, sf, "relational")
     parts = [CH.audit_log(CH.parse_relational(feed, spec)) for spec in CH.RELATIONAL.values()]
     return parts[0].unionByName(parts[1]).select(
         "source_table", "op", "pk", "ts_ms", "source_partition", "source_offset",
@@ -438,7 +447,7 @@ def _two_batches(feed):
 def _incremental_relational(spark, sf):
     from ..operators import changes as CH
     from ..sources import feeds as FD
-    feed = FD.relational_feed(spark, sf)
+    feed = change_feed(spark, sf, "relational")
     b1, b2 = _two_batches(feed)
     so, sc = CH.RELATIONAL["orders"], CH.RELATIONAL["customers"]
     ch1_o = CH.keyed_changes(CH.parse_relational(b1, so), so)
@@ -478,7 +487,7 @@ def q_mart_customer_incremental(spark, sf):
 def _reviews_state(spark, sf, feed=None):
     from ..operators import changes as CH
     from ..sources import feeds as FD
-    parsed = materialize(CH.parse_documents(feed if feed is not None else FD.reviews_feed(spark, sf),
+    parsed = materialize(CH.parse_documents(feed if feed is not None else change_feed(spark, sf, "reviews"),
                                             "product_reviews"))
     parsed = CH.reject_duplicate_keys(parsed, "product_reviews")
     return CH.fold(CH.document_changes(parsed, CH.REVIEW_COLUMNS)), parsed
@@ -523,7 +532,7 @@ def q_doc_marts_incremental(spark, sf):
     from ..operators import changes as CH
     from ..operators import incremental as IN
     from ..sources import feeds as FD
-    b1, b2 = _two_batches(FD.reviews_feed(spark, sf))
+    b1, b2 = _two_batches(change_feed(spark, sf, "reviews"))
     p1 = CH.reject_duplicate_keys(materialize(CH.parse_documents(b1, "product_reviews")), "product_reviews")
     st1 = materialize(CH.fold(CH.document_changes(p1, CH.REVIEW_COLUMNS)))
     p2 = CH.reject_duplicate_keys(materialize(CH.parse_documents(b2, "product_reviews")), "product_reviews", st1)
@@ -542,7 +551,7 @@ def _relational_layers(spark, sf):
     """Final clean state, audit log and rebuilt marts after the whole feed."""
     from ..operators import changes as CH
     from ..sources import feeds as FD
-    feed = FD.relational_feed(spark, sf)
+    feed = change_feed(spark, sf, "relational")
     parsed = {t: materialize(CH.parse_relational(feed, spec)) for t, spec in CH.RELATIONAL.items()}
     raw = CH.audit_log(parsed["customers"]).unionByName(CH.audit_log(parsed["orders"]))
     cur = {t: CH.current(CH.fold(CH.keyed_changes(parsed[t], spec)), spec)
@@ -760,7 +769,7 @@ def q_report_failed_events(spark, sf):
 def q_cdc_dead_letters_full(spark, sf):
     from ..operators import changes as CH
     from ..sources import feeds as FD
-    feed = FD.relational_feed(spark, sf)
+    feed = change_feed(spark, sf, "relational")
     parts = [CH.dead_letters(CH.parse_relational(feed, spec)) for spec in CH.RELATIONAL.values()]
     return parts[0].unionByName(parts[1])
 
