@@ -213,3 +213,10 @@ def document_state(feed: DataFrame, collection: str, columns: list[str]) -> tupl
 
 def value_text(x) -> Column:
     return V.as_str(x)
+
+
+def dlq_messages(dead: DataFrame) -> DataFrame:
+    """Dead letters as Kafka-shaped messages keyed by the original
+    message key, the whole failed-event row as the JSON value."""
+    return dead.select(F.col("message_key").alias("key"),
+                       F.to_json(F.struct(*dead.columns)).alias("value"))

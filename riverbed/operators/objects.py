@@ -201,3 +201,11 @@ def object_inventory(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+def event_messages(events: DataFrame) -> DataFrame:
+    """Object events as Kafka-shaped messages -- key ``object_id``,
+    value the event as JSON with sorted keys (struct fields in name order)."""
+    cols = sorted(c for c in events.columns if not c.startswith("_"))
+    return events.select(F.col("object_id").alias("key"),
+                         F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))

@@ -813,3 +813,39 @@ def q_stream_revenue_available_now(spark, sf):
     equals the full rebuild over the final state (T4: late rows heal)."""
     pipe = run_relational_stream(spark, sf)
     return pipe.read_mart("daily_revenue")
+
+
+# ---------------------------------------------------------------- run ledger
+def _score_sql(sql: str, job: str) -> str:
+    return f"select '{job}' as job_name, status, dq_issue_count from ({sql})"
+
+
+@register("report_runs", " union all ".join([
+    _score_sql(ORACLE["rel_dq_score"], "relational_reconcile"),
+    _score_sql(ORACLE["doc_dq_score"], "document_reconcile"),
+    _score_sql(ORACLE["obj_dq_score"].replace(
+        "count(*) filter (where presence <> 'both' or size_mismatch) as dq_issue_count",
+        "count(*) filter (where presence <> 'both' or size_mismatch) as dq_issue_count, "
+        "case when count(*) filter (where presence <> 'both' or size_mismatch) = 0 then 'SUCCESS' "
+        "else 'SUCCESS_WITH_WARNINGS' end as status"), "object_reconcile")]))
+def q_report_runs(spark, sf):
+    """R12 + L3/L5: the three reconcile jobs run through the ledger (RUNNING,
+    then SUCCESS / SUCCESS_WITH_WARNINGS by DQ score); report the latest runs.
+    Each job's score is a one-row metric, the only thing brought to the driver."""
+    import uuid
+
+    from ..operators import ledger as L
+    from ..session import store_root
+    from . import reports as R
+    path = store_root(spark, f"ledger-{uuid.uuid4().hex}")
+
+    def job(query):
+        def run():
+            row = query(spark, sf).first()
+            return row.asDict(), int(row["dq_issue_count"])
+        return run
+    for name, q in (("relational_reconcile", q_rel_dq_score), ("document_reconcile", q_doc_dq_score),
+                    ("object_reconcile", q_obj_dq_score)):
+        L.run_job(spark, path, name, job(q))
+    return R.last_runs(L.runs_view(L.read_ledger(spark, path))).select(
+        "job_name", "status", F.col("dq_issue_count").cast("bigint").alias("dq_issue_count"))

@@ -52,3 +52,16 @@ def test_copy_plan_only_changed(spark):
                                 "bucket string, object_key string, size_bytes long, etag string")
     got = sorted(r["target_object_key"] for r in OB.copy_plan(meta, inv).collect())
     assert got == ["k2", "k3"]
+
+
+def test_message_formats(spark):
+    import json
+    from riverbed.operators import changes as CH
+    ev = spark.createDataFrame([("o1", "e1", 5)], "object_id string, event_id string, size_bytes long")
+    m = OB.event_messages(ev).first()
+    assert m["key"] == "o1" and list(json.loads(m["value"])) == ["event_id", "object_id", "size_bytes"]
+    dead = spark.createDataFrame([("t", 0, 3, '{"id":1}', "bad")],
+                                 "source_topic string, source_partition int, source_offset long, "
+                                 "message_key string, error_message string")
+    d = CH.dlq_messages(dead).first()
+    assert d["key"] == '{"id":1}' and json.loads(d["value"])["error_message"] == "bad"
