@@ -213,8 +213,12 @@ def object_reconcile(spark, sf):
 
 
 def object_metadata_reconciled(spark, sf):
+    """Metadata with the reconcile result applied; the metadata is written
+    once and read by both the reconcile join and the status update."""
     from ..operators import objects as OB
-    return OB.apply_reconcile(object_metadata(spark, sf), object_reconcile(spark, sf))
+    meta = materialize(object_metadata(spark, sf))
+    recon = OB.reconcile(meta, FX.target_inventory(spark, sf), BATCH_TS)
+    return OB.apply_reconcile(meta, recon)
 
 
 OBJ_MEMBERS = """
@@ -294,7 +298,8 @@ select issue, sample from (
 where rn <= 10"""))
 def q_obj_issue_samples(spark, sf):
     from ..operators import objects as OB
-    return OB.issue_samples(object_reconcile(spark, sf))
+    # the reconcile result is written once; each issue kind's top-k reads it
+    return OB.issue_samples(materialize(object_reconcile(spark, sf)))
 
 
 @register("obj_dq_score", _with_tail(OBJ_MEMBERS + """
