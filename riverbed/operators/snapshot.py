@@ -15,8 +15,9 @@ from . import clean as C
 
 
 def as_image(df: DataFrame, name: str = "after", keep: list[str] | None = None) -> DataFrame:
-    """All columns as one JSON-typed VARIANT image (nulls kept as JSON null)."""
-    img = F.parse_json(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+    """All columns as one VARIANT row image, built straight from the struct
+    (``to_variant_object``: no JSON text round trip; nulls stay JSON null)."""
+    img = F.to_variant_object(F.struct(*df.columns))
     return df.select(*(keep or []), img.alias(name))
 
 
