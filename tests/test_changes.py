@@ -120,3 +120,18 @@ def test_document_rules(spark):
     assert dead == {2: C.ERR_DUP_KEY, 3: C.ERR_NO_AFTER, 4: C.ERR_NO_DOC_ID}
     rows_ = st.where(~F.col("_deleted")).collect()
     assert [(r["pk"], r["rating"], r["status"], r["customer_id"]) for r in rows_] == [("a" * 24, 5, "APPROVED", 3)]
+
+
+def test_store_rewrites_only_touched_buckets(spark, tmp_root):
+    spec = CH.RELATIONAL["orders"]
+    ch1 = CH.keyed_changes(CH.parse_relational(feed(spark, [msg(i, "c", order(i), pk=i) for i in range(40)]), spec), spec)
+    store = KeyedStore(spark, tmp_root, ch1.schema, buckets=8)
+    store.merge(ch1, 0)
+    first = store.manifest()["buckets"]
+    ch2 = CH.keyed_changes(CH.parse_relational(feed(spark, [msg(100, "u", order(7, quantity=9), pk=7)]), spec), spec)
+    store.merge(ch2, 1)
+    second = store.manifest()["buckets"]
+    changed = [b for b in second if second[b] != first.get(b)]
+    assert len(changed) == 1                                  # one key -> one bucket rewritten
+    cur = {r["id"]: r["quantity"] for r in CH.current(store.state(), spec).collect()}
+    assert len(cur) == 40 and cur[7] == 9
