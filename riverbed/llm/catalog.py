@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.llm import decontaminate, secrets, sharding, simhash
+from riverbed.llm import decontaminate, quality, secrets, sharding, simhash
 from riverbed.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", *quality.COUNTS, "base_failed", "kept", "score")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.find(docs, secrets.train(docs))
@@ -37,7 +42,7 @@ def op9_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_simhash_dedup, op4_secret_scan, op9_rendezvous_shards)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_simhash_dedup, op3_quality_rules, op4_secret_scan, op9_rendezvous_shards)}
 
 ORACLE = {
     "op1_decontaminate": r"""
