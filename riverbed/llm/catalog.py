@@ -3,11 +3,11 @@ their whole tables, and the DuckDB SQL for those that SQL can express."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.llm import decontaminate, quality, secrets, sharding, simhash
-from riverbed.llm.common import table
+from riverbed.llm import decontaminate, edit_counts, packing, quality, secrets, sharding, simhash, wavelet
+from riverbed.llm.common import table, vocabulary
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,12 +37,43 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.joined(F.col("spans")).alias("spans"), n(3))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2, most=1024)
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = wavelet.write_shards(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
+    return wavelet.read_shards(files).withColumnRenamed("doc", "doc_id")
+
+
 def op9_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.assign(table(spark, sf_dir, "documents"), [1.0] * 16)
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_simhash_dedup, op3_quality_rules, op4_secret_scan, op9_rendezvous_shards)}
+def edits_of(text: Column, doc_id: Column) -> Column:
+    """Three edits of a text, at places that a hash of the id draws: an
+    insertion of a piece of the text, a deletion and a replacement."""
+    size = F.char_length(text)
+    at = lambda k: F.pmod(F.xxhash64(doc_id, F.lit(k)), (size + 1).cast("long")).cast("int")
+    edit = lambda a, d, t: F.struct(a.alias("at"), F.lit(d).alias("drop"), t.alias("add"))
+    return F.array(edit(at(1), 0, F.substring(text, at(2) + 1, F.lit(40))), edit(at(3), 25, F.lit("")),
+                   edit(at(4), 5, F.lit(" edited text ")))
+
+
+def op10_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all documents, then again after three edits of each."""
+    path = vocabulary("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = edit_counts.build_trees(docs, path)
+    edits = edits_of(F.coalesce("text", F.lit("")), F.col("doc_id"))
+    done = edit_counts.apply_edits(counted, edits, path)
+    return done.select("doc_id", "tokens_before", "n_tokens", F.char_length("text").cast("long").alias("n_chars"),
+                       "chars_encoded", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_simhash_dedup, op3_quality_rules, op4_secret_scan, op5_best_fit_packing,
+                                   op8_token_output, op9_rendezvous_shards, op10_edit_token_counts)}
 
 ORACLE = {
     "op1_decontaminate": r"""

@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file, the same on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, as a zip file through Spark's own file
     server, once per SparkContext.  Functions of the operators are then
