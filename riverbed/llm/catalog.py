@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.llm import decontaminate, edit_counts, packing, quality, secrets, sharding, simhash, wavelet
+from riverbed.llm import ctw, decontaminate, edit_counts, packing, quality, secrets, sharding, simhash, warc, wavelet
 from riverbed.llm.common import table, vocabulary
 
 
@@ -41,6 +41,16 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2, most=1024)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"), least=1000)
+    return warc.read_records(index, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"), depth=5)
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = wavelet.write_shards(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
     return wavelet.read_shards(files).withColumnRenamed("doc", "doc_id")
@@ -73,9 +83,20 @@ def op10_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_simhash_dedup, op3_quality_rules, op4_secret_scan, op5_best_fit_packing,
-                                   op8_token_output, op9_rendezvous_shards, op10_edit_token_counts)}
+                                   op6_warc, op7_lm_score, op8_token_output, op9_rendezvous_shards, op10_edit_token_counts)}
 
 ORACLE = {
+    "op6_warc": """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+         coalesce(html, '') AS html
+  FROM pages),
+f AS (SELECT html, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY html)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (html)
+""",
     "op1_decontaminate": r"""
 WITH ben AS (
   SELECT CAST(item_id AS VARCHAR) AS item,
