@@ -84,8 +84,9 @@ def train(docs: DataFrame, text: str = "text", least: int = 6) -> list[float]:
     """The cells log P_random(y | x) - log P_ordinary(y | x).
 
     Labelled samples come from all texts: random strings are the values of
-    the fixed patterns with a digit in them; ordinary identifiers are the
-    other runs of letters and ``_`` of ``least`` or more characters.  A value
+    the fixed patterns that mix digits and letters; ordinary identifiers are
+    whole runs of ``least`` or more letters and ``_``, with up to four digits
+    after them.  A value
     occurs once however often it is repeated; an identifier counts as often
     as the square root of its occurrences, so a very common word does not
     make the model.  Without any random sample the random model is uniform
@@ -98,7 +99,7 @@ def train(docs: DataFrame, text: str = "text", least: int = 6) -> list[float]:
         lambda v: (F.char_length(v) >= 16) & F.rlike(v, F.lit("[0-9]")) & F.rlike(v, F.lit("[A-Za-z]")))
     random = docs.select(F.explode(values).alias("s")).distinct().withColumn("n", F.lit(1.0))
     # whole runs only: no letter, digit or other character beyond ASCII beside them
-    words = F.regexp_extract_all(body, F.lit("(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_]{%d,}(?![A-Za-z0-9+/_=-])" % (least - 1)), F.lit(0))
+    words = F.regexp_extract_all(body, F.lit("(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_]{%d,}[0-9]{0,4}(?![A-Za-z0-9+/_=-])" % (least - 1)), F.lit(0))
     ordinary = (docs.select(F.explode(words).alias("s")).groupBy("s").agg(F.sqrt(F.count(F.lit(1))).alias("n")))
     p, q = log_probs(transitions(random)), log_probs(transitions(ordinary))
     return [a - b for a, b in zip(p, q)]
