@@ -47,9 +47,10 @@ def parse_envelope(feed: DataFrame) -> DataFrame:
                            "value_text": decode_text(feed, "value")})
     df = df.withColumn("_v", F.try_parse_json(F.col("value_text")))
     v = F.col("_v")
-    wrapped = (F.try_variant_get(v, "$.payload.op", "string").isNotNull()
-               | F.try_variant_get(v, "$.payload.ts_ms", "bigint").isNotNull())
-    df = df.withColumn("_w", F.coalesce(wrapped, F.lit(False)))
+    # wrapped if the message has the member, whatever it holds
+    df = df.withColumn("_p", F.try_variant_get(v, "$.payload", "variant"))
+    df = df.withColumn("_w", F.col("_p").isNotNull())
+    bad_payload = F.col("_w") & ~F.coalesce(F.schema_of_variant("_p"), F.lit("")).startswith("OBJECT")
 
     def get(path: str, dtype: str):
         return F.when(F.col("_w"), F.try_variant_get(v, f"$.payload.{path}", dtype)) \
@@ -59,7 +60,7 @@ def parse_envelope(feed: DataFrame) -> DataFrame:
         "tombstone": F.col("value_text").isNull(),
         # json.loads succeeded but the value is not an object -> dead letter
         "malformed": F.col("value_text").isNotNull() & (
-            v.isNull() | ~F.ltrim(F.col("value_text")).startswith("{")),
+            v.isNull() | ~F.ltrim(F.col("value_text")).startswith("{") | bad_payload),
         "op": get("op", "string"),
         "_before": get("before", "variant"),
         "_after": get("after", "variant"),
@@ -70,24 +71,7 @@ def parse_envelope(feed: DataFrame) -> DataFrame:
     })
     return (df.withColumns({"before": V.null_if_json_null(F.col("_before")),
                             "after": V.null_if_json_null(F.col("_after"))})
-            .drop("_v", "_w", "_before", "_after"))
-
-
-def document_image(after: Column) -> Column:
-    """The document image: ``after`` is Extended-JSON *text* (or already an
-    object).  Returns a variant, NULL when absent/unparsable."""
-    t = V.vtype(after)
-    return (F.when(t == "STRING", F.try_parse_json(V.as_str(after)))
-            .when(t.startswith("OBJECT"), after))
-
-
-def document_key_id(key_text: Column) -> Column:
-    """Id from the message key ``{"id": "<json>"}``, ``$oid`` etc. unwrapped."""
-    k = F.try_parse_json(key_text)
-    raw = F.when(V.vtype(k).startswith("OBJECT"), V.field(k, "id")).otherwise(k)
-    inner = F.when(V.vtype(raw) == "STRING",
-                   F.coalesce(F.try_parse_json(V.as_str(raw)), raw)).otherwise(raw)
-    return F.when(~V.is_missing(inner), V.doc_id_text(inner))
+            .drop("_v", "_p", "_w", "_before", "_after"))
 
 
 def relational_pk(df_after: Column, df_before: Column, key_text: Column, pk: str) -> Column:
@@ -96,15 +80,3 @@ def relational_pk(df_after: Column, df_before: Column, key_text: Column, pk: str
         .otherwise(F.try_variant_get(df_before, f"$.{pk}", "string"))
     from_key = F.try_variant_get(F.try_parse_json(key_text), f"$.{pk}", "string")
     return F.when(df_after.isNotNull() | df_before.isNotNull(), from_img).otherwise(from_key)
-
-
-def cdc_metadata(source_type: str = "mongodb") -> Column:
-    """The ``_cdc`` struct stored with every document."""
-    return F.struct(F.lit(source_type).alias("source_type"),
-                    F.col("topic").alias("source_topic"),
-                    F.col("partition").alias("source_partition"),
-                    F.col("offset").alias("source_offset"),
-                    F.col("source_db").alias("source_database"),
-                    F.coalesce(F.col("source_collection"), table_from_topic(F.col("topic"))).alias("source_collection"),
-                    F.col("op").alias("op"),
-                    F.col("ts_ms").alias("source_ts_ms"))

@@ -6,8 +6,6 @@ stays inside whole-stage codegen; none is a Python UDF.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,7 +21,6 @@ WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
 COUNTRY_ALIASES = {
     "VIETNAM": "VIETNAM", "VIET NAM": "VIETNAM",
     "USA": "USA", "UNITED STATES": "USA", "US": "USA",
-    "JAPAN": "JAPAN", "SINGAPORE": "SINGAPORE",
 }
 # Document feed additionally maps VN.  Fixed value.
 DOC_COUNTRY_ALIASES = dict(COUNTRY_ALIASES, VN="VIETNAM")
@@ -111,16 +108,6 @@ def round3(c) -> Column:
     return F.bround(F.coalesce(_c(c).cast("double"), F.lit(0.0)), 3)
 
 
-# F13 ------------------------------------------------------------------------
-def clamp(c, minimum=None, maximum=None) -> Column:
-    x = _c(c)
-    if minimum is not None:
-        x = F.greatest(x, F.lit(minimum))
-    if maximum is not None:
-        x = F.least(x, F.lit(maximum))
-    return x
-
-
 # F16 ------------------------------------------------------------------------
 def clean_list(c) -> Column:
     """Strip each element, drop empties, de-duplicate keeping first-seen order."""
@@ -169,12 +156,3 @@ def normalize_media_type(c) -> Column:
 
 def target_bucket(media_type) -> Column:
     return F.try_element_at(_alias_map(TARGET_BUCKET_BY_TYPE), _c(media_type))
-
-
-# F32 ------------------------------------------------------------------------
-def duration_seconds(start, end) -> Column:
-    return F.round((F.unix_micros(_c(end)) - F.unix_micros(_c(start))) / 1e6, 3)
-
-
-def any_of(cols) -> Column:
-    return reduce(lambda a, b: a | b, cols)

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from .scalars import WHITESPACE, clean_str
 
 INT_MAX = 2_147_483_647
+# Epoch millis of the years 1 to 9999; other values are not dates anywhere.
+MS_MIN, MS_MAX = -62_135_596_800_000, 253_402_300_799_999
+_NUMBER_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _INT_TEXT = r"^[+-]?[0-9]+$"
 
 
@@ -85,15 +88,28 @@ def unwrap_ejson(x) -> Column:
     return F.when(vtype(x).startswith("OBJECT"), F.coalesce(*inner, x)).otherwise(x)
 
 
-def ejson_date(x) -> Column:
-    """``{"$date": millis | {"$numberLong": s} | iso}`` or plain millis/ISO -> timestamp."""
+def _millis(ms: Column) -> Column:
+    """Timestamp of epoch millis, NULL outside the years 1 to 9999."""
+    return F.when(ms.between(MS_MIN, MS_MAX), F.timestamp_millis(F.greatest(F.lit(MS_MIN), F.least(F.lit(MS_MAX), ms))))
+
+
+def ejson_date(x) -> tuple[Column, Column]:
+    """``{"$date": millis | {"$numberLong": s} | iso}`` or plain millis/ISO ->
+    (timestamp, flag for a ``$date`` that is none)."""
+    wrapped = F.coalesce(vtype(x).startswith("OBJECT"), F.lit(False)) & \
+        F.try_variant_get(_c(x), "$['$date']", "variant").isNotNull()
+    val = _ejson_date(x)
+    return val, wrapped & val.isNull()
+
+
+def _ejson_date(x) -> Column:
     x = _c(x)
     d = unwrap_ejson(F.when(vtype(x).startswith("OBJECT"),
                             F.coalesce(F.try_variant_get(x, "$['$date']", "variant"), x)).otherwise(x))
     t = vtype(d)
     txt = F.when(t == "STRING", as_str(d))
-    return (F.when(is_number(t), F.timestamp_millis(F.try_variant_get(d, "$", "bigint")))
-            .when(txt.rlike(_INT_TEXT), F.timestamp_millis(txt.cast("bigint")))
+    return (F.when(is_number(t), _millis(F.try_variant_get(d, "$", "bigint")))
+            .when(txt.rlike(_INT_TEXT), _millis(txt.try_cast("bigint")))
             .when(t == "STRING", F.try_to_timestamp(txt)))
 
 
@@ -122,9 +138,14 @@ def py_int(x) -> tuple[Column, Column]:
 
 def safe_int(x, default: int = 0, minimum: int | None = None,
              maximum: int | None = None) -> Column:
-    """int(value) or default, then clamped (document cleaners)."""
-    val, _ = py_int(unwrap_ejson(x))
-    r = F.coalesce(val, F.lit(default).cast("bigint"))
+    """int(value) or default, then clamped (document cleaners).  A number
+    beyond 64 bits is clamped like any other, to the limits or else to the
+    ends of BIGINT (``beyond_bigint`` flags those)."""
+    x = unwrap_ejson(x)
+    val, over = py_int(x)
+    below = F.coalesce(F.ltrim(as_str(x)).startswith("-"), F.lit(False))
+    huge = F.when(below, F.lit(-(1 << 63))).otherwise(F.lit((1 << 63) - 1)).cast("bigint")
+    r = F.coalesce(val, F.when(over, huge), F.lit(default).cast("bigint"))
     if minimum is not None:
         r = F.greatest(r, F.lit(minimum).cast("bigint"))
     if maximum is not None:
@@ -132,6 +153,14 @@ def safe_int(x, default: int = 0, minimum: int | None = None,
     return r
 
 
+def beyond_bigint(x) -> Column:
+    """A whole number that no 64-bit field can store and no limit clamps
+    (negative ones are clamped to 0)."""
+    x = unwrap_ejson(x)
+    _, over = py_int(x)
+    return F.coalesce(over & ~F.ltrim(as_str(x)).startswith("-"), F.lit(False))
+
+
 def truthy(x) -> Column:
     """Python truthiness of a JSON value (``clean_bool``)."""
     x, t, s = _vts(x)
@@ -150,17 +179,20 @@ def to_decimal(x, precision: int = 28, scale: int = 10) -> tuple[Column, Column]
     dt = f"decimal({precision},{scale})"
     val = (F.when(is_number(t), F.try_variant_get(x, "$", dt))
            .when(t == "STRING", F.btrim(s, F.lit(WHITESPACE)).try_cast(dt)))
-    return val, is_number(t) & val.isNull()
+    numeric = F.when(t == "STRING", F.btrim(s, F.lit(WHITESPACE)).rlike(_NUMBER_TEXT)).otherwise(is_number(t))
+    return val, F.coalesce(numeric, F.lit(False)) & val.isNull()
 
 
 def to_timestamp(x) -> tuple[Column, Column]:
     """Epoch millis (UTC) or ISO text -> (timestamp, invalid flag)."""
     x, t, s = _vts(x)
     iso = F.when(t == "STRING", F.try_to_timestamp(s))
-    val = (F.when(t == "BIGINT", F.timestamp_millis(F.try_variant_get(x, "$", "bigint")))
-           .when(is_number(t), F.timestamp_micros(F.round(F.try_variant_get(x, "$", "double") * 1000).cast("bigint")))
+    ms = F.when(is_number(t), F.try_variant_get(x, "$", "double"))
+    val = (F.when(t == "BIGINT", _millis(F.try_variant_get(x, "$", "bigint")))
+           .when(ms.between(MS_MIN, MS_MAX),
+                 F.timestamp_micros(F.round(F.greatest(F.lit(float(MS_MIN)), F.least(F.lit(float(MS_MAX)), ms)) * 1000).cast("bigint")))
            .otherwise(iso))
-    invalid = ((t == "STRING") & iso.isNull()) | t.startswith("OBJECT") | t.startswith("ARRAY")
+    invalid = (((t == "STRING") | is_number(t)) & val.isNull()) | t.startswith("OBJECT") | t.startswith("ARRAY")
     return val, invalid
 
 

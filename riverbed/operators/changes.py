@@ -13,11 +13,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import envelope as EV
 from ..functions import variant as V
+from ..session import materialize
 from . import clean as C
 
 UPSERT_OPS = ["c", "r", "u"]
@@ -56,21 +58,35 @@ def parse_relational(feed: DataFrame, spec: TableSpec) -> DataFrame:
     is_upsert = F.col("op").isin(UPSERT_OPS) & F.col("after").isNotNull()
     env_err = C.first_error((F.col("malformed"), C.ERR_BAD_JSON),
                             (F.col("op").isNull(), C.ERR_NO_OP),
-                            (is_upsert & F.col(spec.pk).isNull(), C.ERR_NO_PK))
-    return cleaned.withColumn("_error", F.coalesce(env_err, F.when(is_upsert, F.col("_error"))))
+                            (is_upsert & F.col("pk").isNull(), C.ERR_NO_PK))
+    no_key = F.when(F.col(spec.pk).isNull(), F.lit(C.ERR_INT_RANGE))        # a key that is no whole number
+    return cleaned.withColumn("_error", F.coalesce(env_err, F.when(is_upsert, F.coalesce(F.col("_error"), no_key))))
+
+
+#: When an event was committed at its source, then where it lies: the order of
+#: one key's events also after it moved to another partition of a topic that
+#: was given more of them.
+POSITION = ["ts_ms", "partition", "offset"]
+
+
+def position() -> Column:
+    return F.struct(*POSITION)
 
 
 def dead_letters(parsed: DataFrame, dlq_topic: str = "cdc.dlq", retry_count: int = 0,
-                 failed_at=None) -> DataFrame:
+                 failed_at=None, consumer_group: str | None = None) -> DataFrame:
     """The failed-event rows (source position, key, value, reason).
-    ``failed_at`` is the batch time, passed in (NULL when not given)."""
-    ts = F.lit(failed_at).cast("timestamp")
+    ``failed_at`` is the batch time, passed in; without one it is the time the
+    source gave the event, so that "latest" is defined."""
+    ts = F.lit(failed_at).cast("timestamp") if failed_at is not None else F.timestamp_millis(
+        F.when(F.col("ts_ms").between(V.MS_MIN, V.MS_MAX), F.col("ts_ms"))) if "ts_ms" in parsed.columns else F.lit(None).cast("timestamp")
     return parsed.where(F.col("_error").isNotNull()).select(
         F.col("topic").alias("source_topic"), F.col("partition").alias("source_partition"),
         F.col("offset").alias("source_offset"), F.col("key_text").alias("message_key"),
         EV.lenient_json(F.col("value_text")).cast("string").alias("message_value"),
         F.col("_error").alias("error_message"), F.lit(retry_count).alias("retry_count"),
-        F.lit(dlq_topic).alias("dlq_topic"), ts.alias("failed_at"))
+        F.lit(dlq_topic).alias("dlq_topic"), ts.alias("failed_at"),
+        F.lit(consumer_group).cast("string").alias("consumer_group"))
 
 
 def audit_log(parsed: DataFrame) -> DataFrame:
@@ -89,7 +105,7 @@ def keyed_changes(parsed: DataFrame, spec: TableSpec) -> DataFrame:
     upsert = F.col("op").isin(UPSERT_OPS) & F.col("after").isNotNull()
     delete = (F.col("op") == "d") & F.col("pk").isNotNull()
     return acc.where(upsert | delete).select(
-        "pk", F.struct("partition", "offset").alias("_pos"),
+        "pk", position().alias("_pos"),
         (F.col("op") == "d").alias("_deleted"), F.col("op").alias("_op"),
         *[F.when(~(F.col("op") == "d"), F.col(c)).alias(c) for c in spec.columns])
 
@@ -153,56 +169,121 @@ def parse_documents(feed: DataFrame, collection: str) -> DataFrame:
                         ((F.col("op") == "d") & F.col("doc_key_id").isNull(), C.ERR_NO_DOC_ID))
     known = F.col("op").isin(UPSERT_OPS + ["d"])
     return (cleaned.withColumn("_id", F.coalesce(F.col("_id"), F.col("doc_key_id")))
-            .withColumn("_error", err)
+            .withColumn("_error", F.coalesce(err, F.when(is_upsert, F.col("_error"))))
             .where(known | F.col("_error").isNotNull()))            # Q7: unknown ops ignored
 
 
+def _replay_claims(events: pd.DataFrame) -> pd.DataFrame:
+    """Events of ids that contend for keys, in position order: an upsert whose
+    key another live id holds is rejected and changes nothing; an accepted one
+    releases the id's former key, a delete releases its key."""
+    rows = events.sort_values(["stored", "ts_ms", "partition", "offset"], ascending=[False, True, True, True],
+                              na_position="first")
+    holder: dict = {}
+    held: dict = {}
+    rejected = []
+    for r in rows.itertuples(index=False):
+        if not r.deleted and r.key is not None and holder.get(r.key, r.id) != r.id:
+            rejected.append((r.topic, r.partition, r.offset))
+            continue
+        old = held.pop(r.id, None)
+        if old is not None:
+            del holder[old]
+        if not r.deleted and r.key is not None:
+            holder[r.key], held[r.id] = r.id, r.key
+    return pd.DataFrame(rejected, columns=["topic", "partition", "offset"])
+
+
+def _contention_groups(pairs: DataFrame) -> DataFrame:
+    """(id, group) for (id, key) pairs: ids that share a key, directly or over
+    others, share a group.  Labels spread by minimum, id to key and back,
+    until none changes; each round is a written table."""
+    now = materialize(pairs.withColumn("group", F.col("key")))
+    while True:
+        by_key = now.groupBy("key").agg(F.min("group").alias("g"))
+        by_id = now.join(by_key, "key").groupBy("id").agg(F.min("g").alias("g"))
+        then = materialize(now.join(by_id, "id").select("id", "key", F.col("g").alias("group"), (F.col("g") != F.col("group")).alias("moved")))
+        if not then.where("moved").take(1):
+            return then.select("id", "group").distinct()
+        now = then.drop("moved")
+
+
 def reject_duplicate_keys(parsed: DataFrame, collection: str,
                           state: DataFrame | None = None) -> DataFrame:
-    """Q14: a sparse unique business key may belong to one live ``_id``.
-    The owner is the earliest claimant (by source position) among documents
-    still live at the end of the batch; later documents claiming the key under
-    another ``_id`` are dead-lettered.  Liveness is a ``max_by`` per ``_id``
-    and ownership a ``min_by`` per key -- both partial aggregates, so neither
-    builds all pairs within a key nor gathers a hot key in one task."""
+    """Q14: a sparse unique business key belongs to one live ``_id`` at a time.
+    An upsert that claims a key which another live id holds at its position is
+    dead-lettered; a key is free again once its holder takes another key, drops
+    it or is deleted.  The answer is that of event-at-a-time processing, so it
+    does not depend on how the feed is cut into batches.
+
+    Only keys that two or more ids claim (a partial aggregate finds them) are
+    replayed in order, in groups of ids that contend with each other; all
+    other events never leave their plan.  ``state`` is cut down to the rows
+    that share an id or key with the batch first.
+    """
     bk = C.DOC_BUSINESS_KEYS[collection]
-    acc = parsed.where(F.col("_error").isNull() & F.col("_id").isNotNull())
-    pos = F.struct("partition", "offset")
-    live = (acc.groupBy("_id").agg(F.max_by("op", pos).alias("_last_op"))
-            .where(F.col("_last_op") != "d").select("_id"))
-    claims = (acc.where(F.col("op").isin(UPSERT_OPS) & F.col(bk).isNotNull())
-              .join(live, "_id", "left_semi").select(bk, "_id", pos.alias("_pos")))
+    events = parsed.where(F.col("_error").isNull() & F.col("_id").isNotNull()).select(
+        F.col("_id").alias("id"), F.col(bk).cast("string").alias("key"), (F.col("op") == "d").alias("deleted"),
+        F.lit(False).alias("stored"), "topic", "partition", "offset", "ts_ms")
     if state is not None:
-        gone = (acc.groupBy("_id").agg(F.max_by("op", pos).alias("_last_op"))
-                .where(F.col("_last_op") == "d").select(F.col("_id").alias("pk")))
-        claims = claims.unionByName(state.where(~F.col("_deleted") & F.col(bk).isNotNull())
-                                    .join(gone, "pk", "left_anti")
-                                    .select(bk, F.col("pk").alias("_id"), "_pos"))
-    owners = claims.groupBy(bk).agg(F.min_by("_id", "_pos").alias("_owner"),
-                                    F.min("_pos").alias("_owner_pos"))
-    j = parsed.join(owners, bk, "left")
-    # only claims made after the owner took the key are rejected
-    dup = (F.col("op").isin(UPSERT_OPS) & F.col("_owner").isNotNull() & (F.col("_owner") != F.col("_id"))
-           & (F.struct("partition", "offset") > F.col("_owner_pos")))
-    return (j.withColumn("_error", F.coalesce(F.col("_error"), F.when(dup, F.lit(C.ERR_DUP_KEY))))
-            .drop("_owner", "_owner_pos"))
-
-
-def document_changes(parsed: DataFrame, columns: list[str]) -> DataFrame:
+        live = state.where(~F.col("_deleted")).select(F.col("pk").alias("id"), F.col(bk).cast("string").alias("key"))
+        touched = live.join(events.select("id").distinct(), "id", "left_semi").unionByName(
+            live.join(events.where(~F.col("deleted") & F.col("key").isNotNull()).select("key").distinct(), "key", "left_semi")
+            .select("id", "key")).distinct()
+        events = events.unionByName(touched.select(
+            "id", "key", F.lit(False).alias("deleted"), F.lit(True).alias("stored"), F.lit(None).cast("string").alias("topic"),
+            F.lit(-1).alias("partition"), F.lit(-1).cast("bigint").alias("offset"), F.lit(None).cast("bigint").alias("ts_ms")))
+    events = materialize(events)
+    claims = events.where(~F.col("deleted") & F.col("key").isNotNull())
+    contended = claims.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
+    pairs = materialize(claims.join(contended, "key", "left_semi").select("id", "key").distinct())
+    if not pairs.take(1):
+        return parsed
+    rejected = events.join(_contention_groups(pairs), "id").groupBy("group").applyInPandas(
+        _replay_claims, "topic string, partition int, offset bigint")
+    return (parsed.join(rejected.withColumn("_dup", F.lit(True)), ["topic", "partition", "offset"], "left")
+            .withColumn("_error", F.coalesce(F.col("_error"), F.when(F.col("_dup"), F.lit(C.ERR_DUP_KEY)))).drop("_dup"))
+
+
+def document_changes(parsed: DataFrame, columns: list[str], synced_at=None) -> DataFrame:
+    """Accepted document upserts and deletes, with the metadata of
+    their change.  ``document`` is the whole document as it came, so fields
+    that no cleaner names survive beside the cleaned ones (P16)."""
     acc = parsed.where(F.col("_error").isNull())
     return acc.select(
-        F.col("_id").alias("pk"), F.struct("partition", "offset").alias("_pos"),
+        F.col("_id").alias("pk"), position().alias("_pos"),
         (F.col("op") == "d").alias("_deleted"), F.col("op").alias("_op"),
         F.struct(F.lit("mongodb").alias("source_type"), F.col("topic").alias("source_topic"),
                  F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset"),
                  F.col("source_db").alias("source_database"),
                  F.col("source_collection").alias("source_collection"),
-                 F.col("op").alias("op"), F.col("ts_ms").alias("source_ts_ms")).alias("_cdc"),
+                 F.col("op").alias("op"), F.col("ts_ms").alias("source_ts_ms"),
+                 F.lit(synced_at).cast("timestamp").alias("synced_at")).alias("_cdc"),
+        F.when(F.col("op") != "d", F.to_json(F.col("_doc"))).alias("document"),
         *[F.when(F.col("op") != "d", F.col(c)).alias(c) for c in columns])
 
 
+def raw_documents(state: DataFrame) -> DataFrame:
+    """K4: the raw collection, one document as it came per live ``_id``, with
+    the metadata of its last change."""
+    return state.where(~F.col("_deleted")).select(F.col("pk").alias("_id"), "document", "_cdc")
+
+
+def offset_ledger(feed: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """K7: a row per handled message, inserted if its position is not in
+    ``known`` yet."""
+    mine = dedupe_deliveries(feed).select(
+        F.col("topic").alias("source_topic"), F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset"))
+    return mine if known is None else mine.join(known, mine.columns, "left_anti")
+
+
 REVIEW_COLUMNS = ["_id", "review_id", "customer_id", "product_id", "rating", "status", "title",
                   "body", "tags", "created_at", "updated_at"]
+PROFILE_COLUMNS = ["_id", "customer_id", "full_name", "country", "preferences", "loyalty", "devices",
+                   "created_at", "updated_at"]
+CLICK_COLUMNS = ["_id", "event_id", "customer_id", "product_id", "event_type", "session_id", "metadata",
+                 "event_time"]
+DOC_COLUMNS = {"customer_profiles": PROFILE_COLUMNS, "product_reviews": REVIEW_COLUMNS, "click_events": CLICK_COLUMNS}
 
 
 def document_state(feed: DataFrame, collection: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -211,10 +292,6 @@ def document_state(feed: DataFrame, collection: str, columns: list[str]) -> tupl
     return fold(document_changes(parsed, columns)), parsed
 
 
-def value_text(x) -> Column:
-    return V.as_str(x)
-
-
 def dlq_messages(dead: DataFrame) -> DataFrame:
     """Dead letters as Kafka-shaped messages keyed by the original
     message key, the whole failed-event row as the JSON value."""

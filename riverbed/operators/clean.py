@@ -22,11 +22,13 @@ ERR_TIMESTAMP = "invalid input syntax for type timestamp"
 ERR_BAD_JSON = "malformed JSON value"
 ERR_NO_OP = "missing op"
 ERR_NO_PK = "missing primary key"
-ERR_NO_AFTER = "missing after document for upsert"
-ERR_NO_DOC_ID = "missing document id for delete event"
+ERR_NO_AFTER = "document upsert carries no document"
+ERR_NO_DOC_ID = "document delete carries no id"
 ERR_DUP_KEY = "duplicate business key"
-ERR_SIZE = "object size_bytes must be greater than 0"
-ERR_IDS = "missing object event identifiers"
+ERR_DATE = "invalid document date"
+ERR_BIGINT = "document integer out of range"
+ERR_SIZE = "object size is not positive"
+ERR_IDS = "object event lacks an identifier"
 
 
 def first_error(*checks: tuple[Column, str]) -> Column:
@@ -45,7 +47,7 @@ ORDER_COLUMNS = ["id", "customer_id", "product_name", "quantity", "unit_price",
 
 
 def customer_columns(fv, a: Column) -> tuple[dict, Column]:
-    cid, cid_bad = V.int_field(fv("id", False))
+    cid, cid_bad = V.int_field(fv("id", False), 64)
     email = S.clean_email(V.as_str(fv("email")))
     created, created_bad = V.to_timestamp(fv("created_at", False))
     updated, updated_bad = V.to_timestamp(fv("updated_at", False))
@@ -63,8 +65,8 @@ def customer_columns(fv, a: Column) -> tuple[dict, Column]:
 
 
 def order_columns(fv, a: Column) -> tuple[dict, Column]:
-    oid, oid_bad = V.int_field(fv("id", False))
-    cust, cust_bad = V.int_field(fv("customer_id", False))
+    oid, oid_bad = V.int_field(fv("id", False), 64)
+    cust, cust_bad = V.int_field(fv("customer_id", False), 64)
     # quantity: ``int(q or 0)``; failures -> 0; negatives -> 0; > INT -> error
     q_raw, q_over = V.py_int(fv("quantity", False))
     qty = F.greatest(F.coalesce(q_raw, F.lit(0).cast("bigint")), F.lit(0).cast("bigint"))
@@ -151,6 +153,7 @@ def profile_columns(fv, d: Column) -> tuple[dict, Column]:
     prefs = F.when(prefs.t.startswith("OBJECT"), prefs.v)   # F17: non-object -> {}
     loyalty = F.when(loyalty.t.startswith("OBJECT"), loyalty.v)
     cust = V.unwrap_ejson(fv("customer_id", False))
+    (created, created_bad), (updated, updated_bad) = (V.ejson_date(fv(n, False)) for n in ("created_at", "updated_at"))
     cols = {
         "_id": V.doc_id_text(fv("_id", False)),
         "customer_id": F.when(V.is_number(V.vtype(cust)), F.try_variant_get(cust, "$", "bigint")),
@@ -164,14 +167,16 @@ def profile_columns(fv, d: Column) -> tuple[dict, Column]:
             S.normalize_upper(V.as_str(V.field(loyalty, "tier")), "BRONZE").alias("tier"),
             V.safe_int(V.field(loyalty, "points"), 0, 0).alias("points")),
         "devices": S.clean_list(V.str_list(fv("devices", False))),
-        "created_at": V.ejson_date(fv("created_at", False)),
-        "updated_at": V.ejson_date(fv("updated_at", False)),
+        "created_at": created,
+        "updated_at": updated,
         "_doc": d,
     }
-    return cols, []
+    return cols, [(created_bad | updated_bad, ERR_DATE), (V.beyond_bigint(V.field(loyalty, "points")), ERR_BIGINT)]
 
 
 def review_columns(fv, d: Column) -> tuple[dict, Column]:
+    (created, created_bad), (updated, updated_bad) = (V.ejson_date(fv(n, False)) for n in ("created_at", "updated_at"))
+    huge = [V.beyond_bigint(fv(n, False)) for n in ("customer_id", "product_id")]
     cols = {
         "_id": V.doc_id_text(fv("_id", False)),
         "review_id": V.text(V.unwrap_ejson(fv("review_id", False))),
@@ -182,14 +187,16 @@ def review_columns(fv, d: Column) -> tuple[dict, Column]:
         "title": V.text(fv("title")),
         "body": V.text(fv("body")),
         "tags": S.clean_list(V.str_list(fv("tags", False))),
-        "created_at": V.ejson_date(fv("created_at", False)),
-        "updated_at": V.ejson_date(fv("updated_at", False)),
+        "created_at": created,
+        "updated_at": updated,
         "_doc": d,
     }
-    return cols, []
+    return cols, [(created_bad | updated_bad, ERR_DATE), (huge[0] | huge[1], ERR_BIGINT)]
 
 
 def click_columns(fv, d: Column) -> tuple[dict, Column]:
+    at, at_bad = V.ejson_date(fv("event_time", False))
+    huge = [V.beyond_bigint(fv(n, False)) for n in ("customer_id", "product_id")]
     meta = fv("metadata", False)
     meta = F.when(meta.t.startswith("OBJECT"), meta.v)
     cols = {
@@ -203,10 +210,10 @@ def click_columns(fv, d: Column) -> tuple[dict, Column]:
             V.text(V.field(meta, "user_agent")).alias("user_agent"),
             S.normalize_upper(V.as_str(V.field(meta, "referrer")), "UNKNOWN").alias("referrer"),
             S.normalize_upper(V.as_str(V.field(meta, "page")), "UNKNOWN").alias("page")),
-        "event_time": V.ejson_date(fv("event_time", False)),
+        "event_time": at,
         "_doc": d,
     }
-    return cols, []
+    return cols, [(at_bad, ERR_DATE), (huge[0] | huge[1], ERR_BIGINT)]
 
 
 def clean_profiles(df: DataFrame, image: str = "doc", keep: list[str] | None = None) -> DataFrame:
@@ -234,7 +241,7 @@ DOC_BUSINESS_KEYS = {"customer_profiles": "customer_id",
 
 
 # -------------------------------------------------------------------- objects
-def clean_object_events(events: DataFrame, batch_ts) -> DataFrame:
+def clean_object_events(events: DataFrame, batch_ts, keep: list[str] = ()) -> DataFrame:
     """F25-F29, F27 validation: object events -> clean metadata + ``_error``.
 
     ``events`` has the flat event columns (strings / numbers as parsed).
@@ -265,5 +272,5 @@ def clean_object_events(events: DataFrame, batch_ts) -> DataFrame:
         F.lit("ACTIVE").alias("status"),
         ts.alias("ingested_at"),
         F.date_format(ts, "yyyy-MM-dd").alias("ingested_day"),
-        *[c for c in events.columns if c in ("topic", "partition", "offset")],
+        *[c for c in events.columns if c in ("topic", "partition", "offset", *keep)],
         err.alias("_error"))

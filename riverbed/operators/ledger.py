@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import os
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import HadoopFiles
+
 LEDGER_SCHEMA = ("batch_id string, job_name string, seq int, status string, started_at timestamp, "
                  "finished_at timestamp, duration_seconds double, dq_issue_count bigint, "
                  "metrics string, error_message string")
@@ -65,6 +66,8 @@ def runs_view(ledger: DataFrame) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    if not os.path.exists(path.replace("file:", "")):
+    """The ledger's rows; empty before the first run.  The folder is looked up
+    in the file system that its path names."""
+    if not HadoopFiles(spark).exists(path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)

@@ -26,18 +26,18 @@ def revenue_rows(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """J1 + P9 + P14 + F31: one row per non-cancelled order with its bucket.
 
     One left join in a single pass over the orders.  Orders without a
-    customer id cannot match; their join key is replaced by a salt below the
-    INT range (so it never matches a customer) spread over 1024 values, so a
-    flood of NULL keys does not land in one join task.
+    customer id cannot match; their join key is a hash, so a flood of NULL
+    keys does not land in one join task, and what such a key might meet is
+    not looked at.
     """
-    salt = F.lit(-(2 ** 31) - 1) - F.pmod(F.xxhash64("id"), F.lit(1024))
     o = (orders.where(F.col("status") != "CANCELLED")
          .select(F.to_date("order_date").alias("order_day"),
-                 F.coalesce(F.col("customer_id").cast("bigint"), salt).alias("_jk"),
+                 F.coalesce(F.col("customer_id").cast("bigint"), F.xxhash64("id")).alias("_jk"),
+                 F.col("customer_id").isNotNull().alias("_real"),
                  "quantity", "total_amount"))
     c = customers.select(F.col("id").cast("bigint").alias("_cid"), F.col("country").alias("_country"))
     return (o.join(c, F.col("_jk") == F.col("_cid"), "left")
-            .select("order_day", country_or_unknown("_country").alias("country"),
+            .select("order_day", country_or_unknown(F.when(F.col("_real"), F.col("_country"))).alias("country"),
                     "quantity", "total_amount"))
 
 
@@ -92,8 +92,9 @@ def customer_engagement_summary(profiles: DataFrame, clicks: DataFrame,
     the key they are all partitioned by -- no per-customer lookups."""
     p = (profiles.where(F.col("customer_id").isNotNull())
          .groupBy("customer_id")
-         .agg(F.first("full_name").alias("full_name"), F.first("country").alias("_country"),
-              F.first(F.col("loyalty.tier")).alias("loyalty_tier"), F.lit(True).alias("_has_profile")))
+         .agg(F.min_by(F.struct("full_name", "country", F.col("loyalty.tier").alias("tier")), "_id").alias("_p"))
+         .select("customer_id", F.col("_p.full_name").alias("full_name"), F.col("_p.country").alias("_country"),
+                 F.col("_p.tier").alias("loyalty_tier"), F.lit(True).alias("_has_profile")))
     cl = (clicks.where(F.col("customer_id").isNotNull()).groupBy("customer_id")
           .agg(F.count(F.lit(1)).alias("total_clicks"), F.max("event_time").alias("last_click_at")))
     rv = (reviews.where(F.col("customer_id").isNotNull()).groupBy("customer_id")

@@ -6,8 +6,6 @@ R4-R6 reconciliation (J5 full outer join), K14 copy plan.
 
 from __future__ import annotations
 
-import mimetypes
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,22 +14,40 @@ from ..functions import scalars as S
 EVENT_TYPE = "OBJECT_CREATED_OR_UPDATED"
 
 
-def _guess_map() -> dict:
-    """Extension -> MIME type from the standard library's built-in table
-    (the same guess a Python producer makes), without host mime files."""
-    m = mimetypes.MimeTypes(filenames=())
-    return dict(sorted(m.types_map[1].items()))
-
+# MIME types by extension, for the kinds of files that buckets hold.
+MIME = {
+    ".avi": "video/x-msvideo", ".bin": "application/octet-stream", ".bmp": "image/bmp", ".css": "text/css",
+    ".csv": "text/csv", ".doc": "application/msword", ".gif": "image/gif", ".htm": "text/html",
+    ".html": "text/html", ".ico": "image/vnd.microsoft.icon", ".jpeg": "image/jpeg", ".jpg": "image/jpeg",
+    ".js": "text/javascript", ".json": "application/json", ".m4a": "audio/mp4", ".md": "text/markdown",
+    ".mkv": "video/x-matroska", ".mov": "video/quicktime", ".mp3": "audio/mpeg", ".mp4": "video/mp4",
+    ".mpeg": "video/mpeg", ".ogg": "audio/ogg", ".pdf": "application/pdf", ".png": "image/png",
+    ".ppt": "application/vnd.ms-powerpoint", ".svg": "image/svg+xml", ".tar": "application/x-tar",
+    ".tif": "image/tiff", ".tiff": "image/tiff", ".txt": "text/plain", ".wav": "audio/x-wav",
+    ".webm": "video/webm", ".webp": "image/webp", ".xls": "application/vnd.ms-excel", ".xml": "text/xml",
+    ".zip": "application/zip",
+}
+# Suffixes that stand for two, and those of a compressed file, which do not count.
+SUFFIX_PAIRS = {".svgz": ".svg.gz", ".tgz": ".tar.gz", ".taz": ".tar.gz", ".tz": ".tar.gz",
+                ".tbz2": ".tar.bz2", ".txz": ".tar.xz"}
+ENCODINGS = [".gz", ".Z", ".bz2", ".xz", ".br"]
 
-_MIME = _guess_map()
+_EXT = r"^\.*[^.].*(\.[^.]*)$"
 
 
 def guess_content_type(object_key) -> F.Column:
-    """MIME type by extension (exact, then lower-case), else NULL."""
+    """MIME type by extension (exact, then lower-case), else NULL.  A
+    suffix pair is written out and one compression suffix dropped first, so
+    ``a.txt.gz`` is text and ``a.tgz`` a tar archive."""
     name = S.file_name(object_key if not isinstance(object_key, str) else F.col(object_key))
-    ext = F.regexp_extract(name, r"^\.*[^.].*(\.[^.]*)$", 1)
-    mp = F.create_map(*[F.lit(x) for kv in _MIME.items() for x in kv])
-    return F.coalesce(F.try_element_at(mp, ext), F.try_element_at(mp, F.lower(ext)))
+    both = lambda m, e: F.coalesce(F.try_element_at(m, e), F.try_element_at(m, F.lower(e)))
+    table = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
+    ext = F.regexp_extract(name, _EXT, 1)
+    pair = both(table(SUFFIX_PAIRS), ext)
+    name = F.when(pair.isNotNull(), F.concat(F.substring(name, F.lit(1), F.char_length(name) - F.char_length(ext)), pair)).otherwise(name)
+    ext = F.regexp_extract(name, _EXT, 1)
+    name = F.when(ext.isin(ENCODINGS), F.substring(name, F.lit(1), F.char_length(name) - F.char_length(ext))).otherwise(name)
+    return both(table(MIME), F.regexp_extract(name, _EXT, 1))
 
 
 def iso_utc(ts) -> F.Column:
@@ -62,11 +78,10 @@ def object_events(listing: DataFrame, event_time=None) -> DataFrame:
         lm_iso.alias("last_modified"))
 
 
-def fingerprint(listing: DataFrame) -> DataFrame:
+def fingerprint() -> F.Column:
     """Per-object fingerprint used by the change detector."""
-    return listing.select("bucket", "object_key", S.stable_hash(
-        "bucket", "object_key", "etag", "size_bytes",
-        F.date_format(F.col("last_modified"), "yyyy-MM-dd HH:mm:ssxxx")).alias("fingerprint"))
+    return S.stable_hash("bucket", "object_key", "etag", "size_bytes",
+                         F.date_format(F.col("last_modified"), "yyyy-MM-dd HH:mm:ssxxx"))
 
 
 def changed_objects(current: DataFrame, previous: DataFrame) -> DataFrame:
@@ -75,8 +90,8 @@ def changed_objects(current: DataFrame, previous: DataFrame) -> DataFrame:
     One left join on (bucket, key) -- both listings shuffle once on the key;
     no per-object state lives on the driver.  Adds ``change_kind``.
     """
-    cur = current.join(fingerprint(current), ["bucket", "object_key"])
-    prev = fingerprint(previous).withColumnRenamed("fingerprint", "_prev_fp")
+    cur = current.withColumn("fingerprint", fingerprint())
+    prev = previous.select("bucket", "object_key", fingerprint().alias("_prev_fp"))
     j = cur.join(prev, ["bucket", "object_key"], "left")
     return (j.where(F.col("_prev_fp").isNull() | (F.col("_prev_fp") != F.col("fingerprint")))
             .withColumn("change_kind", F.when(F.col("_prev_fp").isNull(), "new").otherwise("changed"))
@@ -141,6 +156,8 @@ def reconcile_metrics(recon: DataFrame) -> DataFrame:
     """R6 + R10: one row of counts and the DQ score (samples: ``issue_samples``)."""
     agg = recon.agg(
         F.count_if("in_inventory").alias("target_object_count"),
+        F.count_if(F.col("status") == "ACTIVE").alias("active_object_count"),
+        F.count_if(F.col("status") == "MISSING").alias("missing_status_count"),
         F.coalesce(F.sum(F.when(F.col("in_metadata"), F.col("metadata_rows"))), F.lit(0)).cast("bigint").alias("clean_object_metadata_count"),
         F.count_if(F.col("presence") == "object_only").alias("missing_metadata_count"),
         F.count_if(F.col("presence") == "metadata_only").alias("missing_object_count"),
@@ -178,25 +195,38 @@ def copy_plan(meta: DataFrame, inventory: DataFrame) -> DataFrame:
                    | ~F.col("_have_etag").eqNullSafe(F.col("etag"))).drop("_have_size", "_have_etag")
 
 
-def object_inventory(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
-    """List every file under each bucket root (recursive), content
-    pruned; a missing root is skipped like a failing bucket."""
+def object_inventory(spark: SparkSession, roots: dict[str, str], skip_missing: bool = False,
+                     with_etag: bool = False) -> DataFrame:
+    """List every file under each bucket root (recursive).
+
+    A source listing (``skip_missing``) leaves out a bucket that is not there,
+    like a failing bucket of the producer; any other listing fails loudly, as
+    a bucket left out would turn all its objects into missing ones.  Contents
+    are read only for ``with_etag`` (the MD5 of the bytes, as single-part
+    uploads have it).
+    """
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import AnalysisException
+
     frames = []
     for bucket, root in roots.items():
         try:
-            df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-                  .select("path", "length", "modificationTime"))
-        except Exception:  # noqa: BLE001 - a failing bucket is logged and skipped
+            df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        except (AnalysisException, Py4JJavaError):
+            if not skip_missing:
+                raise
             continue
         prefix = root.rstrip("/") + "/"
         frames.append(df.select(
             F.lit(bucket).alias("bucket"),
             F.regexp_replace(F.col("path"), r"^file:", "").alias("_p"),
-            F.col("length").alias("size_bytes"), F.col("modificationTime").alias("last_modified"))
+            F.col("length").alias("size_bytes"), F.col("modificationTime").alias("last_modified"),
+            *([F.md5("content").alias("etag")] if with_etag else []))
             .select("bucket", F.expr(f"substr(_p, {len(prefix) + 1})").alias("object_key"),
-                    "size_bytes", "last_modified"))
+                    "size_bytes", "last_modified", *(["etag"] if with_etag else [])))
     if not frames:
-        return spark.createDataFrame([], "bucket string, object_key string, size_bytes long, last_modified timestamp")
+        return spark.createDataFrame([], "bucket string, object_key string, size_bytes long, last_modified timestamp"
+                                     + (", etag string" if with_etag else ""))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

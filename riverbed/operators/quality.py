@@ -39,8 +39,11 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 def relational_metrics(raw_events: DataFrame | None, customers: DataFrame, orders: DataFrame,
                        daily_revenue: DataFrame, customer_summary: DataFrame) -> DataFrame:
-    """Five layer counts and five DQ counts."""
-    orphans = orders.join(customers.select(F.col("id").alias("customer_id")), "customer_id", "left_anti")
+    """Five layer counts and five DQ counts.  Orders without a customer id
+    are orphans without a join."""
+    named = orders.where(F.col("customer_id").isNotNull())
+    orphans = named.join(customers.select(F.col("id").alias("customer_id")), "customer_id", "left_anti").select("id").unionAll(
+        orders.where(F.col("customer_id").isNull()).select("id"))
     parts = [
         metrics_long(customers, {
             "clean_customers_count": F.count(F.lit(1)),

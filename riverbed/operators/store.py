@@ -1,21 +1,24 @@
-"""Versioned keyed table without a table format.
-
-Layout under ``root`` (any Hadoop-compatible shared path)::
-
-    data/v000007/_bucket=3/part-*.parquet    rows of bucket 3 as of version 7
-    _manifest/0000000007.json                {version, batch_id, buckets: {3: "data/v000007/_bucket=3", ...}}
-
-* Rows are spread over ``buckets`` by ``pmod(xxhash64(key), buckets)``.  A
-  merge reads and rewrites only the buckets its change batch touches.
-* A manifest file is written once per version (never overwritten; create
-  fails if another writer got there first) and names the directory holding
-  each bucket.  Readers take the highest manifest, so they always see a
-  complete version -- the write is atomic without rename.
-* The manifest records the last applied ``batch_id``: replaying a batch is a
-  no-op (at-least-once delivery + idempotent apply = exactly-once state).
+"""Keyed tables and batch commits without a table format.
+
+Layout under a pipeline's ``root`` (any Hadoop-compatible shared path)::
+
+    clean/orders/b0000000007-3f2a/_bucket=3/part-*   bucket 3 as batch 7 left it
+    mart/daily_revenue/b0000000007-3f2a/part-*       the mart after batch 7
+    _commits/0000000007.json                         what batch 7 made current
+
+* Everything that a batch writes goes to folders of its own attempt.  The one
+  commit file, written last and never overwritten, names the current folders
+  of all tables and marts.  Readers go by the newest commit, so they see the
+  state after a whole batch, never a part of one; an attempt that died leaves
+  folders that no commit names, and its replay starts from the same commit as
+  it did.
+* Rows are spread over ``pmod(xxhash64(key), buckets)``; a merge reads and
+  rewrites only the buckets its batch touches.  The number of buckets follows
+  the table's size when it is first written, is kept in the commit, and doubles
+  until buckets are small enough when the table has grown.
 * Rows keep their source position and delete markers, so an older event never
   overwrites a newer row or resurrects a deleted one (``changes.fold``).
-* A MERGE-capable table format would replace this with ``mergeInto``.
+* With a MERGE-capable table format this would be ``mergeInto``.
 """
 
 from __future__ import annotations
@@ -63,65 +66,111 @@ class HadoopFiles:
         finally:
             stream.close()
 
+    def drop(self, p: str) -> None:
+        self._fs(p).delete(self._path(p), True)
+
+
+class Commits:
+    """The commit files of a pipeline; the newest ``keep`` stay readable, older
+    files and the folders that only they name go."""
+
+    NONE = {"batch": -1, "tables": {}, "marts": {}}
+
+    def __init__(self, spark: SparkSession, root: str, keep: int = 8):
+        self.root, self.keep, self.fs = root.rstrip("/"), keep, HadoopFiles(spark)
+
+    def _names(self) -> list[str]:
+        return sorted(n for n in self.fs.list_names(f"{self.root}/_commits") if n.endswith(".json"))
+
+    def _read(self, name: str) -> dict:
+        return json.loads(self.fs.read_text(f"{self.root}/_commits/{name}"))
+
+    def latest(self) -> dict:
+        names = self._names()
+        return self._read(names[-1]) if names else self.NONE
+
+    def get(self, batch: int) -> dict:
+        return self._read(f"{batch:010d}.json")
+
+    def write(self, doc: dict) -> None:
+        self.fs.write_new(f"{self.root}/_commits/{doc['batch']:010d}.json", json.dumps(doc, sort_keys=True))
+        names = self._names()
+        if len(names) > self.keep:
+            kept = set().union(*(_folders(self._read(n)) for n in names[-self.keep:]))
+            for n in names[:-self.keep]:
+                for folder in _folders(self._read(n)) - kept:
+                    self.fs.drop(f"{self.root}/{folder}")
+                self.fs.drop(f"{self.root}/_commits/{n}")
+
+
+def _folders(doc: dict) -> set[str]:
+    return {p for t in doc["tables"].values() for p in t["paths"].values()} | set(doc["marts"].values())
+
 
 class KeyedStore:
-    def __init__(self, spark: SparkSession, root: str, schema, key: str = "pk", buckets: int = 16):
-        self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
-        self.schema = schema
-        self.fs = HadoopFiles(spark)
-
-    # ------------------------------------------------------------ manifests
-    def manifest(self, version: int | None = None) -> dict:
-        names = sorted(n for n in self.fs.list_names(f"{self.root}/_manifest") if n.endswith(".json"))
-        if version is not None:
-            names = [n for n in names if int(n[:-5]) <= version]
-        if not names:
-            return {"version": 0, "batch_id": -1, "buckets": {}}
-        return json.loads(self.fs.read_text(f"{self.root}/_manifest/{names[-1]}"))
-
-    def _paths(self, m: dict, buckets=None) -> list[str]:
-        return [f"{self.root}/{d}" for b, d in sorted(m["buckets"].items())
-                if buckets is None or int(b) in buckets]
-
-    def _read_paths(self, paths: list[str]) -> DataFrame:
+    """One keyed table; ``entry`` is its part of a commit."""
+
+    def __init__(self, spark: SparkSession, root: str, name: str, schema=None, key: str = "pk",
+                 bucket_rows: int = 1_000_000, least_buckets: int = 4):
+        self.spark, self.root, self.name, self.key = spark, root.rstrip("/"), name, key
+        self.schema, self.bucket_rows, self.least_buckets = schema, bucket_rows, least_buckets
+
+    # ---------------------------------------------------------------- reads
+    def _read(self, entry: dict | None, buckets=None) -> DataFrame:
+        paths = [] if not entry else [f"{self.root}/{d}" for b, d in sorted(entry["paths"].items())
+                                      if buckets is None or int(b) in buckets]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        return reader.parquet(*paths)
 
-    # ---------------------------------------------------------------- reads
-    def state(self, version: int | None = None) -> DataFrame:
-        """All rows of a version, delete markers included."""
-        return self._read_paths(self._paths(self.manifest(version)))
+    def state(self, entry: dict | None) -> DataFrame:
+        """All rows, delete markers included."""
+        return self._read(entry)
 
-    def snapshot(self, version: int | None = None) -> DataFrame:
-        return self.state(version).where(~F.col("_deleted"))
+    def near(self, entry: dict | None, changes: DataFrame) -> DataFrame:
+        """The rows of the keys in ``changes``, from their buckets only."""
+        if not entry:
+            return self._read(None)
+        return self._read(entry, self._touched(changes, entry["buckets"])).join(
+            changes.select(self.key).distinct(), self.key, "left_semi")
 
     # --------------------------------------------------------------- writes
-    def bucket_of(self, c) -> F.Column:
-        return F.pmod(F.xxhash64(c), F.lit(self.buckets))
-
-    def merge(self, changes: DataFrame, batch_id: int) -> bool:
-        """Apply one change batch.  Returns False when ``batch_id`` was
-        already applied (replay)."""
-        m = self.manifest()
-        if batch_id <= m["batch_id"]:
-            return False
-        ch = changes.select(*[f.name for f in self.schema.fields])
-        # the set of touched buckets is bounded by ``buckets`` (small ints)
-        touched = sorted(r[0] for r in ch.select(self.bucket_of(F.col(self.key)).alias("b"))
-                         .distinct().collect())
-        version = m["version"] + 1
-        buckets = dict(m["buckets"])
-        if touched:
-            old = self._read_paths(self._paths(m, set(touched)))
-            merged = CH.fold(ch, old, keys=(self.key,))
-            out = f"data/v{version:06d}"
-            # the fold's shuffle already spreads rows by key; each task writes
-            # its share of every touched bucket (no single-task bucket writes)
-            (merged.withColumn("_bucket", self.bucket_of(F.col(self.key)))
-             .write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.root}/{out}"))
-            for b in touched:
-                buckets[str(b)] = f"{out}/_bucket={b}"
-        doc = {"version": version, "batch_id": batch_id, "buckets": buckets}
-        self.fs.write_new(f"{self.root}/_manifest/{version:010d}.json", json.dumps(doc, sort_keys=True))
-        return True
+    def _bucket(self, n: int):
+        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(n)).cast("int")
+
+    def _touched(self, changes: DataFrame, n: int) -> set[int]:
+        # at most ``n`` small numbers
+        return {r[0] for r in changes.select(self._bucket(n).alias("b")).distinct().collect()}
+
+    def _wanted(self, rows: int, now: int) -> int:
+        while rows > now * self.bucket_rows:
+            now *= 2
+        return now
+
+    def merge(self, changes: DataFrame, entry: dict | None, tag: str) -> dict:
+        """Fold one batch in and return the table's new entry; nothing is
+        current until a commit names it."""
+        ch = changes if self.schema is None else changes.select(*[f.name for f in self.schema.fields])
+        if not entry:
+            merged, paths = CH.fold(ch), {}
+            n = self._wanted(ch.count(), self.least_buckets)
+            rows = 0
+        else:
+            n, rows = entry["buckets"], entry["rows"]
+            grown = self._wanted(rows, n)
+            touched = self._touched(ch, n) if grown == n else set(range(n))
+            if not touched:
+                return entry
+            merged = CH.fold(ch, self._read(entry, touched))
+            paths = {b: d for b, d in entry["paths"].items() if int(b) not in touched} if grown == n else {}
+            n = grown
+        out = f"clean/{self.name}/{tag}"
+        # the fold's shuffle spreads rows by key; each task writes its share of
+        # every touched bucket
+        (merged.withColumn("_bucket", self._bucket(n)).write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.root}/{out}"))
+        # the row count of what was written, by bucket (at most ``n`` rows)
+        sizes = {r[0]: r[1] for r in self.spark.read.parquet(f"{self.root}/{out}").groupBy("_bucket").count().collect()}
+        counts = {b: c for b, c in (entry or {}).get("counts", {}).items() if b in paths} | {str(b): c for b, c in sizes.items()}
+        paths |= {str(b): f"{out}/_bucket={b}" for b in sizes}
+        return {"buckets": n, "rows": sum(counts.values()), "counts": counts, "paths": paths}

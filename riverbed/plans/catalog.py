@@ -38,7 +38,8 @@ def change_feed(spark, sf, kind: str) -> DataFrame:
     once from the given tables and written to the shared checkpoint folder,
     so parsing plans read one scan instead of the generator's union branches."""
     from ..sources import feeds as FD
-    gen = FD.relational_feed if kind == "relational" else FD.reviews_feed
+    gen = {"relational": FD.relational_feed, "reviews": FD.reviews_feed, "profiles": FD.profiles_feed,
+           "clicks": FD.clicks_feed, "releases": FD.key_release_feed}[kind]
     return materialize(gen(spark, sf))
 
 
@@ -70,20 +71,23 @@ def q_clean_orders(spark, sf):
 
 # ----------------------------------------------------------- relational marts
 DAILY_REVENUE_SQL = """
-select cast(o.order_date as date) as order_day, coalesce(nullif(c.country, ''), 'UNKNOWN') as country,
-  count(*) as total_orders, cast(coalesce(sum(o.quantity), 0) as bigint) as total_items,
-  cast(coalesce(sum(o.total_amount), 0) as decimal(16,2)) as total_revenue
-from c_orders o left join c_customers c on c.id = o.customer_id
-where o.status <> 'CANCELLED'
-group by 1, 2
+select order_day, place as country, cast(sum(n) as bigint) as total_orders, cast(sum(items) as bigint) as total_items,
+  cast(sum(money) as decimal(16,2)) as total_revenue
+from (
+  select per.order_day, per.n, per.items, per.money,
+    coalesce((select case when length(w.country) > 0 then w.country end from c_customers w where w.id = per.customer_id), 'UNKNOWN') as place
+  from (select customer_id, order_date::date as order_day, count(*) as n, sum(quantity) as items, sum(total_amount) as money
+        from c_orders where not status = 'CANCELLED' group by all) per)
+group by all
 """
 
 CUSTOMER_SUMMARY_SQL = """
-select c.id as customer_id, c.full_name, c.country, count(o.id) as total_orders,
-  cast(coalesce(sum(o.total_amount) filter (where o.status <> 'CANCELLED'), 0) as decimal(16,2)) as total_spent,
-  max(o.order_date) as last_order_date
-from c_customers c left join c_orders o on o.customer_id = c.id
-group by c.id, c.full_name, c.country
+select w.id as customer_id, w.full_name, w.country, ifnull(per.n, 0) as total_orders,
+  cast(ifnull(per.money, 0) as decimal(16,2)) as total_spent, per.latest as last_order_date
+from c_customers w left join (
+  select customer_id, count(*) as n, max(order_date) as latest,
+    sum(case status when 'CANCELLED' then 0 else total_amount end) as money
+  from c_orders where customer_id is not null group by customer_id) per on per.customer_id = w.id
 """
 
 
@@ -115,7 +119,7 @@ def clean_profiles(spark, sf):
 
 @register("clean_reviews", O.with_ctes(
     "select _id, review_id, cast(customer_id as bigint) as customer_id, cast(product_id as bigint) as product_id, "
-    "cast(rating as bigint) as rating, status, title, 'fast,cheap' as tags, updated_at from c_reviews"))
+    "cast(rating as bigint) as rating, status, title, 'fast,cheap,t' || cast(cast(review_id as bigint) % 3 as varchar) as tags, updated_at from c_reviews"))
 def q_clean_reviews(spark, sf):
     return ntz(clean_reviews(spark, sf).select(
         "_id", "review_id", "customer_id", "product_id", "rating", "status", "title",
@@ -204,7 +208,10 @@ def object_listing(spark, sf, previous: bool = False):
 def object_metadata(spark, sf):
     from ..operators import objects as OB
     ev = OB.object_events(object_listing(spark, sf))
-    return OB.latest_per_object(SN.good(C.clean_object_events(ev, BATCH_TS)))
+    # three daily runs took the objects in, dealt by the minute of their last change
+    day = F.substring("last_modified", 15, 2).cast("int") % 3
+    taken = F.lit(BATCH_TS).cast("timestamp") + F.make_dt_interval(days=day)
+    return OB.latest_per_object(SN.good(C.clean_object_events(ev, taken)))
 
 
 def object_reconcile(spark, sf):
@@ -247,7 +254,8 @@ meta as (
       when 'audio' then 'clean-audio' else 'clean-documents' end as target_bucket,
     object_key as target_object_key, file_name, extension, media_type, content_type, size_bytes, etag,
     last_modified, 'manual_import' as source_type, 'ACTIVE' as status,
-    timestamp '2024-06-01 00:00:00' as ingested_at, '2024-06-01' as ingested_day
+    timestamp '2024-06-01 00:00:00' + to_days(cast(substr(last_modified, 15, 2) as integer) % 3) as ingested_at,
+    strftime(timestamp '2024-06-01 00:00:00' + to_days(cast(substr(last_modified, 15, 2) as integer) % 3), '%Y-%m-%d') as ingested_day
   from ev2 where size_bytes > 0),
 recon as (
   select coalesce(m.target_bucket, i.bucket) as bucket, coalesce(m.target_object_key, i.object_key) as object_key,
@@ -304,6 +312,7 @@ def q_obj_issue_samples(spark, sf):
 
 @register("obj_dq_score", _with_tail(OBJ_MEMBERS + """
 select count(*) filter (where presence <> 'metadata_only') as target_object_count,
+  count(*) filter (where status = 'ACTIVE') as active_object_count, count(*) filter (where status = 'MISSING') as missing_status_count,
   count(*) filter (where presence <> 'object_only') as clean_object_metadata_count,
   count(*) filter (where presence = 'object_only') as missing_metadata_count,
   count(*) filter (where presence = 'metadata_only') as missing_object_count,
@@ -395,51 +404,88 @@ def q_replay_idempotent(spark, sf):
     return ntz(CH.current(_orders_state(spark, sf, twice), CH.RELATIONAL["orders"]))
 
 
-DEAD_LETTERS_SQL = """
+def _image_sql(t: str, numbers: list[str], texts: list[str]) -> str:
+    """SQL text of a row image, members in name order."""
+    parts = ["'{'"]
+    for i, n in enumerate(sorted([*numbers, *texts])):
+        quote = "'\"'" if n in texts else "''"
+        parts.append(f"'{',' if i else ''}\"{n}\":' || coalesce({quote} || cast({t}.{n} as varchar) || {quote}, 'null')")
+    return " || ".join(parts + ["'}'"])
+
+
+_ORDER_IMAGE = (["customer_id", "id", "order_date", "quantity", "updated_at"], ["product_name", "status", "unit_price"])
+_CUSTOMER_IMAGE = (["created_at", "id", "updated_at"], ["country", "email", "full_name", "phone"])
+
+def _order_json(after: str, before: str, op: str, ts: str) -> str:
+    """SQL text of an order message's value with members in name order."""
+    image = lambda t: _image_sql(t, *_ORDER_IMAGE) if t else "'null'"
+    inner = f"'{{\"after\":' || {image(after)} || ',\"before\":' || {image(before)} || ',\"op\":\"{op}\",\"ts_ms\":' || {ts} || '}}'"
+    return f"case when id % 2 = 1 then '{{\"payload\":' || {inner} || ',\"schema\":null}}' else {inner} end"
+
+
+_POISON_ERRORS = [C.ERR_TIMESTAMP, C.ERR_TIMESTAMP, C.ERR_NUMERIC_OVERFLOW, C.ERR_NO_OP, C.ERR_NO_PK, C.ERR_TIMESTAMP,
+                  C.ERR_INT_RANGE, C.ERR_INT_RANGE]
+
+
+def _poison_sql() -> str:
+    """Per poison kind the message's text, as a JSON parser gives it back, and its error."""
+    from ..sources.feeds import POISON
+    texts, errors = [], []
+    for i, (op, own, qty, price, date) in enumerate(POISON):
+        ident = f"'{own}'" if own else "cast(id as varchar)"
+        date = "1.0E30" if date == "1e30" else date
+        texts.append(f"when {i} then '{{\"after\":{{\"customer_id\":1,\"id\":' || {ident} || ',\"order_date\":{date},\"quantity\":{qty},"
+                     f"\"unit_price\":{price}}},\"op\":{op},\"ts_ms\":' || cast(updated_at + 3 as varchar) || '}}'")
+        errors.append(f"when {i} then '{_POISON_ERRORS[i]}'")
+    return (f"select id, 5 as seq, case (id // 97) % 8 {' '.join(texts)} end as message_value, "
+            f"case (id // 97) % 8 {' '.join(errors)} end as err, updated_at + 3 as ts from src_orders where id % 97 = 13")
+
+
+DEAD_LETTERS_SQL = f"""
 select 'shop.public.orders' as source_topic, cast(id % 4 as integer) as source_partition,
-  cast(id * 8 + seq as bigint) as source_offset, concat('{"id":', cast(id as varchar), '}') as message_key,
-  err as error_message, 0 as retry_count
-from (select id, 0 as seq, 'numeric field overflow' as err from c_orders_all where total_amount is null
-      union all select id, 1, 'numeric field overflow' from u_orders_all where total_amount is null
-      union all select id, 4, 'malformed JSON value' from src_orders where id % 1009 = 7)
+  cast(id * 8 + seq as bigint) as source_offset, concat('{{"id":', cast(id as varchar), '}}') as message_key,
+  message_value, err as error_message, 0 as retry_count, 'riverbed' as consumer_group,
+  make_timestamp(ts * 1000) as failed_at
+from (select id, 0 as seq, {_order_json('s', '', 'r', 's.updated_at')} as message_value, 'numeric field overflow' as err, s.updated_at as ts
+        from c_orders_all o join src_orders s using (id) where o.total_amount is null
+      union all select id, 1, {_order_json('u', 's', 'u', '(s.updated_at + 1)')}, 'numeric field overflow', s.updated_at + 1
+        from u_orders_all o join src_orders s using (id) join u_orders_src u using (id) where o.total_amount is null
+      union all select id, 4, '{{"_raw":"{{\\"op\\": \\"u\\", \\"after\\": {{\\"id\\": ' || cast(id as varchar) || ', "}}', 'malformed JSON value', null
+        from src_orders where id % 1009 = 7
+      union all select id, seq, message_value, err, ts from ({_poison_sql()}))
 """
 
 
 @register("cdc_dead_letters", O.with_ctes(DEAD_LETTERS_SQL))
 def q_cdc_dead_letters(spark, sf):
-    from ..operators import changes as CH
-    from ..sources import feeds as FD
-    feed = change_feed(spark, sf, "relational")
-    parts = [CH.dead_letters(CH.parse_relational(feed, spec)) for spec in CH.RELATIONAL.values()]
-    return parts[0].unionByName(parts[1]).select(
-        "source_topic", "source_partition", "source_offset", "message_key", "error_message", "retry_count")
+    return ntz(q_cdc_dead_letters_full(spark, sf).drop("dlq_topic"))
 
 
-AUDIT_SQL = """
+AUDIT_SQL = f"""
 select source_table, op, pk, ts_ms, cast(source_partition as integer) as source_partition,
-  cast(source_offset as bigint) as source_offset, has_before, has_after from (
+  cast(source_offset as bigint) as source_offset, before_data, after_data from (
   select 'customers' as source_table, 'r' as op, cast(id as varchar) as pk, updated_at as ts_ms, id % 4 as source_partition,
-    id * 8 as source_offset, false as has_before, true as has_after from src_customers
-  union all select 'customers', 'u', cast(id as varchar), updated_at + 1, id % 4, id * 8 + 1, true, true
-    from src_customers where id % 5 = 0
-  union all select 'orders', 'r', cast(id as varchar), s.updated_at, id % 4, id * 8, false, true
+    id * 8 as source_offset, cast(null as varchar) as before_data, {_image_sql('s', *_CUSTOMER_IMAGE)} as after_data from src_customers s
+  union all select 'customers', 'u', cast(id as varchar), s.updated_at + 1, id % 4, id * 8 + 1,
+    {_image_sql('s', *_CUSTOMER_IMAGE)}, {_image_sql('f', *_CUSTOMER_IMAGE)}
+    from src_customers s join fin_customers_src f using (id) where id % 5 = 0
+  union all select 'orders', 'r', cast(id as varchar), s.updated_at, id % 4, id * 8, null, {_image_sql('s', *_ORDER_IMAGE)}
     from c_orders_all o join src_orders s using (id) where o.total_amount is not null
-  union all select 'orders', 'u', cast(id as varchar), s.updated_at + 1, id % 4, id * 8 + 1, true, true
-    from u_orders_all u join src_orders s using (id) where u.total_amount is not null
-  union all select 'orders', 'd', cast(id as varchar), updated_at + 2, id % 4, id * 8 + 2, true, false
-    from src_orders where id % 9 = 0)
+  union all select 'orders', 'u', cast(id as varchar), s.updated_at + 1, id % 4, id * 8 + 1,
+    {_image_sql('s', *_ORDER_IMAGE)}, {_image_sql('u', *_ORDER_IMAGE)}
+    from u_orders_all o join src_orders s using (id) join u_orders_src u using (id) where o.total_amount is not null
+  union all select 'orders', 'd', cast(id as varchar), s.updated_at + 2, id % 4, id * 8 + 2, {_image_sql('u', *_ORDER_IMAGE)}, null
+    from src_orders s join u_orders_src u using (id) where id % 9 = 0)
 """
 
 
 @register("cdc_audit_log", O.with_ctes(AUDIT_SQL))
 def q_cdc_audit_log(spark, sf):
     from ..operators import changes as CH
-    from ..sources import feeds as FD
     feed = change_feed(spark, sf, "relational")
     parts = [CH.audit_log(CH.parse_relational(feed, spec)) for spec in CH.RELATIONAL.values()]
     return parts[0].unionByName(parts[1]).select(
-        "source_table", "op", "pk", "ts_ms", "source_partition", "source_offset",
-        F.col("before_data").isNotNull().alias("has_before"), F.col("after_data").isNotNull().alias("has_after"))
+        "source_table", "op", "pk", "ts_ms", "source_partition", "source_offset", "before_data", "after_data")
 
 
 def _two_batches(feed):
@@ -464,8 +510,8 @@ def _incremental_relational(spark, sf):
     st2_o, st2_c = materialize(CH.fold(ch2_o, st1_o)), materialize(CH.fold(ch2_c, st1_c))
     old_o, old_c = CH.current(st1_o, so), CH.current(st1_c, sc)
     new_o, new_c = CH.current(st2_o, so), CH.current(st2_c, sc)
-    changed_o = ch2_o.select(F.col("pk").cast("int").alias("id"))
-    changed_c = ch2_c.select(F.col("pk").cast("int").alias("id"))
+    changed_o = ch2_o.select(F.col("pk").cast("bigint").alias("id"))
+    changed_c = ch2_c.select(F.col("pk").cast("bigint").alias("id"))
     return old_o, old_c, new_o, new_c, changed_o, changed_c
 
 
@@ -510,8 +556,8 @@ def q_cdc_current_reviews(spark, sf):
 DOC_DEAD_SQL = """
 select 'shop.reviewsdb.product_reviews' as source_topic, cast(k % 4 as integer) as source_partition,
   cast(k * 8 + seq as bigint) as source_offset, err as error_message
-from (select k, 4 as seq, 'missing after document for upsert' as err from src_reviews where k % 211 = 9
-      union all select k, 3, 'missing document id for delete event' from src_reviews where k % 307 = 11
+from (select k, 4 as seq, 'document upsert carries no document' as err from src_reviews where k % 211 = 9
+      union all select k, 3, 'document delete carries no id' from src_reviews where k % 307 = 11
       union all select k, 5, 'duplicate business key' from src_reviews where k % 101 = 3 and k % 10 <> 0)
 """
 
@@ -695,7 +741,7 @@ def q_obj_status_after_reconcile(spark, sf):
 
 
 # -------------------------------------------------------------------- reports
-@register("report_latest_days", O.with_ctes(DAILY_REVENUE_SQL.replace("group by 1, 2", "group by 1, 2 order by order_day desc, country limit 20")))
+@register("report_latest_days", O.with_ctes(DAILY_REVENUE_SQL + " order by order_day desc, country limit 20"))
 def q_report_latest_days(spark, sf):
     """L1."""
     from . import reports as R
@@ -709,8 +755,11 @@ def q_report_top_spenders(spark, sf):
     return R.top_spenders(q_mart_customer_summary(spark, sf))
 
 
-LAYER_COUNTS_SQL = ("select 'clean.customers' as layer, cast(null as varchar) as status, count(*) as row_count "
-                    "from c_customers\nunion all select 'clean.orders', null, count(*) from c_orders\n"
+LAYER_COUNTS_SQL = ("select 'raw.cdc_events' as layer, cast(null as varchar) as status, count(*) as row_count from (" + AUDIT_SQL + ")\n"
+                    "union all select 'ops.failed_events', null, count(*) from (" + DEAD_LETTERS_SQL + ")\n"
+                    "union all select 'source.customers', null, count(*) from src_customers\n"
+                    "union all select 'source.orders', null, count(*) from src_orders\n"
+                    "union all select 'clean.customers', null, count(*) from c_customers\nunion all select 'clean.orders', null, count(*) from c_orders\n"
                     "union all select 'mart.daily_revenue', null, count(*) from (" + DAILY_REVENUE_SQL + ")\n"
                     "union all select 'mart.customer_summary', null, count(*) from (" + CUSTOMER_SUMMARY_SQL + ")")
 
@@ -719,8 +768,14 @@ LAYER_COUNTS_SQL = ("select 'clean.customers' as layer, cast(null as varchar) as
 def q_report_layer_counts(spark, sf):
     """Labelled count report over the relational layers."""
     from . import reports as R
+    from ..operators import changes as CH
     cust, orders = clean_customers(spark, sf), clean_orders(spark, sf)
-    return R.layer_counts({"clean.customers": cust, "clean.orders": orders,
+    feed = change_feed(spark, sf, "relational")
+    parsed = [materialize(CH.parse_relational(feed, spec)) for spec in CH.RELATIONAL.values()]
+    return R.layer_counts({"raw.cdc_events": CH.audit_log(parsed[0]).unionByName(CH.audit_log(parsed[1])),
+                           "ops.failed_events": CH.dead_letters(parsed[0]).unionByName(CH.dead_letters(parsed[1])),
+                           "source.customers": FX.src_customers(spark, sf), "source.orders": FX.src_orders(spark, sf),
+                           "clean.customers": cust, "clean.orders": orders,
                            "mart.daily_revenue": M.daily_revenue(orders, cust),
                            "mart.customer_summary": M.customer_summary(cust, orders)})
 
@@ -761,9 +816,9 @@ def q_report_clean_samples(spark, sf):
                             "clean_click_events": clean_clicks(spark, sf)})
 
 
-@register("report_failed_events", O.with_ctes(DEAD_LETTERS_SQL.replace(
-    "select 'shop.public.orders' as source_topic", "select * from (select 'shop.public.orders' as source_topic", 1)
-    + ") order by source_topic desc, source_partition desc, source_offset desc limit 20"))
+@register("report_failed_events", O.with_ctes(
+    "select source_topic, source_partition, source_offset, message_key, error_message, retry_count from (" + DEAD_LETTERS_SQL
+    + ") order by failed_at desc nulls last, source_topic desc, source_partition desc, source_offset desc limit 20"))
 def q_report_failed_events(spark, sf):
     """L4: the 20 most recent dead letters."""
     from . import reports as R
@@ -775,12 +830,12 @@ def q_cdc_dead_letters_full(spark, sf):
     from ..operators import changes as CH
     from ..sources import feeds as FD
     feed = change_feed(spark, sf, "relational")
-    parts = [CH.dead_letters(CH.parse_relational(feed, spec)) for spec in CH.RELATIONAL.values()]
+    parts = [CH.dead_letters(CH.parse_relational(feed, spec), consumer_group="riverbed") for spec in CH.RELATIONAL.values()]
     return parts[0].unionByName(parts[1])
 
 
 # ------------------------------------------------------------------ streaming
-def run_relational_stream(spark, sf, buckets: int = 8):
+def run_relational_stream(spark, sf):
     """The relational feed arrives in three drops (snapshot,
     updates, deletes + bad messages) into a folder; after each drop a
     ``trigger(availableNow)`` run of the streaming pipeline processes what is
@@ -793,7 +848,7 @@ def run_relational_stream(spark, sf, buckets: int = 8):
     root = store_root(spark, f"stream-{uuid.uuid4().hex}")
     feed = FD.relational_feed(spark, sf)
     drops = [F.col("offset") % 8 == 0, F.col("offset") % 8 == 1, F.col("offset") % 8 >= 2]
-    pipe = ST.RelationalPipeline(spark, root, buckets=buckets)
+    pipe = ST.RelationalPipeline(spark, root)
     for cond in drops:
         feed.where(cond).write.mode("append").parquet(f"{root}/feed")
         q = pipe.start(ST.read_feed_files(spark, f"{root}/feed"), f"{root}/_checkpoint")
@@ -801,7 +856,7 @@ def run_relational_stream(spark, sf, buckets: int = 8):
     return pipe
 
 
-def run_review_stream(spark, sf, buckets: int = 8):
+def run_review_stream(spark, sf):
     """The review feed in three drops (snapshot, updates, deletes + bad and
     duplicate messages), each processed by an ``availableNow`` run."""
     import uuid
@@ -811,7 +866,7 @@ def run_review_stream(spark, sf, buckets: int = 8):
     from ..streaming import streams as ST
     root = store_root(spark, f"docstream-{uuid.uuid4().hex}")
     feed = FD.reviews_feed(spark, sf)
-    pipe = ST.DocumentPipeline(spark, root, buckets=buckets)
+    pipe = ST.DocumentPipeline(spark, root)
     for cond in (F.col("offset") % 8 == 0, F.col("offset") % 8 == 1, F.col("offset") % 8 >= 2):
         feed.where(cond).write.mode("append").parquet(f"{root}/feed")
         pipe.start(ST.read_feed_files(spark, f"{root}/feed"), f"{root}/_checkpoint").awaitTermination()
@@ -824,7 +879,7 @@ def run_review_stream(spark, sf, buckets: int = 8):
 def q_stream_reviews_available_now(spark, sf):
     """Current reviews in the document store after three streaming runs."""
     pipe = run_review_stream(spark, sf)
-    return ntz(pipe.store().state().where(~F.col("_deleted")).select(
+    return ntz(pipe.clean("product_reviews").select(
         "_id", "review_id", "customer_id", "product_id", "rating", "status", "title", "updated_at"))
 
 
@@ -837,36 +892,49 @@ select cast(product_id as bigint) as product_id, count(*) as review_count, round
 from f_reviews group by product_id"""))
 def q_stream_review_mart_available_now(spark, sf):
     """Review mart maintained per micro-batch (M4) equals the full rebuild."""
-    return ntz(run_review_stream(spark, sf).read_mart())
+    return ntz(run_review_stream(spark, sf).read_mart("product_review_summary"))
 
 
-def run_object_stream(spark, sf, buckets: int = 8):
-    """Object events from the source listing, published as Kafka-shaped
-    messages (K15) in two drops, each processed by an ``availableNow`` run."""
+def object_messages(spark, sf) -> DataFrame:
+    """Kafka-shaped object events (K15) as a written topic: the listing of the
+    scan before, then the current one, so an object has two versions; then
+    messages that must be dead-lettered.  Positions are sequence numbers."""
+    from ..operators import objects as OB
+    old, new = (OB.event_messages(OB.object_events(object_listing(spark, sf, previous=p))) for p in (True, False))
+    bad = object_listing(spark, sf).where(F.regexp_extract("object_key", r"_(\d+)\.", 1).cast("bigint") % 53 == 0)
+    key = F.regexp_extract("object_key", r"_(\d+)\.", 1)
+    broken = bad.select(key.alias("key"), F.when(key.cast("bigint") % 2 == 0, F.concat(F.lit('{"object_id": "'), key))
+                        .otherwise(F.concat(F.lit('{"object_id":"'), key, F.lit('","size_bytes":7}'))).alias("value"))
+    parts = [m.select(F.lit("object.events").alias("topic"), F.spark_partition_id().alias("partition"),
+                      (F.monotonically_increasing_id() + F.lit(drop << 60)).alias("offset"), "key", "value", F.lit(drop).alias("drop"))
+             for drop, m in enumerate((old, new, broken))]
+    return materialize(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def run_object_stream(spark, sf):
+    """The object messages in three drops (the older listing, the current one,
+    broken messages), each processed by an ``availableNow`` run."""
     import uuid
 
-    from ..operators import objects as OB
     from ..session import store_root
     from ..streaming import streams as ST
     root = store_root(spark, f"objstream-{uuid.uuid4().hex}")
-    msgs = OB.event_messages(OB.object_events(object_listing(spark, sf))).select(
-        F.lit("object.events").alias("topic"), F.lit(0).alias("partition"),
-        F.abs(F.xxhash64("key")).alias("offset"), "key", "value")
-    pipe = ST.ObjectPipeline(spark, root, batch_ts=lambda _bid: BATCH_TS, buckets=buckets)
-    for cond in (F.col("offset") % 2 == 0, F.col("offset") % 2 == 1):
-        msgs.where(cond).write.mode("append").parquet(f"{root}/feed")
+    msgs = object_messages(spark, sf)
+    pipe = ST.ObjectPipeline(spark, root, batch_ts=lambda _bid: BATCH_TS)
+    for drop in range(3):
+        msgs.where(F.col("drop") == drop).drop("drop").write.mode("append").parquet(f"{root}/feed")
         pipe.start(ST.read_feed_files(spark, f"{root}/feed"), f"{root}/_checkpoint").awaitTermination()
     return pipe
 
 
 @register("stream_object_summary_available_now", _with_tail(OBJ_MEMBERS + """
 select media_type, count(*) as total_objects, cast(sum(size_bytes) as bigint) as total_size_bytes,
-  round_even(coalesce(avg(size_bytes), 0), 3) as avg_size_bytes, max(ingested_at) as latest_ingested_at
+  round_even(coalesce(avg(size_bytes), 0), 3) as avg_size_bytes, timestamp '2024-06-01 00:00:00' as latest_ingested_at
 from meta group by media_type"""))
 def q_stream_object_summary_available_now(spark, sf):
     """M5: object marts rebuilt per micro-batch from the streamed metadata
     (before any reconcile, every valid object is ACTIVE)."""
-    return ntz(run_object_stream(spark, sf).mart("object_summary_by_type"))
+    return ntz(run_object_stream(spark, sf).read_mart("object_summary_by_type"))
 
 
 @register("stream_orders_available_now", O.with_ctes("select * from f_orders"))
@@ -874,9 +942,7 @@ def q_stream_orders_available_now(spark, sf):
     """Current orders in the versioned store after three streaming runs."""
     from ..operators import changes as CH
     pipe = run_relational_stream(spark, sf)
-    spec = CH.RELATIONAL["orders"]
-    st = pipe.store("orders", None)
-    return ntz(CH.current(st.state(), spec))
+    return ntz(CH.current(pipe.state("orders"), CH.RELATIONAL["orders"]))
 
 
 @register("stream_revenue_available_now", O.with_ctes(
@@ -888,6 +954,291 @@ def q_stream_revenue_available_now(spark, sf):
     return pipe.read_mart("daily_revenue")
 
 
+# ------------------------------------------- ordering, keys, raw layers, replay
+@register("cdc_partition_growth", O.with_ctes("select * from f_orders"))
+def q_cdc_partition_growth(spark, sf):
+    """A topic that was given other partitions between the snapshot and the
+    changes: a key's later events lie in lower partitions than its first."""
+    from ..operators import changes as CH
+    feed = change_feed(spark, sf, "relational")
+    moved = feed.withColumn("partition", F.when(F.col("offset") % 8 == 0, F.col("partition") + 8).otherwise(F.col("partition")))
+    return ntz(CH.current(_orders_state(spark, sf, moved), CH.RELATIONAL["orders"]))
+
+
+KEY_RELEASE_SQL = f"""
+with k as (select o_orderkey as k, cast(o_orderkey as varchar) as own, cast(o_orderkey as varchar) || '-2' as other from orders),
+live as (
+  select concat('a', lpad(lower(hex(k)), 23, '0')) as _id, other as review_id from k where k % 3 = 0
+  union all select concat('b', lpad(lower(hex(k)), 23, '0')), own from k where k % 3 <> 2
+  union all select concat('a', lpad(lower(hex(k)), 23, '0')), own from k where k % 3 = 2
+  union all select concat('b', lpad(lower(hex(k)), 23, '0')), other from k where k % 3 = 2),
+dead as (
+  select cast(k % 4 as integer) as p, k * 8 + 1 as o from k where k % 3 = 1
+  union all select cast(k % 4 as integer), k * 8 + 2 from k where k % 3 = 2
+  union all select cast(k % 4 as integer), k * 8 + 3 from k where k % 3 = 2)
+select b.batches, 'live' as kind, _id, review_id, cast(null as integer) as source_partition, cast(null as bigint) as source_offset
+from live, (values ('one'), ('many')) b(batches)
+union all select b.batches, 'dead', null, null, p, o from dead, (values ('one'), ('many')) b(batches)
+"""
+
+
+@register("cdc_key_release", KEY_RELEASE_SQL)
+def q_cdc_key_release(spark, sf):
+    """Q14: keys released by updates and deletes and claims of held ones, with
+    the same answer for the feed in one batch and in four."""
+    from ..operators import changes as CH
+    feed = change_feed(spark, sf, "releases")
+    out = []
+    for name, cuts in (("one", [F.lit(True)]), ("many", [F.col("offset") % 8 == s for s in range(4)])):
+        state = None
+        for cut in cuts:
+            parsed = materialize(CH.reject_duplicate_keys(
+                materialize(CH.parse_documents(feed.where(cut), "product_reviews")), "product_reviews", state))
+            out.append(CH.dead_letters(parsed).select(
+                F.lit(name).alias("batches"), F.lit("dead").alias("kind"), F.lit(None).cast("string").alias("_id"),
+                F.lit(None).cast("string").alias("review_id"), "source_partition", "source_offset"))
+            state = materialize(CH.fold(CH.document_changes(parsed, CH.REVIEW_COLUMNS), state))
+        out.append(state.where(~F.col("_deleted")).select(
+            F.lit(name).alias("batches"), F.lit("live").alias("kind"), "_id", "review_id",
+            F.lit(None).cast("int").alias("source_partition"), F.lit(None).cast("bigint").alias("source_offset")))
+    done = out[0]
+    for o in out[1:]:
+        done = done.unionByName(o)
+    return done
+
+
+def _documents_state(spark, sf, kind: str, collection: str) -> DataFrame:
+    from ..operators import changes as CH
+    parsed = materialize(CH.parse_documents(change_feed(spark, sf, kind), collection))
+    parsed = CH.reject_duplicate_keys(parsed, collection)
+    return CH.fold(CH.document_changes(parsed, CH.DOC_COLUMNS[collection], BATCH_TS)).where(~F.col("_deleted"))
+
+
+@register("cdc_current_profiles", O.with_ctes(
+    "select _id, customer_id, full_name, country, category, newsletter, price_sensitivity, tier, cast(points as bigint) as points, "
+    "devices from f_profiles"))
+def q_cdc_current_profiles(spark, sf):
+    """K5: current profile documents after their change feed."""
+    return _documents_state(spark, sf, "profiles", "customer_profiles").select(
+        "_id", "customer_id", "full_name", "country", F.col("preferences.category").alias("category"),
+        F.col("preferences.newsletter").alias("newsletter"), F.col("preferences.price_sensitivity").alias("price_sensitivity"),
+        F.col("loyalty.tier").alias("tier"), F.col("loyalty.points").alias("points"), F.array_join("devices", ",").alias("devices"))
+
+
+@register("cdc_current_clicks", O.with_ctes(
+    "select _id, event_id, customer_id, cast(product_id as bigint) as product_id, event_type, session_id, user_agent, referrer, page, "
+    "event_time from f_clicks"))
+def q_cdc_current_clicks(spark, sf):
+    """K5: current click documents after their change feed."""
+    return ntz(_documents_state(spark, sf, "clicks", "click_events").select(
+        "_id", "event_id", "customer_id", "product_id", "event_type", "session_id", F.col("metadata.user_agent").alias("user_agent"),
+        F.col("metadata.referrer").alias("referrer"), F.col("metadata.page").alias("page"), "event_time"))
+
+
+@register("cdc_raw_documents", O.with_ctes("""
+select _id, 'extra-' || review_id as note, review_id, 'mongodb' as source_type, 'shop.reviewsdb.product_reviews' as source_topic,
+  cast(cast(review_id as bigint) % 4 as integer) as source_partition, 'reviewsdb' as source_database,
+  'product_reviews' as source_collection, timestamp '2024-06-01 00:00:00' as synced_at
+from f_reviews"""))
+def q_cdc_raw_documents(spark, sf):
+    """K4 + P8 + P16: the raw collection keeps members that no cleaner names,
+    and the metadata of each document's last change."""
+    from ..operators import changes as CH
+    parsed = CH.reject_duplicate_keys(materialize(CH.parse_documents(change_feed(spark, sf, "reviews"), "product_reviews")), "product_reviews")
+    raw = CH.raw_documents(CH.fold(CH.document_changes(parsed, CH.REVIEW_COLUMNS, BATCH_TS)))
+    return ntz(raw.select(
+        "_id", F.get_json_object("document", "$.note").alias("note"), F.get_json_object("document", "$.review_id").alias("review_id"),
+        *[F.col(f"_cdc.{c}").alias(c) for c in ("source_type", "source_topic", "source_partition", "source_database",
+                                                "source_collection", "synced_at")]))
+
+
+OFFSETS_SQL = """
+select topic as source_topic, cast(id % 4 as integer) as source_partition, cast(id * 8 + seq as bigint) as source_offset, 
+  case when seq = 0 then 0 else 1 end as first_batch
+from (select 'shop.public.customers' as topic, id, 0 as seq from src_customers
+  union all select 'shop.public.customers', id, 1 from src_customers where id % 5 = 0
+  union all select 'shop.public.orders', id, 0 from src_orders
+  union all select 'shop.public.orders', id, 1 from src_orders where id % 3 = 0
+  union all select 'shop.public.orders', id, unnest([2, 3]) from src_orders where id % 9 = 0
+  union all select 'shop.public.orders', id, 4 from src_orders where id % 1009 = 7
+  union all select 'shop.public.orders', id, 5 from src_orders where id % 97 = 13)
+"""
+
+
+@register("offset_ledger", O.with_ctes(OFFSETS_SQL))
+def q_offset_ledger(spark, sf):
+    """K7: a batch, then one that delivers all of it again beside new messages;
+    each position is in the ledger once, from the batch that handled it first."""
+    from ..operators import changes as CH
+    feed = change_feed(spark, sf, "relational")
+    first = CH.offset_ledger(feed.where(F.col("offset") % 8 == 0)).withColumn("first_batch", F.lit(0))
+    known = first.drop("first_batch")
+    return first.unionByName(CH.offset_ledger(feed, known).withColumn("first_batch", F.lit(1)))
+
+
+class _Killed(Exception):
+    pass
+
+
+@register("stream_revenue_after_failure", O.with_ctes(
+    DAILY_REVENUE_SQL.replace("c_orders", "f_orders").replace("c_customers", "f_customers")))
+def q_stream_revenue_after_failure(spark, sf):
+    """A batch's attempt dies after each of its writes in turn and is
+    replayed; after every death readers still see the batch before, and in the
+    end the marts equal the rebuild."""
+    import uuid
+
+    from ..session import store_root
+    from ..streaming import streams as ST
+    feed = change_feed(spark, sf, "relational")
+    pipe = ST.RelationalPipeline(spark, store_root(spark, f"failing-{uuid.uuid4().hex}"))
+    for batch_id, cut in enumerate((F.col("offset") % 8 == 0, F.col("offset") % 8 == 1, F.col("offset") % 8 >= 2)):
+        batch, seen = feed.where(cut), pipe.commits.latest()
+        for step in ("raw/cdc_events", "merge customers", "merge orders", "mart daily_revenue", "mart customer_summary") \
+                if batch_id == 1 else ():
+            def kill(done, at=step):
+                if done == at:
+                    raise _Killed(done)
+            pipe.after = kill
+            try:
+                pipe.process(batch, batch_id)
+                raise AssertionError(f"{step} was not reached")
+            except _Killed:
+                pipe.after = lambda done: None
+            if pipe.commits.latest() != seen:
+                raise AssertionError(f"a batch that died at {step} is visible")
+        pipe.process(batch, batch_id)
+        pipe.process(batch, batch_id)                       # a replay after the commit changes nothing
+    return pipe.read_mart("daily_revenue")
+
+
+def run_document_stream(spark, sf):
+    """All three collections through one pipeline in three drops."""
+    import uuid
+
+    from ..session import store_root
+    from ..sources import feeds as FD
+    from ..streaming import streams as ST
+    root = store_root(spark, f"docsstream-{uuid.uuid4().hex}")
+    feed = materialize(FD.reviews_feed(spark, sf).unionByName(FD.profiles_feed(spark, sf)).unionByName(FD.clicks_feed(spark, sf)))
+    pipe = ST.DocumentPipeline(spark, root, ["customer_profiles", "click_events", "product_reviews"])
+    for cond in (F.col("offset") % 8 == 0, F.col("offset") % 8 == 1, F.col("offset") % 8 >= 2):
+        feed.where(cond).write.mode("append").parquet(f"{root}/feed")
+        pipe.start(ST.read_feed_files(spark, f"{root}/feed"), f"{root}/_checkpoint").awaitTermination()
+    return pipe
+
+
+@register("doc_engagement_incremental", _with_tail(
+    ENGAGEMENT_SQL.replace("c_profiles", "f_profiles").replace("c_clicks", "f_clicks").replace("c_reviews", "f_reviews")))
+def q_doc_engagement_incremental(spark, sf):
+    """M4 + A6: the engagement mart kept per micro-batch over three collections."""
+    return ntz(run_document_stream(spark, sf).read_mart("customer_engagement_summary"))
+
+
+@register("doc_country_incremental", O.with_ctes("""
+select country, count(*) as profile_count, count(*) filter (where tier = 'GOLD') as gold_customers,
+  count(*) filter (where newsletter) as newsletter_opt_in
+from f_profiles group by country"""))
+def q_doc_country_incremental(spark, sf):
+    """M4 + A7: the country mart kept per micro-batch."""
+    return run_document_stream(spark, sf).read_mart("country_profile_summary")
+
+
+@register("obj_raw_events", _with_tail(OBJ_MEMBERS + """
+select event_id, object_id, etag from ev where size_bytes > 0
+union all
+select sha256(concat_ws('|', bucket, object_key, coalesce(etag, ''), cast(size_bytes as varchar),
+    strftime(make_timestamp(last_modified_ms * 1000), '%Y-%m-%dT%H:%M:%S+00:00'))), sha256(concat_ws('|', bucket, object_key)), etag
+from (select case doc_id % 4 when 0 then 'raw-images' when 1 then 'raw-videos' when 2 then 'raw-audio' else 'raw-documents' end as bucket,
+    concat(lang, '/', source, '/doc_', cast(doc_id as varchar), case doc_id % 4 when 0 then '.PNG'
+      when 1 then '.mp4' when 2 then '.wav' else '.txt' end) as object_key,
+    case when doc_id % 37 = 0 then 0 else n_chars end as size_bytes, 1704067200000 + doc_id * 1000 as last_modified_ms,
+    md5(concat(text, '#v0')) as etag from documents where doc_id % 17 <> 0 and doc_id % 11 = 0)
+where size_bytes > 0"""))
+def q_obj_raw_events(spark, sf):
+    """K6: raw object events by event id: both versions of a changed object,
+    an unchanged one's event once however often it is listed."""
+    return run_object_stream(spark, sf).state("raw_events").select(
+        F.col("pk").alias("event_id"), F.get_json_object("event", "$.object_id").alias("object_id"),
+        F.get_json_object("event", "$.etag").alias("etag"))
+
+
+@register("stream_object_updates", _with_tail(OBJ_MEMBERS + "select object_id, event_id, etag, size_bytes, media_type, status from meta"))
+def q_stream_object_updates(spark, sf):
+    """The newer of two versions of each object is current after the stream."""
+    return run_object_stream(spark, sf).state("object_metadata").select(
+        "object_id", "event_id", "etag", "size_bytes", "media_type", "status")
+
+
+@register("obj_dead_letters", O.with_ctes("""
+select 'object.events' as source_topic, message_key, error_message, message_value, 'riverbed' as consumer_group,
+  timestamp '2024-06-01 00:00:00' as failed_at
+from (
+  select sha256(concat_ws('|', bucket, object_key)) as message_key, 'object size is not positive' as error_message, cast(null as varchar) as message_value
+    from src_objects where size_bytes <= 0
+  union all select sha256(concat_ws('|', bucket, object_key)), 'object size is not positive', null
+    from src_objects, (select 1) where size_bytes <= 0 and cast(regexp_extract(object_key, '_([0-9]+)[.]', 1) as bigint) % 17 <> 0
+  union all select cast(doc_id as varchar),
+      case when doc_id % 2 = 0 then 'malformed JSON value' else 'object event lacks an identifier' end,
+      case when doc_id % 2 = 0 then '{"_raw":"{\\"object_id\\": \\"' || cast(doc_id as varchar) || '"}'
+        else '{"object_id":"' || cast(doc_id as varchar) || '","size_bytes":7}' end
+    from documents where doc_id % 53 = 0)"""))
+def q_obj_dead_letters(spark, sf):
+    """E1 + E2 for object events: empty objects, broken JSON and events
+    without identifiers; the value of the two latter is compared too."""
+    dead = run_object_stream(spark, sf).read_log("ops/failed_events")
+    return ntz(dead.select(
+        "source_topic", "message_key", "error_message",
+        F.when(F.col("error_message") != C.ERR_SIZE, F.col("message_value")).alias("message_value"), "consumer_group", "failed_at"))
+
+
+@register("obj_reconcile_metrics", _with_tail(OBJ_MEMBERS + """
+select metric_name, cast(metric_value as bigint) as metric_value from (
+  select 'raw_object_events_count' as metric_name, count(*) as metric_value from ev
+  union all select 'active_object_count', count(*) filter (where status = 'ACTIVE') from meta_r
+  union all select 'missing_object_count', count(*) filter (where status = 'MISSING') from meta_r
+  union all select 'mart_object_summary_by_type_rows', count(distinct media_type) filter (where status = 'ACTIVE') from meta_r
+  union all select 'mart_object_summary_by_day_rows', count(distinct ingested_day) filter (where status = 'ACTIVE') from meta_r
+  union all select 'mart_object_storage_summary_rows', 1)"""))
+def q_obj_reconcile_metrics(spark, sf):
+    """Raw, status and mart row counts beside the reconcile counts."""
+    from ..operators import objects as OB
+    from ..operators import quality as Q
+    one = F.count(F.lit(1))
+    meta = object_metadata_reconciled(spark, sf)
+    return Q.union_all([
+        Q.metrics_long(OB.object_events(object_listing(spark, sf)), {"raw_object_events_count": one}),
+        Q.metrics_long(meta, {"active_object_count": F.count_if(F.col("status") == "ACTIVE"),
+                              "missing_object_count": F.count_if(F.col("status") == "MISSING")}),
+        Q.metrics_long(M.object_summary_by_type(meta), {"mart_object_summary_by_type_rows": one}),
+        Q.metrics_long(M.object_summary_by_day(meta), {"mart_object_summary_by_day_rows": one}),
+        Q.metrics_long(M.object_storage_summary(meta), {"mart_object_storage_summary_rows": one})])
+
+
+@register("report_mart_days", _with_tail(OBJ_MEMBERS + """
+select ingested_day, count(*) as total_objects, cast(sum(size_bytes) as bigint) as total_size_bytes
+from meta_r where status = 'ACTIVE' group by ingested_day order by ingested_day desc limit 5"""))
+def q_report_mart_days(spark, sf):
+    """The last five days of the object mart."""
+    from . import reports as R
+    return R.last_mart_days(M.object_summary_by_day(object_metadata_reconciled(spark, sf)), "ingested_day")
+
+
+@register("report_document_layers", O.with_ctes("""
+select 'raw_customer_profiles' as layer, cast(null as varchar) as status, count(*) as row_count from src_profiles
+union all select 'raw_product_reviews', null, count(*) from src_reviews
+union all select 'raw_click_events', null, count(*) from src_clicks
+union all select 'clean_customer_profiles', null, count(*) from c_profiles
+union all select 'clean_product_reviews', status, count(*) from c_reviews group by status
+union all select 'clean_click_events', null, count(*) from c_clicks"""))
+def q_report_document_layers(spark, sf):
+    """Rows of the document layers, reviews by status."""
+    from . import reports as R
+    L = _document_layers(spark, sf)
+    tables = {f"raw_{n}": L[n][1] for n in L} | {f"clean_{n}": L[n][2] for n in L}
+    return R.layer_counts(tables, status_col="status")
+
+
 # ---------------------------------------------------------------- run ledger
 def _score_sql(sql: str, job: str) -> str:
     return f"select '{job}' as job_name, status, dq_issue_count from ({sql})"

@@ -37,7 +37,7 @@ def oid(k: str, prefix: str = "0") -> str:
 
 # ------------------------------------------------------------------ fixtures
 SRC_CUSTOMERS = """
-select cast(c_custkey as integer) as id,
+select cast(c_custkey as bigint) as id,
   concat('  ', c_name, ' ') as full_name,
   case when c_custkey % 11 = 0 then null when c_custkey % 17 = 0 then 'no-at-sign'
        when c_custkey % 19 = 0 then concat(' Two@At@', c_name, '.COM')
@@ -49,12 +49,13 @@ select cast(c_custkey as integer) as id,
   cast(1704067200000 + c_custkey * 60000 as bigint) as created_at,
   cast(1704067200000 + c_custkey * 60000 + 3600000 as bigint) as updated_at,
   c_nationkey
-from customer where c_custkey % 13 <> 0
+from customer
 """
 
 SRC_ORDERS = """
-select cast(o_orderkey as integer) as id,
-  case when o_orderkey % 53 = 0 then null else cast(o_custkey as integer) end as customer_id,
+select cast(o_orderkey as bigint) as id,
+  case when o_orderkey % 53 = 0 then null when o_orderkey % 13 = 0 then o_custkey + 5000000000
+       else cast(o_custkey as bigint) end as customer_id,
   concat(' Product ', cast(o_orderkey % 10 as varchar), ' ') as product_name,
   case when o_orderkey % 997 = 5 then 2000000000 else cast(o_orderkey % 7 - 1 as integer) end as quantity,
   case when o_orderkey % 997 = 5 then '99999999.99' else cast(cast(o_totalprice as decimal(12,2)) as varchar) end as unit_price,
@@ -67,7 +68,7 @@ from orders
 
 SRC_REVIEWS = f"""
 select {oid('o_orderkey')} as _id, cast(o_orderkey as varchar) as review_id,
-  cast(o_custkey as integer) as customer_id, cast((o_orderkey * 7) % 500 as integer) as product_id,
+  cast(o_custkey + case when o_orderkey % 17 = 0 then 5000000000 else 0 end as bigint) as customer_id, cast((o_orderkey * 7) % 500 as integer) as product_id,
   cast(o_orderkey % 9 - 1 as integer) as rating,
   case o_orderkey % 5 when 0 then 'approved' when 1 then ' PENDING' when 2 then 'Rejected'
     when 3 then 'APPROVED' else null end as status,
@@ -77,7 +78,8 @@ from orders
 """
 
 SRC_CLICKS = f"""
-select {oid('event_id')} as _id, cast(event_id as varchar) as event_id, cast(user_id as integer) as customer_id,
+select {oid('event_id')} as _id, cast(event_id as varchar) as event_id,
+  cast(user_id + case when event_id % 19 = 0 then 5000000000 else 0 end as bigint) as customer_id,
   case when event_id % 41 = 0 then null else concat(' ', event_type) end as event_type,
   cast(event_id % 500 + 1 as integer) as product_id, concat('s', cast(user_id as varchar)) as session_id,
   ' Mozilla/5.0 ' as user_agent,
@@ -88,7 +90,7 @@ from events
 """
 
 SRC_PROFILES = f"""
-select {oid('c_custkey')} as _id, cast(c_custkey as integer) as customer_id,
+select {oid('c_custkey')} as _id, cast(c_custkey as bigint) as customer_id,
   concat(' ', c_name, ' ') as full_name,
   case c_nationkey % 6 when 0 then 'VN' when 1 then ' vietnam ' when 2 then 'us' when 3 then 'japan'
     when 4 then 'France' else null end as country,
@@ -99,7 +101,7 @@ select {oid('c_custkey')} as _id, cast(c_custkey as integer) as customer_id,
     else 'bronze' end as tier,
   cast(floor(c_acctbal) as integer) as points,
   case when c_custkey % 3 = 0 then 'mobile,web' else 'tablet' end as devices
-from customer where c_custkey % 7 <> 0
+from customer
 """
 
 _DOC_KEY = ("concat(lang, '/', source, '/doc_', cast(doc_id as varchar), case doc_id % 4 when 0 then '.PNG' "
@@ -207,6 +209,17 @@ select {oid('k', 'f')}, review_id, greatest(customer_id, 0), greatest(product_id
 from src_reviews where k % 101 = 3 and k % 10 = 0
 """
 
+FIN_PROFILES_SRC = """
+select * replace (case when customer_id % 4 = 0 then 'Japan ' else country end as country,
+                  case when customer_id % 4 = 0 then 'gold' else tier end as tier)
+from src_profiles where customer_id % 10 <> 0
+"""
+
+FIN_CLICKS_SRC = """
+select * replace (case when cast(event_id as bigint) % 4 = 0 then ' purchase' else event_type end as event_type)
+from src_clicks where cast(event_id as bigint) % 10 <> 0
+"""
+
 BASE_CTES = {
     "src_customers": SRC_CUSTOMERS, "src_orders": SRC_ORDERS, "src_reviews": SRC_REVIEWS,
     "src_clicks": SRC_CLICKS, "src_profiles": SRC_PROFILES, "src_objects": SRC_OBJECTS,
@@ -221,6 +234,8 @@ BASE_CTES = {
     "fin_customers_src": FIN_CUSTOMERS_SRC,
     "f_customers": CLEAN_CUSTOMERS.replace("from src_customers", "from fin_customers_src"),
     "u_reviews": U_REVIEWS, "f_reviews": FIN_REVIEWS,
+    "fin_profiles_src": FIN_PROFILES_SRC, "f_profiles": CLEAN_PROFILES.replace("from src_profiles", "from fin_profiles_src"),
+    "fin_clicks_src": FIN_CLICKS_SRC, "f_clicks": CLEAN_CLICKS.replace("from src_clicks", "from fin_clicks_src"),
 }
 
 

@@ -28,8 +28,24 @@ def last_runs(runs: DataFrame, n: int = 10) -> DataFrame:
     return runs.orderBy(F.col("started_at").desc(), F.col("batch_id").desc()).limit(n)
 
 
+def last_runs_by_job(runs: DataFrame, n: int = 5) -> DataFrame:
+    """The last ``n`` runs of each job, days first, so that no group grows
+    with a job's whole history."""
+    run = F.struct("started_at", "batch_id", "status", "dq_issue_count")
+    newest = F.slice(F.sort_array(F.collect_list(run), asc=False), 1, n)
+    days = runs.groupBy("job_name", F.to_date("started_at").alias("day")).agg(newest.alias("r"))
+    top = F.slice(F.sort_array(F.flatten(F.collect_list("r")), asc=False), 1, n)
+    return days.groupBy("job_name").agg(top.alias("r")).select("job_name", F.inline("r"))
+
+
+def last_mart_days(by_day: DataFrame, day: str, n: int = 5) -> DataFrame:
+    """The last ``n`` days of a mart by day."""
+    return by_day.orderBy(F.col(day).desc()).limit(n)
+
+
 def last_failed_events(dead: DataFrame, n: int = 20) -> DataFrame:
-    """L4: most recent dead letters (source position as the order)."""
+    """L4: most recent dead letters, by the time they failed, then by source
+    position."""
     return dead.orderBy(F.col("failed_at").desc_nulls_last(), F.col("source_topic").desc(),
                         F.col("source_partition").desc(), F.col("source_offset").desc()).limit(n)
 

@@ -66,14 +66,18 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared lineage-cut folder.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (tests, local
-    runs) a fallback is created and registered.
+    Read from ``spark.checkpoint.dir``; only when it is unset and the session
+    is local (tests) a fallback is created and registered.  On a cluster a
+    machine's own folder would not be shared, so an unset one is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(
             spark.sparkContext, "getCheckpointDir") else None
     if not d:
+        local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
+        if not fallback and not local:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = fallback or tempfile.mkdtemp(prefix="riverbed-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

@@ -50,7 +50,8 @@ def _plain(*cols) -> Column:
 def review_json(df: DataFrame, _id: Column | None = None) -> Column:
     even = F.col("rating") % 2 == 0
     base = _plain((oid("_id") if _id is None else F.struct(_id.alias("$oid"))).alias("_id"), "review_id",
-                  "product_id", "rating", "status", "title", "tags")
+                  "product_id", "rating", "status", "title", "tags",
+                  F.concat(F.lit("extra-"), F.col("review_id")).alias("note"))      # a member that no cleaner names
     return with_members(base, [("customer_id", ejson_int(F.col("customer_id"), even)),
                                ("updated_at", ejson_date(F.col("updated_at"), even))])
 

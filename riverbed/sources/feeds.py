@@ -28,6 +28,18 @@ REVIEWS_TOPIC = f"{PREFIX}.reviewsdb.product_reviews"
 # Sequence numbers of the events generated per key (offset = key * 8 + seq).
 SEQ_R, SEQ_U, SEQ_D, SEQ_TOMBSTONE, SEQ_BAD, SEQ_DUP = 0, 1, 2, 3, 4, 5
 BAD_JSON_MOD, BAD_JSON_REM = 1009, 7          # malformed messages (orders)
+POISON_MOD, POISON_REM = 97, 13               # messages that no target can store (orders)
+# The poison messages' members, one kind for each of the keys' classes: (op, id, quantity, unit_price, order_date).
+POISON = [
+    ('"u"', None, "2", '"1.00"', "9223372036854775807"),
+    ('"u"', None, "2", '"1.00"', "1e30"),
+    ('"u"', None, "2", '"99999999999999999999"', "0"),
+    ("null", None, "2", '"1.00"', "0"),
+    ('"u"', "null", "2", '"1.00"', "0"),
+    ('"u"', None, "2", '"1.00"', '"not a time"'),
+    ('"u"', None, "3000000000", '"1.00"', "0"),
+    ('"u"', "9223372036854775808", "2", '"1.00"', "0"),
+]
 DUP_MOD, DUP_REM = 101, 3                     # duplicate business key (reviews)
 NO_AFTER_MOD, NO_AFTER_REM = 211, 9           # document upsert without after
 NO_ID_MOD, NO_ID_REM = 307, 11                # document delete without id
@@ -68,9 +80,21 @@ def order_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("id", r_img.alias("r_img"), u_img.alias("u_img"), "updated_at")
 
 
+def _poison(k: Column, ts: Column) -> Column:
+    """One of the poison messages as text, members in name order."""
+    kind = F.floor(k / POISON_MOD) % len(POISON)
+    out = F.lit(None).cast("string")
+    for i, (op, own_id, qty, price, date) in enumerate(POISON):
+        text = F.concat(F.lit('{"after":{"customer_id":1,"id":'), F.lit(own_id) if own_id else k.cast("string"),
+                        F.lit(f',"order_date":{date},"quantity":{qty},"unit_price":{price}' + '},"op":' + op + ',"ts_ms":'),
+                        ts.cast("string"), F.lit("}"))
+        out = F.when(kind == i, text).otherwise(out)
+    return out
+
+
 def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """r for every order, u for id % 3 == 0, d (+ tombstone) for id % 9 == 0,
-    and a malformed message for id % 1009 == 7."""
+    a malformed message for id % 1009 == 7 and a poison one for id % 97 == 13."""
     o = order_images(spark, sf_dir)
     k = F.col("id")
     wrap = k % 2 == 1
@@ -82,6 +106,7 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         _event(o.where(k % 9 == 0), ORDERS_TOPIC, k, SEQ_D,
                _envelope("d", F.col("u_img"), None, ts + 2, wrap)),
         _event(o.where(k % 9 == 0), ORDERS_TOPIC, k, SEQ_TOMBSTONE, F.lit(None).cast("string")),
+        _event(o.where(k % POISON_MOD == POISON_REM), ORDERS_TOPIC, k, SEQ_DUP, _poison(k, ts + 3)),
         _event(o.where(k % BAD_JSON_MOD == BAD_JSON_REM), ORDERS_TOPIC, k, SEQ_BAD,
                F.concat(F.lit('{"op": "u", "after": {"id": '), k.cast("string"), F.lit(", "))),
     ]
@@ -148,3 +173,62 @@ def reviews_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
            _doc_value("d", None, ts + 3, "product_reviews"), key=F.lit(None).cast("string")),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+PROFILES_TOPIC = f"{PREFIX}.reviewsdb.customer_profiles"
+CLICKS_TOPIC = f"{PREFIX}.reviewsdb.click_events"
+
+
+def _document_events(src: DataFrame, upd: DataFrame, render, topic: str, collection: str) -> DataFrame:
+    """r for every document, u for k % 4 == 0 and d for k % 10 == 0."""
+    k, ts = F.col("k"), F.lit(FX.EPOCH_2024_MS) + F.col("k")
+
+    def ev(df, seq, op, body, at):
+        return df.select(F.lit(topic).alias("topic"), (k % N_PARTITIONS).cast("int").alias("partition"), (k * 8 + seq).alias("offset"),
+                         _doc_key(F.col("_id")).alias("key"), _doc_value(op, body, at, collection).alias("value"))
+
+    return reduce(DataFrame.unionByName, [
+        ev(src.withColumn("body", render(src)), SEQ_R, "r", F.col("body"), ts),
+        ev(upd.withColumn("body", render(upd)).where(k % 4 == 0), SEQ_U, "u", F.col("body"), ts + 1),
+        ev(src.where(k % 10 == 0), SEQ_D, "d", None, ts + 2)])
+
+
+def profiles_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile documents; an update moves them to Japan and to gold."""
+    src = FX.src_profiles(spark, sf_dir).withColumn("k", F.col("customer_id"))
+    upd = src.withColumn("country", F.lit("Japan ")).withColumn("tier", F.lit("gold"))
+    return _document_events(src, upd, D.profile_json, PROFILES_TOPIC, "customer_profiles")
+
+
+def clicks_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Click documents; an update makes them purchases."""
+    src = FX.src_clicks(spark, sf_dir).withColumn("k", F.col("event_id").cast("bigint"))
+    upd = src.withColumn("event_type", F.lit(" purchase"))
+    return _document_events(src, upd, D.click_json, CLICKS_TOPIC, "click_events")
+
+
+def key_release_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews A and B of each order that take turns at a business key, in
+    positions of one partition; by order key modulo 3:
+
+    0: A claims, A moves to another key, B claims (free again),
+    1: A claims, B claims (held), A is deleted, B claims (free again),
+    2: A claims, B claims a key of its own, B moves to A's (held, B stays
+       where it is), a third, C, claims B's (held).
+    """
+    src = FX.src_reviews(spark, sf_dir).withColumn("k", F.col("review_id").cast("bigint"))
+    k, topic = F.col("k"), REVIEWS_TOPIC
+    own, other = F.col("review_id"), F.concat(F.col("review_id"), F.lit("-2"))
+    steps = {0: [("c", "a", own), ("u", "a", other), ("c", "b", own)],
+             1: [("c", "a", own), ("c", "b", own), ("d", "a", None), ("c", "b", own)],
+             2: [("c", "a", own), ("c", "b", other), ("u", "b", own), ("c", "c", other)]}
+    parts = []
+    for case, events in steps.items():
+        for seq, (op, who, key) in enumerate(events):
+            oid = F.concat(F.lit(who), F.lpad(F.lower(F.hex(k)), 23, "0"))
+            body = None if key is None else _json(F.struct(F.struct(oid.alias("$oid")).alias("_id"), key.alias("review_id")))
+            parts.append(src.where(k % 3 == case).select(
+                F.lit(topic).alias("topic"), (k % N_PARTITIONS).cast("int").alias("partition"), (k * 8 + seq).alias("offset"),
+                _doc_key(oid).alias("key"),
+                _doc_value(op, body, F.lit(FX.EPOCH_2024_MS) + k * 8 + seq, "product_reviews").alias("value")))
+    return reduce(DataFrame.unionByName, parts)

@@ -4,8 +4,9 @@ The reference pipeline reads customers/orders (relational), profiles/reviews/
 clicks (documents) and object listings.  These builders derive rows of the
 same shape -- including the messy values the cleaners must handle -- from the
 driver's parquet tables, so every query grows with the data.  Modulo rules on
-integer keys only *shape* values (missing rows, orphans, poison rows); nothing
-here samples or caps the input.
+integer keys only *shape* values (orphans, poison rows): every input row gives
+a row.  Orphans are orders, reviews and clicks whose customer key is shifted
+beyond every customer, and beyond 32 bits, since ids are BIGINT throughout.
 
 The SQL twins of these builders live in ``riverbed.plans.oracle``.
 """
@@ -20,6 +21,7 @@ from .tables import read_table
 # Epoch millis of 2024-01-01T00:00:00Z; base of derived customer timestamps.
 EPOCH_2024_MS = 1704067200000
 DAY_MS = 86_400_000
+ORPHAN_SHIFT = 5_000_000_000
 POISON_MOD, POISON_REM = 997, 5          # orders whose total overflows
 POISON_QTY, POISON_PRICE = 2_000_000_000, "99999999.99"
 
@@ -50,12 +52,11 @@ def src_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when(nk == 6, "japan").when(nk == 7, " singapore").when(nk == 8, "")
                .otherwise(F.lit(None).cast("string")))
     created = F.lit(EPOCH_2024_MS) + k * 60000
-    return (c.where(k % 13 != 0)
-            .select(k.cast("int").alias("id"),
+    return c.select(k.cast("bigint").alias("id"),
                     F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("full_name"),
                     email.alias("email"), phone.alias("phone"), country.alias("country"),
                     created.cast("bigint").alias("created_at"),
-                    (created + 3_600_000).cast("bigint").alias("updated_at")))
+                    (created + 3_600_000).cast("bigint").alias("updated_at"))
 
 
 def src_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,8 +67,8 @@ def src_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(F.col("o_orderstatus") == "F", "Delivered ").otherwise(F.lit(None).cast("string")))
     ms = epoch_ms(F.col("o_orderdate"))
     return o.select(
-        k.cast("int").alias("id"),
-        F.when(k % 53 == 0, F.lit(None).cast("int")).otherwise(F.col("o_custkey").cast("int")).alias("customer_id"),
+        k.cast("bigint").alias("id"),
+        F.when(k % 53 != 0, _maybe_orphan(F.col("o_custkey"), k % 13 == 0)).alias("customer_id"),
         F.concat(F.lit(" Product "), _s(k % 10), F.lit(" ")).alias("product_name"),
         F.when(poison, F.lit(POISON_QTY)).otherwise((k % 7 - 1).cast("int")).alias("quantity"),
         F.when(poison, F.lit(POISON_PRICE))
@@ -77,6 +78,10 @@ def src_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         (ms + DAY_MS).alias("updated_at"))
 
 
+def _maybe_orphan(customer: Column, orphan: Column) -> Column:
+    return customer.cast("bigint") + F.when(orphan, F.lit(ORPHAN_SHIFT)).otherwise(F.lit(0))
+
+
 # ------------------------------------------------------------------ documents
 def _oid(k: Column, prefix: str = "0") -> Column:
     return F.lpad(F.lower(F.hex(k.cast("bigint"))), 24, prefix)
@@ -91,12 +96,12 @@ def src_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         _oid(k).alias("_id"),
         _s(k).alias("review_id"),
-        F.col("o_custkey").cast("int").alias("customer_id"),
+        _maybe_orphan(F.col("o_custkey"), k % 17 == 0).alias("customer_id"),
         ((k * 7) % 500).cast("int").alias("product_id"),
         (k % 9 - 1).cast("int").alias("rating"),
         status.alias("status"),
         F.concat(F.lit(" Title "), _s(k % 13), F.lit(" ")).alias("title"),
-        F.array(F.lit(" fast "), F.lit("cheap"), F.lit(" fast"), F.lit("")).alias("tags"),
+        F.array(F.lit(" fast "), F.lit("cheap"), F.lit(" fast"), F.lit(""), F.concat(F.lit("t"), _s(k % 3))).alias("tags"),
         epoch_ms(F.col("o_orderdate")).alias("updated_at"))
 
 
@@ -109,7 +114,7 @@ def src_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         _oid(k).alias("_id"),
         _s(k).alias("event_id"),
-        F.col("user_id").cast("int").alias("customer_id"),
+        _maybe_orphan(F.col("user_id"), k % 19 == 0).alias("customer_id"),
         F.when(k % 41 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit(" "), F.col("event_type"))).alias("event_type"),
         (k % 500 + 1).cast("int").alias("product_id"),
         F.concat(F.lit("s"), _s(F.col("user_id"))).alias("session_id"),
@@ -129,9 +134,8 @@ def src_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(seg == "HOUSEHOLD", F.lit(None).cast("string")).otherwise("bronze"))
     devices = F.when(k % 3 == 0, F.array(F.lit(" mobile "), F.lit("web"), F.lit("mobile"), F.lit(" "))) \
                .otherwise(F.array(F.lit("tablet")))
-    return (c.where(k % 7 != 0)
-            .select(_oid(k).alias("_id"),
-                    k.cast("int").alias("customer_id"),
+    return c.select(_oid(k).alias("_id"),
+                    k.cast("bigint").alias("customer_id"),
                     F.concat(F.lit(" "), F.col("c_name"), F.lit(" ")).alias("full_name"),
                     country.alias("country"),
                     F.when(k % 5 == 0, F.lit(" books ")).otherwise(F.lit("toys")).alias("category"),
@@ -139,7 +143,7 @@ def src_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(k % 4 == 0, F.lit(" high")).otherwise(F.lit(None).cast("string")).alias("price_sensitivity"),
                     tier.alias("tier"),
                     F.floor(F.col("c_acctbal")).cast("int").alias("points"),
-                    devices.alias("devices")))
+                    devices.alias("devices"))
 
 
 # -------------------------------------------------------------------- objects

@@ -1,17 +1,20 @@
-"""Structured Streaming wiring.
+"""Structured Streaming wiring.
 
 ``readStream`` of a Kafka-shaped change feed -> ``foreachBatch`` that, per
 micro-batch:
 
-1. drops duplicate deliveries (T2) and caches the batch once (it feeds the
-   raw, dead-letter and state branches),
-2. appends accepted events to the raw audit log and rejected ones to the
-   dead-letter table -- both into a directory named by ``batch_id``, written
-   with overwrite, so a replayed batch replaces rather than duplicates (T1),
-3. merges keyed changes into the versioned stores (``operators.store``),
-4. refreshes the marts incrementally from the store versions before and
-   after the merge (consistent old/new snapshots, so any arrival order
-   converges to the full rebuild), and writes the new mart version.
+1. drops duplicate deliveries (T2), parses the batch once and writes the
+   parsed rows, which feed every later step,
+2. writes the raw audit log, the dead letters and the offsets into folders
+   named by the batch, overwriting what a dead attempt left there,
+3. merges keyed changes into the keyed tables (``operators.store``),
+4. refreshes the marts for what the batch touched, from the state that the
+   batch before committed and the state it makes itself,
+5. writes one commit that makes all of it current at once.
+
+A batch that has a commit is a no-op when it comes again; one that died before
+its commit starts again from the commit before it.  So the results are those
+of applying every batch once, wherever an attempt dies.
 
 Late data needs no watermark: a late event simply updates its key and its
 bucket is recomputed (T4).  The checkpoint replaces the consumer offset commit.
@@ -19,26 +22,28 @@ bucket is recomputed (T4).  The checkpoint replaces the consumer offset commit.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from ..functions import envelope as EV
 from ..operators import changes as CH
+from ..operators import clean as C
 from ..operators import incremental as IN
 from ..operators import marts as M
-from ..operators.store import HadoopFiles, KeyedStore
+from ..operators.store import Commits, KeyedStore
 from ..sources.feeds import FEED_SCHEMA
 
 
 def read_kafka(spark: SparkSession, bootstrap: str, topics: list[str], **options) -> DataFrame:
-    """Kafka source (needs the Kafka connector on the classpath)."""
+    """Kafka source (needs the Kafka connector on the classpath).  Keys
+    and values stay bytes, for the envelope's lenient decoding."""
     reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
               .option("subscribe", ",".join(topics)).option("startingOffsets", "earliest"))
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.load().select("topic", "partition", "offset",
-                                F.col("key").cast("string").alias("key"),
-                                F.col("value").cast("string").alias("value"))
+    return reader.load().select("topic", "partition", "offset", "key", "value")
 
 
 def read_feed_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -49,76 +54,76 @@ def read_feed_files(spark: SparkSession, path: str, max_files: int | None = None
     return r.parquet(path)
 
 
-class RelationalPipeline:
-    """Raw / clean / mart maintenance for the relational feed."""
+class Pipeline:
+    """What the three pipelines share: commits, batch folders, readers."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        self.fs = HadoopFiles(spark)
-        self._stores: dict[str, KeyedStore] = {}
+    def __init__(self, spark: SparkSession, root: str, batch_ts=None, group: str = "riverbed"):
+        self.spark, self.root, self.group = spark, root.rstrip("/"), group
+        self.batch_ts = batch_ts or (lambda batch_id: None)
+        self.commits = Commits(spark, self.root)
+        self.stores: dict[str, KeyedStore] = {}
+        #: Called with a step's name after each write; tests end an attempt there.
+        self.after = lambda step: None
 
-    def store(self, table: str, schema: StructType) -> KeyedStore:
-        if table not in self._stores:
-            self._stores[table] = KeyedStore(self.spark, f"{self.root}/clean/{table}", schema,
-                                             buckets=self.buckets)
-        return self._stores[table]
+    def store(self, name: str, schema=None) -> KeyedStore:
+        if name not in self.stores or (schema is not None and self.stores[name].schema is None):
+            self.stores[name] = KeyedStore(self.spark, self.root, name, schema)
+        return self.stores[name]
 
-    def mart_path(self, name: str) -> str:
-        return f"{self.root}/mart/{name}"
+    def state(self, name: str) -> DataFrame:
+        """The committed rows of a table, delete markers included."""
+        return self.store(name).state(self.commits.latest()["tables"].get(name))
 
-    def read_mart(self, name: str) -> DataFrame | None:
-        versions = sorted(n for n in self.fs.list_names(self.mart_path(name)) if n.startswith("batch="))
-        if not versions:
-            return None
-        return self.spark.read.parquet(f"{self.mart_path(name)}/{versions[-1]}")
+    def read_mart(self, name: str, commit: dict | None = None) -> DataFrame | None:
+        path = (commit or self.commits.latest())["marts"].get(name)
+        return self.spark.read.parquet(f"{self.root}/{path}") if path else None
+
+    def read_log(self, name: str) -> DataFrame:
+        """An append-only table's rows of committed batches."""
+        return self.spark.read.parquet(f"{self.root}/{name}").where(F.col("batch_id") <= self.commits.latest()["batch"])
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        batch = CH.dedupe_deliveries(batch).persist()
+        before = self.commits.latest()
+        if batch_id <= before["batch"]:
+            return                                          # committed already
+        tag = f"b{batch_id:010d}-{uuid.uuid4().hex[:8]}"
+        doc = {"batch": batch_id, "tables": dict(before["tables"]), "marts": dict(before["marts"])}
+        feed = CH.dedupe_deliveries(batch).persist()
         try:
-            self._process(batch, batch_id)
+            self._log("ops/offsets", CH.offset_ledger(feed), batch_id)
+            self._process(feed, batch_id, tag, before, doc)
         finally:
-            batch.unpersist()
-
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
-        parsed = {t: CH.parse_relational(batch, spec) for t, spec in CH.RELATIONAL.items()}
-        raw = CH.audit_log(parsed["customers"]).unionByName(CH.audit_log(parsed["orders"]))
-        raw.write.mode("overwrite").parquet(f"{self.root}/raw/cdc_events/batch_id={batch_id}")
-        dead = CH.dead_letters(parsed["customers"]).unionByName(CH.dead_letters(parsed["orders"]))
-        dead.write.mode("overwrite").parquet(f"{self.root}/ops/failed_events/batch_id={batch_id}")
-
-        changes = {t: CH.keyed_changes(parsed[t], spec) for t, spec in CH.RELATIONAL.items()}
-        stores = {t: self.store(t, changes[t].schema) for t in CH.RELATIONAL}
-        before = {t: stores[t].manifest()["version"] for t in stores}
-        applied = [stores[t].merge(changes[t], batch_id) for t in ("customers", "orders")]
-        spec_o, spec_c = CH.RELATIONAL["orders"], CH.RELATIONAL["customers"]
-        if not any(applied):
-            # replayed batch: state already applied; finish the marts if the
-            # earlier attempt died before writing them (full rebuild from state)
-            if not self.fs.exists(f"{self.mart_path('customer_summary')}/batch={batch_id:010d}"):
-                new_o = CH.current(stores["orders"].state(), spec_o)
-                new_c = CH.current(stores["customers"].state(), spec_c)
-                self._write_marts(M.daily_revenue(new_o, new_c), M.customer_summary(new_c, new_o), batch_id)
-            return
-        old_o = CH.current(stores["orders"].state(before["orders"]), spec_o)
-        old_c = CH.current(stores["customers"].state(before["customers"]), spec_c)
-        new_o = CH.current(stores["orders"].state(), spec_o)
-        new_c = CH.current(stores["customers"].state(), spec_c)
-        changed_o = changes["orders"].select(F.col("pk").cast("int").alias("id"))
-        changed_c = changes["customers"].select(F.col("pk").cast("int").alias("id"))
-        rev_old = self.read_mart("daily_revenue")
-        cs_old = self.read_mart("customer_summary")
-        if rev_old is None:
-            rev_new, cs_new = M.daily_revenue(new_o, new_c), M.customer_summary(new_c, new_o)
-        else:
-            rev_new = IN.revenue_refresh(rev_old, old_o, old_c, new_o, new_c, changed_o, changed_c)
-            cs_new = IN.customer_summary_refresh(cs_old, old_o, new_o, new_c, changed_o, changed_c)
-        self._write_marts(rev_new, cs_new, batch_id)
-
-    def _write_marts(self, rev: DataFrame, cs: DataFrame, batch_id: int) -> None:
-        """K9: each mart version is a new folder; readers take the newest
-        complete one (customer_summary is written last and marks completion)."""
-        rev.write.mode("overwrite").parquet(f"{self.mart_path('daily_revenue')}/batch={batch_id:010d}")
-        cs.write.mode("overwrite").parquet(f"{self.mart_path('customer_summary')}/batch={batch_id:010d}")
+            feed.unpersist()
+        self.commits.write(doc)
+        self.commits.fs.drop(f"{self.root}/_work/{tag}")
+
+    def _process(self, feed, batch_id, tag, before, doc) -> None:
+        raise NotImplementedError
+
+    def _log(self, name: str, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
+        self.after(name)
+
+    def _parsed(self, rows: DataFrame, name: str, tag: str) -> DataFrame:
+        """The batch's parsed rows as a written table (JSON is parsed once)."""
+        path = f"{self.root}/_work/{tag}/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _merge(self, name: str, changes: DataFrame, tag: str, doc: dict) -> dict | None:
+        """Merge into a table; returns its entry before the batch."""
+        old = doc["tables"].get(name)
+        entry = self.store(name, changes.schema).merge(changes, old, tag)
+        if entry["paths"]:
+            doc["tables"][name] = entry
+        self.after(f"merge {name}")
+        return old
+
+    def _mart(self, name: str, rows: DataFrame, tag: str, doc: dict) -> None:
+        path = f"mart/{name}/{tag}"
+        rows.write.mode("overwrite").parquet(f"{self.root}/{path}")
+        doc["marts"][name] = path
+        self.after(f"mart {name}")
 
     def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True,
               interval: str | None = None):
@@ -128,76 +133,93 @@ class RelationalPipeline:
         return w.start()
 
 
-class DocumentPipeline:
-    """Raw / clean / mart maintenance for one document collection's feed
-    (C2, K4-K7, Q14, M4-M6): duplicate business keys are checked against the
-    stored state, the collection store is merged, and the review mart is
-    refreshed for the products touched by the old or new image of every
-    changed document."""
-
-    def __init__(self, spark: SparkSession, root: str, collection: str = "product_reviews",
-                 columns: list[str] | None = None, buckets: int = 16):
-        self.spark, self.root, self.collection = spark, root.rstrip("/"), collection
-        self.columns = columns or CH.REVIEW_COLUMNS
-        self.buckets = buckets
-        self.fs = HadoopFiles(spark)
-        self._store: KeyedStore | None = None
-
-    def store(self, schema: StructType | None = None) -> KeyedStore:
-        if self._store is None:
-            self._store = KeyedStore(self.spark, f"{self.root}/clean/{self.collection}", schema,
-                                     buckets=self.buckets)
-        return self._store
-
-    def mart_path(self) -> str:
-        return f"{self.root}/mart/{self.collection}_summary"
+class RelationalPipeline(Pipeline):
+    """Raw / clean / mart maintenance for the relational feed."""
 
-    def read_mart(self) -> DataFrame | None:
-        versions = sorted(n for n in self.fs.list_names(self.mart_path()) if n.startswith("batch="))
-        return self.spark.read.parquet(f"{self.mart_path()}/{versions[-1]}") if versions else None
+    def _process(self, feed, batch_id, tag, before, doc) -> None:
+        parsed = {t: self._parsed(CH.parse_relational(feed, spec), t, tag) for t, spec in CH.RELATIONAL.items()}
+        logs = [CH.audit_log(p) for p in parsed.values()], [
+            CH.dead_letters(p, failed_at=self.batch_ts(batch_id), consumer_group=self.group) for p in parsed.values()]
+        self._log("raw/cdc_events", logs[0][0].unionByName(logs[0][1]), batch_id)
+        self._log("ops/failed_events", logs[1][0].unionByName(logs[1][1]), batch_id)
+        changes = {t: CH.keyed_changes(parsed[t], spec) for t, spec in CH.RELATIONAL.items()}
+        old = {t: self._merge(t, changes[t], tag, doc) for t in ("customers", "orders")}
 
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        batch = CH.dedupe_deliveries(batch).persist()
-        try:
-            self._process(batch, batch_id)
-        finally:
-            batch.unpersist()
+        def rows(table: str, entry: dict | None) -> DataFrame:
+            return CH.current(self.store(table).state(entry), CH.RELATIONAL[table])
 
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
-        parsed = CH.parse_documents(batch, self.collection).persist()
-        try:
-            probe = CH.document_changes(parsed, self.columns)
-            store = self.store(probe.schema)
-            m = store.manifest()
-            prior = store.state() if m["version"] else None
-            checked = CH.reject_duplicate_keys(parsed, self.collection, prior)
-            CH.dead_letters(checked).write.mode("overwrite").parquet(
-                f"{self.root}/ops/failed_events/batch_id={batch_id}")
-            changes = CH.document_changes(checked, self.columns)
-            if not store.merge(changes, batch_id):
-                if not self.fs.exists(f"{self.mart_path()}/batch={batch_id:010d}"):
-                    live = store.state().where(~F.col("_deleted"))
-                    M.product_review_summary(live).write.mode("overwrite").parquet(
-                        f"{self.mart_path()}/batch={batch_id:010d}")
+        new_o, new_c = (rows(t, doc["tables"].get(t)) for t in ("orders", "customers"))
+        rev, summary = self.read_mart("daily_revenue", before), self.read_mart("customer_summary", before)
+        if rev is None:
+            rev_new, summary_new = M.daily_revenue(new_o, new_c), M.customer_summary(new_c, new_o)
+        else:
+            old_o, old_c = rows("orders", old["orders"]), rows("customers", old["customers"])
+            changed_o, changed_c = (changes[t].select(F.col("pk").cast("bigint").alias("id")) for t in ("orders", "customers"))
+            rev_new = IN.revenue_refresh(rev, old_o, old_c, new_o, new_c, changed_o, changed_c)
+            summary_new = IN.customer_summary_refresh(summary, old_o, new_o, new_c, changed_o, changed_c)
+        self._mart("daily_revenue", rev_new, tag, doc)
+        self._mart("customer_summary", summary_new, tag, doc)
+
+
+class DocumentPipeline(Pipeline):
+    """Raw / clean / mart maintenance for the document feeds (C2, K4-K7, P8,
+    Q14, M4-M6): a state per collection that keeps each document as it came
+    beside its cleaned fields; duplicate business keys are checked against it;
+    the review, engagement and country marts are refreshed for the keys in the
+    old or new image of every changed document."""
+
+    def __init__(self, spark: SparkSession, root: str, collections: list[str] | None = None, **kw):
+        super().__init__(spark, root, **kw)
+        self.collections = collections or ["product_reviews"]
+
+    def clean(self, collection: str) -> DataFrame:
+        return self.state(collection).where(~F.col("_deleted"))
+
+    def raw(self, collection: str) -> DataFrame:
+        return CH.raw_documents(self.state(collection))
+
+    def _process(self, feed, batch_id, tag, before, doc) -> None:
+        dead, touched, old = [], {}, {}
+        for name in self.collections:
+            parsed = self._parsed(CH.parse_documents(feed, name), name, tag)
+            # a state table's schema is that of the changes
+            store = self.store(name, CH.document_changes(parsed, CH.DOC_COLUMNS[name]).schema)
+            prior = store.state(before["tables"][name]) if name in before["tables"] else None
+            checked = self._parsed(CH.reject_duplicate_keys(parsed, name, prior), f"{name}-checked", tag)
+            dead.append(CH.dead_letters(checked, failed_at=self.batch_ts(batch_id), consumer_group=self.group))
+            changes = CH.document_changes(checked, CH.DOC_COLUMNS[name], self.batch_ts(batch_id))
+            old[name] = self._merge(name, changes, tag, doc)
+            touched[name] = changes.select("pk").distinct()
+        log = dead[0]
+        for d in dead[1:]:
+            log = log.unionByName(d)
+        self._log("ops/failed_events", log, batch_id)
+        self._marts(touched, old, before, tag, doc)
+
+    def _marts(self, touched, old, before, tag, doc) -> None:
+        def live(name: str, entry: dict | None) -> DataFrame:
+            return self.store(name).state(entry).where(~F.col("_deleted"))
+
+        new = {n: live(n, doc["tables"].get(n)) for n in self.collections}
+        # images of the changed documents before and after, from their buckets only
+        images = {n: [self.store(n).near(e, touched[n]).where(~F.col("_deleted"))
+                      for e in (old[n], doc["tables"].get(n))] for n in self.collections}
+
+        def refresh(mart: str, key: str, sources: list[str], full) -> None:
+            was = self.read_mart(mart, before)
+            if was is None:
+                self._mart(mart, full(*[new[n] for n in sources]), tag, doc)
                 return
-            new_live = store.state().where(~F.col("_deleted"))
-            old = self.read_mart()
-            if old is None:
-                mart = M.product_review_summary(new_live)
-            else:
-                old_live = store.state(m["version"]).where(~F.col("_deleted"))
-                keys = changes.select("pk")
-                mart = IN.product_review_refresh(old, new_live, old_live.join(keys, "pk", "left_semi"),
-                                                 new_live.join(keys, "pk", "left_semi"))
-            mart.write.mode("overwrite").parquet(f"{self.mart_path()}/batch={batch_id:010d}")
-        finally:
-            parsed.unpersist()
+            keys = IN.affected_keys([i for n in sources for i in images[n]], key)
+            self._mart(mart, IN.replace_keys(was, full(*[new[n].join(keys, key, "left_semi") for n in sources]), keys, key), tag, doc)
 
-    def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True,
-              interval: str | None = None):
-        w = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "1 second")
-        return w.start()
+        if "product_reviews" in self.collections:
+            refresh("product_review_summary", "product_id", ["product_reviews"], M.product_review_summary)
+        if {"customer_profiles", "click_events", "product_reviews"} <= set(self.collections):
+            refresh("customer_engagement_summary", "customer_id",
+                    ["customer_profiles", "click_events", "product_reviews"], M.customer_engagement_summary)
+        if "customer_profiles" in self.collections:
+            refresh("country_profile_summary", "country", ["customer_profiles"], M.country_profile_summary)
 
 
 # Object events are flat JSON with fixed keys (D6): parsed with a fixed schema.
@@ -207,64 +229,34 @@ OBJECT_EVENT_SCHEMA = ("event_id string, event_type string, event_time string, s
                        "etag string, last_modified string")
 
 
-class ObjectPipeline:
-    """Object events -> validated clean metadata (upsert by ``object_id``)
-    -> object marts rebuilt once per micro-batch (S3, E1, K6, K13, M5, A8-A10).
-    ``batch_ts`` maps a batch id to its processing time (Q20: passed in)."""
-
-    def __init__(self, spark: SparkSession, root: str, batch_ts, buckets: int = 16):
-        from ..operators import clean as C
-        self.C = C
-        self.spark, self.root, self.batch_ts, self.buckets = spark, root.rstrip("/"), batch_ts, buckets
-        self.fs = HadoopFiles(spark)
-        self._store: KeyedStore | None = None
-
-    def store(self, schema: StructType | None = None) -> KeyedStore:
-        if self._store is None:
-            self._store = KeyedStore(self.spark, f"{self.root}/clean/object_metadata", schema,
-                                     buckets=self.buckets)
-        return self._store
-
-    def mart(self, name: str) -> DataFrame | None:
-        path = f"{self.root}/mart/{name}"
-        versions = sorted(n for n in self.fs.list_names(path) if n.startswith("batch="))
-        return self.spark.read.parquet(f"{path}/{versions[-1]}") if versions else None
-
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        C = self.C
-        b = CH.dedupe_deliveries(batch)
-        ev = b.select("topic", "partition", "offset", F.col("key").alias("key_text"),
-                      F.col("value").alias("value_text"),
-                      F.from_json("value", OBJECT_EVENT_SCHEMA).alias("e"),
-                      F.try_parse_json("value").isNull().alias("_bad"))
-        flat = ev.select("topic", "partition", "offset", "key_text", "value_text", "_bad", "e.*")
-        cleaned = C.clean_object_events(flat, self.batch_ts(batch_id))
-        cleaned = cleaned.join(flat.select("topic", "partition", "offset", "key_text", "value_text", "_bad"),
-                               ["topic", "partition", "offset"])
-        cleaned = cleaned.withColumn("_error", F.when(F.col("_bad"), F.lit(C.ERR_BAD_JSON)).otherwise(F.col("_error")))
-        cleaned = cleaned.persist()
-        try:
-            CH.dead_letters(cleaned).write.mode("overwrite").parquet(
-                f"{self.root}/ops/failed_events/batch_id={batch_id}")
-            good = cleaned.where(F.col("_error").isNull())
-            meta_cols = [c for c in good.columns if c not in
-                         ("topic", "partition", "offset", "key_text", "value_text", "_bad", "_error")]
-            changes = good.select(F.col("object_id").alias("pk"), F.struct("partition", "offset").alias("_pos"),
-                                  F.lit(False).alias("_deleted"), F.lit("u").alias("_op"), *meta_cols)
-            store = self.store(changes.schema)
-            if not store.merge(changes, batch_id) and \
-                    self.fs.exists(f"{self.root}/mart/object_storage_summary/batch={batch_id:010d}"):
-                return
-            meta = store.state().where(~F.col("_deleted"))
-            for name, fn in (("object_summary_by_type", M.object_summary_by_type),
-                             ("object_summary_by_day", M.object_summary_by_day),
-                             ("object_storage_summary", M.object_storage_summary)):
-                fn(meta).write.mode("overwrite").parquet(f"{self.root}/mart/{name}/batch={batch_id:010d}")
-        finally:
-            cleaned.unpersist()
-
-    def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True,
-              interval: str | None = None):
-        w = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "1 second")
-        return w.start()
+class ObjectPipeline(Pipeline):
+    """Object events -> raw events by ``event_id`` and validated clean metadata
+    by ``object_id`` -> object marts rebuilt once per micro-batch (S3, E1, K6,
+    K13, M5, A8-A10).  Events carry no commit time: they apply in the order of
+    batches, then of positions."""
+
+    def _process(self, feed, batch_id, tag, before, doc) -> None:
+        text = {c: EV.decode_text(feed, c) for c in ("key", "value")}
+        ev = feed.select("topic", "partition", "offset", text["key"].alias("key_text"), text["value"].alias("value_text"))
+        ev = ev.where(F.col("value_text").isNotNull()).withColumn("e", F.from_json("value_text", OBJECT_EVENT_SCHEMA))
+        flat = ev.select("topic", "partition", "offset", "key_text", "value_text",
+                         (F.try_parse_json("value_text").isNull() | ~F.ltrim("value_text").startswith("{")).alias("_bad"), "e.*")
+        ts = self.batch_ts(batch_id)
+        cleaned = C.clean_object_events(flat, ts, keep=["key_text", "value_text", "_bad"])
+        cleaned = self._parsed(cleaned.withColumn("_error", F.when(F.col("_bad"), F.lit(C.ERR_BAD_JSON)).otherwise(F.col("_error"))),
+                               "objects", tag)
+        self._log("ops/failed_events", CH.dead_letters(cleaned, failed_at=ts, consumer_group=self.group), batch_id)
+        good = cleaned.where(F.col("_error").isNull())
+        order = F.struct(F.lit(batch_id).cast("bigint").alias("batch"), "partition", "offset").alias("_pos")
+        raw = good.select(F.col("event_id").alias("pk"), order, F.lit(False).alias("_deleted"), F.lit("u").alias("_op"),
+                          "topic", "partition", "offset", F.col("value_text").alias("event"))
+        self._merge("raw_events", raw, tag, doc)
+        meta_cols = [c for c in good.columns if c not in
+                     ("topic", "partition", "offset", "key_text", "value_text", "_bad", "_error")]
+        changes = good.select(F.col("object_id").alias("pk"), order, F.lit(False).alias("_deleted"), F.lit("u").alias("_op"), *meta_cols)
+        self._merge("object_metadata", changes, tag, doc)
+        meta = self.store("object_metadata").state(doc["tables"].get("object_metadata")).where(~F.col("_deleted"))
+        for name, fn in (("object_summary_by_type", M.object_summary_by_type),
+                         ("object_summary_by_day", M.object_summary_by_day),
+                         ("object_storage_summary", M.object_storage_summary)):
+            self._mart(name, fn(meta), tag, doc)

@@ -65,8 +65,8 @@ def test_incremental_equals_full(spark, seed, cuts):
             rev, cs = M.daily_revenue(cur_o, cur_c), M.customer_summary(cur_c, cur_o)
         else:
             old_o, old_c = CH.current(st_o, so), CH.current(st_c, sc)
-            chg_o = ch_o.selectExpr("cast(pk as int) as id")
-            chg_c = ch_c.selectExpr("cast(pk as int) as id")
+            chg_o = ch_o.selectExpr("cast(pk as bigint) as id")
+            chg_c = ch_c.selectExpr("cast(pk as bigint) as id")
             rev = IN.revenue_refresh(rev, old_o, old_c, cur_o, cur_c, chg_o, chg_c)
             cs = IN.customer_summary_refresh(cs, old_o, cur_o, cur_c, chg_o, chg_c)
         rev, cs = rev.checkpoint(), cs.checkpoint()

@@ -1,5 +1,6 @@
 """Run ledger paths, object inventory listing, copy plan."""
 
+import hashlib
 import os
 
 import pytest
@@ -35,7 +36,11 @@ def test_inventory_listing_prunes_content(spark, tmp_root):
             with open(p, "wb") as f:
                 f.write(b"1234")
     inv = OB.object_inventory(spark, {b: os.path.join(tmp_root, b)
-                                      for b in ("clean-images", "clean-audio", "clean-missing")})
+                                      for b in ("clean-images", "clean-audio", "clean-missing")}, skip_missing=True)
+    with pytest.raises(Exception):                          # a target listing fails loudly
+        OB.object_inventory(spark, {"clean-missing": os.path.join(tmp_root, "clean-missing")})
+    etag = OB.object_inventory(spark, {"clean-audio": os.path.join(tmp_root, "clean-audio")}, with_etag=True).first()["etag"]
+    assert etag == hashlib.md5(b"1234").hexdigest()
     rows = sorted((r["bucket"], r["object_key"], r["size_bytes"]) for r in inv.collect())
     assert rows == [("clean-audio", "z.wav", 4), ("clean-images", "a/x.png", 4), ("clean-images", "y.png", 4)]
     plan = inv._jdf.queryExecution().executedPlan().toString()
