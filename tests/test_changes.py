@@ -1,12 +1,14 @@
 """Change application: dead letters, replay, ordering, store versions."""
 
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from riverbed.operators import changes as CH
 from riverbed.operators import clean as C
-from riverbed.operators.store import KeyedStore
+from riverbed.operators.store import Commits, KeyedStore
 from riverbed.sources.feeds import FEED_SCHEMA
 
 T = "shop.public.orders"
@@ -85,32 +87,148 @@ def test_duplicate_delivery_dropped(spark):
     assert CH.audit_log(parsed).count() == 1
 
 
-def test_store_versions_and_replay(spark, tmp_root):
+def _changes(spark, rows):
     spec = CH.RELATIONAL["orders"]
-    ch1 = CH.keyed_changes(CH.parse_relational(feed(spark, [msg(i, "c", order(i), pk=i) for i in range(20)]), spec), spec)
-    ch2 = CH.keyed_changes(CH.parse_relational(feed(spark, [msg(100, "d", None, before=order(3), pk=3),
-                                                            msg(101, "u", order(4, quantity=9), pk=4)]), spec), spec)
-    store = KeyedStore(spark, tmp_root, ch1.schema, buckets=4)
-    assert store.merge(ch1, 0)
-    v1 = store.manifest()["version"]
-    assert store.merge(ch2, 1)
-    assert not store.merge(ch2, 1)                          # replay of batch 1 is a no-op
-    assert store.manifest()["version"] == v1 + 1
-    cur = {r["id"]: r["quantity"] for r in CH.current(store.state(), spec).collect()}
-    assert len(cur) == 19 and 3 not in cur and cur[4] == 9
-    old = {r["id"] for r in CH.current(store.state(v1), spec).collect()}
-    assert 3 in old and len(old) == 20                      # previous version still readable
+    return CH.keyed_changes(CH.parse_relational(feed(spark, rows), spec), spec)
 
 
-def test_document_rules(spark):
+def _quantities(state):
+    return {r["id"]: r["quantity"] for r in CH.current(state, CH.RELATIONAL["orders"]).collect()}
+
+
+def test_store_versions_stay_readable(spark, tmp_root):
+    ch1 = _changes(spark, [msg(i, "c", order(i), pk=i) for i in range(20)])
+    ch2 = _changes(spark, [msg(100, "d", None, before=order(3), pk=3), msg(101, "u", order(4, quantity=9), pk=4)])
+    store = KeyedStore(spark, tmp_root, "orders", ch1.schema)
+    one = store.merge(ch1, None, "b0")
+    two = store.merge(ch2, one, "b1")
+    now = _quantities(store.state(two))
+    assert len(now) == 19 and 3 not in now and now[4] == 9 and two["rows"] == 20
+    assert len(_quantities(store.state(one))) == 20            # the version before
+    assert _quantities(store.near(two, ch2)) == {4: 9}
+    assert store.state(None).count() == 0
+
+
+def test_store_rewrites_only_touched_buckets(spark, tmp_root):
+    ch1 = _changes(spark, [msg(i, "c", order(i), pk=i) for i in range(40)])
+    store = KeyedStore(spark, tmp_root, "orders", ch1.schema, least_buckets=8)
+    one = store.merge(ch1, None, "b0")
+    two = store.merge(_changes(spark, [msg(100, "u", order(7, quantity=9), pk=7)]), one, "b1")
+    assert len([b for b in two["paths"] if two["paths"][b] != one["paths"].get(b)]) == 1
+    now = _quantities(store.state(two))
+    assert len(now) == 40 and now[7] == 9
+
+
+def test_buckets_grow_with_the_table(spark, tmp_root):
+    ch1 = _changes(spark, [msg(i, "c", order(i), pk=i) for i in range(30)])
+    store = KeyedStore(spark, tmp_root, "orders", ch1.schema, bucket_rows=5, least_buckets=2)
+    one = store.merge(ch1, None, "b0")
+    assert one["buckets"] == 8                                 # 30 rows, at most 5 a bucket on average
+    two = store.merge(_changes(spark, [msg(100 + i, "c", order(30 + i), pk=30 + i) for i in range(20)]), one, "b1")
+    three = store.merge(_changes(spark, [msg(200, "u", order(1, quantity=8), pk=1)]), two, "b2")
+    assert three["buckets"] == 16 and three["rows"] == 50      # a merge after it has grown spreads the rows anew
+    now = _quantities(store.state(three))
+    assert len(now) == 50 and now[1] == 8
+
+
+def test_commits(spark, tmp_root):
+    c = Commits(spark, tmp_root, keep=2)
+    assert c.latest() == Commits.NONE
+    for b in range(4):
+        path = f"mart/m/b{b}"
+        spark.range(b + 1).write.parquet(f"{tmp_root}/{path}")
+        c.write({"batch": b, "tables": {}, "marts": {"m": path}})
+    assert c.latest()["batch"] == 3 and c.get(2)["marts"] == {"m": "mart/m/b2"}
+    assert [c.fs.exists(f"{tmp_root}/mart/m/b{b}") for b in range(4)] == [False, False, True, True]
+    with pytest.raises(Exception):                             # a batch is committed once
+        c.write({"batch": 3, "tables": {}, "marts": {}})
+
+
+def test_poison_values_are_dead_lettered(spark):
+    bad = [order(1, order_date=9223372036854775807), order(2, order_date=1e30), order(3, unit_price="99999999999999999999"),
+           order(4, unit_price="1e400"), order(5, updated_at=-1e18), order(6, customer_id=2 ** 63), order(7, quantity=1e30)]
+    parsed = CH.parse_relational(feed(spark, [msg(i, "c", o, pk=o["id"]) for i, o in enumerate(bad)]), CH.RELATIONAL["orders"])
+    dead = [r["error_message"] for r in CH.dead_letters(parsed).orderBy("source_offset").collect()]
+    assert dead == [C.ERR_TIMESTAMP, C.ERR_TIMESTAMP, C.ERR_NUMERIC_OVERFLOW, C.ERR_NUMERIC_OVERFLOW, C.ERR_TIMESTAMP,
+                    C.ERR_INT_RANGE, C.ERR_INT_RANGE]
+
+
+def test_payload_member_decides_the_envelope(spark):
+    inner = {"op": "c", "before": None, "after": order(1), "ts_ms": 5}
+    rows = [msg(1, None, value=json.dumps({"payload": inner})), msg(2, None, value=json.dumps({"payload": {"after": order(2)}, "op": "c"})),
+            msg(3, None, value=json.dumps({"payload": None, "op": "c", "after": order(3)}))]
+    parsed = CH.parse_relational(feed(spark, rows), CH.RELATIONAL["orders"])
+    assert {r["offset"]: r["_error"] for r in parsed.collect()} == {1: None, 2: C.ERR_NO_OP, 3: C.ERR_BAD_JSON}
+
+
+def test_invalid_utf8_is_replaced_not_fatal(spark):
+    value = json.dumps({"op": "c", "after": order(1), "ts_ms": 1}).encode().replace(b" p ", b" \xff ")
+    df = spark.createDataFrame([(T, 0, 1, b"\xfe", value)], "topic string, partition int, offset bigint, key binary, value binary")
+    row = CH.parse_relational(df, CH.RELATIONAL["orders"]).first()
+    assert row["_error"] is None and row["product_name"] == "\ufffd" and row["key_text"] == "\ufffd"
+
+
+def test_a_key_that_moved_to_a_lower_partition_is_updated(spark):
+    st = _state(spark, [msg(100, "c", order(1, quantity=1), pk=1, partition=3)])
+    st = _state(spark, [msg(200, "u", order(1, quantity=2), pk=1, partition=1)], st)
+    assert _quantities(st) == {1: 2}
+
+
+def dmsg(off, op, doc=None, oid=None):
     from riverbed.sources import feeds as FD
-    topic = FD.REVIEWS_TOPIC
+    key = json.dumps({"id": json.dumps({"$oid": oid})}) if oid else None
+    return (FD.REVIEWS_TOPIC, 0, off, key, json.dumps({"op": op, "after": json.dumps(doc) if doc is not None else None, "ts_ms": off,
+                                                       "source": {"db": "x", "collection": "product_reviews"}}))
+
+
+def replayed(events):
+    """Event-at-a-time processing: (offsets rejected, key of each live id)."""
+    held, rejected = {}, []
+    for off, op, i, key in events:
+        if op == "d":
+            held.pop(i, None)
+        elif key is not None and any(k == key and j != i for j, k in held.items()):
+            rejected.append(off)
+        else:
+            held[i] = key
+    return rejected, held
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_duplicate_keys_do_not_depend_on_batches(spark, seed):
+    rng = random.Random(seed)
+    events = [(n, rng.choice("ccud"), rng.choice("abcde") * 24, rng.choice(["r1", "r2", "r3", None])) for n in range(40)]
+    rows = [dmsg(n, op, None if op == "d" else {"_id": {"$oid": i}, "review_id": key}, i) for n, op, i, key in events]
+    want = replayed(events)
+    for cuts in ([40], [7, 18, 40]):
+        state, dead, at = None, [], 0
+        for to in cuts:
+            parsed = CH.reject_duplicate_keys(CH.parse_documents(feed(spark, rows[at:to]), "product_reviews"), "product_reviews", state)
+            dead += [r["source_offset"] for r in CH.dead_letters(parsed).collect()]
+            state = CH.fold(CH.document_changes(parsed, CH.REVIEW_COLUMNS), state).checkpoint()
+            at = to
+        live = {r["pk"]: r["review_id"] for r in state.where(~F.col("_deleted")).collect()}
+        assert (sorted(dead), live) == want
+
+
+def test_documents_keep_what_no_cleaner_names(spark):
+    doc = {"_id": {"$oid": "a" * 24}, "review_id": "r", "rating": 1, "votes": [1, 2], "nested": {"x": None}}
+    parsed = CH.parse_documents(feed(spark, [dmsg(1, "c", doc, "a" * 24)]), "product_reviews")
+    raw = CH.raw_documents(CH.fold(CH.document_changes(parsed, CH.REVIEW_COLUMNS))).first()
+    assert json.loads(raw["document"]) == doc and raw["_cdc"]["op"] == "c"
+
+
+def test_bad_document_values_are_dead_lettered(spark):
+    def doc(**kw):
+        return {"_id": {"$oid": "a" * 24}, "review_id": "r", **kw}
+    docs = [doc(updated_at={"$date": 9223372036854775807}), doc(updated_at={"$date": {"$numberLong": "9" * 23}}),
+            doc(updated_at={"$date": "no date"}), doc(rating=1e30), doc(rating=-1e30), doc(customer_id=1e30), doc(updated_at="no date")]
+    parsed = CH.parse_documents(feed(spark, [dmsg(n, "u", d, "a" * 24) for n, d in enumerate(docs)]), "product_reviews")
+    got = {r["offset"]: (r["_error"], r["rating"]) for r in parsed.collect()}
+    assert got == {0: (C.ERR_DATE, 0), 1: (C.ERR_DATE, 0), 2: (C.ERR_DATE, 0), 3: (None, 5), 4: (None, 0), 5: (C.ERR_BIGINT, 0), 6: (None, 0)}
 
-    def dmsg(off, op, doc=None, oid=None):
-        key = json.dumps({"id": json.dumps({"$oid": oid})}) if oid else None
-        after = json.dumps(doc) if doc is not None else None
-        return (topic, 0, off, key, json.dumps({"op": op, "after": after,
-                                                "source": {"db": "x", "collection": "product_reviews"}}))
+
+def test_document_rules(spark):
     a = {"_id": {"$oid": "a" * 24}, "review_id": "r1", "customer_id": {"$numberInt": "3"}, "rating": 9, "status": " approved "}
     b = {"_id": {"$oid": "b" * 24}, "review_id": "r1", "rating": 1}
     rows = [dmsg(1, "c", a, "a" * 24), dmsg(2, "c", b, "b" * 24), dmsg(3, "u", None, "a" * 24),
@@ -120,18 +238,3 @@ def test_document_rules(spark):
     assert dead == {2: C.ERR_DUP_KEY, 3: C.ERR_NO_AFTER, 4: C.ERR_NO_DOC_ID}
     rows_ = st.where(~F.col("_deleted")).collect()
     assert [(r["pk"], r["rating"], r["status"], r["customer_id"]) for r in rows_] == [("a" * 24, 5, "APPROVED", 3)]
-
-
-def test_store_rewrites_only_touched_buckets(spark, tmp_root):
-    spec = CH.RELATIONAL["orders"]
-    ch1 = CH.keyed_changes(CH.parse_relational(feed(spark, [msg(i, "c", order(i), pk=i) for i in range(40)]), spec), spec)
-    store = KeyedStore(spark, tmp_root, ch1.schema, buckets=8)
-    store.merge(ch1, 0)
-    first = store.manifest()["buckets"]
-    ch2 = CH.keyed_changes(CH.parse_relational(feed(spark, [msg(100, "u", order(7, quantity=9), pk=7)]), spec), spec)
-    store.merge(ch2, 1)
-    second = store.manifest()["buckets"]
-    changed = [b for b in second if second[b] != first.get(b)]
-    assert len(changed) == 1                                  # one key -> one bucket rewritten
-    cur = {r["id"]: r["quantity"] for r in CH.current(store.state(), spec).collect()}
-    assert len(cur) == 40 and cur[7] == 9
