@@ -1,4 +1,5 @@
 import array
+import random
 
 import public_tokenizers as P
 import pytest
@@ -10,7 +11,7 @@ from riverbed.llm.tokens import Encoder
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 ENC = {f: Encoder(P.path(f), units=50, pieces=50) for f in FILES}       # small caches, so that they turn over
 PARTS = ["a", "B", "é", "É", "İ", "ı", "ſ", "Σ", "σς", " ", "  ", "\n", "\t", "\x1c", "\x85", " ", "​", "　", "'s", "'S", "!", "<|endoftext|>",
-         "<", "|", "1", "²", "½", "日本", "é", "́", "🙂", "\r\n", "ǅ", "µ", "ª", "·", "­", "-", "don't", " \n ", "hello", "WORLD"]
+         "<", "|", "1", "²", "½", "日本", "é", "́", "🙂", "\r\n", "ǅ", "µ", "ª", "·", "­", "-", "don't", " \n ", "hello", "WORLD", ".", ",", ". ", ", ", "*", "×", "¿"]
 
 
 def whole(enc, text):
@@ -19,7 +20,17 @@ def whole(enc, text):
 
 @pytest.mark.parametrize("file", FILES)
 def test_known_kinds(file):
-    assert ENC[file].kind is not None
+    assert ENC[file].kind is not None and (ENC[file].fast is not None) == file.startswith("byte")
+
+
+def test_units_of_byte_level_files_too():
+    """The unit route, which texts of other characters take, on every text."""
+    slow = Encoder(P.path(FILES[0]), units=50, pieces=50)
+    slow.fast = None
+    rng = random.Random(2)
+    for _ in range(4000):
+        text = "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 12)))
+        assert slow.encode(text) == whole(slow, text) == ENC[FILES[0]].encode(text)
 
 
 @pytest.mark.parametrize("file", FILES)
