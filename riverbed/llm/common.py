@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from riverbed.session import checkpoint_dir
 
 
+ARROW_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,6 +33,11 @@ def ship_package(spark: SparkSession) -> None:
     server, once per SparkContext.  Functions of the operators are then
     imported on the workers (and keep their per-process caches) wherever the
     driver found the package."""
+    # documents are long rows: batches of the default 10,000 rows would be tens
+    # of megabytes, held several times over by each worker
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, str(ARROW_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_riverbed_shipped", False):
         return

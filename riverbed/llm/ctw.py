@@ -110,7 +110,7 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     for k in range(8):
         shift += np.log(x + k)
     y = x + 8
-    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - shift
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7) + 1 / (1188 * y ** 9) - shift
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:

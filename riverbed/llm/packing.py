@@ -8,7 +8,7 @@ round, over blocks of such pieces.
 
 The rule wants gaps of every size open, so it does badly on items that come
 sorted, and items that come at random leave large ones for the end.  Items
-come by quarters of the capacity, largest first, and in random order within.
+come by 64 classes of size, largest first, and in random order within.
 """
 
 from __future__ import annotations
@@ -134,7 +134,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, most: int = 1024, id_col:
     cut_up = written(pieces(docs, path, end_id, most, id_col, text, with_ids)
                      .withColumn("item", F.monotonically_increasing_id()), "packing")
     part = cut_up.where(F.col("length") < most).select("item", F.col("length").alias("size"))
-    first = written(_packed(part, most, block_rows, 4).join(part, "item"), "packing")
+    first = written(_packed(part, most, block_rows, 64).join(part, "item"), "packing")
     left = written(first.where(F.col("filled") < most).select("item", "size"), "packing")
     again = _packed(left, most, block_rows, most)
     # three ranges of numbers: filled in the first round, packed again, whole pieces

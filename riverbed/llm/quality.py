@@ -259,8 +259,18 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text:
     got = written(measures(docs, [id_col], text), "quality")
     forest = fit(got, labels, id_col, **how)
     cols = docs.columns
-    fresh = measures(docs, [*cols], text)
-    ok = fresh.where(~base_failed()).select(*[f"c{i}" for i in range(len(cols))], "stats")
-    if forest:
-        ok = _with_score(ok, forest).where(F.floor(F.col("score") * _STEPS) / _STEPS < F.lit(forest.threshold))
-    return ok.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])
+    base = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)])
+    bc = docs.sparkSession.sparkContext.broadcast(forest)
+    ok = base.mapInArrow(_kept(bc, cols.index(text)), ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(base.schema.fields)))
+    return ok.toDF(*cols)
+
+
+def _kept(bc, text_at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [measure(t) for t in utf8(b.column(text_at))]
+            ok = np.array([g[0][0] >= 50 and 100 * g[0][4] <= 50 * g[0][0] for g in got], bool)
+            if bc.value is not None and ok.any():
+                ok[ok] = np.floor(bc.value.scores(np.array([g[1] for g in got])[ok]) * _STEPS) / _STEPS < bc.value.threshold
+            yield b.filter(pa.array(ok))
+    return run

@@ -76,11 +76,14 @@ def test_sum_of_squares_rule():
 
 
 def test_waste_is_small():
+    """One round, in the order that ``pack`` takes: within 1 % of full for
+    sizes like those of documents, 4 % where half of all items fill over half
+    a sequence."""
     rng = np.random.default_rng(1)
-    sizes = rng.integers(1, 1025, 20_000)
-    sizes = sizes[np.lexsort((rng.random(len(sizes)), -(sizes * 4 // 1024)))]
-    bins, _ = K.sum_of_squares(sizes, 1024)
-    assert bins.max() + 1 <= 1.01 * sizes.sum() / 1024 + 1
+    for sizes, most in ((np.minimum(1023, rng.exponential(250, 20_000).astype(int) + 1), 1.01), (rng.integers(1, 1024, 20_000), 1.04)):
+        sizes = sizes[np.lexsort((rng.random(len(sizes)), -(sizes * 64 // 1024)))]
+        bins, _ = K.sum_of_squares(sizes, 1024)
+        assert bins.max() + 1 <= most * sizes.sum() / 1024 + 1
 
 
 def test_cut():
