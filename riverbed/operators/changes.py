@@ -239,8 +239,10 @@ def reject_duplicate_keys(parsed: DataFrame, collection: str,
     pairs = materialize(claims.join(contended, "key", "left_semi").select("id", "key").distinct())
     if not pairs.take(1):
         return parsed
-    rejected = events.join(_contention_groups(pairs), "id").groupBy("group").applyInPandas(
-        _replay_claims, "topic string, partition int, offset bigint")
+    # groups share no id and no key, so one call can replay many of them
+    n = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rejected = (events.join(_contention_groups(pairs), "id").groupBy(F.pmod(F.xxhash64("group"), F.lit(n)))
+                .applyInPandas(_replay_claims, "topic string, partition int, offset bigint"))
     return (parsed.join(rejected.withColumn("_dup", F.lit(True)), ["topic", "partition", "offset"], "left")
             .withColumn("_error", F.coalesce(F.col("_error"), F.when(F.col("_dup"), F.lit(C.ERR_DUP_KEY)))).drop("_dup"))
 
