@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from riverbed.plans.catalog import ORACLE, QUERIES  # noqa: E402
 
-SLOW = {"stream_orders_available_now", "stream_revenue_available_now"}
+SLOW = {"stream_orders_available_now", "stream_revenue_available_now", "doc_country_incremental"}
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
