@@ -3,6 +3,7 @@ import importlib.util
 import pytest
 
 import corpus_pipeline as P
+from pyspark.sql import functions as F
 from riverbed.llm import decontaminate, packing, quality, secrets, simhash
 from test_decontaminate import brute as brute_hits
 from test_packing import check as check_packing
@@ -11,6 +12,7 @@ from test_quality import failed
 from test_secrets import brute as brute_secrets
 from test_simhash import brute_fp
 
+SECRET = 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"'
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -70,14 +72,18 @@ def test_decontamination_stage(spark, sf, stages):
         assert bool(brute_hits(before[d]["text"], items)[1]) == (d in bad)
 
 
-def test_secret_stage(stages):
+def test_secret_stage(spark, sf, stages):
     before, after = rows(stages[3]), rows(stages[4])
     assert set(after) == set(before)
-    for d, r in after.items():
-        assert not brute_secrets(r["text"]) and r["n_chars"] == len(r["text"]) or r["text"] == before[d]["text"]
-        if not brute_secrets(before[d]["text"]) and "[SECRET]" not in r["text"]:
-            assert r == before[d]
-    assert any("[SECRET]" in r["text"] for r in after.values())
+    planted = stages[3].withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" " + SECRET))).otherwise(F.col("text")))
+    for was, now in ((before, after), (rows(planted), rows(P.STAGES[3][1](spark, planted, sf)))):
+        for d, r in now.items():
+            assert not brute_secrets(r["text"])
+            if "[SECRET]" in r["text"]:
+                assert r["n_chars"] == len(r["text"])
+            else:
+                assert r == was[d] and not brute_secrets(was[d]["text"])
+    assert {d for d, r in now.items() if "[SECRET]" in r["text"]} >= {d for d in now if d % 3 == 0} != set()
 
 
 def test_packing_stage(stages):
