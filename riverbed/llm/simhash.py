@@ -21,7 +21,7 @@ found by star contraction (``components``).
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,7 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     digest = xxhash.xxh64_intdigest
     ones, n = np.zeros(64, np.int64), 0
     while True:
-        h = np.fromiter((digest(g, seed) for g, _ in zip(grams, range(_CHUNK))), "<u8")
+        h = np.fromiter((digest(g, seed) for g in islice(grams, _CHUNK)), "<u8")
         if not len(h):
             break
         n += len(h)

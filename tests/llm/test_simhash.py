@@ -63,6 +63,34 @@ def test_edge_rows_equal_brute_force(edge, clashing):
         assert got == want
 
 
+def test_long_texts_count_every_shingle(monkeypatch):
+    """Around the chunk's length and its multiples, every shingle is hashed
+    once and the fingerprint is that of all of them."""
+    taken = []
+    digest = xxhash.xxh64_intdigest
+    monkeypatch.setattr(S.xxhash, "xxh64_intdigest", lambda g, seed: taken.append(g) or digest(g, seed))
+    rng = random.Random(9)
+    for n in (32768, 32769, 65536, 65538, 100_000, 131_076):
+        words = [f"{rng.getrandbits(40):x}" for _ in range(n + 2)]
+        grams = [" ".join(g).encode() for g in zip(words, words[1:], words[2:])]
+        taken.clear()
+        got = S.fingerprint(" ".join(words).encode())
+        assert taken == grams and len(taken) == n
+        bits = np.unpackbits(np.array([digest(g, 42) for g in grams], "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        assert got == sum(1 << b for b in np.flatnonzero(2 * bits.sum(axis=0, dtype=np.int64) > n).tolist())
+
+
+def test_long_texts_equal_brute_force():
+    """Random texts of more than two chunks; a shingle lost in each would
+    change some of their fingerprints."""
+    rng = random.Random(3)
+    for n in [32769, 65538, 100_001] * 4:
+        words = [f"w{rng.randrange(1 << 30):x}" for _ in range(n + 2)]
+        hashes = np.array([xxhash.xxh64_intdigest(" ".join(g).encode(), 42) for g in zip(words, words[1:], words[2:])], np.uint64)
+        want = sum(1 << b for b in range(64) if 2 * int((hashes >> np.uint64(b) & np.uint64(1)).sum()) > n)
+        assert S.fingerprint(" ".join(words).encode()) == want
+
+
 def test_query_equals_brute_force(spark, sf, docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     got = sorted(((r["doc_id"], int(r["fingerprint"], 16), r["component_id"]) for r in op2_simhash_dedup(spark, sf).collect()), key=repr)
