@@ -10,11 +10,12 @@ aggregate, so a hot key is combined map-side rather than sorted in one task.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Callable
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import envelope as EV
@@ -67,6 +68,8 @@ def parse_relational(feed: DataFrame, spec: TableSpec) -> DataFrame:
 #: one key's events also after it moved to another partition of a topic that
 #: was given more of them.
 POSITION = ["ts_ms", "partition", "offset"]
+#: Where a message lies: its identity.
+WHERE = ["topic", "partition", "offset"]
 
 
 def position() -> Column:
@@ -173,25 +176,51 @@ def parse_documents(feed: DataFrame, collection: str) -> DataFrame:
             .where(known | F.col("_error").isNotNull()))            # Q7: unknown ops ignored
 
 
-def _replay_claims(events: pd.DataFrame) -> pd.DataFrame:
-    """Events of ids that contend for keys, in position order: an upsert whose
-    key another live id holds is rejected and changes nothing; an accepted one
-    releases the id's former key, a delete releases its key."""
-    rows = events.sort_values(["stored", "ts_ms", "partition", "offset"], ascending=[False, True, True, True],
-                              na_position="first")
+def _replay_claims(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rejected of (group, id, key, topic, partition, offset) rows that
+    come by group and position: a claim on a key that another live id holds is
+    rejected and changes nothing; any other row releases the id's former key.
+    Holds the live holders of one group, never its rows."""
+    group: str | None = None
     holder: dict = {}
     held: dict = {}
-    rejected = []
-    for r in rows.itertuples(index=False):
-        if not r.deleted and r.key is not None and holder.get(r.key, r.id) != r.id:
-            rejected.append((r.topic, r.partition, r.offset))
-            continue
-        old = held.pop(r.id, None)
-        if old is not None:
-            del holder[old]
-        if not r.deleted and r.key is not None:
-            holder[r.key], held[r.id] = r.id, r.key
-    return pd.DataFrame(rejected, columns=["topic", "partition", "offset"])
+    for b in batches:
+        rejected = []
+        for n, (g, i, key) in enumerate(zip(*(b.column(c).to_pylist() for c in ("group", "id", "key")))):
+            if g != group:
+                group, holder, held = g, {}, {}
+            if key is not None and holder.get(key, i) != i:
+                rejected.append(n)
+                continue
+            old = held.pop(i, None)
+            if old is not None:
+                del holder[old]
+            if key is not None:
+                holder[key], held[i] = i, key
+        lost = b.take(pa.array(rejected, pa.int64()))
+        yield pa.RecordBatch.from_arrays([lost.column(c) for c in WHERE], names=WHERE)
+
+
+def _contended(events: DataFrame, *more: Column) -> DataFrame:
+    """The keys that two or more ids claim (a partial aggregate)."""
+    return (events.where(F.col("key").isNotNull()).groupBy("key")
+            .agg(F.min("id").alias("a"), F.max("id").alias("b"), *more).where("a <> b").drop("a", "b"))
+
+
+def _settled(events: DataFrame) -> DataFrame:
+    """``events`` with ``lost``: claims that are rejected whatever else happens.
+    The first claim on a key finds it free, and its id holds the key until its
+    own next event that is no claim on it; claims of others up to then are
+    lost.  They change nothing, so what is left can be replayed without them.
+    The hot key is an aggregate and a join with one row of its own."""
+    back = Window.partitionBy("id").orderBy(F.col("pos").desc())
+    events = events.withColumn("_turn", F.when(~F.col("key").eqNullSafe(F.lead("key").over(back)), F.col("pos")))
+    events = events.withColumn("until", F.last("_turn", ignorenulls=True).over(
+        back.rowsBetween(Window.unboundedPreceding, -1))).drop("_turn")
+    first = _contended(events, F.min(F.struct("pos", "id", "until")).alias("first"))
+    lost = ((F.col("id") != F.col("first.id")) & (F.col("pos") > F.col("first.pos"))
+            & (F.col("first.until").isNull() | (F.col("pos") < F.col("first.until"))))
+    return events.drop("until").join(first, "key", "left").withColumn("lost", F.coalesce(lost, F.lit(False))).drop("first")
 
 
 def _contention_groups(pairs: DataFrame) -> DataFrame:
@@ -216,33 +245,46 @@ def reject_duplicate_keys(parsed: DataFrame, collection: str,
     it or is deleted.  The answer is that of event-at-a-time processing, so it
     does not depend on how the feed is cut into batches.
 
-    Only keys that two or more ids claim (a partial aggregate finds them) are
-    replayed in order, in groups of ids that contend with each other; all
-    other events never leave their plan.  ``state`` is cut down to the rows
-    that share an id or key with the batch first.
+    Only events of ids that claim a key of two or more ids (a partial
+    aggregate finds them) leave their plan.  Claims lost to a key's first
+    holder are settled by joins; of the rest, the claims on keys still
+    contended and the releases after them are replayed as a sorted stream, in
+    groups of ids that contend with each other.  ``state`` is cut down to the
+    rows that share an id or key with the batch first.
     """
     bk = C.DOC_BUSINESS_KEYS[collection]
     events = parsed.where(F.col("_error").isNull() & F.col("_id").isNotNull()).select(
-        F.col("_id").alias("id"), F.col(bk).cast("string").alias("key"), (F.col("op") == "d").alias("deleted"),
+        F.col("_id").alias("id"), F.when(F.col("op") != "d", F.col(bk).cast("string")).alias("key"),
         F.lit(False).alias("stored"), "topic", "partition", "offset", "ts_ms")
     if state is not None:
         live = state.where(~F.col("_deleted")).select(F.col("pk").alias("id"), F.col(bk).cast("string").alias("key"))
         touched = live.join(events.select("id").distinct(), "id", "left_semi").unionByName(
-            live.join(events.where(~F.col("deleted") & F.col("key").isNotNull()).select("key").distinct(), "key", "left_semi")
+            live.join(events.where(F.col("key").isNotNull()).select("key").distinct(), "key", "left_semi")
             .select("id", "key")).distinct()
         events = events.unionByName(touched.select(
-            "id", "key", F.lit(False).alias("deleted"), F.lit(True).alias("stored"), F.lit(None).cast("string").alias("topic"),
+            "id", "key", F.lit(True).alias("stored"), F.lit(None).cast("string").alias("topic"),
             F.lit(-1).alias("partition"), F.lit(-1).cast("bigint").alias("offset"), F.lit(None).cast("bigint").alias("ts_ms")))
-    events = materialize(events)
-    claims = events.where(~F.col("deleted") & F.col("key").isNotNull())
-    contended = claims.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
-    pairs = materialize(claims.join(contended, "key", "left_semi").select("id", "key").distinct())
-    if not pairs.take(1):
+    # stored rows come before all events; a null time before others
+    events = materialize(events.select("id", "key", *WHERE, F.struct((~F.col("stored")).alias("new"), *POSITION, "topic").alias("pos")))
+    contended = materialize(_contended(events))
+    if not contended.take(1):
         return parsed
-    # groups share no id and no key, so one call can replay many of them
-    n = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rejected = (events.join(_contention_groups(pairs), "id").groupBy(F.pmod(F.xxhash64("group"), F.lit(n)))
-                .applyInPandas(_replay_claims, "topic string, partition int, offset bigint"))
+    ids = events.join(contended, "key", "left_semi").select("id").distinct()
+    settled = materialize(_settled(events.join(ids, "id", "left_semi")))
+    rejected = settled.where("lost").select(*WHERE)
+    rest = settled.where("not lost").drop("lost")
+    pairs = materialize(rest.join(_contended(rest), "key", "left_semi").select("id", "key").distinct())
+    if pairs.take(1):
+        # a claim on any other key is a release of the id's former one, and only the first release after a claim counts
+        still = pairs.select("key").distinct().withColumn("_still", F.lit(True))
+        rest = (rest.join(pairs.select("id").distinct(), "id", "left_semi").join(still, "key", "left")
+                .withColumn("key", F.when(F.col("_still"), F.col("key"))).drop("_still"))
+        rest = (rest.withColumn("_before", F.lag("key").over(Window.partitionBy("id").orderBy("pos")))
+                .where(F.col("key").isNotNull() | F.col("_before").isNotNull()))
+        n = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rejected = rejected.unionByName(
+            rest.join(_contention_groups(pairs), "id").repartition(n, "group").sortWithinPartitions("group", "pos")
+            .select("group", "id", "key", *WHERE).mapInArrow(_replay_claims, "topic string, partition int, offset bigint"))
     return (parsed.join(rejected.withColumn("_dup", F.lit(True)), ["topic", "partition", "offset"], "left")
             .withColumn("_error", F.coalesce(F.col("_error"), F.when(F.col("_dup"), F.lit(C.ERR_DUP_KEY)))).drop("_dup"))
 

@@ -211,6 +211,55 @@ def test_duplicate_keys_do_not_depend_on_batches(spark, seed):
         assert (sorted(dead), live) == want
 
 
+def _reviews(spark, events):
+    """What parse_documents gives of these events, as far as keys go."""
+    rows = [("t", 0, n, n, op, i, key, None) for n, op, i, key in events]
+    return spark.createDataFrame(rows, "topic string, partition int, offset bigint, ts_ms bigint, op string, _id string, review_id string, _error string")
+
+
+def _rejected(parsed):
+    done = CH.reject_duplicate_keys(parsed, "product_reviews")
+    return sorted(r["offset"] for r in done.where(F.col("_error") == C.ERR_DUP_KEY).collect())
+
+
+def test_a_hot_key_with_one_holder_is_settled_without_replay(spark, monkeypatch):
+    """No group is formed for a key that its first holder keeps."""
+    def fail(*_):
+        raise AssertionError("replayed")
+    events = [(n, "c", f"{n % 300:024x}", "n/a" if n % 3 == 0 else f"r{n % 300}") for n in range(600)]
+    want = replayed(events)[0]
+    monkeypatch.setattr(CH, "_contention_groups", fail)
+    assert _rejected(_reviews(spark, events)) == want and len(want) == 198
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_hot_and_chained_keys_equal_event_at_a_time(spark, seed):
+    rng = random.Random(seed)
+    ids = [f"{k:024x}" for k in range(40)]
+    events = [(n, rng.choice("ccuud"), rng.choice(ids), "n/a" if rng.random() < 1 / 3 else rng.choice([f"r{k}" for k in range(30)] + [None]))
+              for n in range(800)]
+    assert _rejected(_reviews(spark, events)) == replayed(events)[0]
+
+
+def test_replay_streams_and_holds_live_holders_only():
+    """Every batch is answered before the next is read, with state carried
+    over: the rows of a group are never together."""
+    import pyarrow as pa
+    read = []
+
+    def batches():
+        for k in range(50):
+            read.append(k)
+            at = range(100 * k, 100 * k + 100)
+            yield pa.RecordBatch.from_pydict({"group": ["g"] * 100, "id": [str(n) for n in at], "key": ["k"] * 100,
+                                              "topic": ["t"] * 100, "partition": [0] * 100, "offset": list(at)})
+    lost = []
+    for n, b in enumerate(CH._replay_claims(batches())):
+        assert len(read) == n + 1
+        lost += b.column("offset").to_pylist()
+    assert lost == list(range(1, 5000))
+
+
 def test_documents_keep_what_no_cleaner_names(spark):
     doc = {"_id": {"$oid": "a" * 24}, "review_id": "r", "rating": 1, "votes": [1, 2], "nested": {"x": None}}
     parsed = CH.parse_documents(feed(spark, [dmsg(1, "c", doc, "a" * 24)]), "product_reviews")
