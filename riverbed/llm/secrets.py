@@ -24,7 +24,8 @@ VALUE_LEAST = 6
 KINDS = ["assign", "access", "hex", "random"]
 
 # candidates of the Markov models
-TOKEN = "[A-Za-z0-9+/_=-]{16,}"
+LEAST = 16
+TOKEN = "[A-Za-z0-9+/_=-]{%d,}" % LEAST
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(ALPHABET)
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -112,14 +113,27 @@ def ratio(match: Column, cells: Column) -> Column:
                        lambda acc, i: acc + F.get(cells, code(i) * F.lit(SIZE) + code(i + 1))) / (F.char_length(match) - 1)
 
 
+def left_of(run: Column, base: Column) -> Column:
+    """The pieces of a run between the spans of ``base``, those of 16 or more
+    characters."""
+    over = F.array_sort(F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])))
+    piece = lambda a, b: F.struct(a.alias("start"), F.lit(3).alias("kind"), b.alias("end"), F.substring(
+        run["match"], a - run["start"] + 1, b - a).alias("match"))
+    start = F.struct(run["start"].alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int,match:string>>").alias("pieces"))
+    cut = F.aggregate(over, start, lambda acc, b: F.struct(
+        F.greatest(acc["at"], b["end"]).alias("at"), F.concat(acc["pieces"], F.array(piece(acc["at"], b["start"]))).alias("pieces")),
+        lambda acc: F.concat(acc["pieces"], F.array(piece(acc["at"], run["end"]))))
+    return F.when(F.size(over) == 0, F.array(run)).otherwise(F.filter(cut, lambda p: p["end"] - p["start"] >= LEAST))
+
+
 def find(docs: DataFrame, model: list[float] | None = None, text: str = "text", least_ratio: float = 0.5) -> DataFrame:
     """``docs`` with a column ``spans``: (start, kind, end), by start, then
     kind; kinds are numbered as in KINDS.
 
-    The fixed patterns give assign, access and hex spans.  A run of 16 or
-    more token characters that mixes digits and letters, overlaps none of
-    them and whose mean ratio is at least ``least_ratio`` is a span of kind
-    random.  A null text is empty; a clash of names puts underscores before
+    The fixed patterns give assign, access and hex spans.  What is left of a
+    run of token characters when these are cut out of it, if it is 16 or more
+    characters with a letter and its mean ratio is at least ``least_ratio``,
+    is a span of kind random.  A null text is empty; a clash of names puts underscores before
     ``spans``.  ``model`` is trained on ``docs`` if not given.
     """
     cells = model if model is not None else train(docs, text)
@@ -129,10 +143,8 @@ def find(docs: DataFrame, model: list[float] | None = None, text: str = "text",
     found = docs.withColumns(dict(zip((assign, access, hexes), base_spans(body))))
     base = F.concat(F.col(assign), F.col(access), F.col(hexes))
     table = F.split(F.lit(",".join(map(repr, cells))), ",").cast("array<double>")      # one folded literal
-    extra = F.filter(spans_of(body, TOKEN, 3), lambda s: (
-        F.rlike(s["match"], F.lit("[0-9]")) & F.rlike(s["match"], F.lit("[A-Za-z]"))
-        & ~F.exists(F.col("__base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        & (ratio(s["match"], table) >= F.lit(least_ratio))))
+    runs = F.flatten(F.transform(spans_of(body, TOKEN, 3), lambda s: left_of(s, F.col("__base"))))
+    extra = F.filter(runs, lambda s: F.rlike(s["match"], F.lit("[A-Za-z]")) & (ratio(s["match"], table) >= F.lit(least_ratio)))
     out = found.withColumn("__base", base).withColumn("__extra", extra)
     narrow = F.transform(F.concat(F.col("__base"), F.col("__extra")),
                          lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
