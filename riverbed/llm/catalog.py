@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.llm import ctw, decontaminate, edit_counts, packing, quality, secrets, sharding, simhash, warc, wavelet
+from riverbed.llm import (ctw, decontaminate, edit_counts, interactions, negatives, packing, quality, secrets, sharding, simhash, topk, warc,
+                          wavelet)
+from riverbed.llm.cells import quantized
 from riverbed.llm.common import table, vocabulary
 
 
@@ -82,8 +84,26 @@ def op10_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "chars_encoded", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"))
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(interactions.fail_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        quantized(F.col("embedding"), 256).alias("vector"))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=(50, 100), high=(95, 100))
+
+
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", quantized(F.col("embedding"), 64).alias("vector"))
+    return topk.top_k(rows, F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_simhash_dedup, op3_quality_rules, op4_secret_scan, op5_best_fit_packing,
-                                   op6_warc, op7_lm_score, op8_token_output, op9_rendezvous_shards, op10_edit_token_counts)}
+                                   op6_warc, op7_lm_score, op8_token_output, op9_rendezvous_shards, op10_edit_token_counts,
+                                   op11_filter_interactions, op12_hard_negatives, op13_exact_topk)}
 
 ORACLE = {
     "op6_warc": """
@@ -123,5 +143,75 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(l, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+""",
+    "op11_filter_interactions": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+      FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+          100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+          regexp_matches(text, '[#$%&*|]'),
+          coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails
+  FROM d LEFT JOIN l USING (doc_id)),
+counted AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+fs AS (SELECT unnest(range(1, 6)) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM fs a, fs b, fs c, fs d, fs e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+steps AS (SELECT o, step, o[step] AS x, o[1 : step - 1] AS before FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+seen AS (
+  SELECT part, o, step, x, n, good, toxic, fails[x] AS fails_it,
+         len(list_filter(before, lambda i: fails[i])) > 0 AS gone,
+         len(list_filter(fails, lambda v: v)) = 1 AS single
+  FROM counted, steps),
+per AS (
+  SELECT part, o, step, x,
+         coalesce(sum(n) FILTER (NOT gone AND NOT fails_it), 0) AS kept,
+         coalesce(sum(n) FILTER (NOT gone AND fails_it), 0) AS removed,
+         coalesce(sum(n) FILTER (gone AND fails_it), 0) AS redundant,
+         coalesce(sum(n) FILTER (fails_it AND single), 0) AS unique_fails,
+         coalesce(sum(n) FILTER (NOT gone AND fails_it AND good), 0) AS good_lost,
+         coalesce(sum(n) FILTER (NOT gone AND fails_it AND toxic), 0) AS toxic_lost
+  FROM seen GROUP BY part, o, step, x)
+SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, CAST(step AS INTEGER) AS step,
+       CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM per
+""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+""",
+    "op13_exact_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id
+         ORDER BY CAST(list_inner_product(q.e, c.e) AS BIGINT) DESC, c.vec_id) AS INTEGER) AS rank,
+       c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+QUALIFY rank <= 20
 """,
 }
