@@ -67,17 +67,25 @@ class Postings:
         """(queries, rows of the tile): each shared term adds weight times
         weight, scattered over the rows of its postings."""
         _, size, postings = tile
-        acc = np.zeros((size, n), kind)
+        acc = np.zeros((n, size), kind)
         for term, (rows, weights) in postings.items():
             if term not in query:
                 continue
-            qs, qw = query[term]
-            add = weights.astype(kind)[:, None] * qw.astype(kind)[None, :]
-            if len(qs) == n:
-                acc[rows] += add
+            qs, qw = (x.astype(t) for x, t in zip(query[term], (np.int64, kind)))
+            if 2 * len(rows) >= size:           # over most rows, one dense line of weights is scattered once for all queries
+                line, rows = np.zeros(size, kind), slice(None)
+                line[postings[term][0]] = weights
             else:
-                acc[np.ix_(rows, qs)] += add
-        return np.ascontiguousarray(acc.T)
+                line = weights.astype(kind)
+            if 2 * len(qs) >= n:
+                every, qs = np.zeros(n, kind), slice(None)
+                every[query[term][0]] = qw
+                acc[:, rows] += every[:, None] * line[None, :]
+            elif isinstance(rows, slice):
+                acc[qs] += qw[:, None] * line[None, :]
+            else:
+                acc[np.ix_(qs, rows)] += qw[:, None] * line[None, :]
+        return acc
 
 
 def _kind(bound: float):
@@ -102,6 +110,8 @@ def _answer(k: int):
                 if kind is object:
                     s = to_long(s)
                 # later tiles have larger ids: an equal score no longer enters
+                if kind is np.int16:
+                    s = s.astype(np.int32)             # numpy partitions these faster
                 take = ((s > best.least[:, None]) | ~best.full[:, None]) & (s >= kth(s, k + 1)[:, None])
                 q, i = np.nonzero(take)
                 best.offer(q, s[q, i].astype(np.int64), i + tile[0])
