@@ -22,6 +22,7 @@ from ..functions import envelope as EV
 from ..functions import variant as V
 from ..session import materialize
 from . import clean as C
+from .groups import connected
 
 UPSERT_OPS = ["c", "r", "u"]
 META = ["topic", "partition", "offset", "key_text", "value_text", "op", "ts_ms", "before",
@@ -64,16 +65,21 @@ def parse_relational(feed: DataFrame, spec: TableSpec) -> DataFrame:
     return cleaned.withColumn("_error", F.coalesce(env_err, F.when(is_upsert, F.coalesce(F.col("_error"), no_key))))
 
 
-#: When an event was committed at its source, then where it lies: the order of
-#: one key's events also after it moved to another partition of a topic that
-#: was given more of them.
-POSITION = ["ts_ms", "partition", "offset"]
 #: Where a message lies: its identity.
 WHERE = ["topic", "partition", "offset"]
+#: The last positions in other partitions, of a key that moved.
+PAST_TYPE = "array<struct<topic:string,partition:int,offset:bigint>>"
 
 
-def position() -> Column:
-    return F.struct(*POSITION)
+def position(clock: Column | str = "ts_ms") -> Column:
+    """Where an event lies, and its source time, which counts between partitions only (``fold``)."""
+    clock = F.col(clock) if isinstance(clock, str) else clock
+    return F.struct(clock.cast("bigint").alias("clock"), F.col("topic").cast("string").alias("topic"),
+                    F.col("partition").cast("int").alias("partition"), F.col("offset").cast("bigint").alias("offset"))
+
+
+def no_past() -> Column:
+    return F.lit(None).cast(PAST_TYPE)
 
 
 def dead_letters(parsed: DataFrame, dlq_topic: str = "cdc.dlq", retry_count: int = 0,
@@ -103,12 +109,14 @@ def audit_log(parsed: DataFrame) -> DataFrame:
 
 def keyed_changes(parsed: DataFrame, spec: TableSpec) -> DataFrame:
     """P5: accepted upserts (with an image) and deletes (with a key) as
-    ``pk, _pos, _deleted, _op`` + clean columns; other ops only reach raw."""
+    ``pk, _pos, _past, _deleted, _op`` + clean columns; other ops only reach raw."""
     acc = parsed.where(F.col("_error").isNull())
     upsert = F.col("op").isin(UPSERT_OPS) & F.col("after").isNotNull()
     delete = (F.col("op") == "d") & F.col("pk").isNotNull()
+    # one text per key, however a message spells the number: the column is one
+    key = F.coalesce(F.col("pk").try_cast("bigint").cast("string"), F.col("pk")).alias("pk")
     return acc.where(upsert | delete).select(
-        "pk", position().alias("_pos"),
+        key, position().alias("_pos"), no_past().alias("_past"),
         (F.col("op") == "d").alias("_deleted"), F.col("op").alias("_op"),
         *[F.when(~(F.col("op") == "d"), F.col(c)).alias(c) for c in spec.columns])
 
@@ -123,11 +131,51 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str] | Column) ->
 
 
 def fold(changes: DataFrame, state: DataFrame | None = None, keys: tuple = ("pk",)) -> DataFrame:
-    """C1/K2/K3 + Q27: merge a change batch into a state that keeps delete
-    markers; the newest source position wins, so replaying an older event can
-    neither overwrite a newer row nor resurrect a deleted one."""
-    both = changes if state is None else state.unionByName(changes)
-    return latest_per_key(both, list(keys), ["_pos"])
+    """C1/C2/K2/K3 + T3 + Q27: merge a change batch into a state of one row per
+    key that keeps delete markers.
+
+    A key's events of one partition apply by offset, whatever their times say.
+    A position at or below the last one handled in its partition is a message
+    delivered again: it neither overwrites a newer row nor resurrects a deleted
+    one.  Everything else in a batch comes after all that earlier batches held.
+    Only between partitions of one batch, for a key that moved, does the source
+    time decide: each partition's clock for the key is the greatest time of its
+    events there, so it never falls, and a missing time is not earlier than the
+    event before it; equal clocks go by topic and partition.
+
+    Two ``max_by`` aggregates, per key and partition and then per key, both
+    combined map-side.  ``_past`` is null unless the key moved.
+    """
+    at = ["_topic", "_partition"]
+    cols = [c for c in changes.columns if c not in (*keys, "_pos", "_past")]
+    row = F.struct(*[F.col(f"`{c}`") for c in cols])
+    lanes = changes.select(*keys, F.col("_pos.topic").alias("_topic"), F.col("_pos.partition").alias("_partition"),
+                           F.col("_pos.offset").alias("_offset"), F.col("_pos.clock").alias("_clock"),
+                           F.lit(True).alias("_fresh"), F.lit(True).alias("_whole"), row.alias("_row"))
+    if state is not None:
+        past = F.transform(F.coalesce("_past", F.array().cast(PAST_TYPE)), lambda p: F.struct(
+            F.lit(None).cast("bigint").alias("clock"), p["topic"].alias("topic"), p["partition"].alias("partition"),
+            p["offset"].alias("offset"), F.lit(False).alias("whole")))
+        held = F.concat(F.array(F.struct("_pos.clock", "_pos.topic", "_pos.partition", "_pos.offset", F.lit(True).alias("whole"))), past)
+        stored = state.select(*keys, row.alias("_row"), F.explode(held).alias("_h"))
+        lanes = lanes.unionByName(stored.select(
+            *keys, F.col("_h.topic").alias("_topic"), F.col("_h.partition").alias("_partition"), F.col("_h.offset").alias("_offset"),
+            F.col("_h.clock").alias("_clock"), F.lit(False).alias("_fresh"), F.col("_h.whole").alias("_whole"),
+            F.when(F.col("_h.whole"), F.col("_row")).alias("_row")))
+    # per key and partition the greatest offset; at the same offset what is stored stays
+    last = lanes.groupBy(*keys, *at).agg(
+        F.max_by(F.struct("_offset", "_clock", "_fresh", "_whole", "_row"), F.struct("_offset", ~F.col("_fresh"))).alias("_l"),
+        F.max(F.when(F.col("_fresh"), F.col("_clock"))).alias("_seen"))
+    clock = F.when(F.col("_l._fresh"), F.col("_seen")).otherwise(F.col("_l._clock"))
+    last = last.select(*keys, F.struct("_l._fresh", "_l._whole", clock.alias("clock"), F.col("_topic").alias("topic"),
+                                       F.col("_partition").alias("partition"), F.col("_l._offset").alias("offset")).alias("_at"), "_l._row")
+    best = last.groupBy(*keys).agg(F.max("_at").alias("_at"), F.max_by("_row", "_at").alias("_row"),
+                                   F.collect_list(F.struct("_at.topic", "_at.partition", "_at.offset")).alias("_lanes"))
+    others = F.array_sort(F.filter("_lanes", lambda p: ~(p["topic"].eqNullSafe(F.col("_at.topic")) & p["partition"].eqNullSafe(F.col("_at.partition")))))
+    named = {"_pos": F.struct("_at.clock", "_at.topic", "_at.partition", "_at.offset"),
+             "_past": F.when(F.size(others) > 0, others), **{c: F.col(f"_row.`{c}`") for c in cols}}
+    out = best.select(*keys, *[named[c].alias(c) for c in ("_pos", "_past")], *[named[c].alias(c) for c in cols])
+    return out.select(*[F.col(f"`{c}`") for c in changes.columns]) if "_past" in changes.columns else out
 
 
 def current(state: DataFrame, spec: TableSpec) -> DataFrame:
@@ -201,6 +249,32 @@ def _replay_claims(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([lost.column(c) for c in WHERE], names=WHERE)
 
 
+#: offsets of a partition whose clock one task works out
+CLOCK_BLOCK = 1 << 16
+
+
+def _placed(events: DataFrame) -> DataFrame:
+    """(id, key, topic, partition, offset, pos): ``pos`` orders the events of
+    all ids.  Inside a partition the offset decides; between partitions a clock
+    does, the running maximum of the source times in the partition, which never
+    falls and passes over missing times.  Rows of the stored state come first.
+
+    A partition is cut into blocks of offsets: a block's clock starts from the
+    greatest time of the blocks before it, so that no task takes a whole one.
+    """
+    block = F.floor(F.col("offset") / CLOCK_BLOCK)
+    lane = ["stored", "topic", "partition"]
+    events = events.withColumn("_block", block)
+    before = (events.where(~F.col("stored")).groupBy(*lane, "_block").agg(F.max("ts_ms").alias("_top"))
+              .withColumn("_top", F.max("_top").over(Window.partitionBy(*lane).orderBy("_block")
+                                                     .rowsBetween(Window.unboundedPreceding, -1))))
+    inside = F.max("ts_ms").over(Window.partitionBy(*lane, "_block", F.when(F.col("stored"), F.xxhash64("id")))
+                                 .orderBy("offset").rowsBetween(Window.unboundedPreceding, 0))
+    clocked = events.withColumn("_in", inside).join(before, [*lane, "_block"], "left")
+    return clocked.select("id", "key", *WHERE, F.struct((~F.col("stored")).alias("new"), F.greatest("_in", "_top").alias("clock"),
+                                                        "topic", "partition", "offset").alias("pos"))
+
+
 def _contended(events: DataFrame, *more: Column) -> DataFrame:
     """The keys that two or more ids claim (a partial aggregate)."""
     return (events.where(F.col("key").isNotNull()).groupBy("key")
@@ -225,16 +299,10 @@ def _settled(events: DataFrame) -> DataFrame:
 
 def _contention_groups(pairs: DataFrame) -> DataFrame:
     """(id, group) for (id, key) pairs: ids that share a key, directly or over
-    others, share a group.  Labels spread by minimum, id to key and back,
-    until none changes; each round is a written table."""
-    now = materialize(pairs.withColumn("group", F.col("key")))
-    while True:
-        by_key = now.groupBy("key").agg(F.min("group").alias("g"))
-        by_id = now.join(by_key, "key").groupBy("id").agg(F.min("g").alias("g"))
-        then = materialize(now.join(by_id, "id").select("id", "key", F.col("g").alias("group"), (F.col("g") != F.col("group")).alias("moved")))
-        if not then.where("moved").take(1):
-            return then.select("id", "group").distinct()
-        now = then.drop("moved")
+    others, share a group."""
+    tag = lambda kind, c: F.concat(F.lit(kind), F.col(c))  # noqa: E731  an id is no key
+    groups, _ = connected(pairs.select(tag("k", "key").alias("a"), tag("i", "id").alias("b")))
+    return groups.where(F.col("node").startswith("i")).select(F.substring("node", 2, 1 << 30).alias("id"), "group")
 
 
 def reject_duplicate_keys(parsed: DataFrame, collection: str,
@@ -264,13 +332,12 @@ def reject_duplicate_keys(parsed: DataFrame, collection: str,
         events = events.unionByName(touched.select(
             "id", "key", F.lit(True).alias("stored"), F.lit(None).cast("string").alias("topic"),
             F.lit(-1).alias("partition"), F.lit(-1).cast("bigint").alias("offset"), F.lit(None).cast("bigint").alias("ts_ms")))
-    # stored rows come before all events; a null time before others
-    events = materialize(events.select("id", "key", *WHERE, F.struct((~F.col("stored")).alias("new"), *POSITION, "topic").alias("pos")))
+    events = materialize(events)
     contended = materialize(_contended(events))
     if not contended.take(1):
         return parsed
     ids = events.join(contended, "key", "left_semi").select("id").distinct()
-    settled = materialize(_settled(events.join(ids, "id", "left_semi")))
+    settled = materialize(_settled(_placed(events.join(ids, "id", "left_semi"))))
     rejected = settled.where("lost").select(*WHERE)
     rest = settled.where("not lost").drop("lost")
     pairs = materialize(rest.join(_contended(rest), "key", "left_semi").select("id", "key").distinct())
@@ -295,7 +362,7 @@ def document_changes(parsed: DataFrame, columns: list[str], synced_at=None) -> D
     that no cleaner names survive beside the cleaned ones (P16)."""
     acc = parsed.where(F.col("_error").isNull())
     return acc.select(
-        F.col("_id").alias("pk"), position().alias("_pos"),
+        F.col("_id").alias("pk"), position().alias("_pos"), no_past().alias("_past"),
         (F.col("op") == "d").alias("_deleted"), F.col("op").alias("_op"),
         F.struct(F.lit("mongodb").alias("source_type"), F.col("topic").alias("source_topic"),
                  F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset"),
@@ -336,8 +403,12 @@ def document_state(feed: DataFrame, collection: str, columns: list[str]) -> tupl
     return fold(document_changes(parsed, columns)), parsed
 
 
-def dlq_messages(dead: DataFrame) -> DataFrame:
-    """Dead letters as Kafka-shaped messages keyed by the original
-    message key, the whole failed-event row as the JSON value."""
-    return dead.select(F.col("message_key").alias("key"),
-                       F.to_json(F.struct(*dead.columns)).alias("value"))
+def dlq_messages(dead: DataFrame, batch_id: int | None = None) -> DataFrame:
+    """Dead letters as Kafka-shaped messages: the dead-letter topic, the
+    original message key, the whole failed-event row as the JSON value, and the
+    batch and the source position as headers."""
+    place = F.concat_ws("/", "source_topic", F.col("source_partition").cast("string"), F.col("source_offset").cast("string"))
+    header = lambda name, value: F.struct(F.lit(name).alias("key"), F.encode(value, "UTF-8").alias("value"))
+    return dead.select(F.col("dlq_topic").alias("topic"), F.col("message_key").alias("key"),
+                       F.to_json(F.struct(*dead.columns)).alias("value"),
+                       F.array(header("batch", F.lit(str(batch_id)) if batch_id is not None else F.lit("")), header("position", place)).alias("headers"))

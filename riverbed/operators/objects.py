@@ -1,15 +1,21 @@
 """Object-store pipeline: listing -> events -> clean metadata -> reconcile.
 
-S7/S8 inventory listings, F21-F24 event projection, T6/J7 change detection,
-R4-R6 reconciliation (J5 full outer join), K14 copy plan.
+F21-F24 event projection, T6/J7 change detection, R4-R6 reconciliation (J5
+full outer join).  Listings (S7/S8) are made by ``sources.listing``, copies
+(K14) by ``operators.copying``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..sources.listing import object_inventory
+from .copying import copy_plan
+
+__all__ = ["object_inventory", "copy_plan", "object_events", "changed_objects", "fingerprint", "guess_content_type", "iso_utc",
+           "latest_per_object", "reconcile", "apply_reconcile", "reconcile_metrics", "issue_samples", "event_messages"]
 
 EVENT_TYPE = "OBJECT_CREATED_OR_UPDATED"
 
@@ -184,55 +190,6 @@ def issue_samples(recon: DataFrame, n: int = 10) -> DataFrame:
     return out
 
 
-def copy_plan(meta: DataFrame, inventory: DataFrame) -> DataFrame:
-    """K14 plan: objects whose target copy is absent or differs in size/etag."""
-    want = meta.where("status = 'ACTIVE'").select(
-        "source_bucket", "source_object_key", "target_bucket", "target_object_key", "size_bytes", "etag")
-    have = inventory.select(F.col("bucket").alias("target_bucket"), F.col("object_key").alias("target_object_key"),
-                            F.col("size_bytes").alias("_have_size"), F.col("etag").alias("_have_etag"))
-    j = want.join(have, ["target_bucket", "target_object_key"], "left")
-    return j.where(F.col("_have_size").isNull() | (F.col("_have_size") != F.col("size_bytes"))
-                   | ~F.col("_have_etag").eqNullSafe(F.col("etag"))).drop("_have_size", "_have_etag")
-
-
-def object_inventory(spark: SparkSession, roots: dict[str, str], skip_missing: bool = False,
-                     with_etag: bool = False) -> DataFrame:
-    """List every file under each bucket root (recursive).
-
-    A source listing (``skip_missing``) leaves out a bucket that is not there,
-    like a failing bucket of the producer; any other listing fails loudly, as
-    a bucket left out would turn all its objects into missing ones.  Contents
-    are read only for ``with_etag`` (the MD5 of the bytes, as single-part
-    uploads have it).
-    """
-    from py4j.protocol import Py4JJavaError
-    from pyspark.errors import AnalysisException
-
-    frames = []
-    for bucket, root in roots.items():
-        try:
-            df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-        except (AnalysisException, Py4JJavaError):
-            if not skip_missing:
-                raise
-            continue
-        prefix = root.rstrip("/") + "/"
-        frames.append(df.select(
-            F.lit(bucket).alias("bucket"),
-            F.regexp_replace(F.col("path"), r"^file:", "").alias("_p"),
-            F.col("length").alias("size_bytes"), F.col("modificationTime").alias("last_modified"),
-            *([F.md5("content").alias("etag")] if with_etag else []))
-            .select("bucket", F.expr(f"substr(_p, {len(prefix) + 1})").alias("object_key"),
-                    "size_bytes", "last_modified", *(["etag"] if with_etag else [])))
-    if not frames:
-        return spark.createDataFrame([], "bucket string, object_key string, size_bytes long, last_modified timestamp"
-                                     + (", etag string" if with_etag else ""))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def event_messages(events: DataFrame) -> DataFrame:
     """Object events as Kafka-shaped messages -- key ``object_id``,
     value the event as JSON with sorted keys (struct fields in name order)."""

@@ -69,6 +69,11 @@ class HadoopFiles:
     def drop(self, p: str) -> None:
         self._fs(p).delete(self._path(p), True)
 
+    def drop_matching(self, p: str, prefix: str) -> None:
+        for name in self.list_names(p):
+            if name.startswith(prefix):
+                self.drop(f"{p}/{name}")
+
 
 class Commits:
     """The commit files of a pipeline; the newest ``keep`` stay readable, older
@@ -112,8 +117,12 @@ class KeyedStore:
 
     def __init__(self, spark: SparkSession, root: str, name: str, schema=None, key: str = "pk",
                  bucket_rows: int = 1_000_000, least_buckets: int = 4):
+        """``key`` is the column that buckets follow; a row's own key is ``pk``."""
         self.spark, self.root, self.name, self.key = spark, root.rstrip("/"), name, key
         self.schema, self.bucket_rows, self.least_buckets = schema, bucket_rows, least_buckets
+        #: buckets read by each ``near`` and rewritten by each ``merge``
+        self.read_buckets: list[int] = []
+        self.written_buckets: list[int] = []
 
     # ---------------------------------------------------------------- reads
     def _read(self, entry: dict | None, buckets=None) -> DataFrame:
@@ -122,23 +131,36 @@ class KeyedStore:
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        folders = {p.rsplit("/", 1)[0] for p in paths}
+        if len(folders) == 1 and len(paths) == len(entry["paths"]) and len(paths) > 1:
+            return reader.parquet(folders.pop()).drop("_bucket")     # one folder holds the whole version: one listing
         return reader.parquet(*paths)
 
     def state(self, entry: dict | None) -> DataFrame:
         """All rows, delete markers included."""
         return self._read(entry)
 
-    def near(self, entry: dict | None, changes: DataFrame) -> DataFrame:
-        """The rows of the keys in ``changes``, from their buckets only."""
+    def near(self, entry: dict | None, changes: DataFrame, known: tuple[int, set[int]] | None = None) -> DataFrame:
+        """The rows of the keys in ``changes``, from their buckets only
+        (``known``: what ``touched`` gave for them, if it is at hand)."""
         if not entry:
             return self._read(None)
-        return self._read(entry, self._touched(changes, entry["buckets"])).join(
-            changes.select(self.key).distinct(), self.key, "left_semi")
+        touched = known[1] if known and known[0] == entry["buckets"] else self._touched(changes, entry["buckets"])
+        self.read_buckets.append(len(touched))
+        rows = self._read(entry, touched)
+        return rows.join(changes.select(self.key).distinct(), self.key, "left_semi").select(*rows.columns)
 
     # --------------------------------------------------------------- writes
+    def _keys(self) -> tuple:
+        return ("pk",) if self.key == "pk" else (self.key, "pk")
+
     def _bucket(self, n: int):
         return F.pmod(F.xxhash64(F.col(self.key)), F.lit(n)).cast("int")
 
+    def touched(self, entry: dict | None, changes: DataFrame) -> tuple[int, set[int]] | None:
+        """(number of buckets, those that the keys in ``changes`` are in)."""
+        return (entry["buckets"], self._touched(changes, entry["buckets"])) if entry else None
+
     def _touched(self, changes: DataFrame, n: int) -> set[int]:
         # at most ``n`` small numbers
         return {r[0] for r in changes.select(self._bucket(n).alias("b")).distinct().collect()}
@@ -148,29 +170,32 @@ class KeyedStore:
             now *= 2
         return now
 
-    def merge(self, changes: DataFrame, entry: dict | None, tag: str) -> dict:
+    def merge(self, changes: DataFrame, entry: dict | None, tag: str, known: tuple[int, set[int]] | None = None) -> dict:
         """Fold one batch in and return the table's new entry; nothing is
         current until a commit names it."""
         ch = changes if self.schema is None else changes.select(*[f.name for f in self.schema.fields])
         if not entry:
-            merged, paths = CH.fold(ch), {}
+            merged, paths = CH.fold(ch, keys=self._keys()), {}
             n = self._wanted(ch.count(), self.least_buckets)
             rows = 0
         else:
             n, rows = entry["buckets"], entry["rows"]
             grown = self._wanted(rows, n)
-            touched = self._touched(ch, n) if grown == n else set(range(n))
+            touched = set(range(n)) if grown != n else known[1] if known and known[0] == n else self._touched(ch, n)
             if not touched:
                 return entry
-            merged = CH.fold(ch, self._read(entry, touched))
+            merged = CH.fold(ch, self._read(entry, touched), self._keys())
             paths = {b: d for b, d in entry["paths"].items() if int(b) not in touched} if grown == n else {}
             n = grown
         out = f"clean/{self.name}/{tag}"
-        # the fold's shuffle spreads rows by key; each task writes its share of
-        # every touched bucket
-        (merged.withColumn("_bucket", self._bucket(n)).write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.root}/{out}"))
+        # one task, so one file, per bucket: buckets are of bounded size, as their number follows the table's
+        many = len(touched) if entry and grown == entry["buckets"] else n
+        (merged.withColumn("_bucket", self._bucket(n)).repartition(many, "_bucket")
+         .write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.root}/{out}"))
         # the row count of what was written, by bucket (at most ``n`` rows)
-        sizes = {r[0]: r[1] for r in self.spark.read.parquet(f"{self.root}/{out}").groupBy("_bucket").count().collect()}
+        wrote = self.spark.read.schema(f"{self.key} string, _bucket int").parquet(f"{self.root}/{out}")
+        sizes = {r[0]: r[1] for r in wrote.groupBy("_bucket").count().collect()}
+        self.written_buckets.append(len(sizes))
         counts = {b: c for b, c in (entry or {}).get("counts", {}).items() if b in paths} | {str(b): c for b, c in sizes.items()}
         paths |= {str(b): f"{out}/_bucket={b}" for b in sizes}
         return {"buckets": n, "rows": sum(counts.values()), "counts": counts, "paths": paths}

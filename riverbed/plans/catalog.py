@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -46,7 +46,7 @@ def change_feed(spark, sf, kind: str) -> DataFrame:
     if FEEDS is not None and (sf, kind) in FEEDS:
         return FEEDS[sf, kind]
     gen = {"relational": FD.relational_feed, "reviews": FD.reviews_feed, "profiles": FD.profiles_feed,
-           "clicks": FD.clicks_feed, "releases": FD.key_release_feed}[kind]
+           "clicks": FD.clicks_feed, "releases": FD.key_release_feed, "chains": FD.key_chain_feed}[kind]
     feed = materialize(gen(spark, sf))
     if FEEDS is not None:
         FEEDS[sf, kind] = feed
@@ -545,6 +545,31 @@ def q_mart_customer_incremental(spark, sf):
     return ntz(IN.customer_summary_refresh(s1, old_o, new_o, new_c, changed_o, changed_c))
 
 
+RETRACT_SQL = """
+, newest as (select id from src_orders where customer_id is not null
+  qualify row_number() over (partition by customer_id order by order_date desc, id desc) = 1),
+kept_orders as (select * from c_orders where id not in (select id from newest))
+""" + CUSTOMER_SUMMARY_SQL.replace("c_orders", "kept_orders")
+
+
+@register("mart_customer_retract", _with_tail(RETRACT_SQL))
+def q_mart_customer_retract(spark, sf):
+    """A4: the newest order of every customer is deleted after the snapshot;
+    the last order date goes back to what is left, from the partial states."""
+    import uuid
+
+    from ..session import store_root
+    from ..sources import feeds as FD
+    from ..streaming import streams as ST
+    feed = change_feed(spark, sf, "relational").where(F.col("offset") % 8 == 0)
+    newest = Window.partitionBy("customer_id").orderBy(F.desc("order_date"), F.desc("id"))
+    gone = (FX.src_orders(spark, sf).where(F.col("customer_id").isNotNull()).withColumn("rn", F.row_number().over(newest)).where("rn = 1"))
+    pipe = ST.RelationalPipeline(spark, store_root(spark, f"retract-{uuid.uuid4().hex}"))
+    pipe.process(feed, 0)
+    pipe.process(materialize(FD.order_deletes(gone)), 1)
+    return ntz(pipe.read_mart("customer_summary"))
+
+
 def _reviews_state(spark, sf, feed=None):
     from ..operators import changes as CH
     from ..sources import feeds as FD
@@ -975,6 +1000,23 @@ def q_cdc_partition_growth(spark, sf):
     return ntz(CH.current(_orders_state(spark, sf, moved), CH.RELATIONAL["orders"]))
 
 
+@register("cdc_clock_skew", O.with_ctes("select * from f_orders"))
+def q_cdc_clock_skew(spark, sf):
+    """Three batches of a feed whose source times are missing, equal or
+    falling and whose keys partly moved to other partitions with their changes;
+    the third batch delivers the whole first one again."""
+    from ..operators import changes as CH
+    feed, k, seq = change_feed(spark, sf, "relational"), F.floor(F.col("offset") / 8), F.col("offset") % 8
+    time = F.when(k % 4 == 0, "null").when(k % 4 == 1, "0").when(k % 4 == 2, (100 - seq).cast("string"))
+    skewed = F.when(time.isNotNull(), F.regexp_replace("value", F.lit('"ts_ms":[0-9]+'), F.concat(F.lit('"ts_ms":'), time))).otherwise(F.col("value"))
+    moved = F.when((k % 5 == 0) & (seq > 0), F.col("partition") + 8).otherwise(F.col("partition"))
+    feed = materialize(feed.withColumns({"value": skewed, "partition": moved}))
+    spec, state = CH.RELATIONAL["orders"], None
+    for cut in (seq == 0, seq == 1, seq != 1):
+        state = materialize(CH.fold(CH.keyed_changes(CH.parse_relational(feed.where(cut), spec), spec), state))
+    return ntz(CH.current(state, spec))
+
+
 KEY_RELEASE_SQL = f"""
 with k as (select o_orderkey as k, cast(o_orderkey as varchar) as own, cast(o_orderkey as varchar) || '-2' as other from orders),
 live as (
@@ -996,10 +1038,37 @@ union all select b.batches, 'dead', null, null, p, o from dead, (values ('one'),
 def q_cdc_key_release(spark, sf):
     """Q14: keys released by updates and deletes and claims of held ones, with
     the same answer for the feed in one batch and in four."""
+    return _claims_in_batches(change_feed(spark, sf, "releases"),
+                              (("one", [F.lit(True)]), ("many", [F.col("offset") % 8 == s for s in range(4)])))
+
+
+KEY_CHAIN_SQL = """
+with k as (select o_orderkey as k, o_orderkey // 1024 as chain, o_orderkey % 1024 as pos from orders),
+e as (select k.*, n.k is not null and k.chain % 2 = 1 as lost, concat('c', lpad(lower(hex(k.k)), 23, '0')) as _id
+      from k left join k n on n.k = k.k + 1 and n.chain = k.chain)
+select b.batches, 'live' as kind, _id, chain || '-' || case when lost then pos else pos + 1 end as review_id,
+  cast(null as integer) as source_partition, cast(null as bigint) as source_offset
+from e, (values ('one'), ('many')) b(batches)
+union all
+select b.batches, 'dead', null, null, cast(chain % 4 as integer), cast(chain * 4096 + 2048 + pos as bigint)
+from e, (values ('one'), ('many')) b(batches) where lost
+"""
+
+
+@register("cdc_key_chain", KEY_CHAIN_SQL)
+def q_cdc_key_chain(spark, sf):
+    """Q14: chains of up to 1,024 reviews that each move to the next one's
+    business key.  In every other chain the last moves first, so that each
+    move needs the one before; in the others each key is still held."""
+    feed = change_feed(spark, sf, "chains")
+    return _claims_in_batches(feed, (("one", [F.lit(True)]), ("many", [F.col("offset") % 4096 < 2048, F.col("offset") % 4096 >= 2048])))
+
+
+def _claims_in_batches(feed, ways) -> DataFrame:
+    """Live reviews and dead letters of a feed, for each way to cut it into batches."""
     from ..operators import changes as CH
-    feed = change_feed(spark, sf, "releases")
     out = []
-    for name, cuts in (("one", [F.lit(True)]), ("many", [F.col("offset") % 8 == s for s in range(4)])):
+    for name, cuts in ways:
         state = None
         for cut in cuts:
             parsed = materialize(CH.reject_duplicate_keys(
@@ -1086,6 +1155,43 @@ def q_offset_ledger(spark, sf):
     return first.unionByName(CH.offset_ledger(feed, known).withColumn("first_batch", F.lit(1)))
 
 
+OFFSET_RANGES_SQL = O.with_ctes("""
+select topic, partition, min(o) as first, max(o) as last from (
+  select topic, partition, o, o - row_number() over (partition by topic, partition order by o) as run from (
+    select source_topic as topic, source_partition as partition, rn + case when rn >= 5000 then 100 else 0 end as o
+    from (select *, row_number() over (partition by source_topic, source_partition order by source_offset) - 1 as rn from ("""
+    + OFFSETS_SQL + """) )
+    where rn % 1000 <> 500))
+group by topic, partition, run
+""")
+
+
+@register("offset_ranges", OFFSET_RANGES_SQL)
+def q_offset_ranges(spark, sf):
+    """The ledger of handled offsets as ranges, after batches that
+    overlap and one that delivers everything again, over a feed with gaps; a
+    message comes through in the first batch that brings it only."""
+    import uuid
+
+    from ..session import store_root
+    from ..streaming import streams as ST
+    rn = F.row_number().over(Window.partitionBy("topic", "partition").orderBy("offset")) - 1
+    feed = change_feed(spark, sf, "relational").withColumn("rn", rn).where(F.col("rn") % 1000 != 500)
+    feed = materialize(feed.withColumn("offset", (F.col("rn") + F.when(F.col("rn") >= 5000, 100).otherwise(0)).cast("bigint")).drop("rn"))
+    through = []
+
+    class Ledger(ST.Pipeline):
+        def _process(self, feed, batch_id, tag, before, doc):
+            through.append(feed.count())
+
+    pipe = Ledger(spark, store_root(spark, f"ledger-{uuid.uuid4().hex}"))
+    for n, cut in enumerate((F.col("offset") < 3000, F.col("offset").between(2000, 5999), F.lit(True))):
+        pipe.process(feed.where(cut), n)
+    if sum(through) != feed.count():
+        raise AssertionError(f"{sum(through)} messages came through")
+    return pipe.handled_offsets()
+
+
 class _Killed(Exception):
     pass
 
@@ -1122,6 +1228,57 @@ def q_stream_revenue_after_failure(spark, sf):
     return pipe.read_mart("daily_revenue")
 
 
+@register("stream_dlq_messages", O.with_ctes(
+    "select 'cdc.dlq' as topic, message_key as key, source_topic, source_partition, source_offset, error_message, "
+    "source_topic || '/' || source_partition || '/' || source_offset as position from (" + DEAD_LETTERS_SQL + ")"))
+def q_stream_dlq_messages(spark, sf):
+    """The dead-letter topic holds each letter once, keyed like its
+    message, after a batch whose attempts died at either sink and after it."""
+    import uuid
+
+    from ..session import store_root
+    from ..streaming import streams as ST
+    feed = change_feed(spark, sf, "relational")
+    pipe = ST.RelationalPipeline(spark, store_root(spark, f"letters-{uuid.uuid4().hex}"))
+    for batch_id, cut in enumerate((F.col("offset") % 8 == 0, F.col("offset") % 8 > 0)):
+        for step in ("ops/failed_events", "dlq", "merge orders") if batch_id else ():
+            def kill(done, at=step):
+                if done == at:
+                    raise _Killed(done)
+            pipe.after = kill
+            try:
+                pipe.process(feed.where(cut), batch_id)
+                raise AssertionError(f"{step} was not reached")
+            except _Killed:
+                pipe.after = lambda done: None
+        pipe.process(feed.where(cut), batch_id)
+    member = lambda name: F.get_json_object("value", f"$.{name}")
+    place = F.filter("headers", lambda h: h["key"] == "position")[0]["value"].cast("string")
+    return pipe.dead_letter_topic().select(
+        "topic", "key", member("source_topic").alias("source_topic"), member("source_partition").cast("int").alias("source_partition"),
+        member("source_offset").cast("bigint").alias("source_offset"), member("error_message").alias("error_message"), place.alias("position"))
+
+
+@register("stream_change_detect", _with_tail(FINGERPRINT_SQL.replace(
+    "select c.bucket, c.object_key, case when", "select cast(2 as bigint) as scan, c.bucket, c.object_key, case when", 1)
+    + "union all select 0, bucket, object_key, 'new' from fp_prev"))
+def q_stream_change_detect(spark, sf):
+    """Three scans of the source buckets arrive, each taken in by a
+    detector started anew: all objects are new, nothing changed, then what
+    differs from the scans before."""
+    import uuid
+
+    from ..session import store_root
+    from ..streaming import streams as ST
+    root = store_root(spark, f"scans-{uuid.uuid4().hex}")
+    for n, previous in enumerate((True, True, False)):
+        scan = object_listing(spark, sf, previous).withColumn("scan", F.lit(n).cast("bigint"))
+        scan.select(*[c.split()[0] for c in ST.LISTING_SCHEMA.split(", ")]).write.mode("append").parquet(f"{root}/feed")
+        pipe = ST.ListingPipeline(spark, root)
+        pipe.start(ST.read_feed_files(spark, f"{root}/feed", schema=ST.LISTING_SCHEMA), f"{root}/_checkpoint").awaitTermination()
+    return pipe.changes().select("scan", "bucket", "object_key", "change_kind")
+
+
 def run_document_stream(spark, sf):
     """All three collections through one pipeline in three drops."""
     import uuid
@@ -1180,6 +1337,93 @@ def q_stream_object_updates(spark, sf):
         "object_id", "event_id", "etag", "size_bytes", "media_type", "status")
 
 
+DOC_SNAPSHOT_SQL = O.with_ctes("""
+select scan, _id, review_id, cast(customer_id as bigint) as customer_id, cast(product_id as bigint) as product_id,
+  cast(rating as bigint) as rating, status, title, updated_at
+from c_reviews, (values ('all'), ('range'), ('keys')) s(scan)
+where scan = 'all' or (scan = 'range' and _id >= lpad('1000', 24, '0') and _id < lpad('2000', 24, '0'))
+  or (scan = 'keys' and _id in (lpad('7', 24, '0'), lpad('20', 24, '0')))
+""")
+
+
+@register("doc_snapshot_scan", DOC_SNAPSHOT_SQL)
+def q_doc_snapshot_scan(spark, sf):
+    """A collection's snapshot of Extended-JSON lines in key order, read
+    whole, by a range of keys and by two keys, and cleaned."""
+    import uuid
+
+    from ..session import store_root
+    from ..sources import collection as CO
+    from ..sources import documents as D
+    path = store_root(spark, f"snapshot-{uuid.uuid4().hex}")
+    src = FX.src_reviews(spark, sf)
+    CO.write_snapshot(src.select(D.review_json(src).alias("line")), path)
+    docs, key = CO.read_collection(spark, path), F.col("_id")
+    scans = {"all": docs, "range": docs.where((key >= "1000".zfill(24)) & (key < "2000".zfill(24))),
+             "keys": docs.where(key.isin("7".zfill(24), "20".zfill(24)))}
+    parts = [SN.good(C.DOC_CLEANERS["product_reviews"](d.select(F.col("document").alias("doc")))).select(
+        F.lit(name).alias("scan"), "_id", "review_id", "customer_id", "product_id", "rating", "status", "title", "updated_at")
+        for name, d in scans.items()]
+    return ntz(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def _object_buckets(spark, sf):
+    """Buckets of files: a source file per document, and what an earlier copy
+    left in the clean buckets.  -> (source folders, target folders)"""
+    import uuid
+
+    from ..session import store_root
+    root = store_root(spark, f"buckets-{uuid.uuid4().hex}")
+    return (FX.write_objects(FX.object_contents(spark, sf), f"{root}/source"),
+            FX.write_objects(FX.object_contents(spark, sf, stale_targets=True), f"{root}/target"))
+
+
+@register("obj_listing", """
+select 'source' as side, case k % 4 when 0 then 'raw-images' when 1 then 'raw-videos' when 2 then 'raw-audio' else 'raw-documents' end as bucket,
+  lang || '/' || source || '/doc_' || k || case k % 4 when 0 then '.PNG' when 1 then '.mp4' when 2 then '.wav' else '.txt' end as object_key,
+  cast(strlen(text) as bigint) as size_bytes, md5(text) as etag
+from (select doc_id as k, lang, source, coalesce(text, '') as text from documents)
+union all
+select 'target', case k % 4 when 0 then 'clean-images' when 1 then 'clean-videos' when 2 then 'clean-audio' else 'clean-documents' end,
+  lang || '/' || source || '/doc_' || k || case k % 4 when 0 then '.PNG' when 1 then '.mp4' when 2 then '.wav' else '.txt' end,
+  cast(strlen(t) as bigint), md5(t)
+from (select doc_id as k, lang, source, case when doc_id % 29 = 0 then repeat('x', strlen(coalesce(text, '')))
+        when doc_id % 31 = 0 then coalesce(text, '')[1:5] else coalesce(text, '') end as t
+      from documents where doc_id % 23 <> 0)
+""")
+def q_obj_listing(spark, sf):
+    """The files of source and target buckets, listed by tasks; a
+    source bucket that is not there is passed over."""
+    from ..sources import listing as LS
+    source, target = _object_buckets(spark, sf)
+    sides = {"source": LS.object_inventory(spark, source | {"raw-gone": next(iter(source.values())) + "-gone"}, skip_missing=True, with_etag=True),
+             "target": LS.object_inventory(spark, target, with_etag=True)}
+    parts = [d.select(F.lit(side).alias("side"), "bucket", "object_key", "size_bytes", "etag") for side, d in sides.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@register("obj_copy_verified", """
+select run, case k % 4 when 0 then 'clean-images' when 1 then 'clean-videos' when 2 then 'clean-audio' else 'clean-documents' end as target_bucket,
+  lang || '/' || source || '/doc_' || k || case k % 4 when 0 then '.PNG' when 1 then '.mp4' when 2 then '.wav' else '.txt' end as target_object_key,
+  cast(strlen(text) as bigint) as size_bytes, md5(text) as etag,
+  run = 1 and (k % 23 = 0 or md5(case when k % 29 = 0 then repeat('x', strlen(text)) when k % 31 = 0 then text[1:5] else text end) <> md5(text)) as copied,
+  true as verified
+from (select doc_id as k, lang, source, coalesce(text, '') as text from documents where strlen(text) > 0), (values (1), (2)) r(run)
+""")
+def q_obj_copy_verified(spark, sf):
+    """The objects that the source listing gives are cleaned and copied
+    where their copy is absent or differs, then listed and held against their
+    size and etag; a second run finds nothing to copy."""
+    from ..operators import copying as CP
+    from ..operators import objects as OB
+    from ..sources import listing as LS
+    source, target = _object_buckets(spark, sf)
+    found = LS.object_inventory(spark, source, skip_missing=True, with_etag=True).withColumn("content_type", F.lit(None).cast("string"))
+    meta = materialize(SN.good(C.clean_object_events(OB.object_events(found), BATCH_TS)))
+    runs = [CP.copy_verified(spark, meta, source, target).withColumn("run", F.lit(n)) for n in (1, 2)]
+    return runs[0].unionByName(runs[1]).select("run", "target_bucket", "target_object_key", "size_bytes", "etag", "copied", "verified")
+
+
 @register("obj_dead_letters", O.with_ctes("""
 select 'object.events' as source_topic, message_key, error_message, message_value, 'riverbed' as consumer_group,
   timestamp '2024-06-01 00:00:00' as failed_at

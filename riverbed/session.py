@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,9 @@ BASE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # no record of the Python line of every Column call: it doubles the time
+    # that building a plan takes
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # VARIANT columns are written as plain variant binary: inferring a
@@ -92,6 +97,22 @@ def store_root(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, as a zip file through Spark's own file
+    server, once per SparkContext; they import from it what runs in tasks."""
+    sc = spark.sparkContext
+    if getattr(sc, "_riverbed_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    if root.is_dir():
+        path = os.path.join(tempfile.mkdtemp(prefix="riverbed-py-"), "riverbed.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, str(Path(root.name) / p.relative_to(root)))
+        sc.addPyFile(path)
+    sc._riverbed_shipped = True
+
+
 def materialize(df):
     """Cut lineage by writing the rows as a parquet table in the shared
     checkpoint folder and reading them back (never a local checkpoint:

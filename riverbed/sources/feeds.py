@@ -26,7 +26,7 @@ CUSTOMERS_TOPIC = f"{PREFIX}.public.customers"
 REVIEWS_TOPIC = f"{PREFIX}.reviewsdb.product_reviews"
 
 # Sequence numbers of the events generated per key (offset = key * 8 + seq).
-SEQ_R, SEQ_U, SEQ_D, SEQ_TOMBSTONE, SEQ_BAD, SEQ_DUP = 0, 1, 2, 3, 4, 5
+SEQ_R, SEQ_U, SEQ_D, SEQ_TOMBSTONE, SEQ_BAD, SEQ_DUP, SEQ_DELETE = 0, 1, 2, 3, 4, 5, 6
 BAD_JSON_MOD, BAD_JSON_REM = 1009, 7          # malformed messages (orders)
 POISON_MOD, POISON_REM = 97, 13               # messages that no target can store (orders)
 # The poison messages' members, one kind for each of the keys' classes: (op, id, quantity, unit_price, order_date).
@@ -113,6 +113,12 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def order_deletes(orders: DataFrame) -> DataFrame:
+    """A delete of each of the source orders, later than all their events."""
+    img = F.struct(*[F.col(c) for c in ("id", "customer_id", "order_date")])
+    return _event(orders, ORDERS_TOPIC, F.col("id"), SEQ_DELETE, _envelope("d", img, None, F.col("updated_at"), F.lit(False)))
+
+
 def customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """r for every customer, u (country moved) for id % 5 == 0."""
     c = FX.src_customers(spark, sf_dir)
@@ -232,3 +238,22 @@ def key_release_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _doc_key(oid).alias("key"),
                 _doc_value(op, body, F.lit(FX.EPOCH_2024_MS) + k * 8 + seq, "product_reviews").alias("value")))
     return reduce(DataFrame.unionByName, parts)
+
+
+def key_chain_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews in chains of up to 1,024 order keys: each claims the key of its
+    own place, then the next place's; in even chains the last one moves first,
+    in odd ones the first.  A chain lies in one partition."""
+    src = FX.src_reviews(spark, sf_dir).withColumn("k", F.col("review_id").cast("bigint"))
+    chain, pos = F.floor(F.col("k") / 1024), F.col("k") % 1024
+    oid = F.concat(F.lit("c"), F.lpad(F.lower(F.hex("k")), 23, "0"))
+    turn = F.when(chain % 2 == 0, 1023 - pos).otherwise(pos)
+
+    def claims(op: str, place: Column, offset: Column) -> DataFrame:
+        key = F.concat_ws("-", chain.cast("string"), place.cast("string"))
+        body = _json(F.struct(F.struct(oid.alias("$oid")).alias("_id"), key.alias("review_id")))
+        return src.select(F.lit(REVIEWS_TOPIC).alias("topic"), (chain % N_PARTITIONS).cast("int").alias("partition"),
+                          (chain * 4096 + offset).alias("offset"), _doc_key(oid).alias("key"),
+                          _doc_value(op, body, F.lit(FX.EPOCH_2024_MS), "product_reviews").alias("value"))
+
+    return claims("c", pos, pos).unionByName(claims("u", pos + 1, 2048 + turn))

@@ -175,6 +175,52 @@ def src_object_listing(spark: SparkSession, sf_dir: str, previous: bool = False)
         (F.lit(EPOCH_2024_MS) + k * 1000).alias("last_modified_ms"))
 
 
+def _write_objects(roots: dict[str, str]):
+    def run(batches):
+        import os
+
+        import pyarrow as pa
+
+        from .paths import filesystem, join
+        for b in batches:
+            for bucket, key, content in zip(*(b.column(c).to_pylist() for c in ("bucket", "object_key", "content"))):
+                fs, path = filesystem(join(roots[bucket], key))
+                fs.create_dir(os.path.dirname(path), recursive=True)
+                with fs.open_output_stream(path) as f:
+                    f.write(content)
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+    return run
+
+
+def write_objects(rows: DataFrame, root: str) -> dict[str, str]:
+    """Put (bucket, object_key, content) rows as files under ``root``; returns
+    the buckets' folders."""
+    from ..session import ship_package
+    from .paths import qualified
+    ship_package(rows.sparkSession)
+    names = [r[0] for r in rows.select("bucket").distinct().collect()]          # a handful of buckets
+    base = qualified(rows.sparkSession, root)
+    roots = {n: f"{base}/{n}" for n in names}
+    rows.select("bucket", "object_key", "content").mapInArrow(_write_objects(roots), "n long").agg(F.sum("n")).collect()
+    return roots
+
+
+def object_contents(spark: SparkSession, sf_dir: str, stale_targets: bool = False) -> DataFrame:
+    """A file per document: its text in the source bucket, or, with
+    ``stale_targets``, what an earlier copy left in the clean bucket: none for
+    ``doc_id % 23 == 0``, other bytes of the same length for ``doc_id % 29 ==
+    0``, a part for ``doc_id % 31 == 0``."""
+    d = read_table(spark, sf_dir, "documents")
+    k, text = F.col("doc_id"), F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    kinds = ["images", "videos", "audio", "documents"]
+    bucket = F.concat(F.lit("clean-" if stale_targets else "raw-"), F.get(F.array(*map(F.lit, kinds)), (k % 4).cast("int")))
+    if stale_targets:
+        d = d.where(k % 23 != 0)
+        text = (F.when(k % 29 == 0, F.encode(F.repeat(F.lit("x"), F.octet_length(F.coalesce("text", F.lit(""))).cast("int")), "UTF-8"))
+                .when(k % 31 == 0, F.encode(F.substring(F.coalesce("text", F.lit("")), 1, 5), "UTF-8")).otherwise(text))
+    return d.select(bucket.alias("bucket"), _doc_key(k).alias("object_key"), text.alias("content"))
+
+
 def target_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target-bucket listing (S7): some objects missing, resized or orphaned."""
     d = read_table(spark, sf_dir, "documents")

@@ -3,9 +3,10 @@
 ``readStream`` of a Kafka-shaped change feed -> ``foreachBatch`` that, per
 micro-batch:
 
-1. drops duplicate deliveries (T2), parses the batch once and writes the
+1. drops messages delivered twice or handled by an earlier batch (T2; the
+   ledger holds ranges of offsets, K7), parses the batch once and writes the
    parsed rows, which feed every later step,
-2. writes the raw audit log, the dead letters and the offsets into folders
+2. writes the raw audit log, the dead letters and their messages into folders
    named by the batch, overwriting what a dead attempt left there,
 3. merges keyed changes into the keyed tables (``operators.store``),
 4. refreshes the marts for what the batch touched, from the state that the
@@ -24,14 +25,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import envelope as EV
+from ..functions import scalars as SC
 from ..operators import changes as CH
 from ..operators import clean as C
 from ..operators import incremental as IN
 from ..operators import marts as M
+from ..operators import objects as OB
+from ..operators import offsets as OF
+from ..operators import partials as PT
 from ..operators.store import Commits, KeyedStore
 from ..sources.feeds import FEED_SCHEMA
 
@@ -46,16 +51,30 @@ def read_kafka(spark: SparkSession, bootstrap: str, topics: list[str], **options
     return reader.load().select("topic", "partition", "offset", "key", "value")
 
 
-def read_feed_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """File replay of a feed with the Kafka columns (tests, backfills)."""
-    r = spark.readStream.schema(FEED_SCHEMA)
+def publish_kafka(messages: DataFrame, bootstrap: str, **options) -> None:
+    """Write topic, key, value and headers to Kafka (needs the Kafka
+    connector).  The ``position`` header identifies a message that a retried
+    batch publishes again."""
+    writer = messages.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("includeHeaders", "true")
+    for k, v in options.items():
+        writer = writer.option(k, v)
+    writer.save()
+
+
+def read_feed_files(spark: SparkSession, path: str, max_files: int | None = None, schema: str = FEED_SCHEMA) -> DataFrame:
+    """File replay of a feed with the Kafka columns, or of listings (tests, backfills)."""
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(path)
 
 
 class Pipeline:
-    """What the three pipelines share: commits, batch folders, readers."""
+    """What the pipelines share: commits, batch folders, readers, the ledger of
+    handled offsets and the dead letters."""
+
+    #: tables whose buckets follow another column than their key
+    KEYS: dict[str, str] = {}
 
     def __init__(self, spark: SparkSession, root: str, batch_ts=None, group: str = "riverbed"):
         self.spark, self.root, self.group = spark, root.rstrip("/"), group
@@ -67,7 +86,7 @@ class Pipeline:
 
     def store(self, name: str, schema=None) -> KeyedStore:
         if name not in self.stores or (schema is not None and self.stores[name].schema is None):
-            self.stores[name] = KeyedStore(self.spark, self.root, name, schema)
+            self.stores[name] = KeyedStore(self.spark, self.root, name, schema, key=self.KEYS.get(name, "pk"))
         return self.stores[name]
 
     def state(self, name: str) -> DataFrame:
@@ -87,16 +106,43 @@ class Pipeline:
         if batch_id <= before["batch"]:
             return                                          # committed already
         tag = f"b{batch_id:010d}-{uuid.uuid4().hex[:8]}"
+        self.commits.fs.drop_matching(f"{self.root}/_work", f"b{batch_id:010d}-")      # what a dead attempt left
         doc = {"batch": batch_id, "tables": dict(before["tables"]), "marts": dict(before["marts"])}
-        feed = CH.dedupe_deliveries(batch).persist()
-        try:
-            self._log("ops/offsets", CH.offset_ledger(feed), batch_id)
-            self._process(feed, batch_id, tag, before, doc)
-        finally:
-            feed.unpersist()
+        feed = self._intake(batch, batch_id, tag, doc)
+        self._process(feed, batch_id, tag, before, doc)
         self.commits.write(doc)
         self.commits.fs.drop(f"{self.root}/_work/{tag}")
 
+    def _intake(self, batch: DataFrame, batch_id: int, tag: str, doc: dict) -> DataFrame:
+        """The batch's messages that no batch handled before, each once (T2),
+        as a written table; the ledger takes their positions in (K7)."""
+        feed = self._parsed(CH.dedupe_deliveries(batch), "feed", tag)
+        at, ranges = OF.positions(feed), self.read_mart("offset_ranges", doc)
+        if ranges is None:
+            self._mart("offset_ranges", OF.merged(OF.ranges_of(at)), tag, doc)
+            return feed
+        known = OF.handled(at, ranges)
+        again = bool(known.take(1))
+        self._mart("offset_ranges", OF.merged(OF.ranges_of(at).unionByName(ranges)), tag, doc)
+        return feed.join(known, CH.WHERE, "left_anti").select(*feed.columns) if again else feed
+
+    def handled_offsets(self) -> DataFrame:
+        """K7: topic, partition, first, last of every run of handled offsets."""
+        return self.read_mart("offset_ranges")
+
+    def _dead(self, dead: DataFrame, batch_id: int) -> None:
+        """The failed events as a table, and as messages of the
+        dead-letter topic.  Both sinks are folders of the batch, overwritten by
+        its next attempt, and every message names its batch and position, so a
+        letter is published once however often a batch is tried."""
+        self._log("ops/failed_events", dead, batch_id)
+        failed = self.spark.read.schema(dead.schema).parquet(f"{self.root}/ops/failed_events/batch_id={batch_id}")
+        self._log("dlq", CH.dlq_messages(failed, batch_id), batch_id)
+
+    def dead_letter_topic(self) -> DataFrame:
+        """Topic, key, value and headers of the letters of committed batches."""
+        return self.read_log("dlq").drop("batch_id")
+
     def _process(self, feed, batch_id, tag, before, doc) -> None:
         raise NotImplementedError
 
@@ -110,10 +156,10 @@ class Pipeline:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def _merge(self, name: str, changes: DataFrame, tag: str, doc: dict) -> dict | None:
+    def _merge(self, name: str, changes: DataFrame, tag: str, doc: dict, known=None) -> dict | None:
         """Merge into a table; returns its entry before the batch."""
         old = doc["tables"].get(name)
-        entry = self.store(name, changes.schema).merge(changes, old, tag)
+        entry = self.store(name, changes.schema).merge(changes, old, tag, known)
         if entry["paths"]:
             doc["tables"][name] = entry
         self.after(f"merge {name}")
@@ -134,31 +180,62 @@ class Pipeline:
 
 
 class RelationalPipeline(Pipeline):
-    """Raw / clean / mart maintenance for the relational feed."""
+    """Raw / clean / mart maintenance for the relational feed.  The marts follow
+    from partial states by customer (``operators.partials``): a batch reads the
+    buckets of its own orders and customers in every table, whatever the size
+    of the rest."""
+
+    KEYS = {"order_days": "owner", "order_moments": "cell"}
 
     def _process(self, feed, batch_id, tag, before, doc) -> None:
         parsed = {t: self._parsed(CH.parse_relational(feed, spec), t, tag) for t, spec in CH.RELATIONAL.items()}
         logs = [CH.audit_log(p) for p in parsed.values()], [
             CH.dead_letters(p, failed_at=self.batch_ts(batch_id), consumer_group=self.group) for p in parsed.values()]
         self._log("raw/cdc_events", logs[0][0].unionByName(logs[0][1]), batch_id)
-        self._log("ops/failed_events", logs[1][0].unionByName(logs[1][1]), batch_id)
+        self._dead(logs[1][0].unionByName(logs[1][1]), batch_id)
         changes = {t: CH.keyed_changes(parsed[t], spec) for t, spec in CH.RELATIONAL.items()}
-        old = {t: self._merge(t, changes[t], tag, doc) for t in ("customers", "orders")}
+        old = {t: before["tables"].get(t) for t in changes}
+        for t in changes:
+            self.store(t, changes[t].schema)
+        at_orders = self.store("orders").touched(old["orders"], changes["orders"])
+        self._merge("customers", changes["customers"], tag, doc)
+        self._merge("orders", changes["orders"], tag, doc, at_orders)
+        new = {t: doc["tables"].get(t) for t in changes}
+
+        def images(table: str, entry: dict | None, keys: DataFrame, known) -> DataFrame:
+            return CH.current(self.store(table).near(entry, keys, known), CH.RELATIONAL[table])
+
+        # what the changed orders take out of the marts and put in
+        delta = self._parsed(PT.changed(*[images("orders", e["orders"], changes["orders"], at_orders) for e in (old, new)]), "delta", tag)
+        for name, schema in PT.SCHEMAS.items():
+            self.store(name, schema)
+        owned = delta.where(F.col("owner").isNotNull())
+        moments, days = self.store("order_moments"), self.store("order_days")
+        was_m, was_d = (before["tables"].get(n) for n in ("order_moments", "order_days"))
+        cells, owners = PT.cells(delta), owned.select("owner").distinct()
+        at_m = moments.touched(was_m, cells)
+        self._merge("order_moments", PT.moment_rows(delta, _live(moments.near(was_m, cells, at_m)), batch_id), tag, doc, at_m)
+        held = _live(moments.near(doc["tables"].get("order_moments"), cells, at_m))
+        at_d = days.touched(was_d, owners)
+        self._merge("order_days", PT.day_rows(delta, _live(days.near(was_d, owners, at_d)), held, batch_id), tag, doc, at_d)
+        now_d = doc["tables"].get("order_days")
+
+        # the customers who changed, or own a changed order, and their days
+        moved = changes["customers"].select(F.col("pk").cast("bigint").alias("owner")).where(F.col("owner").isNotNull()).distinct()
+        touched = self._parsed(owners.unionByName(moved).distinct().withColumn("pk", F.col("owner").cast("string")), "touched", tag)
+        at_c, at_t = self.store("customers").touched(old["customers"], touched), days.touched(now_d, touched)
+        was, now = (images("customers", e["customers"], touched, at_c) for e in (old, new))
+        rev, summary = (self.read_mart(n, before) for n in ("daily_revenue", "customer_summary"))
+        if rev is None:
+            none = {t: CH.current(self.store(t).state(None), CH.RELATIONAL[t]) for t in changes}
+            rev, summary = M.daily_revenue(none["orders"], none["customers"]), M.customer_summary(none["customers"], none["orders"])
+        both = [_live(days.near(e, moved, at_t)) for e in (was_d, now_d)]
+        self._mart("daily_revenue", PT.revenue_refresh(rev, delta, *both, was, now, moved), tag, doc)
+        self._mart("customer_summary", PT.customer_refresh(summary, _live(days.near(now_d, touched, at_t)), now, touched), tag, doc)
 
-        def rows(table: str, entry: dict | None) -> DataFrame:
-            return CH.current(self.store(table).state(entry), CH.RELATIONAL[table])
 
-        new_o, new_c = (rows(t, doc["tables"].get(t)) for t in ("orders", "customers"))
-        rev, summary = self.read_mart("daily_revenue", before), self.read_mart("customer_summary", before)
-        if rev is None:
-            rev_new, summary_new = M.daily_revenue(new_o, new_c), M.customer_summary(new_c, new_o)
-        else:
-            old_o, old_c = rows("orders", old["orders"]), rows("customers", old["customers"])
-            changed_o, changed_c = (changes[t].select(F.col("pk").cast("bigint").alias("id")) for t in ("orders", "customers"))
-            rev_new = IN.revenue_refresh(rev, old_o, old_c, new_o, new_c, changed_o, changed_c)
-            summary_new = IN.customer_summary_refresh(summary, old_o, new_o, new_c, changed_o, changed_c)
-        self._mart("daily_revenue", rev_new, tag, doc)
-        self._mart("customer_summary", summary_new, tag, doc)
+def _live(rows: DataFrame) -> DataFrame:
+    return rows.where(~F.col("_deleted"))
 
 
 class DocumentPipeline(Pipeline):
@@ -193,7 +270,7 @@ class DocumentPipeline(Pipeline):
         log = dead[0]
         for d in dead[1:]:
             log = log.unionByName(d)
-        self._log("ops/failed_events", log, batch_id)
+        self._dead(log, batch_id)
         self._marts(touched, old, before, tag, doc)
 
     def _marts(self, touched, old, before, tag, doc) -> None:
@@ -245,18 +322,63 @@ class ObjectPipeline(Pipeline):
         cleaned = C.clean_object_events(flat, ts, keep=["key_text", "value_text", "_bad"])
         cleaned = self._parsed(cleaned.withColumn("_error", F.when(F.col("_bad"), F.lit(C.ERR_BAD_JSON)).otherwise(F.col("_error"))),
                                "objects", tag)
-        self._log("ops/failed_events", CH.dead_letters(cleaned, failed_at=ts, consumer_group=self.group), batch_id)
+        self._dead(CH.dead_letters(cleaned, failed_at=ts, consumer_group=self.group), batch_id)
         good = cleaned.where(F.col("_error").isNull())
-        order = F.struct(F.lit(batch_id).cast("bigint").alias("batch"), "partition", "offset").alias("_pos")
-        raw = good.select(F.col("event_id").alias("pk"), order, F.lit(False).alias("_deleted"), F.lit("u").alias("_op"),
+        order = CH.position(F.lit(None)).alias("_pos"), CH.no_past().alias("_past")
+        raw = good.select(F.col("event_id").alias("pk"), *order, F.lit(False).alias("_deleted"), F.lit("u").alias("_op"),
                           "topic", "partition", "offset", F.col("value_text").alias("event"))
         self._merge("raw_events", raw, tag, doc)
         meta_cols = [c for c in good.columns if c not in
                      ("topic", "partition", "offset", "key_text", "value_text", "_bad", "_error")]
-        changes = good.select(F.col("object_id").alias("pk"), order, F.lit(False).alias("_deleted"), F.lit("u").alias("_op"), *meta_cols)
+        changes = good.select(F.col("object_id").alias("pk"), *order, F.lit(False).alias("_deleted"), F.lit("u").alias("_op"), *meta_cols)
         self._merge("object_metadata", changes, tag, doc)
         meta = self.store("object_metadata").state(doc["tables"].get("object_metadata")).where(~F.col("_deleted"))
         for name, fn in (("object_summary_by_type", M.object_summary_by_type),
                          ("object_summary_by_day", M.object_summary_by_day),
                          ("object_storage_summary", M.object_storage_summary)):
             self._mart(name, fn(meta), tag, doc)
+
+
+LISTING_SCHEMA = "scan bigint, bucket string, object_key string, size_bytes bigint, etag string, content_type string, last_modified timestamp"
+
+
+class ListingPipeline(Pipeline):
+    """T6/J7 as a stream: scans of object listings in, changed objects out.
+
+    A keyed table holds the last fingerprint of every object ever seen, so the
+    detector goes on after a restart where it was, and an object that was away
+    for some scans and comes back as it was is no change.  A scan that comes
+    again is passed over.  Several scans may share a batch.  Only the buckets
+    of changed objects are rewritten.
+    """
+
+    def _intake(self, batch: DataFrame, batch_id: int, tag: str, doc: dict) -> DataFrame:
+        seen = batch.dropDuplicates(["scan", "bucket", "object_key"]).withColumns(
+            {"pk": SC.stable_hash("bucket", "object_key"), "fingerprint": OB.fingerprint()})
+        return self._parsed(seen, "listing", tag)
+
+    def _process(self, feed, batch_id, tag, before, doc) -> None:
+        pos = F.struct(F.lit(None).cast("bigint").alias("clock"), F.lit("listing").alias("topic"), F.lit(0).alias("partition"),
+                       F.col("scan").alias("offset")).alias("_pos")
+        last = [F.col("pk"), pos, CH.no_past().alias("_past"), F.lit(False).alias("_deleted"), F.lit("u").alias("_op"), F.col("fingerprint")]
+        store = self.store("object_seen", feed.select(*last).schema)
+        held = store.near(before["tables"].get("object_seen"), feed).select(
+            "pk", F.col("_pos.offset").alias("scan"), "fingerprint", F.lit(True).alias("held"))
+        per = Window.partitionBy("pk").orderBy("scan", F.desc("held"))
+        rows = feed.select("pk", "scan", "fingerprint", F.lit(False).alias("held")).unionByName(held)
+        rows = (rows.withColumns({"_was": F.lag("fingerprint").over(per), "_upto": F.max(F.when(F.col("held"), F.col("scan"))).over(
+            Window.partitionBy("pk"))})
+            .where(~F.col("held") & (F.col("_upto").isNull() | (F.col("scan") > F.col("_upto")))
+                   & ~F.col("_was").eqNullSafe(F.col("fingerprint"))))
+        kind = F.when(F.col("_was").isNull(), "new").otherwise("changed").alias("change_kind")
+        changed = self._parsed(feed.join(rows.select("pk", "scan", kind), ["pk", "scan"]), "changed", tag)
+        self._log("ops/object_changes", changed.drop("pk"), batch_id)
+        self._merge("object_seen", changed.select(*last), tag, doc)
+
+    def changes(self) -> DataFrame:
+        """Every object that was new or changed in a scan, with ``change_kind``."""
+        return self.read_log("ops/object_changes").drop("batch_id")
+
+    def messages(self) -> DataFrame:
+        """The changes as object events for the topic of object events."""
+        return OB.event_messages(OB.object_events(self.changes()))

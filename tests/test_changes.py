@@ -174,6 +174,95 @@ def test_a_key_that_moved_to_a_lower_partition_is_updated(spark):
     assert _quantities(st) == {1: 2}
 
 
+def timed(offset, ts, qty, partition=0, op="u", pk=1):
+    after = None if op == "d" else order(pk, quantity=qty)
+    return msg(offset, None, value=json.dumps({"op": op, "before": order(pk), "after": after, "ts_ms": ts}), pk=pk, partition=partition)
+
+
+@pytest.mark.parametrize("later", [None, 0, 9, 10])
+def test_offsets_decide_inside_a_partition(spark, later):
+    """A later offset wins with a missing, smaller or equal time, in one batch or two."""
+    rows = [timed(1, 10, 1, op="c"), timed(2, later, 2)]
+    assert _quantities(_state(spark, rows)) == {1: 2}
+    assert _quantities(_state(spark, rows[1:], _state(spark, rows[:1]))) == {1: 2}
+
+
+def test_clock_decides_between_partitions_of_one_batch(spark):
+    rows = [timed(1, 100, 1, 3), timed(2, 50, 2, 3),          # the clock of partition 3 stays at 100
+            timed(1, 90, 3, 5), timed(2, None, 4, 5)]
+    assert _quantities(_state(spark, rows)) == {1: 2}
+    assert _quantities(_state(spark, rows + [timed(3, 101, 5, 5), timed(4, None, 6, 5)])) == {1: 6}
+    assert _quantities(_state(spark, [timed(1, None, 1, 2), timed(1, None, 2, 4)])) == {1: 2}       # no times at all
+
+
+def test_later_batches_come_later_and_old_positions_change_nothing(spark):
+    st = _state(spark, [timed(5, 100, 1, 0), timed(6, 100, 2, 0)])
+    st = _state(spark, [timed(1, 7, 3, 4)], st).checkpoint()                    # moved, its time fell
+    assert _quantities(st) == {1: 3}
+    row = st.first()
+    assert (row["_pos"]["partition"], row["_pos"]["offset"]) == (4, 1)
+    assert [(p["partition"], p["offset"]) for p in row["_past"]] == [(0, 6)]
+    st = _state(spark, [timed(5, 900, 8, 0), timed(6, 900, 9, 0), timed(1, 900, 9, 4)], st).checkpoint()     # delivered again
+    assert _quantities(st) == {1: 3}
+    st = _state(spark, [timed(2, None, 0, 4, op="d")], st).checkpoint()
+    assert _quantities(st) == {}
+    assert _quantities(_state(spark, [timed(6, 900, 9, 0)], st)) == {}           # not back to life
+    assert _quantities(_state(spark, [timed(7, None, 5, 0)], st)) == {1: 5}      # moved back
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_order_equals_event_at_a_time(spark, seed):
+    """Random times over batches that are slices of each partition, each key in one partition."""
+    rng = random.Random(seed)
+    rows = [timed(n, rng.choice([None, rng.randrange(50)]), n + 1, partition=(pk := rng.randrange(6)) % 3, op=rng.choice("ccuud"), pk=pk)
+            for n in range(60)]
+    want = {}
+    for r in rows:
+        v = json.loads(r[4])
+        key = json.loads(r[3])["id"]
+        want.pop(key, None)
+        if v["after"]:
+            want[key] = v["after"]["quantity"]
+    for cuts in ([60], [13, 40, 60]):
+        state, at = None, 0
+        for to in cuts:
+            state, at = _state(spark, rows[max(0, at - 5):to], state).checkpoint(), to       # some are delivered again
+        assert _quantities(state) == want
+
+
+def test_documents_follow_offsets_too(spark):
+    rows = [dmsg(1, "c", {"_id": {"$oid": "a" * 24}, "review_id": "r", "rating": 1}, "a" * 24),
+            dmsg(2, "u", {"_id": {"$oid": "a" * 24}, "review_id": "r", "rating": 2}, "a" * 24)]
+    rows[1] = (*rows[1][:4], rows[1][4].replace('"ts_ms": 2', '"ts_ms": null'))
+    st, _ = CH.document_state(feed(spark, rows), "product_reviews", CH.REVIEW_COLUMNS)
+    assert [r["rating"] for r in st.collect()] == [2]
+
+
+def test_duplicate_keys_follow_offsets_with_falling_times(spark, monkeypatch):
+    """Claims of several ids in one partition are judged by offset, over blocks of offsets."""
+    monkeypatch.setattr(CH, "CLOCK_BLOCK", 7)
+    rng = random.Random(1)
+    events = [(n, rng.choice("ccud"), f"{rng.randrange(12):024x}", rng.choice(["r1", "r2", "r3", "r4", None])) for n in range(120)]
+    rows = [("t", 0, n, rng.choice([None, rng.randrange(99)]), op, i, key, None) for n, op, i, key in events]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, ts_ms bigint, op string, _id string, review_id string, _error string")
+    assert _rejected(df) == replayed(events)[0]
+
+
+def test_partition_clocks(spark, monkeypatch):
+    monkeypatch.setattr(CH, "CLOCK_BLOCK", 4)
+    rng = random.Random(2)
+    times = {p: [rng.choice([None, rng.randrange(100)]) for _ in range(30)] for p in (0, 1)}
+    rows = [("i", "k", False, "t", p, o, t) for p, ts in times.items() for o, t in enumerate(ts)]
+    rows += [(f"s{n}", f"k{n}", True, None, -1, -1, None) for n in range(3)]
+    df = spark.createDataFrame(rows, "id string, key string, stored boolean, topic string, partition int, offset bigint, ts_ms bigint")
+    got = CH._placed(df).collect()
+    assert len(got) == 63 and sum(not r["pos"]["new"] for r in got) == 3
+    for r in got:
+        if r["pos"]["new"]:
+            seen = [t for t in times[r["partition"]][:r["offset"] + 1] if t is not None]
+            assert r["pos"]["clock"] == max(seen, default=None)
+
+
 def dmsg(off, op, doc=None, oid=None):
     from riverbed.sources import feeds as FD
     key = json.dumps({"id": json.dumps({"$oid": oid})}) if oid else None
