@@ -6,6 +6,11 @@ gives the same ids several times faster; it takes whole texts of characters
 whose classes no Unicode version changes, without anything that could be a
 special token.  All other texts and files go unit by unit.
 
+Word-level files: whole texts of such characters are cut into pre-tokens by one
+pass of the file's own pattern, and the ids of a pre-token come from a cache of
+bounded size; tiktoken merges those that are new, with the file's end-of-word
+mark as one more byte behind the last.
+
 Units.  A vocabulary file's pre-tokenizer never joins a character that is not white
 space with white space after it.  A text may therefore be cut before every
 space that follows such a character, and the ids of the units, each encoded
@@ -20,6 +25,7 @@ from __future__ import annotations
 import array
 import json
 import re
+import unicodedata
 
 import regex
 import tiktoken
@@ -58,6 +64,41 @@ def _ranks(spec: dict) -> dict[bytes, int] | None:
     return {bytes(byte[c] for c in t): i for t, i in vocab.items() if t not in special}
 
 
+#: A byte that UTF-8 never has: the end-of-word mark in tiktoken's ranks.
+_END = b"\xff"
+#: Longer texts are cut into pre-tokens part by part.
+_PART = 1 << 20
+
+
+def _word_ranks(spec: dict) -> dict[bytes, int] | None:
+    """The vocabulary of a word-level file as tiktoken's ranks, if its merges
+    are in the order of their ids and come after all single letters."""
+    model, byte = spec["model"], {c: b for b, c in enumerate(_byte_letters())}
+    suffix = model.get("end_of_word_suffix")
+    if not suffix or model.get("continuing_subword_prefix") or model.get("byte_fallback") or model.get("unk_token"):
+        return None
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+
+    def raw(token: str) -> bytes:
+        end = token.endswith(suffix)
+        return bytes(byte[c] for c in (token[:-len(suffix)] if end else token)) + (_END if end else b"")
+
+    vocab = model["vocab"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [vocab.get(a + b) for a, b in pairs]
+    single = [vocab.get(c + e) for c in byte for e in ("", suffix)]
+    if None in made or None in single or any(x >= y for x, y in zip(made, made[1:])) or max(single) >= made[0]:
+        return None
+    return {raw(t): i for t, i in vocab.items() if t not in special}
+
+
+def _plain_words() -> re.Pattern:
+    """WORD_LEVEL over the characters of ``_PLAIN_TEXT``."""
+    plain = [chr(c) for c in range(0x180) if _PLAIN_TEXT.fullmatch(chr(c))]
+    letters, numbers = (re.escape("".join(c for c in plain if unicodedata.category(c)[0] == k)) for k in "LN")
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+")
+
+
 class _Cache(dict):
     """Two generations of at most ``most`` entries each."""
 
@@ -79,7 +120,7 @@ class _Cache(dict):
 class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, units: int = 250_000, pieces: int = 250_000):
+    def __init__(self, path: str, units: int = 250_000, pieces: int = 500_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tok = Tokenizer.from_file(path)
@@ -99,7 +140,10 @@ class Encoder:
         self.fast = None
         if self.kind == "byte" and (ranks := _ranks(spec)):
             self.fast = tiktoken.Encoding("file", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
-        self.pieces = _Cache(self._piece, pieces)
+        self.words = None
+        if self.kind == "word" and (ranks := _word_ranks(spec)):
+            self.words, self.cut = tiktoken.Encoding("file", pat_str=WORD_LEVEL, mergeable_ranks=ranks, special_tokens={}), _plain_words()
+        self.pieces = _Cache(self._word if self.words else self._piece, pieces)
         self.head = _Cache(self._unit, units)                       # a unit at the start of a text
         self.rest = _Cache(lambda u: self._unit(" " + u), units)    # one after a space
 
@@ -111,6 +155,9 @@ class Encoder:
         return array.array("I", [t.id for t in self.model.tokenize(
             "".join([letters[b] for b in piece.encode()]))]).tobytes()
 
+    def _word(self, piece: str) -> bytes:
+        return array.array("I", self.words._encode_single_piece(piece.encode() + _END)).tobytes()
+
     def _unit(self, unit: str) -> bytes:
         if self.kind is None or not _PLAIN.fullmatch(unit):         # a "<" might begin a special token
             return self._whole(unit)
@@ -129,6 +176,13 @@ class Encoder:
             return b""
         if self.fast is not None and "<|" not in text and _PLAIN_TEXT.fullmatch(text):
             return array.array("I", self.fast.encode_ordinary(text)).tobytes()
+        if self.words is not None and "<|" not in text and _PLAIN_TEXT.fullmatch(text):
+            out, at = [], 0
+            while at < len(text):
+                to = text.find(" ", at + _PART)                     # no pre-token spans white space
+                part, at = (text[at:], len(text)) if to < 0 else (text[at:to], to)
+                out += map(self.pieces.__getitem__, self.cut.findall(part.lower()))
+            return b"".join(out)
         if self.kind == "word":
             # white space parts pre-tokens and is dropped
             return b"".join(map(self.head.__getitem__, text.replace("\n", " ").split(" ")))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverbed.llm.common import shared_fs, shared_path, ship_package, utf8, written
+from riverbed.sources.paths import qualified
 from riverbed.llm.tokens import encoder
 
 MAGIC = b"WVMX0001"
@@ -37,15 +38,18 @@ class WaveletMatrix:
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
         now = ids.astype(np.uint16 if bits <= 16 else np.uint32)
-        planes, ranks, zeros = [], [], []
+        then, planes, ranks, zeros = np.empty_like(now), [], [], []
         for b in range(bits - 1, -1, -1):
-            bit = (now >> b) & 1 != 0
+            bit = (now & now.dtype.type(1 << b)).astype(bool)
             plane = np.packbits(bit, bitorder="little")
             planes.append(plane)
             ranks.append(_rank_table(plane))
-            low, high = now[~bit], now[bit]
-            zeros.append(len(low))
-            now = np.concatenate((low, high))
+            low = len(now) - int(np.count_nonzero(bit))
+            zeros.append(low)
+            if b:                                   # zeros first, in place of the other buffer
+                np.compress(bit, now, out=then[low:])
+                np.compress(np.logical_not(bit, out=bit), now, out=then[:low])
+                now, then = then, now
         return cls(len(ids), bits, planes, ranks, zeros)
 
     def _ones(self, level: int, to: int) -> int:
@@ -224,7 +228,7 @@ def write_shards(docs: DataFrame, path: str, end_id: int = 1, bits: int = 16, sh
     """
     spark = docs.sparkSession
     ship_package(spark)
-    folder = folder or shared_path(spark, "token_shards")
+    folder = qualified(spark, folder) if folder else shared_path(spark, "token_shards")
     fs, root = shared_fs(folder)
     fs.create_dir(root, recursive=True)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
