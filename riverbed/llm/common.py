@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.session import checkpoint_dir
+from riverbed.sources.paths import filesystem, qualified
 
 
 ARROW_ROWS = 1000
@@ -52,8 +53,9 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_path(spark: SparkSession, kind: str) -> str:
-    """A new folder name in the shared folder of ``spark.checkpoint.dir``."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+    """The URI of a new folder in the shared folder of ``spark.checkpoint.dir``,
+    with the scheme that Spark itself would use."""
+    return f"{qualified(spark, checkpoint_dir(spark)).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, kind: str = "tables") -> DataFrame:
@@ -66,14 +68,9 @@ def written(df: DataFrame, kind: str = "tables") -> DataFrame:
 
 
 def shared_fs(uri: str):
-    """(file system, path) for a folder that driver and executors share; any
-    scheme that Arrow knows (file, hdfs, s3, gs) or a plain path."""
-    from pyarrow import fs
-    if "://" in uri or uri.startswith("file:"):
-        if uri.startswith("file:"):
-            return fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-        return fs.FileSystem.from_uri(uri)
-    return fs.LocalFileSystem(), uri
+    """(file system, path) for a folder that driver and executors share, given
+    as a URI; a scheme that Arrow does not know is an error."""
+    return filesystem(uri)
 
 
 def free_name(df: DataFrame, name: str) -> str:

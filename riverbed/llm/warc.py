@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverbed.llm.common import shared_fs, shared_path, ship_package, utf8, written
+from riverbed.sources.paths import qualified
 
 # fixed values: the profile of a revisit, and the date of all records here
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -113,7 +114,7 @@ def write_archives(pages: DataFrame, least: int = 1000, file_bytes: int = 64 <<
     """
     spark = pages.sparkSession
     ship_package(spark)
-    folder = folder or shared_path(spark, "warc")
+    folder = qualified(spark, folder) if folder else shared_path(spark, "warc")
     fs, root = shared_fs(folder)
     fs.create_dir(root, recursive=True)
     body = F.coalesce(F.col(f"`{html}`"), F.lit(""))
@@ -121,7 +122,7 @@ def write_archives(pages: DataFrame, least: int = 1000, file_bytes: int = 64 <<
                         body.alias("html"), F.sha1(F.encode(body, "UTF-8")).alias("digest"),
                         F.octet_length(body).alias("size"))
     first = roles(pages, least, id_col, html)
-    # the texts are shuffled only if the table of repeated payloads is too large to send
+    # the texts cross this join's shuffle: which rows revisit others is known only by digest
     got = rows.join(first, ["digest", "size"], "left").select(
         "page", "url", "html", "digest",
         F.when(F.col("first").isNotNull() & ~F.col("page").eqNullSafe(F.col("first")), F.col("first")).alias("first"))
