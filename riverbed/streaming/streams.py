@@ -27,6 +27,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import envelope as EV
 from ..functions import scalars as SC
@@ -86,6 +87,7 @@ class Pipeline:
 
     def store(self, name: str, schema=None) -> KeyedStore:
         if name not in self.stores or (schema is not None and self.stores[name].schema is None):
+            schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
             self.stores[name] = KeyedStore(self.spark, self.root, name, schema, key=self.KEYS.get(name, "pk"))
         return self.stores[name]
 
