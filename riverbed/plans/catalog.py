@@ -1358,9 +1358,8 @@ def q_doc_snapshot_scan(spark, sf):
     path = store_root(spark, f"snapshot-{uuid.uuid4().hex}")
     src = FX.src_reviews(spark, sf)
     CO.write_snapshot(src.select(D.review_json(src).alias("line")), path)
-    docs, key = CO.read_collection(spark, path), F.col("_id")
-    scans = {"all": docs, "range": docs.where((key >= "1000".zfill(24)) & (key < "2000".zfill(24))),
-             "keys": docs.where(key.isin("7".zfill(24), "20".zfill(24)))}
+    scans = {"all": CO.read_collection(spark, path), "range": CO.read_collection(spark, path, "1000".zfill(24), "2000".zfill(24)),
+             "keys": CO.read_collection(spark, path, keys=["7".zfill(24), "20".zfill(24)])}
     parts = [SN.good(C.DOC_CLEANERS["product_reviews"](d.select(F.col("document").alias("doc")))).select(
         F.lit(name).alias("scan"), "_id", "review_id", "customer_id", "product_id", "rating", "status", "title", "updated_at")
         for name, d in scans.items()]
