@@ -4,14 +4,19 @@ filtering.
 A 64-bit fingerprint has 8 positional bytes.  Two fingerprints with at most
 ``k`` differing bits differ in at most ``k`` bytes, so they share at least
 ``8 - k`` of them: that is the guaranteed minimum of the count filter.
+
 Postings of single positional bytes hold 1/256 of all fingerprints each, and
-tallying them pair by pair is quadratic.  The index therefore posts every
-fingerprint under each choice of ``8 - k`` positions with its bytes there (28
-postings for k = 2): two fingerprints meet in a posting exactly when their
-tally of shared positional bytes reaches the minimum.  Members of a posting
-differ only in the ``k`` bytes left out, so it has at most 256^k distinct
-ones, whatever the input; within it, candidates are verified by their
-differing bits and joined without writing out pairs.
+tallying those pair by pair is quadratic.  The index posts combinations of
+positions instead.  For k <= 2 the positions form four pairs, of which at least
+two stay untouched, so every union of two pairs is one posting key of four
+bytes: six postings a fingerprint.  In a posting, the shared positional bytes
+of each candidate pair are tallied, pairs that reach the minimum are kept, and
+verified by their differing bits.
+
+A posting of very many members would be quadratic again.  Its members are
+posted anew under every choice of ``8 - k`` positions: members of such a
+posting differ in ``k`` bytes only, so it has at most 256^k of them, whatever
+the input, and they are joined by probing, without writing out pairs.
 
 Exact copies and equal fingerprints are one entry of the index, so groups of
 copies of any size cost one entry.  Components of linked fingerprints are
@@ -29,10 +34,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbed.llm.common import ship_package, utf8, written
+from riverbed.llm.common import free_name, ship_package, utf8, written
 from riverbed.llm.components import components
 
 _CHUNK = 1 << 15
+#: Larger postings are posted anew; up to here all pairs of one are tallied.
+MANY = 1024
 
 
 def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
@@ -74,9 +81,15 @@ def fingerprints(docs: DataFrame, keep: list[str], shingle: int = 3, seed: int =
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], F.col(f"c{len(keep)}").alias(name))
 
 
+def shared_bytes(x: np.ndarray) -> np.ndarray:
+    """How many positional bytes two fingerprints share, given their
+    exclusive or: its zero bytes."""
+    return (x[..., None].view(np.uint8) == 0).sum(axis=-1)
+
+
 def _stars(values: np.ndarray, bits: int) -> Iterator[tuple[int, int]]:
     """(member, root) edges that connect the values within ``bits`` of each
-    other, given values that all share the index's minimum of bytes."""
+    other, given the members of a posting."""
     n = len(values)
     root = list(range(n))
 
@@ -91,11 +104,14 @@ def _stars(values: np.ndarray, bits: int) -> Iterator[tuple[int, int]]:
         if i != j:
             root[max(i, j)] = min(i, j)
 
-    if n <= 64:
+    if n <= MANY:
         x = values.astype(np.int64).view(np.uint64)
-        far = np.bitwise_count(x[:, None] ^ x[None, :])
-        for i, j in zip(*np.nonzero(np.triu(far <= bits, 1))):
-            join(int(i), int(j))
+        for a in range(0, n, 256):
+            apart = x[a:a + 256, None] ^ x[None, :]
+            i, j = np.nonzero(shared_bytes(apart) >= 8 - bits)           # the tally reaches the minimum
+            near = (np.bitwise_count(apart[i, j]) <= bits) & (i + a < j)       # verified, each pair once
+            for i, j in zip((i[near] + a).tolist(), j[near].tolist()):
+                join(i, j)
     else:
         # probe every value with up to half the bits flipped: two values are
         # within ``bits`` exactly if such probes meet
@@ -138,6 +154,24 @@ def _link(bits: int):
     return run
 
 
+def _postings(fps: DataFrame, choices: list[tuple[int, ...]]) -> DataFrame:
+    """(fp, positions, shared): each fingerprint under every choice of
+    positions, with the bytes it has there."""
+    masks = []
+    for positions in choices:
+        m = sum(0xFF << (8 * p) for p in positions)
+        masks.append(m - (1 << 64) if m >> 63 else m)
+    keys = F.array(*[F.struct(F.lit(i).cast("byte").alias("positions"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("shared"))
+                     for i, m in enumerate(masks)])
+    return fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.positions", "k.shared")
+
+
+def _linked(posted: DataFrame, bits: int) -> DataFrame:
+    members = (posted.groupBy("positions", "shared").agg(F.collect_list("fp").alias("members"))
+               .where(F.size("members") > 1).select("members"))
+    return members.mapInArrow(_link(bits), "a long, b long")
+
+
 def links(fps: DataFrame, bits: int = 2, name: str = "fp") -> DataFrame:
     """(a, b) edges between distinct fingerprints such that two are connected
     within a posting exactly if a chain of steps of at most ``bits`` differing
@@ -145,17 +179,18 @@ def links(fps: DataFrame, bits: int = 2, name: str = "fp") -> DataFrame:
     if not 0 < bits < 4:
         raise ValueError("bits: 1 to 3")
     ship_package(fps.sparkSession)
-    fp = F.col(name)
-    masks = []
-    for left_out in combinations(range(8), bits):
-        m = sum(0xFF << (8 * p) for p in range(8) if p not in left_out)
-        masks.append(m - (1 << 64) if m >> 63 else m)
-    keys = F.array(*[F.struct(F.lit(i).cast("byte").alias("positions"), fp.bitwiseAND(F.lit(m).cast("long")).alias("shared"))
-                     for i, m in enumerate(masks)])
-    posted = fps.select(fp.alias("fp"), F.explode(keys).alias("k")).select("fp", "k.positions", "k.shared")
-    postings = (posted.groupBy("positions", "shared").agg(F.collect_list("fp").alias("members"))
-                .where(F.size("members") > 1).select("members"))
-    return postings.mapInArrow(_link(bits), "a long, b long").distinct()
+    fps = fps.select(F.col(f"`{name}`").alias("fp"))
+    exact = list(combinations(range(8), 8 - bits))
+    if bits == 3:
+        return _linked(_postings(fps, exact), bits).distinct()
+    pairs = [(2 * i, 2 * i + 1) for i in range(4)]
+    posted = _postings(fps, [a + b for a, b in combinations(pairs, 2)])
+    many = written(posted.groupBy("positions", "shared").count().where(F.col("count") > MANY).select("positions", "shared"), "simhash")
+    if not many.take(1):
+        return _linked(posted, bits).distinct()
+    again = written(posted.join(many, ["positions", "shared"], "left_semi").select("fp").distinct(), "simhash")
+    few = posted.join(many, ["positions", "shared"], "left_anti").select(*posted.columns)
+    return _linked(few, bits).union(_linked(_postings(again, exact), bits)).distinct()
 
 
 def _placed(docs: DataFrame, shingle: int, bits: int, seed: int, id_col: str, text: str) -> DataFrame:
@@ -195,15 +230,16 @@ def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 2, seed: int = 42, i
     twice = written(rows.groupBy("id", "h").count().where("count > 1").select("id", "h"), "simhash")
     cols = [F.col(f"`{c}`") for c in docs.columns]
     ident, h = F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text}`"))
+    kid, kh, whole_row = (free_name(docs, n) for n in ("__id", "__h", "__row"))
 
     def of(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
-        keys = keys.select(F.col("id").alias("__id"), F.col("h").alias("__h"))
-        return rows.join(keys, (h == F.col("__h")) & ident.eqNullSafe(F.col("__id")), how)
+        keys = keys.select(F.col("id").alias(kid), F.col("h").alias(kh))
+        return rows.join(keys, (h == F.col(kh)) & ident.eqNullSafe(F.col(kid)), how)
 
     kept = of(stay, "left_semi", docs)
     if not twice.take(1):
         return kept.select(*cols)
     whole = F.struct(*cols)
-    one = (of(twice, "left_semi", kept).groupBy(ident.alias("__id"), h.alias("__h"))
-           .agg(F.min_by(whole, F.xxhash64(*cols)).alias("__row")).select("__row.*"))
+    one = (of(twice, "left_semi", kept).groupBy(ident.alias(kid), h.alias(kh))
+           .agg(F.min_by(whole, F.xxhash64(*cols)).alias(whole_row)).select(f"{whole_row}.*"))
     return of(twice, "left_anti", kept).select(*cols).union(one)
