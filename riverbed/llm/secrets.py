@@ -31,23 +31,51 @@ SIZE = len(ALPHABET)
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+_FOUND = "array<struct<start:int,kind:int,end:int,match:string>>"
+
+
+def _parts(size: Column) -> Column:
+    """0, 1, ... for the parts that an array of ``size`` is cut into: about as
+    many as each has entries, so that work inside parts and over them grows
+    with size * sqrt(size), not with its square."""
+    return F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(size / _part(size)).cast("int") - 1))
+
+
+def _part(size: Column) -> Column:
+    """How many entries a part has."""
+    return F.greatest(F.lit(1), F.ceil(F.sqrt(size.cast("double"))).cast("int"))
+
+
 def spans_of(text: Column, pattern: str, kind: int) -> Column:
     """The leftmost non-overlapping matches of ``pattern`` as an array of
     (start, kind, end, match), offsets in code points, end exclusive."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    # a running end over (gap, match) pairs, and the spans so far
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int,match:string>>").alias("spans"))
+    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(
+        F.char_length(g).alias("gap"), F.char_length(m).alias("size"), m.alias("match")))
 
     def step(acc: Column, pair: Column) -> Column:
-        a = acc["at"] + F.char_length(pair["gap"])
-        b = a + F.char_length(pair["match"])
+        a = acc["at"] + pair["gap"]
+        b = a + pair["size"]
         return F.struct(b.alias("at"), F.concat(acc["spans"], F.array(F.struct(
             a.alias("start"), F.lit(kind).alias("kind"), b.alias("end"), pair["match"].alias("match")))).alias("spans"))
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(pairs, start, step)["spans"]).otherwise(
-        F.array().cast("array<struct<start:int,kind:int,end:int,match:string>>"))
+    def placed(pairs: Column, at: Column) -> Column:
+        """Spans of some pairs, the first of which begins at ``at``."""
+        return F.aggregate(pairs, F.struct(at.alias("at"), F.array().cast(_FOUND).alias("spans")), step)["spans"]
+
+    def cut(pairs: Column) -> Column:
+        """Where each part begins, then the spans part by part."""
+        size = F.size(pairs)
+        part = lambda i: F.slice(pairs, i * _part(size) + 1, _part(size))
+        starts = F.aggregate(_parts(size), F.array(F.lit(0)), lambda acc, i: F.concat(acc, F.array(F.aggregate(
+            part(i), F.element_at(acc, -1), lambda n, p: n + p["gap"] + p["size"]))))
+        # one-element arrays bind a value once for the functions under them
+        return F.flatten(F.flatten(F.transform(F.array(starts), lambda s: F.transform(
+            _parts(size), lambda i: placed(part(i), F.get(s, i))))))
+
+    whole = F.get(F.transform(F.array(pairs), lambda p: F.when(F.size(p) <= 64, placed(p, F.lit(0))).otherwise(cut(p))), F.lit(0))
+    return F.when(F.rlike(text, F.lit(pattern)), whole).otherwise(F.array().cast(_FOUND))
 
 
 def base_spans(text: Column) -> list[Column]:
@@ -126,6 +154,23 @@ def left_of(run: Column, base: Column) -> Column:
     return F.when(F.size(over) == 0, F.array(run)).otherwise(F.filter(cut, lambda p: p["end"] - p["start"] >= LEAST))
 
 
+def rests(runs: Column, base: Column) -> Column:
+    """``left_of`` over all runs; of many runs, part by part against the base
+    spans near the part only."""
+    def near(part: Column) -> Column:
+        first, last = F.get(part, F.lit(0)), F.element_at(part, -1)
+        return F.filter(base, lambda b: (b["start"] < last["end"]) & (first["start"] < b["end"]))
+
+    def cut(runs: Column) -> Column:
+        size = F.size(runs)
+        parts = F.transform(_parts(size), lambda i: F.slice(runs, i * _part(size) + 1, _part(size)))
+        return F.flatten(F.flatten(F.transform(parts, lambda p: F.flatten(F.transform(
+            F.array(near(p)), lambda b: F.transform(p, lambda s: left_of(s, b)))))))
+
+    return (F.when(F.size(base) == 0, runs).when(F.size(runs) <= 64, F.flatten(F.transform(runs, lambda s: left_of(s, base))))
+            .otherwise(cut(runs)))
+
+
 def find(docs: DataFrame, model: list[float] | None = None, text: str = "text", least_ratio: float = 0.5) -> DataFrame:
     """``docs`` with a column ``spans``: (start, kind, end), by start, then
     kind; kinds are numbered as in KINDS.
@@ -133,20 +178,22 @@ def find(docs: DataFrame, model: list[float] | None = None, text: str = "text",
     The fixed patterns give assign, access and hex spans.  What is left of a
     run of token characters when these are cut out of it, if it is 16 or more
     characters with a letter and its mean ratio is at least ``least_ratio``,
-    is a span of kind random.  A null text is empty; a clash of names puts underscores before
+    is a span of kind random; shorter runs (LEAST) and runs of digits and signs
+    only say too little for the models and are not scored.  A null text is empty; a clash of names puts underscores before
     ``spans``.  ``model`` is trained on ``docs`` if not given.
     """
     cells = model if model is not None else train(docs, text)
     name = free_name(docs, "spans")
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    assign, access, hexes = (free_name(docs, f"__{k}") for k in KINDS[:3])
+    named = [free_name(docs, f"__{k}") for k in ("assign", "access", "hex", "base", "runs", "extra")]
+    assign, access, hexes, all_base, all_runs, more = named
     found = docs.withColumns(dict(zip((assign, access, hexes), base_spans(body))))
-    base = F.concat(F.col(assign), F.col(access), F.col(hexes))
+    found = found.withColumns({all_base: F.concat(F.col(assign), F.col(access), F.col(hexes)), all_runs: spans_of(body, TOKEN, 3)})
     table = F.split(F.lit(",".join(map(repr, cells))), ",").cast("array<double>")      # one folded literal
-    runs = F.flatten(F.transform(spans_of(body, TOKEN, 3), lambda s: left_of(s, F.col("__base"))))
-    extra = F.filter(runs, lambda s: F.rlike(s["match"], F.lit("[A-Za-z]")) & (ratio(s["match"], table) >= F.lit(least_ratio)))
-    out = found.withColumn("__base", base).withColumn("__extra", extra)
-    narrow = F.transform(F.concat(F.col("__base"), F.col("__extra")),
+    extra = F.filter(rests(F.col(all_runs), F.col(all_base)),
+                     lambda s: F.rlike(s["match"], F.lit("[A-Za-z]")) & (ratio(s["match"], table) >= F.lit(least_ratio)))
+    out = found.withColumn(more, extra)
+    narrow = F.transform(F.concat(F.col(all_base), F.col(more)),
                          lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     return out.withColumn(name, F.array_sort(narrow)).select(*[F.col(f"`{c}`") for c in docs.columns], name)
 
