@@ -215,3 +215,16 @@ def int_field(x, bits: int = 32) -> tuple[Column, Column]:
         bad = overflow | (val > INT_MAX) | (val < -INT_MAX - 1)
         return F.when(~bad, val).cast("int"), F.coalesce(bad, F.lit(False))
     return val, overflow
+
+
+def raw_to_date(x) -> Column:
+    """the date of a raw field as text.  A number is epoch milliseconds, in
+    UTC; a text that begins with an ISO date, or is one written without
+    dashes, gives that date (its own, whatever offset follows); any other text
+    of 10 or more characters gives its first 10; all else is NULL."""
+    x, t, s = _vts(x)
+    ms = F.try_variant_get(x, "$", "double")
+    number = F.when(ms.between(MS_MIN, MS_MAX), F.date_format(F.timestamp_millis(F.floor(ms)), "yyyy-MM-dd"))
+    compact = F.when(F.rlike(s, F.lit(r"^\d{8}(T.*)?$")), F.concat_ws("-", F.substring(s, 1, 4), F.substring(s, 5, 2), F.substring(s, 7, 2)))
+    text = F.coalesce(F.when(compact.try_cast("date").isNotNull(), compact), F.when(F.char_length(s) >= 10, F.substring(s, 1, 10)))
+    return F.when(is_number(t), number).when(t == "STRING", text)

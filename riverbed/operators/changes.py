@@ -107,7 +107,7 @@ def audit_log(parsed: DataFrame) -> DataFrame:
         F.col("offset").alias("source_offset"))
 
 
-def keyed_changes(parsed: DataFrame, spec: TableSpec) -> DataFrame:
+def keyed_changes(parsed: DataFrame, spec: TableSpec, pos: Column | None = None) -> DataFrame:
     """P5: accepted upserts (with an image) and deletes (with a key) as
     ``pk, _pos, _past, _deleted, _op`` + clean columns; other ops only reach raw."""
     acc = parsed.where(F.col("_error").isNull())
@@ -116,7 +116,7 @@ def keyed_changes(parsed: DataFrame, spec: TableSpec) -> DataFrame:
     # one text per key, however a message spells the number: the column is one
     key = F.coalesce(F.col("pk").try_cast("bigint").cast("string"), F.col("pk")).alias("pk")
     return acc.where(upsert | delete).select(
-        key, position().alias("_pos"), no_past().alias("_past"),
+        key, (position() if pos is None else pos).alias("_pos"), no_past().alias("_past"),
         (F.col("op") == "d").alias("_deleted"), F.col("op").alias("_op"),
         *[F.when(~(F.col("op") == "d"), F.col(c)).alias(c) for c in spec.columns])
 
@@ -189,6 +189,22 @@ def relational_state(feed: DataFrame, table: str) -> DataFrame:
     return fold(keyed_changes(parse_relational(feed, spec), spec))
 
 
+def state_as_of(log: DataFrame, table: str, batch_id: int) -> DataFrame:
+    """A table's rows as they were after a batch, folded from the written
+    audit log: the log's folders of later batches are not read, the stored
+    images are cleaned anew, and of a key that moved between partitions the
+    later batch's position counts, then the greater clock."""
+    spec = RELATIONAL[table]
+    image = lambda c: V.null_if_json_null(F.try_parse_json(c))
+    rows = log.where((F.col("batch_id") <= batch_id) & (F.col("source_table") == table)).select(
+        F.col("source_topic").alias("topic"), F.col("source_partition").alias("partition"), F.col("source_offset").alias("offset"),
+        "op", "ts_ms", "pk", image("before_data").alias("before"), image("after_data").alias("after"), "batch_id")
+    cleaned = spec.cleaner(rows, image="after", keep=["topic", "partition", "offset", "op", "ts_ms", "pk", "after", "batch_id"])
+    at = F.struct(F.struct(F.col("batch_id"), F.col("ts_ms")).alias("clock"), "topic", "partition", "offset")
+    # only accepted events are in the log
+    return current(fold(keyed_changes(cleaned.withColumn("_error", F.lit(None).cast("string")), spec, at)), spec)
+
+
 # ------------------------------------------------------------------ documents
 DOC_META = ["topic", "partition", "offset", "key_text", "value_text", "op", "ts_ms", "source_db",
             "source_collection"]

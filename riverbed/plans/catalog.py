@@ -1526,3 +1526,85 @@ def q_report_runs(spark, sf):
         L.run_job(spark, path, name, job(q))
     return R.last_runs(L.runs_view(L.read_ledger(spark, path))).select(
         "job_name", "status", F.col("dq_issue_count").cast("bigint").alias("dq_issue_count"))
+
+
+@register("report_last_runs", " union all ".join(f"""
+select '{job}' as job_name, n, case when 7 - n = 3 then 'FAILED' when (7 - n) % 2 = 1 then 'SUCCESS_WITH_WARNINGS' else 'SUCCESS' end as status,
+  case when 7 - n = 3 then 0 else (7 - n) % 2 end as dq_issue_count,
+  case when 7 - n = 3 then '{{}}' else '{{"rows": ' || (select count(*) from {table} where {key} % (7 - n) = 0) || '}}' end as metrics,
+  case when 7 - n = 3 then 'source unreachable' end as error_message, true as finished, true as duration_fits
+from (select unnest(range(1, 6)) as n)""" for job, table, key in (("document_reconcile", "documents", "doc_id"),
+                                                                  ("object_reconcile", "pages", "page_id"))))
+def q_report_last_runs(spark, sf):
+    """The last five of six runs of the document and the object
+    job, one of which failed, with all that the ledger keeps of a run."""
+    import uuid
+
+    from ..operators import ledger as L
+    from ..session import store_root
+    from . import reports as R
+    path = store_root(spark, f"runs-{uuid.uuid4().hex}")
+
+    def job(table: str, key: str, run: int):
+        def count():
+            if run == 3:
+                raise RuntimeError("source unreachable")
+            return {"rows": FX.read_table(spark, sf, table).where(F.col(key) % run == 0).count()}, run % 2
+        return count
+
+    for run in range(1, 7):
+        for name, table, key in (("document_reconcile", "documents", "doc_id"), ("object_reconcile", "pages", "page_id")):
+            try:
+                L.run_job(spark, path, name, job(table, key, run))
+            except RuntimeError:
+                if run != 3:
+                    raise
+    runs = materialize(L.runs_view(L.read_ledger(spark, path)))
+    newest = R.last_runs_by_job(runs).select("batch_id")
+    order = Window.partitionBy("job_name").orderBy(F.desc("started_at"))
+    took = F.unix_micros("finished_at") - F.unix_micros("started_at")
+    return runs.join(newest, "batch_id", "left_semi").select(
+        "job_name", F.row_number().over(order).cast("bigint").alias("n"), "status", F.col("dq_issue_count").cast("bigint").alias("dq_issue_count"),
+        "metrics", "error_message", (F.col("finished_at") >= F.col("started_at")).alias("finished"),
+        (F.abs(F.col("duration_seconds") * 1e6 - took) <= 1000).alias("duration_fits"))
+
+
+@register("cdc_raw_dates", O.with_ctes("""
+select id, case id % 6 when 0 then strftime(make_timestamp(order_date * 1000), '%Y-%m-%d')
+    when 1 then strftime(make_timestamp(order_date * 1000), '%Y-%m-%d') when 2 then strftime(make_timestamp(order_date * 1000), '%d.%m.%Y')
+    when 3 then strftime(make_timestamp(order_date * 1000), '%Y-%m-%d') end as raw_date
+from src_orders"""))
+def q_cdc_raw_dates(spark, sf):
+    """the order date of raw images that come as bytes, spelled as
+    epoch milliseconds, ISO text with an offset, another text (its first 10
+    characters), ISO text without dashes, a short text, and a boolean."""
+    from ..functions import envelope as EV
+    from ..functions import variant as V
+    when, k = F.timestamp_millis("order_date"), F.col("id") % 6
+    text = lambda f: F.concat(F.lit('"'), F.date_format(when, f), F.lit('"'))
+    raw = (F.when(k == 0, F.col("order_date").cast("string")).when(k == 1, text("yyyy-MM-dd'T'HH:mm:ss'+09:00'"))
+           .when(k == 2, text("dd.MM.yyyy HH:mm")).when(k == 3, text("yyyyMMdd")).when(k == 4, F.lit('"soon"')).otherwise(F.lit("true")))
+    value = F.concat(F.lit('{"op":"c","after":{"id":'), F.col("id").cast("string"), F.lit(',"order_date":'), raw, F.lit("}}"))
+    feed = FX.src_orders(spark, sf).select(
+        F.lit("shop.public.orders").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+        F.encode(F.lit("{}"), "UTF-8").alias("key"), F.encode(value, "UTF-8").alias("value"))
+    image = EV.parse_envelope(feed).select("after")
+    return image.select(F.try_variant_get("after", "$.id", "bigint").alias("id"), V.raw_to_date(V.field("after", "order_date")).alias("raw_date"))
+
+
+@register("cdc_state_as_of", O.with_ctes("select 0 as batch, * from c_orders union all select 2, * from f_orders"))
+def q_cdc_state_as_of(spark, sf):
+    """The orders as they were after the first and the last of three
+    batches, folded from the audit log that the pipeline wrote."""
+    import uuid
+
+    from ..operators import changes as CH
+    from ..session import store_root
+    from ..streaming import streams as ST
+    feed = change_feed(spark, sf, "relational")
+    pipe = ST.RelationalPipeline(spark, store_root(spark, f"asof-{uuid.uuid4().hex}"))
+    for n, cut in enumerate((F.col("offset") % 8 == 0, F.col("offset") % 8 == 1, F.col("offset") % 8 >= 2)):
+        pipe.process(feed.where(cut), n)
+    log = pipe.read_log("raw/cdc_events")
+    parts = [CH.state_as_of(log, "orders", n).select(F.lit(n).alias("batch"), "*") for n in (0, 2)]
+    return ntz(parts[0].unionByName(parts[1]))
