@@ -9,6 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from riverbed.plans import catalog  # noqa: E402
 from riverbed.plans.catalog import ORACLE, QUERIES  # noqa: E402
 
 SLOW = {"stream_orders_available_now", "stream_revenue_available_now", "doc_country_incremental"}
@@ -29,10 +30,12 @@ def test_every_query_has_an_oracle():
 
 @pytest.fixture(scope="module")
 def duck(sf):
+    catalog.FEEDS = {}                                   # each change feed is made once for all queries
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
-    return con
+    yield con
+    catalog.FEEDS = None
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
