@@ -105,6 +105,10 @@ def test_redaction_and_edges(spark, edge, empty, clashing):
     one = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert S.redact(one, model).first()["text"] == "x [SECRET] y [SECRET] [SECRET]"
     assert S.find(empty, model).count() == 0 and S.find(empty).count() == 0 and S.redact(empty).count() == 0
+    mine = clashing.withColumns({n: F.lit("mine") for n in ("__extra", "__runs", "__assign", "__access", "__hex")})
+    for df in (S.find(mine, model), S.redact(mine, model)):
+        for n in ("spans", "__base", "__extra", "__runs", "__assign", "__access", "__hex"):
+            assert {r[0] for r in df.select(n).distinct().collect()} == {"mine"}
     found = S.find(clashing, model)
     assert {"spans", "_spans", "__base"} <= set(found.columns) and found.where(F.size("_spans") > 0).count() == 1
     assert len(S.train(empty)) == S.SIZE ** 2
@@ -113,3 +117,44 @@ def test_redaction_and_edges(spark, edge, empty, clashing):
 def test_plan_is_native(spark, docs):
     plan = S.redact(docs, [0.0] * S.SIZE ** 2)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_matches_in_one_text(spark):
+    """Texts with thousands of runs and base spans, cut into parts: the same spans as matching in order."""
+    rnd = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    texts = []
+    for n in (63, 64, 65, 700, 5000):
+        bits = [rnd.choice([lambda: "".join(rnd.choices(letters, k=rnd.randint(3, 40))), lambda: "token=" + "".join(rnd.choices(letters, k=12)),
+                            lambda: "".join(rnd.choices("0123456789abcdef", k=rnd.randint(20, 50))), lambda: "é日",
+                            lambda: "AKIA" + "".join(rnd.choices(letters[:26], k=18)) + "/" + "".join(rnd.choices(letters, k=20))])() for _ in range(n)]
+        texts.append(" ".join(bits))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [(x["start"], x["kind"], x["end"]) for x in r["spans"]] for r in S.find(df, [1.0] * S.SIZE ** 2).collect()}
+    for i, t in enumerate(texts):
+        base = [(m.start(), 0, m.end()) for m in re.finditer(S.ASSIGN, t) if len(m.group(2)) >= 6]
+        base += [(m.start(), k, m.end()) for k, p in ((1, S.ACCESS), (2, S.HEX)) for m in re.finditer(p, t)]
+        base.sort()
+        rest = []
+        for m in re.finditer(S.TOKEN, t):
+            at = m.start()
+            over = [b for b in base if b[0] < m.end() and m.start() < b[2]]
+            for a, _, z in over:
+                rest.append((at, a))
+                at = max(at, z)
+            rest.append((at, m.end()))
+        rest = [(a, 3, z) for a, z in rest if z - a >= S.LEAST and re.search("[A-Za-z]", t[a:z])]
+        assert got[i] == sorted(base + rest)
+
+
+def test_time_grows_with_the_length_of_a_text(spark):
+    """Twice the text takes no four times the time."""
+    import time
+    word = "aB3dE6gH9jK2mN5pQ8sT "
+    took = []
+    for n in (8_000, 32_000):
+        df = spark.createDataFrame([(1, word * n)], "doc_id long, text string")
+        start = time.perf_counter()
+        assert len(S.find(df, [1.0] * S.SIZE ** 2).first()["spans"]) == n
+        took.append(time.perf_counter() - start)
+    assert took[1] < 12 * max(took[0], 1)

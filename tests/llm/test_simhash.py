@@ -3,6 +3,8 @@ import random
 import numpy as np
 import xxhash
 
+from pyspark.sql import functions as F
+
 from riverbed.llm import simhash as S
 from riverbed.llm.catalog import op2_simhash_dedup
 from riverbed.llm.components import components
@@ -158,3 +160,44 @@ def test_keep_one(spark, edge, empty):
     assert S.keep_one(empty).count() == 0 and S.classes(empty).count() == 0
     bare = spark.createDataFrame([(None, "some words here"), (None, "some words here"), (None, "quite other text")], "doc_id long, text string")
     assert sorted(r["text"] for r in S.keep_one(bare).collect()) == ["quite other text", "some words here"]
+
+
+def test_very_large_postings_are_posted_anew(spark, monkeypatch):
+    """Fingerprints that agree in most bytes: postings over the bound give the same links."""
+    rnd = random.Random(11)
+    base = rnd.getrandbits(64)
+    values = {base}
+    for _ in range(400):
+        v = base
+        for b in rnd.sample(range(24), rnd.randint(1, 6)):
+            v ^= 1 << b
+        values.add(v)
+    values |= {rnd.getrandbits(64) for _ in range(100)}
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    near = {tuple(sorted((a, b))) for i, a in enumerate(signed) for b in signed[:i] if bin((a ^ b) & (2 ** 64 - 1)).count("1") <= 2}
+
+    def groups(edges):
+        root = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+        for a, b in edges:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+        return {x: find(x) for x in root}
+
+    fps = spark.createDataFrame([(v,) for v in signed], "fp long")
+    for many in (1024, 8):
+        monkeypatch.setattr(S, "MANY", many)
+        assert groups([tuple(r) for r in S.links(fps, 2).collect()]) == groups(near)
+
+
+def test_keep_one_with_clashing_names(spark, edge):
+    mine = edge.withColumns({n: F.lit("mine") for n in ("__id", "__h", "__row", "fp", "h", "id", "root")})
+    plain = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in S.keep_one(edge).collect())
+    got = S.keep_one(mine)
+    assert got.columns == mine.columns
+    rows = got.collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in rows) == plain and {r["__id"] for r in rows} == {"mine"}
