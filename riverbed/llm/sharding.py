@@ -53,13 +53,14 @@ def assign(docs: DataFrame, weights: list[float], key: str = "doc_id", text: str
     The narrow rows (no texts) are written to the shared folder first, since
     the blocks follow the input's order, which must not change after that.
     """
-    body = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
+    ident, words = F.col(f"`{key}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    body = F.encode(words, "UTF-8")
     narrow = written(docs.select(
-        F.col(key).alias("key"),
-        (F.octet_length(F.coalesce(F.col(text), F.lit(""))) + F.lit(1)).cast("long").alias("size"),
+        ident.alias("key"),
+        (F.octet_length(words) + F.lit(1)).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"),
-        rendezvous(F.col(key), weights).alias("shard"),
-        rendezvous(F.col(key), [*weights, grown_weight]).alias("grown_shard"),
+        rendezvous(ident, weights).alias("shard"),
+        rendezvous(ident, [*weights, grown_weight]).alias("grown_shard"),
         F.monotonically_increasing_id().alias("row")), "shards")
     # a partition's row numbers start at a multiple of 2^33, which block_rows divides
     blocks = narrow.withColumn("block", F.floor(F.col("row") / F.lit(block_rows)))

@@ -65,3 +65,11 @@ def test_moved(spark):
     out = S.assign(spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")), [1.0] * 3)
     rows = S.moved(out).collect()
     assert {r["grown_shard"] for r in rows} == {3} and 150 < sum(r["rows"] for r in rows) < 350
+
+
+def test_names_with_a_dot(spark, edge):
+    dotted = edge.withColumnsRenamed({"doc_id": "doc.id", "text": "the.text"})
+    got = S.assign(dotted, [1.0] * 4, key="doc.id", text="the.text")
+    assert got.columns[0] == "doc.id"
+    place = lambda rows: sorted((r[0] is None, r[0] or 0, r["size"], r["text_crc32"], r["shard"], r["grown_shard"]) for r in rows)
+    assert place(got.collect()) == place(S.assign(edge, [1.0] * 4).collect())
