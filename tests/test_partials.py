@@ -1,6 +1,9 @@
 """The relational pipeline's marts from partial states equal the rebuild after
 every batch, and a batch touches its own buckets only."""
 
+import json
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,8 +15,6 @@ from riverbed.streaming import streams as ST
 from test_changes import order
 from test_incremental import random_log, rows_of
 
-import json
-
 
 def rebuilt(pipe):
     orders, customers = (CH.current(pipe.state(t), CH.RELATIONAL[t]) for t in ("orders", "customers"))
@@ -60,11 +61,10 @@ def test_newest_order_goes_and_customer_moves(spark, tmp_root):
     assert [(r["owner"], r["orders"]) for r in moments.collect()] == [(2, 1)]
 
 
-def test_a_batch_touches_its_own_buckets(spark, tmp_root):
+def test_a_batch_touches_its_own_buckets(spark, tmp_root, monkeypatch):
+    monkeypatch.setattr(ST, "KeyedStore", partial(ST.KeyedStore, least_buckets=64))
     rows = [cmsg(n, n, "usa") for n in range(40)] + [omsg(n, "c", order(n, customer_id=n % 40, order_date=1704067200000 + n * 1000)) for n in range(200)]
     pipe = ST.RelationalPipeline(spark, tmp_root)
-    for t in ("orders", "customers", "order_days", "order_moments"):
-        pipe.store(t).least_buckets = 64
     pipe.process(spark.createDataFrame(rows, FEED_SCHEMA), 0)
     before = pipe.commits.latest()
     assert all(len(before["tables"][t]["paths"]) > 25 for t in ("orders", "customers", "order_days", "order_moments"))
