@@ -376,3 +376,52 @@ def test_document_rules(spark):
     assert dead == {2: C.ERR_DUP_KEY, 3: C.ERR_NO_AFTER, 4: C.ERR_NO_DOC_ID}
     rows_ = st.where(~F.col("_deleted")).collect()
     assert [(r["pk"], r["rating"], r["status"], r["customer_id"]) for r in rows_] == [("a" * 24, 5, "APPROVED", 3)]
+
+
+def test_members_are_read_in_one_pass(spark):
+    """Absent members, wrapped envelopes and Extended JSON without a path lookup per member."""
+    from riverbed.functions import envelope as EV
+    from riverbed.functions import variant as V
+    rows = spark.createDataFrame([('{"a":1,"b":null,"$oid":"x"}',), ("[1]",), ("7",), ("{}",), (None,)], "j string")
+    got = rows.select(V.members(F.try_parse_json("j"), ["a", "b", "$oid"]).alias("m")).select(
+        F.col("m").isNull(), F.to_json("m.a"), F.col("m.b").isNull(), F.to_json(F.col("m").getField("$oid"))).collect()
+    assert [tuple(r) for r in got] == [(False, "1", False, '"x"'), (True, None, True, None), (True, None, True, None),
+                                       (False, None, True, None), (True, None, True, None)]
+    values = ['{"op":"u"}', '{"payload":{"op":"c","source":{"db":"d"}},"op":"x"}', '{"payload":3,"op":"u"}', '{"payload":null,"op":"u"}',
+              '{"source":"s","ts_ms":5}']
+    parsed = EV.parse_envelope(feed(spark, [msg(n, None, value=v) for n, v in enumerate(values)]))
+    found = {r["offset"]: (r["op"], r["malformed"], r["source_db"], r["ts_ms"]) for r in parsed.collect()}
+    assert found == {0: ("u", False, None, None), 1: ("c", False, "d", None), 2: (None, True, None, None), 3: (None, True, None, None),
+                     4: (None, False, None, 5)}
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.payload" not in plan and "$.op" not in plan
+
+
+def test_feed_from_few_row_groups_is_parsed_by_many_tasks(spark, monkeypatch):
+    from riverbed.plans import catalog as Q
+    from riverbed.sources import feeds as FD
+    rows = [msg(n, "c", order(n), pk=n) for n in range(400)]
+    one = feed(spark, rows).coalesce(1)
+    monkeypatch.setattr(FD, "relational_feed", lambda s, sf: one)
+    monkeypatch.setattr(Q, "FEEDS", None)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    try:
+        made = Q.change_feed(spark, "none", "relational")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    assert made.count() == 400
+    assert made.select(F.input_file_name()).distinct().count() > 1
+
+
+def test_messages_move_only_if_one_came_twice(spark, tmp_path):
+    from riverbed.streaming import streams as ST
+    through = []
+
+    class Intake(ST.Pipeline):
+        def _process(self, feed, batch_id, tag, before, doc):
+            through.append((sorted(r["offset"] for r in feed.collect()), feed.inputFiles()[0].split("/")[-2]))
+
+    pipe = Intake(spark, str(tmp_path))
+    pipe.process(feed(spark, [msg(n, "c", order(n), pk=n) for n in (1, 2, 3)]), 0)
+    pipe.process(feed(spark, [msg(n, "c", order(n), pk=n) for n in (4, 5, 4, 2)]), 1)
+    assert through == [([1, 2, 3], "feed"), ([4, 5], "feed-once")]
