@@ -143,3 +143,24 @@ def test_change_detection_over_restarts(spark, tmp_root):
     assert take([one, scan(spark, 4, {"b": "5"})], 3) == seen           # old scans again
     pipe = ST.ListingPipeline(spark, tmp_root)
     assert {r["value"][:1] for r in pipe.messages().collect()} == {"{"} and pipe.messages().count() == len(seen)
+
+
+def test_ranges_join_across_blocks_without_a_window_over_a_partition(spark):
+    B = OF.BLOCK
+    rows = [("t", 0, B - 3, B - 1), ("t", 0, B, B + 4), ("t", 0, B - 2, B + 1), ("t", 0, 5, 7), ("t", 0, 8, 8), ("t", 0, 2 * B + 1, 5 * B),
+            ("t", 0, 3 * B + 9, 3 * B + 11), ("t", 0, 5 * B + 2, 5 * B + 2), ("t", 1, B, B)]
+    got = OF.merged(spark.createDataFrame(rows, "topic string, partition int, first bigint, last bigint"))
+    assert sorted(map(tuple, got.select("topic", "partition", "first", "last").collect())) == [
+        ("t", 0, 5, 8), ("t", 0, B - 3, B + 4), ("t", 0, 2 * B + 1, 5 * B), ("t", 0, 5 * B + 2, 5 * B + 2), ("t", 1, B, B)]
+    many = spark.createDataFrame([("t", 0, 4 * B + 2 * n, 4 * B + 2 * n) for n in range(50)], "topic string, partition int, first bigint, last bigint")
+    assert OF.merged(many).count() == 50
+    plan = OF.merged(many)._jdf.queryExecution().optimizedPlan().toString()
+    assert "[topic#" in plan and any("Window" in line and "block" in line.split("],")[-2] for line in plan.splitlines() if "Window" in line)
+
+
+def test_numbering_by_blocks(spark):
+    rows = [("t", p, o, "k", "v") for p in (0, 1) for o in (3, 70_000, 70_001, 200_000, 5)] + [("t", None, None, "k", "v")]
+    got = OF.numbered(spark.createDataFrame(rows, "topic string, partition int, offset bigint, key string, value string"), "n")
+    assert got.columns == ["topic", "partition", "offset", "key", "value", "n"]
+    found = {(r["partition"], r["offset"]): r["n"] for r in got.collect()}
+    assert found == {(p, o): n for p in (0, 1) for n, o in enumerate((3, 5, 70_000, 70_001, 200_000))} | {(None, None): 0}
