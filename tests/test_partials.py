@@ -2,6 +2,7 @@
 every batch, and a batch touches its own buckets only."""
 
 import json
+import random
 from functools import partial
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riverbed.operators import changes as CH
 from riverbed.operators import marts as M
+from riverbed.operators import partials as PT
 from riverbed.sources.feeds import FEED_SCHEMA
 from riverbed.streaming import streams as ST
 
@@ -89,3 +91,45 @@ def test_keys_are_one_however_spelled(spark, tmp_root):
     pipe = ST.RelationalPipeline(spark, tmp_root)
     pipe.process(spark.createDataFrame(rows, FEED_SCHEMA), 0)
     assert [(r["id"], r["quantity"]) for r in CH.current(pipe.state("orders"), CH.RELATIONAL["orders"]).collect()] == [(7, 5)]
+
+
+def moved_changes(spark, seed):
+    """Changes of few keys in several partitions, some without a clock or brought twice."""
+    rng = random.Random(seed)
+    rows = []
+    for off in range(120):
+        part, gone = rng.randrange(3), rng.random() < .2
+        row = (str(rng.randrange(8)), (rng.choice([None, rng.randrange(50)]), "t", part, off), None, gone, "d" if gone else "u", None if gone else off)
+        rows += [row] * rng.choice([1, 1, 2])
+    return spark.createDataFrame(rows, PT._HEAD + "n int")
+
+
+def states(df):
+    return sorted((r["pk"], r["_pos"], [tuple(p) for p in r["_past"] or []], r["_deleted"], r["_op"], r["n"]) for r in df.collect())
+
+
+def test_rows_are_laid_out_once_and_fold_to_the_same_state(spark, tmp_root):
+    first, second = (moved_changes(spark, seed).checkpoint() for seed in (1, 2))
+    second = second.withColumn("_pos", F.col("_pos").withField("offset", F.col("_pos.offset") + 60))
+    old = CH.fold(first).checkpoint()
+    want = states(CH.fold(second, old))
+    at = lambda rows: rows.withColumn("_bucket", F.lit(0))
+    for crowded, exchanges in ((False, 1), (True, 2)):
+        laid = CH.fold(at(second), at(old), ("_bucket", "pk"), lambda rows: rows.repartition(3, "_bucket"), crowded, ["n"])
+        assert states(laid) == want
+        assert laid._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == exchanges
+    held = {r["pk"]: r["n"] for r in old.where("not _deleted").collect()}
+    made = {r["pk"]: (r["_fresh"], r["_was"] and r["_was"]["n"]) for r in laid.collect()}
+    assert {k: v for k, (_, v) in made.items()} == {k: held.get(k) for k in made} and any(f for f, _ in made.values())
+    store = ST.KeyedStore(spark, tmp_root, "t", first.schema, bucket_rows=5)        # more changes in a bucket than rows belong in one
+    one = store.merge(first, None, "b0")
+    two = store.merge(second, one, "b1", was=["n"])
+    assert states(store.state(two)) == want
+    assert store.state(two).columns == first.columns and ST.KeyedStore(spark, tmp_root, "t").state(two).columns == first.columns
+
+
+def test_texts_stay_with_rejected_rows_only(spark, tmp_root):
+    rows = [omsg(0, "c", order(1)), omsg(1, "c", order(2, quantity=3_000_000_000))]
+    slim = CH.slim(CH.parse_relational(spark.createDataFrame(rows, FEED_SCHEMA), CH.RELATIONAL["orders"]), ["before", "after"])
+    got = {r["offset"]: (r["value_text"] is None, r["after"] is None) for r in slim.collect()}
+    assert got == {0: (True, False), 1: (False, True)}
