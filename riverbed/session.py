@@ -38,6 +38,12 @@ BASE_CONF = {
 }
 
 
+# Of the change-data queries: what one task reads of a table or of a shuffle.
+# Messages and documents take some 20 times their size on disk when a task
+# sorts them, so Spark's own sizes let a task's memory grow to gigabytes.
+PIECES = {"spark.sql.files.maxPartitionBytes": "32m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m"}
+
+
 def build_session(master: str | None = None, app: str = "riverbed",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -68,6 +74,17 @@ def apply_runtime_conf(spark: SparkSession) -> None:
             pass
 
 
+def bound_pieces(spark: SparkSession, on: bool) -> None:
+    """Set ``PIECES``, or give a session its own sizes back."""
+    own = getattr(spark, "_riverbed_pieces", None)
+    if on and own is None:
+        spark._riverbed_pieces = {k: spark.conf.get(k) for k in PIECES}
+    for k, v in (PIECES if on else own or {}).items():
+        spark.conf.set(k, v)
+    if not on:
+        spark._riverbed_pieces = None
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared lineage-cut folder.
 

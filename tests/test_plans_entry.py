@@ -65,3 +65,11 @@ def test_streaming_restart(spark, sf):
     df = E.queries()["stream_orders_available_now"](spark, sf)
     ref = E.queries()["cdc_current_orders"](spark, sf)
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, ref.collect()))
+
+
+def test_pieces_are_bounded_for_change_data_only(spark):
+    from riverbed.session import PIECES, bound_pieces
+    own = {k: spark.conf.get(k) for k in PIECES}
+    for on in (True, True, False, False):
+        bound_pieces(spark, on)
+        assert {k: spark.conf.get(k) for k in PIECES} == (PIECES if on else own)
