@@ -218,8 +218,7 @@ def text(x) -> Column:
 def str_list(x) -> Column:
     """A JSON array as array<string> (elements stringified); NULL if not an array."""
     x, t, _ = _vts(x)
-    return F.when(t.startswith("ARRAY"),
-                  F.transform(F.try_variant_get(x, "$", "array<variant>"), lambda e: as_str(e)))
+    return F.when(t.startswith("ARRAY"), F.try_variant_get(x, "$", "array<string>"))
 
 
 def int_field(x, bits: int = 32) -> tuple[Column, Column]:

@@ -96,6 +96,15 @@ def order_columns(fv, a: Column) -> tuple[dict, Column]:
                   (od_bad | up_bad, ERR_TIMESTAMP)]
 
 
+def staged_rows(df: DataFrame, *cols) -> DataFrame:
+    """The columns, emitted through a one-element ``inline``: a predicate on
+    generator output cannot be pushed below it, so what is above is evaluated
+    once instead of being re-inlined into the scan, and what follows becomes a
+    generated method of its own (one that grows beyond 8,000 bytes of bytecode
+    is never compiled by the JVM)."""
+    return df.select(F.inline(F.array(F.struct(*cols))))
+
+
 def _apply(df: DataFrame, builder, image: str, keep: list[str] | None) -> DataFrame:
     """Staged projections: (1) pull every used field out of the image in one
     pass, (2) its JSON type and text form, then what an Extended JSON wrapper
@@ -111,7 +120,9 @@ def _apply(df: DataFrame, builder, image: str, keep: list[str] | None) -> DataFr
     def staged(asked: list[str], n: str, v: str, t: str) -> V.Fld:
         if n not in asked:
             asked.append(n)
-        return V.Fld(F.col(f"{v}_{n}"), F.col(f"{t}_{n}"), V.as_str(F.col(f"{v}_{n}")))
+        # a text is read out of the variant once; a number's only where it is asked for
+        return V.Fld(F.col(f"{v}_{n}"), F.col(f"{t}_{n}"),
+                     F.when(F.col(f"{t}_{n}") == "STRING", F.col(f"{v}s_{n}")).otherwise(V.as_str(F.col(f"{v}_{n}"))))
 
     def fv(n: str, as_text: bool = True) -> V.Fld:
         """Field accessor.  Text fields get their string form materialised
@@ -139,18 +150,18 @@ def _apply(df: DataFrame, builder, image: str, keep: list[str] | None) -> DataFr
                    *[V.members(f"_dy_{n}", V.WRAPPERS).alias(f"_dw_{n}") for n in dates])
     s2 = s2.select("*", *[V.unwrapped(F.col(f"_dw_{n}"), F.col(f"_dy_{n}")).alias(f"_d_{n}") for n in dates])
     s2 = s2.select("*", *[V.vtype(F.col(f"_d_{n}")).alias(f"_dt_{n}") for n in dates])
+    s2 = s2.select("*", *[F.when(F.col(f"{t}_{n}") == "STRING", V.as_str(F.col(f"{v}_{n}"))).alias(f"{v}s_{n}")
+                          for asked, v, t in ((plain, "_u", "_ut"), (dates, "_d", "_dt")) for n in asked])
+    if plain or dates:                              # documents: reading and coercing are a method each
+        s2 = staged_rows(s2, *s2.columns)
     flags = {f"_chk{i}": chk[0] for i, chk in enumerate(checks) if chk[0] is not None}
     s3 = s2.select(*keep, *[v.alias(k) for k, v in cols.items()],
                    *[v.alias(k) for k, v in flags.items()])
     err = first_error(*[(F.col(f"_chk{i}") if c is not None else F.col(ref).isNull(), msg)
                         for i, (c, msg, ref) in enumerate(
                             (c[0], c[1], c[2] if len(c) > 2 else None) for c in checks)])
-    # The validity split downstream filters on ``_error``.  Emitting the row
-    # through a one-element ``inline`` keeps that filter above the cleaning
-    # (a predicate on generator output cannot be pushed below it), so the
-    # coercions are evaluated once instead of being re-inlined into the scan.
-    row = F.struct(*[F.col(k) for k in keep], *[F.col(k) for k in cols], err.alias("_error"))
-    return s3.select(F.inline(F.array(row)))
+    # The validity split downstream filters on ``_error``.
+    return staged_rows(s3, *[F.col(k) for k in keep], *[F.col(k) for k in cols], err.alias("_error"))
 
 
 def clean_customers(df: DataFrame, image: str = "after", keep: list[str] | None = None) -> DataFrame:

@@ -1123,8 +1123,11 @@ def q_cdc_raw_documents(spark, sf):
     """K4 + P8 + P16: the raw collection keeps members that no cleaner names,
     and the metadata of each document's last change."""
     from ..operators import changes as CH
-    parsed = CH.reject_duplicate_keys(materialize(CH.parse_documents(change_feed(spark, sf, "reviews"), "product_reviews")), "product_reviews")
-    raw = CH.raw_documents(CH.fold(CH.document_changes(parsed, CH.REVIEW_COLUMNS, BATCH_TS)))
+    parsed = CH.parse_documents(change_feed(spark, sf, "reviews"), "product_reviews")
+    # the raw collection keeps documents as they came: of the cleaned columns only the business key is read on
+    parsed = materialize(parsed.select(*CH.CLAIM_COLUMNS, "review_id", "source_db", "source_collection", "_doc"))
+    parsed = CH.reject_duplicate_keys(parsed, "product_reviews")
+    raw = CH.raw_documents(CH.fold(CH.document_changes(parsed, [], BATCH_TS)))
     return ntz(raw.select(
         "_id", F.get_json_object("document", "$.note").alias("note"), F.get_json_object("document", "$.review_id").alias("review_id"),
         *[F.col(f"_cdc.{c}").alias(c) for c in ("source_type", "source_topic", "source_partition", "source_database",

@@ -41,7 +41,10 @@ BASE_CONF = {
 # Of the change-data queries: what one task reads of a table or of a shuffle.
 # Messages and documents take some 20 times their size on disk when a task
 # sorts them, so Spark's own sizes let a task's memory grow to gigabytes.
-PIECES = {"spark.sql.files.maxPartitionBytes": "32m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m"}
+# And the largest method that the JVM compiles (bytes of bytecode): a generated
+# one beyond it runs interpreted for good, so such a stage goes by operators.
+PIECES = {"spark.sql.files.maxPartitionBytes": "32m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+          "spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def build_session(master: str | None = None, app: str = "riverbed",
