@@ -619,10 +619,14 @@ def q_doc_marts_incremental(spark, sf):
     from ..operators import incremental as IN
     from ..sources import feeds as FD
     b1, b2 = _two_batches(change_feed(spark, sf, "reviews"))
-    p1 = CH.reject_duplicate_keys(materialize(CH.parse_documents(b1, "product_reviews")), "product_reviews")
-    st1 = materialize(CH.fold(CH.document_changes(p1, CH.REVIEW_COLUMNS)))
-    p2 = CH.reject_duplicate_keys(materialize(CH.parse_documents(b2, "product_reviews")), "product_reviews", st1)
-    ch2 = materialize(CH.document_changes(p2, CH.REVIEW_COLUMNS))
+    # no state carries columns that neither the mart nor the next batch's claims read
+    columns = ["review_id", "product_id", "rating", "status", "updated_at"]
+
+    def changes(batch, state=None):
+        parsed = materialize(CH.parse_documents(batch, "product_reviews").select(*CH.CLAIM_COLUMNS, *columns))
+        return CH.document_changes(CH.reject_duplicate_keys(parsed, "product_reviews", state), columns, raw=False)
+    st1 = materialize(CH.fold(changes(b1)))
+    ch2 = materialize(changes(b2, st1))
     st2 = materialize(CH.fold(ch2, st1))
     live = lambda st: st.where(~F.col("_deleted"))
     mart1 = M.product_review_summary(live(st1))
