@@ -642,9 +642,10 @@ def _relational_layers(spark, sf):
     from ..operators import changes as CH
     from ..sources import feeds as FD
     feed = change_feed(spark, sf, "relational")
-    parsed = {t: materialize(CH.parse_relational(feed, spec)) for t, spec in CH.RELATIONAL.items()}
+    parsed = {t: materialize(CH.slim(CH.parse_relational(feed, spec), ["before", "after"])) for t, spec in CH.RELATIONAL.items()}
     raw = CH.audit_log(parsed["customers"]).unionByName(CH.audit_log(parsed["orders"]))
-    cur = {t: CH.current(CH.fold(CH.keyed_changes(parsed[t], spec)), spec)
+    # several metrics read the current rows, so they are written, as the store would
+    cur = {t: materialize(CH.current(CH.fold(CH.keyed_changes(parsed[t], spec)), spec))
            for t, spec in CH.RELATIONAL.items()}
     cust, orders = cur["customers"], cur["orders"]
     return raw, cust, orders, M.daily_revenue(orders, cust), M.customer_summary(cust, orders)
@@ -690,12 +691,22 @@ def q_rel_dq_score(spark, sf):
 def _document_layers(spark, sf):
     from ..sources import documents as D
     srcs = {"customer_profiles": (FX.src_profiles(spark, sf), D.profile_docs),
+#: What metrics and marts read of the clean documents.
+LAYER_COLUMNS = {"customer_profiles": ["_id", "customer_id", "full_name", "country", "preferences", "loyalty"],
+                 "product_reviews": ["customer_id", "product_id", "rating", "status", "updated_at"],
+                 "click_events": ["customer_id", "event_type", "event_time"]}
+
+
             "product_reviews": (FX.src_reviews(spark, sf), D.review_docs),
+    """Source rows, raw images and clean rows of each collection.  Several
+    metrics and marts read the clean rows, so they are written once, by tasks
+    that each get a share of the documents however few files hold them."""
             "click_events": (FX.src_clicks(spark, sf), D.click_docs)}
     out = {}
     for name, (src, shape) in srcs.items():
-        raw = SN.document_image(shape(src))
-        out[name] = (src, raw, SN.good(C.DOC_CLEANERS[name](raw)).drop("_doc"))
+        image = lambda rows: SN.document_image(shape(rows))
+        clean = SN.good(C.DOC_CLEANERS[name](image(src.repartition("_id")))).select(*LAYER_COLUMNS[name])
+        out[name] = (src, image(src), materialize(clean))
     return out
 
 
