@@ -28,3 +28,12 @@ def sf():
 @pytest.fixture()
 def tmp_root():
     return tempfile.mkdtemp(prefix="riverbed-test-")
+
+
+@pytest.fixture(autouse=True)
+def own_sizes(request):
+    """Queries leave the session with the sizes of their own kind; the next test starts with its own."""
+    yield
+    if "spark" in request.fixturenames:
+        from riverbed.session import bound_pieces
+        bound_pieces(request.getfixturevalue("spark"), False)
